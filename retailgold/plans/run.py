@@ -1,0 +1,137 @@
+"""One gold run: build, validate, and only then publish.
+
+Jobs per run: one count of all staging feeds, then per table one write of the built rows (Parquet, in the shared scratch folder),
+one aggregate over what was written, and, once every table has passed, one publishing write.  The joins run once; validation
+and publication read their result.  Checks read the written rows rather than metrics observed during the write, because a
+task that is run again after a lost executor would be observed twice.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from retailgold.functions import settlement_date
+from retailgold.operators import gold, quality
+from retailgold.operators.selection import in_date_spec
+from retailgold.operators.typed import type_feeds
+from retailgold.schemas import GOLD_TABLES, STAGING_OF, conform
+from retailgold.session import scratch_dir
+from retailgold.sinks import archive_feed, publish, read_archive, write_audit
+from retailgold.sinks.gold_files import ROWS_PER_FILE
+
+
+_MAX_REASON = 100_000
+
+
+class GateFailure(RuntimeError):
+    """A table failed its checks; nothing of the run was published."""
+
+    def __init__(self, table: str, reason: str, audit: DataFrame):
+        super().__init__(f"{table}: {reason}")
+        self.table, self.reason, self.audit = table, reason, audit
+
+
+@dataclass(frozen=True)
+class RunResult:
+    audit: DataFrame
+    published: dict[str, str]
+
+
+def stage_feeds(spark: SparkSession, raw: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """Archive all raw feeds as Parquet and give them back from there, so that gzip text is parsed once."""
+    for feed, df in raw.items():
+        archive_feed(df, path, feed)
+    return {feed: read_archive(spark, path, feed) for feed in raw}
+
+
+def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Keep the settlement days between the tenders' first and last day; no other day can match."""
+    days = feeds["tenders"].agg(F.min("transactiondate").alias("first"), F.max("transactiondate").alias("last")).first()
+    settlement = feeds["settlement"]
+    if "settlement_day" in settlement.columns:
+        day = F.col("settlement_day")
+    else:
+        day = settlement_date(F.col("store_transaction_date_time"))
+    if days["first"] is None:
+        return {**feeds, "settlement": settlement.filter(F.lit(False))}
+    return {**feeds, "settlement": settlement.filter(day.between(F.lit(days["first"]), F.lit(days["last"])))}
+
+
+def _staging_counts(feeds: dict[str, DataFrame], tables: tuple[str, ...]) -> dict[str, int]:
+    sides = [quality.staging_side(t, feeds[STAGING_OF[t]]) for t in tables]
+    return {r["entity_type"]: r["source_count"] for r in quality.metrics(sides).collect()}
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+def _build(
+    spark: SparkSession, feeds: dict[str, DataFrame], table: str, built: dict[str, DataFrame], scratch: str, strict: bool,
+) -> DataFrame:
+    """Build one table into the scratch folder and give it back from there."""
+    if table == "discounts" and "transaction_item" in built:
+        df = gold.discounts(feeds, line_items=built["transaction_item"])
+    else:
+        df = gold.BUILDERS[table](feeds)
+    df = conform(df, table) if strict else df
+    df.write.mode("overwrite").parquet(f"{scratch}/{table}")
+    return spark.read.schema(df.schema).parquet(f"{scratch}/{table}")
+
+
+def run(
+    spark: SparkSession, raw: dict[str, DataFrame], out: str, *, audit_path: str, brand: str, schedule: str, as_of: str,
+    dates: str | None = None, tables: tuple[str, ...] = GOLD_TABLES, rows_per_file: int = ROWS_PER_FILE,
+    strict_contract: bool = False,
+) -> RunResult:
+    """Build the gold tables of one brand and schedule from its raw feeds and publish them below ``out``.
+
+    ``dates`` (``d``, ``d1,d2`` or ``d1:d2``) limits every dated feed; ``as_of`` is the run day.  The first table that fails stops the
+    run: the audit log gets the rows so far, ``GateFailure`` is raised and no table is published.  ``strict_contract`` keeps
+    exactly the contract's columns; otherwise unknown columns of a feed pass through.
+    """
+    feeds = type_feeds(raw)
+    if dates is not None:
+        # settlement files are not dated like the feeds: a day's settlement may come in a later file
+        feeds = {n: df if n == "settlement" else df.filter(in_date_spec(dates)) for n, df in feeds.items()}
+    if "tenders" in tables:
+        feeds = _prune_settlement(feeds)
+
+    scratch = scratch_dir(spark, f"gold-{brand}-{schedule}")
+    built: dict[str, DataFrame] = {}
+    checked: list[tuple] = []
+    staged_rows: dict[str, int] = {}
+    failure = None
+    for table in tables:
+        started = _now()
+        try:
+            staged_rows = staged_rows or _staging_counts(feeds, tables)
+            built[table] = _build(spark, feeds, table, built, scratch, strict_contract)
+            measured = quality.gold_side(table, built[table]).withColumn("source_count", F.lit(staged_rows[table]))
+            row = tuple(quality.evaluate(measured).first())
+        except Exception as error:  # a crash is audited like a failed check, then raised
+            failure = error
+            row = (table, staged_rows.get(table), None, None, None, None, None, str(error)[:_MAX_REASON], quality.FAILURE)
+        checked.append((*row, started, _now()))
+        if row[-1] == quality.FAILURE:
+            break
+
+    log = spark.createDataFrame(checked, f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
+    audit = quality.audit_rows(
+        log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
+        start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
+    )
+    write_audit(audit, audit_path)
+    table, reason, result = checked[-1][0], checked[-1][7], checked[-1][8]
+    if result == quality.FAILURE:
+        raise GateFailure(table, reason, audit) from failure
+
+    # a row's place in its scratch file is the same whenever it is read and spreads identical rows
+    spread = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    return RunResult(audit, {
+        table: publish(df, out, table, rows_per_file=rows_per_file, spread=spread) for table, df in built.items()
+    })
