@@ -1,3 +1,3 @@
-from retailgold.plans.run import GateFailure, RunResult, run, stage_feeds
+from retailgold.plans.gold_run import GateFailure, RunResult, run, stage_feeds
 
 __all__ = ["GateFailure", "RunResult", "run", "stage_feeds"]

@@ -8,18 +8,20 @@ task that is run again after a lost executor would be observed twice.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from retailgold.functions import settlement_date
 from retailgold.operators import gold, quality
-from retailgold.operators.selection import in_date_spec
+from retailgold.operators.selection import after_start, in_date_spec
 from retailgold.operators.typed import type_feeds
 from retailgold.schemas import GOLD_TABLES, STAGING_OF, conform
-from retailgold.session import scratch_dir
+from retailgold.session import drop_scratch, scratch_dir
 from retailgold.sinks import archive_feed, publish, read_archive, write_audit
 from retailgold.sinks.gold_files import ROWS_PER_FILE
 
@@ -28,22 +30,34 @@ _MAX_REASON = 100_000
 
 
 class GateFailure(RuntimeError):
-    """A table failed its checks; nothing of the run was published."""
+    """A table failed its checks; nothing of the run was published.
 
-    def __init__(self, table: str, reason: str, audit: DataFrame):
+    ``by_date`` lists the dates whose gold and staging counts differ.
+    """
+
+    def __init__(self, table: str, reason: str, by_date: list[Row]):
         super().__init__(f"{table}: {reason}")
-        self.table, self.reason, self.audit = table, reason, audit
+        self.table, self.reason, self.by_date = table, reason, by_date
 
 
 @dataclass(frozen=True)
 class RunResult:
-    audit: DataFrame
+    """Event result and published folder per table."""
+
+    results: dict[str, str]
     published: dict[str, str]
 
 
-def stage_feeds(spark: SparkSession, raw: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
-    """Archive all raw feeds as Parquet and give them back from there, so that gzip text is parsed once."""
+def stage_feeds(
+    spark: SparkSession, raw: dict[str, DataFrame], path: str, *, settlement_after: str | None = None,
+) -> dict[str, DataFrame]:
+    """Archive all raw feeds as Parquet and give them back from there, so that gzip text is parsed once.
+
+    With ``settlement_after`` only settlement files dated after that day are taken.
+    """
     for feed, df in raw.items():
+        if feed == "settlement" and settlement_after is not None:
+            df = after_start(df, settlement_after, "file_dt")
         archive_feed(df, path, feed)
     return {feed: read_archive(spark, path, feed) for feed in raw}
 
@@ -83,6 +97,18 @@ def _build(
     return spark.read.schema(df.schema).parquet(f"{scratch}/{table}")
 
 
+def _publish_all(spark: SparkSession, built: dict[str, DataFrame], out: str, rows_per_file: int) -> dict[str, str]:
+    """Publish the tables side by side, so that one table's last tasks do not leave the cluster idle."""
+    # a row's place in its scratch file is the same whenever it is read and spreads identical rows
+    spread = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+
+    def one(table: str) -> str:
+        return publish(built[table], out, table, rows_per_file=rows_per_file, spread=spread)
+
+    with ThreadPoolExecutor(max_workers=len(built)) as pool:
+        return dict(zip(built, pool.map(inheritable_thread_target(spark)(one), built)))
+
+
 def run(
     spark: SparkSession, raw: dict[str, DataFrame], out: str, *, audit_path: str, brand: str, schedule: str, as_of: str,
     dates: str | None = None, tables: tuple[str, ...] = GOLD_TABLES, rows_per_file: int = ROWS_PER_FILE,
@@ -98,40 +124,42 @@ def run(
     if dates is not None:
         # settlement files are not dated like the feeds: a day's settlement may come in a later file
         feeds = {n: df if n == "settlement" else df.filter(in_date_spec(dates)) for n, df in feeds.items()}
-    if "tenders" in tables:
-        feeds = _prune_settlement(feeds)
-
     scratch = scratch_dir(spark, f"gold-{brand}-{schedule}")
     built: dict[str, DataFrame] = {}
     checked: list[tuple] = []
     staged_rows: dict[str, int] = {}
-    failure = None
-    for table in tables:
-        started = _now()
-        try:
-            staged_rows = staged_rows or _staging_counts(feeds, tables)
-            built[table] = _build(spark, feeds, table, built, scratch, strict_contract)
-            measured = quality.gold_side(table, built[table]).withColumn("source_count", F.lit(staged_rows[table]))
-            row = tuple(quality.evaluate(measured).first())
-        except Exception as error:  # a crash is audited like a failed check, then raised
-            failure = error
-            row = (table, staged_rows.get(table), None, None, None, None, None, str(error)[:_MAX_REASON], quality.FAILURE)
-        checked.append((*row, started, _now()))
-        if row[-1] == quality.FAILURE:
-            break
-
-    log = spark.createDataFrame(checked, f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
-    audit = quality.audit_rows(
-        log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
-        start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
-    )
-    write_audit(audit, audit_path)
-    table, reason, result = checked[-1][0], checked[-1][7], checked[-1][8]
-    if result == quality.FAILURE:
-        raise GateFailure(table, reason, audit) from failure
-
-    # a row's place in its scratch file is the same whenever it is read and spreads identical rows
-    spread = F.xxhash64("_metadata.file_name", "_metadata.row_index")
-    return RunResult(audit, {
-        table: publish(df, out, table, rows_per_file=rows_per_file, spread=spread) for table, df in built.items()
-    })
+    by_date: list[Row] = []
+    crash = None
+    try:
+        for table in tables:
+            started = _now()
+            try:
+                staged_rows = staged_rows or _staging_counts(feeds, tables)
+                if table == "tenders":
+                    feeds = _prune_settlement(feeds)
+                built[table] = _build(spark, feeds, table, built, scratch, strict_contract)
+                measured = quality.gold_side(table, built[table]).withColumn("source_count", F.lit(staged_rows[table]))
+                row = tuple(quality.evaluate(measured).first())
+                if row[-1] == quality.FAILURE:
+                    both = quality.counts_by_date(built[table], feeds[STAGING_OF[table]])
+                    by_date = both.filter("difference <> 0").orderBy("dt").collect()
+            except Exception as error:  # a crash is audited like a failed check, then raised
+                crash = error
+                reason = str(error)[:_MAX_REASON]
+                row = (table, staged_rows.get(table), None, None, None, None, None, reason, quality.FAILURE)
+            checked.append((*row, started, _now()))
+            if row[-1] == quality.FAILURE:
+                break
+
+        log = spark.createDataFrame(checked, f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
+        write_audit(quality.audit_rows(
+            log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
+            start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
+        ), audit_path)
+        table, reason, result = checked[-1][0], checked[-1][7], checked[-1][8]
+        if result == quality.FAILURE:
+            raise GateFailure(table, reason, by_date) from crash
+        published = _publish_all(spark, built, out, rows_per_file)
+        return RunResult({c[0]: c[8] for c in checked}, published)
+    finally:
+        drop_scratch(spark, scratch)

@@ -49,3 +49,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             _local_scratch.append(tempfile.TemporaryDirectory(prefix="retailgold-"))
         root = _local_scratch[0].name
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_dir`` named."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

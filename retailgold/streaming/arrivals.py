@@ -39,9 +39,9 @@ def stream_arrivals(notifications: DataFrame, out: str, checkpoint: str, routes:
 
 
 def _append(rows: DataFrame, path: str, batch_id: int, by: list[str]) -> None:
-    """Write a batch's rows into the partitions of its own number, so that a replayed batch replaces itself."""
+    """Write a batch's rows into the partitions of its own number, so that a replayed batch replaces itself; one file per date."""
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+        rows.repartition("dt").withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     )
 
@@ -55,13 +55,14 @@ def update_ledger(batch: DataFrame, batch_id: int, ledger: str, settlement_dates
     spark = batch.sparkSession
     seen = (
         arrivals.route(batch, routes).filter(F.col("dt").isNotNull() & F.col("schedule").isNotNull())
-        .select("brand", "schedule", "place", "feed", "dt").distinct()
+        .select("brand", "schedule", "place", "feed", "dt").distinct().persist()
     )
+    touched = [r["dt"] for r in seen.select("dt").distinct().collect()]
     _append(seen, ledger, batch_id, ["dt", "batch_id"])
-    entries = spark.read.schema(_LEDGER).parquet(ledger)
-    touched = [r["dt"] for r in entries.filter(F.col("batch_id") == batch_id).select("dt").distinct().collect()]
-    known = entries.filter(F.col("dt").isin(touched) & (F.col("batch_id") <= batch_id))
-    return arrivals.ready(known, settlement_dates)
+    seen.unpersist()
+    known = spark.read.schema(_LEDGER).option("basePath", ledger).parquet(*[f"{ledger}/dt={d}" for d in touched] or [ledger])
+    # a replayed batch must not see what came after it
+    return arrivals.ready(known.filter(F.col("batch_id") <= batch_id), settlement_dates)
 
 
 def stream_completeness(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from retailgold.operators.arrivals import Routes
-from retailgold.plans.run import run
+from retailgold.plans.gold_run import run
 from retailgold.schemas import GOLD_TABLES
 from retailgold.streaming.arrivals import _start, update_ledger
 

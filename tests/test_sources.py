@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import gzip
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from retailgold.schemas import conform, feed_layout
+from retailgold.sources import create_external_table, list_files, read_feed, read_settlement, run_sql
+
+
+def put(folder, name, text, packed=True):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(gzip.compress(text.encode()) if packed else text.encode())
+
+
+HEADER = "discountcode|discountdescription|discounttype\n"
+
+
+@pytest.fixture
+def landing(tmp_path):
+    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", HEADER + 'A|\\N|x\nB||""\nC|"a|b"|"q""q"\n')
+    put(tmp_path / "discounts" / "dt=20200102", "b.psv.gz", HEADER + "A|later|x\n")
+    return str(tmp_path)
+
+
+def test_feed_scan(spark, landing):
+    for declared in (True, False):
+        df = read_feed(spark, landing, "discounts", declared=declared)
+        assert [f.dataType.simpleString() for f in df.schema] == ["string", "string", "string", "int"]
+        assert rows(df) == [
+            ("A", None, "x", 20200101), ("A", "later", "x", 20200102), ("B", None, "", 20200101),
+            ("C", "a|b", 'q"q', 20200101),
+        ]
+
+
+def test_older_quote_reading(spark, landing):
+    df = read_feed(spark, landing, "discounts", escape="\\")
+    assert df.filter("discountcode = 'C'").first().discounttype == '"q""q"'
+
+
+def test_unknown_columns_pass_by_header(spark, tmp_path):
+    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|new\nA|n\n")
+    df = read_feed(spark, str(tmp_path), "discounts", declared=False)
+    assert rows(df) == [("A", "n", 20200101)] and df.columns == ["discountcode", "new", "dt"]
+
+
+def test_strict_header(spark, tmp_path):
+    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|other|discounttype\nA|n|x\n")
+    assert read_feed(spark, str(tmp_path), "discounts").count() == 1
+    with pytest.raises(Exception, match="header"):
+        read_feed(spark, str(tmp_path), "discounts", strict_header=True).collect()
+
+
+def test_date_filter_prunes_folders(spark, landing):
+    plan = read_feed(spark, landing, "discounts").filter(F.col("dt") == 20200102)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in text and "(dt#" in text
+    assert plan.count() == 1
+
+
+def test_settlement_glob(spark, tmp_path):
+    head = ",".join(feed_layout("settlement").names) + "\n"
+    put(tmp_path, "SETTLE_5_20200102.csv", head + "1,t,s,h,Ann,m,a,p,10.5,7\n", packed=False)
+    put(tmp_path, "SETTLE_5_20200103.csv", head + "2,t,s,h,\\N,m,a,p,1,7\n", packed=False)
+    put(tmp_path, "OTHER_20200103.csv", head + "3,t,s,h,No,m,a,p,1,7\n", packed=False)
+    df = read_settlement(spark, f"{tmp_path}/SETTLE_*")
+    assert rows(df, "store_id", "customer_name", "file_dt") == [("1", "Ann", 20200102), ("2", None, 20200103)]
+
+
+def test_listing_reads_no_contents(spark, landing):
+    files = list_files(spark, f"{landing}/discounts")
+    assert [r[0] for r in rows(files, "name")] == ["a.psv.gz", "b.psv.gz"]
+    assert rows(list_files(spark, f"{landing}/discounts", "b."), "name") == [("b.psv.gz",)]
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_surface(spark, landing):
+    feeds = {"discounts": read_feed(spark, landing, "discounts")}
+    assert rows(run_sql(spark, feeds, "select DT, count(*) n from pos_discounts group by dt")) == [
+        (20200101, 3), (20200102, 1)
+    ]
+
+
+def test_external_table(spark, landing):
+    spark.sql("drop table if exists t_discounts")
+    df = create_external_table(spark, "t_discounts", f"{landing}/discounts", "discounts", kind="staging")
+    assert df.count() == 4 and df.filter("dt = 20200102").count() == 1
+    spark.sql("drop table t_discounts")
+    with pytest.raises(ValueError):
+        create_external_table(spark, "t_none", landing, "settlement")
+
+
+def test_conform(spark, feed):
+    df = feed("product_category", [dict(SourceCategoryNumber="1", dt=1)]).withColumn("partition_col", F.lit(1))
+    out = conform(df.withColumn("extra", F.lit("x")).withColumnRenamed("Name", "NAME"), "product_category")
+    assert out.columns == [
+        "SourceCategoryNumber", "Name", "SourceParentCategoryNumber", "DateCreated", "CustomAttributes", "dt",
+        "partition_col",
+    ]
+    with pytest.raises(ValueError, match="Name"):
+        conform(df.drop("Name"), "product_category")
