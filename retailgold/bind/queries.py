@@ -20,7 +20,7 @@ from retailgold.plans import GateFailure, run, stage_feeds
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
 from retailgold.session import configure, scratch_dir
 from retailgold.sinks import (
-    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_archive, read_audit, write_audit,
+    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, write_audit,
     write_gold,
 )
 from retailgold.sources import create_external_table, read_feed, read_gold, read_settlement, run_sql
@@ -437,9 +437,10 @@ def archive_feed_(spark, sf):
     path = scratch_dir(spark, "archive")
     raw = star.raw_feeds(spark, sf, "tenders")
     raw["settlement"] = star.settlement_files(spark, sf)
-    for feed, df in raw.items():
-        archive_feed(df.repartition("file_dt" if feed == "settlement" else "dt"), path, feed)
-    stored = {f: read_archive(spark, path, f) for f in raw}
+    stored = {
+        feed: archive_feed(df.repartition("file_dt" if feed == "settlement" else "dt"), path, feed)
+        for feed, df in raw.items()
+    }
     return stored["tenders"].select(
         F.lit("tenders").alias("feed"), F.col("dt").cast("string").alias("part"),
         F.col("accountnumbermasked").alias("card"), F.col("tenderamt").alias("amount"),
@@ -452,8 +453,8 @@ def archive_feed_(spark, sf):
 @query
 def carry_over_dimensions_(spark, sf):
     path = scratch_dir(spark, "weekly")
-    carry_over_dimensions(star.raw_feeds(spark, sf, *DIMENSIONS), path)
-    return _tagged({f: read_archive(spark, path, f).select("Name", "dt") for f in DIMENSIONS}, "feed")
+    staged = carry_over_dimensions(star.raw_feeds(spark, sf, *DIMENSIONS), path)
+    return _tagged({f: df.select("Name", "dt") for f, df in staged.items()}, "feed")
 
 
 # --- data quality ------------------------------------------------------------------------------------------------------
@@ -554,7 +555,7 @@ def run_daily(spark, sf):
         write_feed_files(df, f"{base}/landing", feed)
         arrived[feed] = read_feed(spark, f"{base}/landing", feed)
     arrived["settlement"] = star.settlement_files(spark, sf).repartition("file_dt")
-    raw = stage_feeds(spark, arrived, f"{base}/archive")
+    raw = stage_feeds(arrived, f"{base}/archive")
     run(spark, raw, f"{base}/gold", audit_path=f"{base}/audit", brand="brand_a", schedule="daily", as_of=AS_OF)
     return _tagged({t: quality.counts_per_date(read_gold(spark, f"{base}/gold", t)) for t in GOLD_TABLES}, "entity_type")
 

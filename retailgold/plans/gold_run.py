@@ -22,7 +22,7 @@ from retailgold.operators.selection import after_start, in_date_spec
 from retailgold.operators.typed import type_feeds
 from retailgold.schemas import GOLD_TABLES, STAGING_OF, conform
 from retailgold.session import drop_scratch, scratch_dir
-from retailgold.sinks import archive_feed, publish, read_archive, write_audit
+from retailgold.sinks import archive_feed, publish, write_audit
 from retailgold.sinks.gold_files import ROWS_PER_FILE
 
 
@@ -49,17 +49,15 @@ class RunResult:
 
 
 def stage_feeds(
-    spark: SparkSession, raw: dict[str, DataFrame], path: str, *, settlement_after: str | None = None,
+    raw: dict[str, DataFrame], path: str, *, settlement_after: str | None = None,
 ) -> dict[str, DataFrame]:
     """Archive all raw feeds as Parquet and give them back from there, so that gzip text is parsed once.
 
     With ``settlement_after`` only settlement files dated after that day are taken.
     """
-    for feed, df in raw.items():
-        if feed == "settlement" and settlement_after is not None:
-            df = after_start(df, settlement_after, "file_dt")
-        archive_feed(df, path, feed)
-    return {feed: read_archive(spark, path, feed) for feed in raw}
+    if settlement_after is not None:
+        raw = {**raw, "settlement": after_start(raw["settlement"], settlement_after, "file_dt")}
+    return {feed: archive_feed(df, path, feed) for feed, df in raw.items()}
 
 
 def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -1,8 +1,8 @@
-from retailgold.sinks.archive import archive_feed, carry_over_dimensions, read_archive
+from retailgold.sinks.archive import archive_feed, carry_over_dimensions
 from retailgold.sinks.audit import read_audit, write_audit
 from retailgold.sinks.gold_files import gold_manifest, publish, published_files, write_gold
 
 __all__ = [
-    "archive_feed", "carry_over_dimensions", "read_archive", "read_audit", "write_audit",
+    "archive_feed", "carry_over_dimensions", "read_audit", "write_audit",
     "gold_manifest", "publish", "published_files", "write_gold",
 ]

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailgold.functions import settlement_date
 from retailgold.schemas import DIMENSIONS
 
 
-def archive_feed(df: DataFrame, path: str, feed: str) -> str:
-    """Land a raw feed as Parquet by date; dates that come again replace themselves, others stay.
+def archive_feed(df: DataFrame, path: str, feed: str) -> DataFrame:
+    """Land a raw feed as Parquet by date and give back the feed's whole archive.
 
-    No shuffle: a staged file holds one date, so a scan task writes few dates.  A settlement file is known by the date in its
-    name (``file_dt``) and may hold several transaction days, so it is archived by file date with the day as a column: a run's day
-    range then skips row groups, and landing a file again replaces that file only.
+    Dates that come again replace themselves, others stay.  No shuffle: a staged file holds one date, so a scan task writes few
+    dates.  A settlement file is known by the date in its name (``file_dt``) and may hold several transaction days, so it is
+    archived by file date with the day as a column: a run's day range then skips row groups, and landing a file again
+    replaces that file only.
     """
     partition = "dt"
     if feed == "settlement":
@@ -22,13 +23,9 @@ def archive_feed(df: DataFrame, path: str, feed: str) -> str:
         df = df.withColumn("settlement_day", settlement_date(F.col("store_transaction_date_time")))
     target = f"{path}/{feed}"
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
-    return target
+    return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
-def read_archive(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{feed}")
-
-
-def carry_over_dimensions(feeds: dict[str, DataFrame], path: str) -> list[str]:
+def carry_over_dimensions(feeds: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
     """Stage a daily run's dimensions, with their dates, for the weekly run."""
-    return [archive_feed(feeds[feed], path, feed) for feed in DIMENSIONS]
+    return {feed: archive_feed(feeds[feed], path, feed) for feed in DIMENSIONS}

@@ -154,8 +154,9 @@ def test_hot_transaction_is_split(feed, split_early):
     assert "skew=true" in final_plan(out)
 
 
-def test_tenders_without_card_spread(feed, split_early):
+def test_tenders_without_card_spread(feed, split_early, conf):
     """A third of all tenders is cash of one store, day and amount: the outer join gets them in all partitions."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     n = 3000
     feeds = typed(
         feed,

@@ -73,7 +73,7 @@ def test_audit_row(spark):
         evaluated, brand="brand_a", ingestion_date="2020-01-02", source="in", destination="out",
         start=F.lit("2020-01-02 00:00:00"), end=F.lit("2020-01-02 00:01:00"), notes={"SCHEDULE": "daily"},
     )
-    assert out.schema == AUDIT_LAYOUT
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in AUDIT_LAYOUT]
     row = out.first()
     assert row[:9] == ("brand_a", "transformer", "pos", "2020-01-02", "transactions", 2, 1, "in", "out")
     assert json.loads(row.EVENT_NOTES) == {
