@@ -1,7 +1,8 @@
 """The seven gold tables: typed feeds in, one DataFrame out.
 
-Join strategies are left to Spark.  A dimension is broadcast only where Spark's own size check allows it; the large joins
-are hash-partitioned on their full keys and AQE splits a hot key's partition (``session.SETTINGS``).
+Dimension joins are left to Spark, which broadcasts a side only below its own size limit.  Joins between two growing feeds ask
+for sort-merge: a size estimate from compressed files would broadcast a side many times its estimate (measured slower
+already at 150,000 rows), and AQE can split a hot key's partition of a sort-merge join (``session.SETTINGS``).
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def _transaction_side(feeds: Feeds, *extra: str) -> DataFrame:
         F.col("dt").alias("tx_dt"), F.col("sourcetransactionnumber").alias("tx_number"),
         F.col("SourceOrganizationNumber").alias("tx_store"), F.col("DateCreated").alias("tx_day"),
         *[F.col(c).alias(f"tx_{c}") for c in carried],
-    )
+    ).hint("merge")
 
 
 def _same_transaction(alias: str, day: str) -> Column:
@@ -147,7 +148,7 @@ def tenders(feeds: Feeds) -> DataFrame:
         F.col("approved_amount").alias("s_amount"), lenient_int(F.col("pos_register_number")).alias("s_register"),
         card_prefix(F.col("masked_card_number")).alias("s_prefix"),
         card_suffix(F.col("masked_card_number")).alias("s_suffix"),
-    )
+    ).hint("merge")
     joined = left.join(
         right,
         (F.col("sourceorganizationnumber") == F.col("s_store"))
@@ -175,6 +176,7 @@ def xref_items(feeds: Feeds, items: DataFrame | None = None) -> DataFrame:
     items = feeds["transaction_item"] if items is None else items
     carried = [c for c in items.columns if c.lower() not in ("dt", "partition_col")]
     item_side = items.select(F.col("dt").alias("i_dt"), *[F.col(c).alias(f"i_{c.lower()}") for c in carried])
+    item_side = item_side.hint("merge")
     return feeds["trans_disc_xref"].alias("x").join(
         item_side,
         (F.col("x.dt") == F.col("i_dt"))
