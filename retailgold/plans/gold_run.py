@@ -20,10 +20,11 @@ from retailgold.functions import settlement_date
 from retailgold.operators import gold, quality
 from retailgold.operators.selection import after_start, in_date_spec
 from retailgold.operators.typed import type_feeds
-from retailgold.schemas import GOLD_TABLES, STAGING_OF, conform
+from retailgold.schemas import GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
 from retailgold.session import drop_scratch, scratch_dir
 from retailgold.sinks import archive_feed, publish, write_audit
 from retailgold.sinks.gold_files import ROWS_PER_FILE
+from retailgold.sources import read_feed, read_settlement
 
 
 _MAX_REASON = 100_000
@@ -53,7 +54,8 @@ def stage_feeds(
 ) -> dict[str, DataFrame]:
     """Archive all raw feeds as Parquet and give them back from there, so that gzip text is parsed once.
 
-    With ``settlement_after`` only settlement files dated after that day are taken.
+    An archive holds earlier dates too: ``run(dates=...)`` picks those to build.  With ``settlement_after`` only settlement
+    files dated after that day are taken.
     """
     if settlement_after is not None:
         raw = {**raw, "settlement": after_start(raw["settlement"], settlement_after, "file_dt")}
@@ -90,7 +92,8 @@ def _build(
         df = gold.discounts(feeds, line_items=built["transaction_item"])
     else:
         df = gold.BUILDERS[table](feeds)
-    df = conform(df, table) if strict else df
+    contract = conform(df, table)  # also fails on a missing column
+    df = contract if strict else df
     df.write.mode("overwrite").parquet(f"{scratch}/{table}")
     return spark.read.schema(df.schema).parquet(f"{scratch}/{table}")
 
@@ -161,3 +164,17 @@ def run(
         return RunResult({c[0]: c[8] for c in checked}, published)
     finally:
         drop_scratch(spark, scratch)
+
+
+def run_paths(
+    spark: SparkSession, staging: str, settlement: str | list[str], archive: str, out: str, *, dates: str,
+    settlement_after: str | None = None, **options,
+) -> RunResult:
+    """``run`` over feed files: ``staging/<feed>/dt=<date>/`` and settlement files by glob, landed in ``archive`` first.
+
+    Only the folders of ``dates`` are read.  ``options`` are those of ``run``.
+    """
+    raw = {feed: read_feed(spark, staging, feed).filter(in_date_spec(dates)) for feed in POS_FEEDS}
+    raw["settlement"] = read_settlement(spark, settlement)
+    staged = stage_feeds(raw, archive, settlement_after=settlement_after)
+    return run(spark, staged, out, dates=dates, **options)

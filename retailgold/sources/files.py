@@ -12,38 +12,41 @@ from retailgold.schemas import feed_layout, gold_layout
 NULL_TEXT = "\\N"
 
 
-def _scan(spark: SparkSession, path, sep: str, schema: T.StructType | None, quote_escape: str, strict_header: bool):
+def _scan(spark: SparkSession, path, sep: str, schema: T.StructType | None, quote_escape: str = '"') -> DataFrame:
+    """Without a schema the first file's header names the columns.  With one, a file with another header is an error."""
     reader = (
         spark.read.option("sep", sep).option("header", True).option("nullValue", NULL_TEXT)
-        .option("escape", quote_escape).option("enforceSchema", not strict_header)
+        .option("escape", quote_escape)
     )
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
 
-def read_feed(
-    spark: SparkSession, path: str, feed: str, *, declared: bool = True, escape: str = '"', strict_header: bool = False,
-) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, feed: str, *, declared: bool = False, escape: str = '"') -> DataFrame:
     """One pipe-delimited feed below ``path/feed``, all columns text, plus ``dt`` from the ``dt=`` directories.
 
-    With ``declared`` the documented layout is used, so no job has to look at a header.  Without it the first file's
-    header names the columns and unknown new columns pass through.  ``strict_header`` compares every file's header
-    with the layout and fails on a difference.  ``escape='\\\\'`` reads quotes the way older runs did.
+    The header names the columns, so new ones pass through; only the first line of one file is read for that.  With
+    ``declared`` the documented layout is used instead and every file's header is compared with it.  ``escape='\\'`` reads quotes
+    the way older runs did.
     """
-    schema = feed_layout(feed) if declared else None
-    return _scan(spark, f"{path}/{feed}", "|", schema, escape, strict_header)
+    return _scan(spark, f"{path}/{feed}", "|", feed_layout(feed) if declared else None, escape)
 
 
-def read_settlement(spark: SparkSession, paths: str | list[str], *, declared: bool = True) -> DataFrame:
+def read_settlement(spark: SparkSession, paths: str | list[str], *, declared: bool = False) -> DataFrame:
     """All comma-delimited settlement files that a glob (or several) names, with the date in the file name as ``file_dt``."""
-    rows = _scan(spark, paths, ",", feed_layout("settlement") if declared else None, '"', False)
+    rows = _scan(spark, paths, ",", feed_layout("settlement") if declared else None)
     return rows.withColumn("file_dt", date_from_name(F.col("_metadata.file_name")).try_cast("int"))
 
 
 def read_gold(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Written gold files with ``partition_col`` from their directories, typed by the contract."""
-    return _scan(spark, f"{path}/{table}", "|", gold_layout(table), '"', False)
+    """Written gold files with ``partition_col`` from their directories; the contract's columns are typed."""
+    types = {f.name.lower(): f.dataType for f in gold_layout(table)}
+    rows = _scan(spark, f"{path}/{table}", "|", None)
+    return rows.select(*[
+        F.col(f"`{c}`").try_cast(types[c.lower()]).alias(c) if c.lower() in types else F.col(f"`{c}`")
+        for c in rows.columns
+    ])
 
 
 def list_files(spark: SparkSession, path: str | list[str], name_prefix: str | None = None) -> DataFrame:

@@ -9,8 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 from shop import D1, D2, good_feeds, item, paid, tender
 
-from retailgold.plans import GateFailure, run, stage_feeds
-from retailgold.schemas import GOLD_TABLES
+from retailgold.bind.queries import write_feed_files
+from retailgold.plans import GateFailure, run, run_paths, stage_feeds
+from retailgold.schemas import GOLD_TABLES, POS_FEEDS
 from retailgold.sinks import read_audit
 from retailgold.sources import read_gold
 
@@ -133,3 +134,40 @@ def test_scratch_folder_is_gone(spark, feed, tmp_path, monkeypatch):
     monkeypatch.setattr(gold_run, "scratch_dir", lambda s, n: made.append(real(s, n)) or made[-1])
     go(spark, good_feeds(feed), tmp_path)
     assert len(made) == 1 and not os.path.exists(made[0])
+
+
+def test_run_from_files(spark, feed, tmp_path):
+    """Feed files with a column nobody knows, two dates one after the other, settlement from the second file only."""
+    raw = good_feeds(feed)
+    raw["transaction_item"] = raw["transaction_item"].select(
+        "sourcetransactionitemnumber", F.lit("n").alias("brand_new"), *raw["transaction_item"].columns[1:]
+    )
+    for name in POS_FEEDS:
+        write_feed_files(raw[name], f"{tmp_path}/landing", name)
+    folder = tmp_path / "settlement"
+    folder.mkdir()
+    for name, row in (("SETTLE_1_20200102.csv", paid()), ("SETTLE_1_20200103.csv", paid(name="Abe"))):
+        (folder / name).write_text(",".join(row) + "\n" + ",".join(row.values()) + "\n")
+
+    def go_files(dates, schedule="daily"):
+        return run_paths(
+            spark, f"{tmp_path}/landing", f"{folder}/SETTLE_*", f"{tmp_path}/archive", f"{tmp_path}/gold", dates=dates,
+            settlement_after="20200102", audit_path=f"{tmp_path}/audit", brand="brand_a", schedule=schedule,
+            as_of="20200110", tables=("transactions", "tenders", "transaction_item", "discounts"),
+        )
+
+    for dates in (str(D1), str(D2)):
+        go_files(dates)
+    items = read_gold(spark, f"{tmp_path}/gold", "transaction_item")
+    assert rows(items, "sourcetransactionitemnumber", "brand_new", "check_id", "dt") == [
+        ("1-1", "n", "1~55~07", D1), ("2-1", "n", "2~55~07", D1), ("3-1", "n", "3~55~07", D2)
+    ]
+    named = read_gold(spark, f"{tmp_path}/gold", "tenders")
+    assert rows(named, "sourcetransactionnumber", "customer_name") == [("1", "Abe"), ("2", None), ("3", None)]
+
+
+def test_missing_contract_column_fails(spark, feed, tmp_path):
+    raw = good_feeds(feed)
+    raw["organization"] = raw["organization"].drop("City")
+    with pytest.raises(GateFailure, match="City"):
+        go(spark, raw, tmp_path)

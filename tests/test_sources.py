@@ -42,15 +42,15 @@ def test_older_quote_reading(spark, landing):
 
 def test_unknown_columns_pass_by_header(spark, tmp_path):
     put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|new\nA|n\n")
-    df = read_feed(spark, str(tmp_path), "discounts", declared=False)
+    df = read_feed(spark, str(tmp_path), "discounts")
     assert rows(df) == [("A", "n", 20200101)] and df.columns == ["discountcode", "new", "dt"]
 
 
-def test_strict_header(spark, tmp_path):
+def test_declared_layout_compares_headers(spark, tmp_path):
     put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|other|discounttype\nA|n|x\n")
     assert read_feed(spark, str(tmp_path), "discounts").count() == 1
     with pytest.raises(Exception, match="header"):
-        read_feed(spark, str(tmp_path), "discounts", strict_header=True).collect()
+        read_feed(spark, str(tmp_path), "discounts", declared=True).collect()
 
 
 def test_date_filter_prunes_folders(spark, landing):
