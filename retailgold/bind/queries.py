@@ -20,8 +20,8 @@ from retailgold.plans import GateFailure, run, stage_feeds
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
 from retailgold.session import configure, scratch_dir
 from retailgold.sinks import (
-    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, write_audit,
-    write_gold,
+    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, store,
+    write_audit, write_gold,
 )
 from retailgold.sources import create_external_table, read_feed, read_gold, read_settlement, run_sql
 from retailgold.streaming import read_notifications, stream_arrivals, stream_completeness, stream_gold
@@ -61,9 +61,9 @@ def _tagged(parts: dict[str, DataFrame], name: str) -> DataFrame:
 # --- files for the scans ---------------------------------------------------------------------------------------------
 
 def write_feed_files(df: DataFrame, path: str, feed: str) -> None:
-    """A raw feed as it arrives: gzip, pipes, ``\\N`` for NULL, one folder per date."""
+    """A raw feed as it arrives: gzip, pipes, ``\\N`` for NULL, one folder per date (several files for a large one)."""
     (
-        df.repartition("dt").write.partitionBy("dt").option("sep", "|").option("header", True)
+        df.hint("rebalance", "dt").write.partitionBy("dt").option("sep", "|").option("header", True)
         .option("nullValue", "\\N").option("compression", "gzip").csv(f"{path}/{feed}")
     )
 
@@ -96,7 +96,8 @@ def scan_partitioned_dt(spark, sf):
 @query
 def scan_gold_readback(spark, sf):
     path = scratch_dir(spark, "readback")
-    write_gold(gold.line_item(star.feeds(spark, sf, "transactions", "transaction_item")), path, "transaction_item")
+    built = _stored(spark, gold.line_item(star.feeds(spark, sf, "transactions", "transaction_item")))
+    write_gold(built, path, "transaction_item")
     return read_gold(spark, path, "transaction_item")
 
 
@@ -370,14 +371,14 @@ def fn_feed_folder(spark, sf):
 @query
 def sink_gold_psv(spark, sf):
     path = scratch_dir(spark, "sink")
-    write_gold(gold.transactions(star.feeds(spark, sf, "transactions")), path, "transactions")
+    write_gold(_stored(spark, gold.transactions(star.feeds(spark, sf, "transactions"))), path, "transactions")
     return read_gold(spark, path, "transactions")
 
 
 @query
 def sink_one_file_per_dt(spark, sf):
     path = scratch_dir(spark, "sink")
-    write_gold(gold.transactions(star.feeds(spark, sf, "transactions")), path, "transactions")
+    write_gold(_stored(spark, gold.transactions(star.feeds(spark, sf, "transactions"))), path, "transactions")
     files = published_files(spark, path, "transactions", schedule="daily", as_of=AS_OF)
     return files.groupBy("dt").agg(F.count(F.lit(1)).alias("files"))
 
@@ -397,9 +398,7 @@ def gold_file_names(spark, sf):
 
 def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     """A table written to the scratch folder, as a run has it when it publishes."""
-    path = scratch_dir(spark, "built")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df, scratch_dir(spark, "built"))
 
 
 @query
@@ -419,7 +418,7 @@ def rerun_date_idempotent(spark, sf):
     path = scratch_dir(spark, "rerun")
     built = _stored(spark, gold.transactions(star.feeds(spark, sf, "transactions")))
     publish(built, path, "transactions")
-    again = selection.select_dates(built, "19960101:19961231").withColumn("Currency", F.lit("EUR"))
+    again = _stored(spark, selection.select_dates(built, "19960101:19961231").withColumn("Currency", F.lit("EUR")))
     publish(again, path, "transactions")
     publish(again, path, "transactions")
     return read_gold(spark, path, "transactions").select("sourcetransactionnumber", "Currency", "check_id", "dt")
@@ -438,7 +437,7 @@ def archive_feed_(spark, sf):
     raw = star.raw_feeds(spark, sf, "tenders")
     raw["settlement"] = star.settlement_files(spark, sf)
     stored = {
-        feed: archive_feed(df.repartition("file_dt" if feed == "settlement" else "dt"), path, feed)
+        feed: archive_feed(df.hint("rebalance", "file_dt" if feed == "settlement" else "dt"), path, feed)
         for feed, df in raw.items()
     }
     return stored["tenders"].select(
@@ -554,7 +553,7 @@ def run_daily(spark, sf):
     for feed, df in star.raw_feeds(spark, sf, *POS_FEEDS, complete=True).items():
         write_feed_files(df, f"{base}/landing", feed)
         arrived[feed] = read_feed(spark, f"{base}/landing", feed)
-    arrived["settlement"] = star.settlement_files(spark, sf).repartition("file_dt")
+    arrived["settlement"] = star.settlement_files(spark, sf).hint("rebalance", "file_dt")
     raw = stage_feeds(arrived, f"{base}/archive")
     run(spark, raw, f"{base}/gold", audit_path=f"{base}/audit", brand="brand_a", schedule="daily", as_of=AS_OF)
     return _tagged({t: quality.counts_per_date(read_gold(spark, f"{base}/gold", t)) for t in GOLD_TABLES}, "entity_type")
@@ -617,15 +616,17 @@ def select_files_by_date(spark, sf):
 
 # --- streams -----------------------------------------------------------------------------------------------------------
 
-def _notification_files(df: DataFrame, path: str) -> str:
-    df.repartition(3).write.text(path)
-    return path
+def _notification_stream(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Notifications as files, read back as a stream of three batches, each with a file for every task slot."""
+    slots = spark.sparkContext.defaultParallelism
+    df.repartition(3 * slots).write.text(path)
+    return read_notifications(spark, path, slots)
 
 
 @query
 def stream_arrivals_(spark, sf):
     base = scratch_dir(spark, "stream")
-    source = read_notifications(spark, _notification_files(star.notifications(spark, sf), f"{base}/in"), 1)
+    source = _notification_stream(spark, star.notifications(spark, sf), f"{base}/in")
     stream_arrivals(source, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("key", "size", "brand", "schedule", "place", "feed", "dt")
 
@@ -633,7 +634,7 @@ def stream_arrivals_(spark, sf):
 @query
 def stream_ready_dates(spark, sf):
     base = scratch_dir(spark, "stream")
-    source = read_notifications(spark, _notification_files(star.notifications(spark, sf), f"{base}/in"), 1)
+    source = _notification_stream(spark, star.notifications(spark, sf), f"{base}/in")
     stream_completeness(
         source, star.settlement_dates(spark, sf), f"{base}/ledger", f"{base}/ready", f"{base}/checkpoint"
     ).awaitTermination()
@@ -643,7 +644,7 @@ def stream_ready_dates(spark, sf):
 @query
 def stream_gold_line_item(spark, sf):
     base = scratch_dir(spark, "stream")
-    source = read_notifications(spark, _notification_files(star.order_notifications(spark, sf), f"{base}/in"), 1)
+    source = _notification_stream(spark, star.order_notifications(spark, sf), f"{base}/in")
     feeds = star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True)
     stream_gold(
         source, lambda brand, schedule: feeds, star.order_settlement_dates(spark, sf), ledger=f"{base}/ledger",

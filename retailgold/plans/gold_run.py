@@ -22,7 +22,7 @@ from retailgold.operators.selection import after_start, in_date_spec
 from retailgold.operators.typed import type_feeds
 from retailgold.schemas import GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
 from retailgold.session import drop_scratch, scratch_dir
-from retailgold.sinks import archive_feed, publish, write_audit
+from retailgold.sinks import archive_feed, publish, store, write_audit
 from retailgold.sinks.gold_files import ROWS_PER_FILE
 from retailgold.sources import read_feed, read_settlement
 
@@ -85,7 +85,7 @@ def _now() -> datetime:
 
 
 def _build(
-    spark: SparkSession, feeds: dict[str, DataFrame], table: str, built: dict[str, DataFrame], scratch: str, strict: bool,
+    feeds: dict[str, DataFrame], table: str, built: dict[str, DataFrame], scratch: str, strict: bool,
 ) -> DataFrame:
     """Build one table into the scratch folder and give it back from there."""
     if table == "discounts" and "transaction_item" in built:
@@ -94,17 +94,13 @@ def _build(
         df = gold.BUILDERS[table](feeds)
     contract = conform(df, table)  # also fails on a missing column
     df = contract if strict else df
-    df.write.mode("overwrite").parquet(f"{scratch}/{table}")
-    return spark.read.schema(df.schema).parquet(f"{scratch}/{table}")
+    return store(df, f"{scratch}/{table}")
 
 
 def _publish_all(spark: SparkSession, built: dict[str, DataFrame], out: str, rows_per_file: int) -> dict[str, str]:
     """Publish the tables side by side, so that one table's last tasks do not leave the cluster idle."""
-    # a row's place in its scratch file is the same whenever it is read and spreads identical rows
-    spread = F.xxhash64("_metadata.file_name", "_metadata.row_index")
-
     def one(table: str) -> str:
-        return publish(built[table], out, table, rows_per_file=rows_per_file, spread=spread)
+        return publish(built[table], out, table, rows_per_file=rows_per_file)
 
     with ThreadPoolExecutor(max_workers=len(built)) as pool:
         return dict(zip(built, pool.map(inheritable_thread_target(spark)(one), built)))
@@ -138,7 +134,7 @@ def run(
                 staged_rows = staged_rows or _staging_counts(feeds, tables)
                 if table == "tenders":
                     feeds = _prune_settlement(feeds)
-                built[table] = _build(spark, feeds, table, built, scratch, strict_contract)
+                built[table] = _build(feeds, table, built, scratch, strict_contract)
                 measured = quality.gold_side(table, built[table]).withColumn("source_count", F.lit(staged_rows[table]))
                 row = tuple(quality.evaluate(measured).first())
                 if row[-1] == quality.FAILURE:

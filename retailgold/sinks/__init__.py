@@ -1,8 +1,8 @@
 from retailgold.sinks.archive import archive_feed, carry_over_dimensions
 from retailgold.sinks.audit import read_audit, write_audit
-from retailgold.sinks.gold_files import gold_manifest, publish, published_files, write_gold
+from retailgold.sinks.gold_files import gold_manifest, publish, published_files, store, write_gold
 
 __all__ = [
     "archive_feed", "carry_over_dimensions", "read_audit", "write_audit",
-    "gold_manifest", "publish", "published_files", "write_gold",
+    "gold_manifest", "publish", "published_files", "store", "write_gold",
 ]

@@ -16,49 +16,47 @@ FILE_OPTIONS = {"sep": "|", "header": "true", "compression": "gzip", "quote": '"
 ROWS_PER_FILE = 5_000_000
 
 
-def by_date(df: DataFrame, rows_per_file: int = ROWS_PER_FILE, spread: Column | None = None) -> DataFrame:
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a built table as Parquet and give it back as a scan; what ``write_gold`` and ``publish`` take."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def by_date(stored: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Shuffle a date to one task, or to ``ceil(rows / rows_per_file)`` tasks where it is larger.
 
-    The date counts are pre-aggregated and hold one row per calendar day, which bounds the broadcast.  ``spread`` must be the
-    same whenever a row is computed again; the default hashes the whole row.  ``df`` is read twice, so it should be a
-    scan, not a join.
+    ``stored`` is a Parquet scan.  It is read twice, the first time for its date column only.  The date counts are pre-aggregated
+    and hold one row per calendar day, which bounds the broadcast.  A row's part comes from its place in its file: that is the
+    same whenever a task runs again, and spreads also identical rows.
     """
-    sizes = df.groupBy("partition_col").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_parts"))
+    sizes = stored.groupBy("partition_col").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_parts"))
     sizes = F.broadcast(sizes.select(F.col("partition_col").alias("_date"), "_parts"))
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if spread is None else spread
     return (
-        df.withColumn("_spread", spread)
+        stored.withColumn("_place", F.xxhash64("_metadata.file_name", "_metadata.row_index"))
         .join(sizes, F.col("partition_col").eqNullSafe(F.col("_date")))
-        .withColumn("_part", F.pmod("_spread", "_parts"))
+        .withColumn("_part", F.pmod("_place", "_parts"))
         .repartition("partition_col", "_part")
-        .drop("_date", "_parts", "_part", "_spread")
+        .drop("_date", "_parts", "_part", "_place")
     )
 
 
-def _write(df: DataFrame, path: str, mode: str, rows_per_file: int) -> None:
+def _write(stored: DataFrame, path: str, mode: str, rows_per_file: int) -> str:
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        by_date(stored, rows_per_file).write.mode("overwrite").option("partitionOverwriteMode", mode)
         .option("maxRecordsPerFile", rows_per_file).options(**FILE_OPTIONS)
         .partitionBy("partition_col").csv(path)
     )
+    return path
 
 
-def write_gold(
-    df: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE, spread: Column | None = None,
-) -> str:
+def write_gold(stored: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE) -> str:
     """Write a whole table's files, replacing what is there."""
-    target = f"{path}/{table}"
-    _write(by_date(df, rows_per_file, spread), target, "static", rows_per_file)
-    return target
-
-
-def publish(
-    df: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE, spread: Column | None = None,
-) -> str:
-    """Write the dates in ``df`` and leave every other date of the table as it is."""
-    target = f"{path}/{table}"
-    _write(by_date(df, rows_per_file, spread), target, "dynamic", rows_per_file)
-    return target
+    return _write(stored, f"{path}/{table}", "static", rows_per_file)
+
+
+def publish(stored: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """Write the dates in ``stored`` and leave every other date of the table as it is."""
+    return _write(stored, f"{path}/{table}", "dynamic", rows_per_file)
 
 
 def _published_name(table: str, dt: Column, schedule: str, as_of: str, part: Column, prefix: str) -> Column:

@@ -58,10 +58,11 @@ def update_ledger(batch: DataFrame, batch_id: int, ledger: str, settlement_dates
         .select("brand", "schedule", "place", "feed", "dt").distinct().persist()
     )
     touched = [r["dt"] for r in seen.select("dt").distinct().collect()]
+    if touched:
+        _append(seen, ledger, batch_id, ["dt", "batch_id"])
+    seen.unpersist()
     if not touched:
         return arrivals.ready(seen, settlement_dates)
-    _append(seen, ledger, batch_id, ["dt", "batch_id"])
-    seen.unpersist()
     known = spark.read.schema(_LEDGER).option("basePath", ledger).parquet(*[f"{ledger}/dt={d}" for d in touched])
     # a replayed batch must not see what came after it
     return arrivals.ready(known.filter(F.col("batch_id") <= batch_id), settlement_dates)

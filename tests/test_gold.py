@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -134,6 +135,8 @@ def split_early(conf):
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8KB")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8KB")
+    # small stages keep several map outputs, which is what a hot partition is split along
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
 
 
 def final_plan(df):
@@ -154,9 +157,40 @@ def test_hot_transaction_is_split(feed, split_early):
     assert "skew=true" in final_plan(out)
 
 
-def test_tenders_without_card_spread(feed, split_early, conf):
+def test_hot_card_is_split(feed, split_early):
+    """A third of the tenders has one store, day, amount and card, all in the settlement file."""
+    n = 6000
+    cards = [0 if i % 3 == 0 else i for i in range(n)]
+    feeds = typed(
+        feed, transactions=[transaction(str(i)) for i in range(n)],
+        tenders=[tender(str(i), amount="5", card=f"411111xxxxxx{c:04d}", tendercode=f"code {i}") for i, c in enumerate(cards)],
+        settlement=[paid(card=f"411111xxxxxx{c:04d}", amount="5", name=f"n{c}") for c in set(cards)],
+    )
+    out = gold.tenders(feeds)
+    assert {r.sourcetransactionnumber: r.customer_name for r in out.collect()} == {
+        str(i): f"n{c}" for i, c in enumerate(cards)
+    }
+    assert re.search(r"SortMergeJoin\(skew=true\).*LeftOuter", final_plan(out))
+
+
+def test_hot_item_is_split(feed, split_early):
+    """A third of the discount references names one item."""
+    numbers = ["i0" if i % 3 == 0 else f"i{i}" for i in range(6000)]
+    feeds = typed(
+        feed, transactions=[transaction("1")], transaction_item=[item("1", n) for n in sorted(set(numbers))],
+        trans_disc_xref=[
+            dict(SourceTransactionItemNumber=n, DiscountCode="A", DiscountAmt=str(i), dt=D1) for i, n in enumerate(numbers)
+        ],
+        discounts=[dict(discountcode="A", discountdescription="one", discounttype="PCT", dt=D1)],
+    )
+    out = gold.discounts(feeds)
+    got = Counter((r.SourceTransactionItemNumber, r.DiscountAmt) for r in out.collect())
+    assert got == Counter((n, str(i)) for i, n in enumerate(numbers))
+    assert "skew=true" in final_plan(out)
+
+
+def test_tenders_without_card_spread(feed, split_early):
     """A third of all tenders is cash of one store, day and amount: the outer join gets them in all partitions."""
-    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     n = 3000
     feeds = typed(
         feed,

@@ -15,6 +15,7 @@ from retailgold.operators.typed import type_feeds
 from retailgold.plans import stage_feeds
 from retailgold.plans.gold_run import _prune_settlement
 from retailgold.schemas import GOLD_TABLES
+from retailgold.sinks import store
 from retailgold.sinks.gold_files import by_date
 
 SF = "/root/testdata/sf0.001"
@@ -87,8 +88,8 @@ def test_settlement_is_combined_before_its_shuffle(spark, staged):
     assert "partial_min(customer_name" in text
 
 
-def test_dates_are_shuffled_by_date_and_part(spark, staged):
-    text = plan(by_date(gold.organization(staged), rows_per_file=10))
+def test_dates_are_shuffled_by_date_and_part(spark, staged, tmp_path):
+    text = plan(by_date(store(gold.organization(staged), str(tmp_path)), rows_per_file=10))
     assert re.search(r"hashpartitioning\(partition_col#\d+, _part#\d+L?, \d+\), REPARTITION_BY_COL", text)
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text
 

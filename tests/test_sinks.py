@@ -12,17 +12,18 @@ from retailgold.operators import gold
 from retailgold.operators.typed import type_feeds
 from retailgold.schemas import AUDIT_LAYOUT, DIMENSIONS
 from retailgold.sinks import (
-    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, write_audit,
+    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, store, write_audit,
     write_gold,
 )
 from retailgold.sources import read_gold
 
 
-@pytest.fixture
-def built(feed):
+@pytest.fixture(scope="module")
+def built(feed, tmp_path_factory):
     rows_ = [transaction(str(i), dt=D1, Total='a"b|c' if i == 0 else None) for i in range(20)]
     rows_ += [transaction(str(i), dt=D2) for i in range(5)]
-    return gold.transactions(type_feeds({"transactions": feed("transactions", rows_, partitions=4)}))
+    table = gold.transactions(type_feeds({"transactions": feed("transactions", rows_, partitions=4)}))
+    return store(table, str(tmp_path_factory.mktemp("built")))
 
 
 def files(path, dt):
@@ -55,11 +56,8 @@ def test_large_date_is_split_and_whole(spark, built, tmp_path):
     # every row of the large date a copy of one row: still spread, nothing lost
     one = built.filter("dt = 20200102 and sourcetransactionnumber = '1'")
     copies = one.select("*", F.explode(F.array_repeat(F.lit(1), 200)).alias("n")).drop("n").unionByName(built)
-    path = str(tmp_path / "built")
-    copies.write.parquet(path)
-    stored = spark.read.schema(copies.schema).parquet(path)
-    spread = F.xxhash64("_metadata.file_name", "_metadata.row_index")
-    write_gold(stored, str(tmp_path), "transactions", rows_per_file=25, spread=spread)
+    stored = store(copies, str(tmp_path / "built"))
+    write_gold(stored, str(tmp_path), "transactions", rows_per_file=25)
     assert len(files(tmp_path, D2)) == 1 and len(files(tmp_path, D1)) >= 220 // 25
     back = read_gold(spark, str(tmp_path), "transactions")
     assert rows(back, *stored.columns) == rows(stored)
@@ -73,7 +71,7 @@ def test_rerun_replaces_its_dates_only(spark, built, tmp_path):
     path = str(tmp_path)
     publish(built, path, "transactions")
     kept = files(tmp_path, D2)
-    again = built.filter(F.col("dt") == D1).withColumn("Currency", F.lit("EUR"))
+    again = store(built.filter(F.col("dt") == D1).withColumn("Currency", F.lit("EUR")), str(tmp_path / "again"))
     for _ in range(2):
         publish(again, path, "transactions")
     assert files(tmp_path, D2) == kept and len(files(tmp_path, D1)) == 1
