@@ -31,7 +31,7 @@ _MAX_REASON = 100_000
 
 
 class GateFailure(RuntimeError):
-    """A table failed its checks; nothing of the run was published.
+    """A table failed its checks and nothing of the run was published, or its files could not be written.
 
     ``by_date`` lists the dates whose gold and staging counts differ.
     """
@@ -97,15 +97,28 @@ def _build(
     return store(df, f"{scratch}/{table}")
 
 
-def _publish_all(spark: SparkSession, built: dict[str, DataFrame], out: str, rows_per_file: int) -> dict[str, str]:
-    """Publish the tables side by side, so that one table's last tasks do not leave the cluster idle."""
-    def one(table: str) -> str:
-        return publish(built[table], out, table, rows_per_file=rows_per_file)
+def _publish_all(
+    spark: SparkSession, built: dict[str, DataFrame], out: str, rows_per_file: int,
+) -> dict[str, str | Exception]:
+    """Publish the tables side by side, so that one table's last tasks do not leave the cluster idle.
+
+    Gives the folder per table, or what went wrong.
+    """
+    def one(table: str) -> str | Exception:
+        try:
+            return publish(built[table], out, table, rows_per_file=rows_per_file)
+        except Exception as error:
+            return error
 
     with ThreadPoolExecutor(max_workers=len(built)) as pool:
         return dict(zip(built, pool.map(inheritable_thread_target(spark)(one), built)))
 
 
+def _crashed(table: str, source_count: int | None, error: Exception) -> tuple:
+    """A checked row for a step that raised."""
+    return (table, source_count, None, None, None, None, None, str(error)[:_MAX_REASON], quality.FAILURE)
+
+
 def run(
     spark: SparkSession, raw: dict[str, DataFrame], out: str, *, audit_path: str, brand: str, schedule: str, as_of: str,
     dates: str | None = None, tables: tuple[str, ...] = GOLD_TABLES, rows_per_file: int = ROWS_PER_FILE,
@@ -142,21 +155,27 @@ def run(
                     by_date = both.filter("difference <> 0").orderBy("dt").collect()
             except Exception as error:  # a crash is audited like a failed check, then raised
                 crash = error
-                reason = str(error)[:_MAX_REASON]
-                row = (table, staged_rows.get(table), None, None, None, None, None, reason, quality.FAILURE)
+                row = _crashed(table, staged_rows.get(table), error)
             checked.append((*row, started, _now()))
             if row[-1] == quality.FAILURE:
                 break
 
+        published = {}
+        if checked[-1][8] != quality.FAILURE:
+            published = _publish_all(spark, built, out, rows_per_file)
+            for i, (table, *_, started, _) in enumerate(checked):
+                if isinstance(published[table], Exception):
+                    crash = published[table]
+                    checked[i] = (*_crashed(table, staged_rows[table], crash), started, _now())
+
         log = spark.createDataFrame(checked, f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
         write_audit(quality.audit_rows(
             log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
             start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
         ), audit_path)
-        table, reason, result = checked[-1][0], checked[-1][7], checked[-1][8]
-        if result == quality.FAILURE:
-            raise GateFailure(table, reason, by_date) from crash
-        published = _publish_all(spark, built, out, rows_per_file)
+        failed = next((c for c in checked if c[8] == quality.FAILURE), None)
+        if failed is not None:
+            raise GateFailure(failed[0], failed[7], by_date) from crash
         return RunResult({c[0]: c[8] for c in checked}, published)
     finally:
         drop_scratch(spark, scratch)

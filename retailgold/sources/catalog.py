@@ -3,28 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from retailgold.schemas import GOLD_COLUMNS, feed_layout, gold_layout
 
 
 def create_external_table(
-    spark: SparkSession, name: str, location: str, table: str, *, kind: str = "gold", file_format: str = "csv",
+    spark: SparkSession, name: str, location: str, table: str, *, kind: str = "gold",
 ) -> DataFrame:
     """Register a folder as an external table and find its date partitions.
 
     ``kind`` is ``gold`` (contract columns, ``partition_col``), ``staging`` or ``archive`` (feed columns, ``dt``).  History
-    is the same layouts over older dates.  Archives are Parquet, the others delimited text.
+    is the same layouts over older dates.  Archives are Parquet, the others delimited text (commas for settlement).
     """
     if kind == "gold":
         if table not in GOLD_COLUMNS:
             raise ValueError(f"no gold table {table}")
         fields, partition = gold_layout(table), "partition_col"
-    else:
+    elif table != "settlement":
         fields, partition = feed_layout(table), "dt"
-    if partition not in fields.names:
-        partition = None
+    elif kind == "archive":
+        fields, partition = feed_layout(table).add("settlement_day", T.DateType()).add("file_dt", T.IntegerType()), "file_dt"
+    else:
+        fields, partition = feed_layout(table), None
+    file_format = "parquet" if kind == "archive" else "csv"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    options = "OPTIONS (sep '|', header 'true', nullValue '\\\\N', escape '\"')" if file_format == "csv" else ""
+    sep = "," if table == "settlement" else "|"
+    options = f"OPTIONS (sep '{sep}', header 'true', nullValue '\\\\N', escape '\"')" if file_format == "csv" else ""
     by_date = f"PARTITIONED BY ({partition})" if partition else ""
     spark.sql(f"CREATE TABLE {name} ({columns}) USING {file_format} {options} {by_date} LOCATION '{location}'")
     if partition:

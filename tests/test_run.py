@@ -171,3 +171,20 @@ def test_missing_contract_column_fails(spark, feed, tmp_path):
     raw["organization"] = raw["organization"].drop("City")
     with pytest.raises(GateFailure, match="City"):
         go(spark, raw, tmp_path)
+
+
+def test_a_publishing_crash_is_audited(spark, feed, tmp_path, monkeypatch):
+    from retailgold.plans import gold_run
+
+    real = gold_run.publish
+
+    def broken_disk(stored, path, table, **more):
+        if table == "product":
+            raise OSError("disk full")
+        return real(stored, path, table, **more)
+
+    monkeypatch.setattr(gold_run, "publish", broken_disk)
+    with pytest.raises(GateFailure, match="disk full"):
+        go(spark, good_feeds(feed), tmp_path, tables=("product_category", "product"))
+    audit = rows(read_audit(spark, f"{tmp_path}/audit"), "ENTITY_TYPE", "EVENT_RESULT")
+    assert audit == [("product", "FAILURE"), ("product_category", "SUCCESS")]

@@ -6,7 +6,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from retailgold.operators import gold
 from retailgold.schemas import conform, feed_layout
+from retailgold.sinks import archive_feed, store, write_gold
 from retailgold.sources import create_external_table, list_files, read_feed, read_settlement, run_sql
 
 
@@ -93,6 +95,32 @@ def test_external_table(spark, landing):
         create_external_table(spark, "t_none", landing, "settlement")
 
 
+def test_external_tables_over_every_layout(spark, feed, tmp_path):
+    from shop import D1, paid
+
+    raw = feed("settlement", [paid()])
+    raw.write.option("header", True).csv(f"{tmp_path}/staged")
+    archive_feed(raw.withColumn("file_dt", F.lit(D1)), f"{tmp_path}/archive", "settlement")
+    category = feed("product_category", [dict(SourceCategoryNumber="1", Name="Care", dt=D1)])
+    built = store(gold.product_category({"product_category": category}), f"{tmp_path}/built")
+    write_gold(built, f"{tmp_path}/gold", "product_category")
+    tables = {
+        "t_staged": (f"{tmp_path}/staged", "settlement", "staging"),
+        "t_archive": (f"{tmp_path}/archive/settlement", "settlement", "archive"),
+        "t_gold": (f"{tmp_path}/gold/product_category", "product_category", "gold"),
+    }
+    for name, (folder, table, kind) in tables.items():
+        spark.sql(f"drop table if exists {name}")
+        create_external_table(spark, name, folder, table, kind=kind)
+    assert rows(spark.table("t_staged"), "customer_name", "approved_amount") == [("Ann", "10.50")]
+    assert rows(spark.sql("select customer_name, cast(settlement_day as string), file_dt from t_archive")) == [
+        ("Ann", "2020-01-02", D1)
+    ]
+    assert rows(spark.table("t_gold"), "Name", "partition_col") == [("Care", D1)]
+    for name in tables:
+        spark.sql(f"drop table {name}")
+
+
 def test_conform(spark, feed):
     df = feed("product_category", [dict(SourceCategoryNumber="1", dt=1)]).withColumn("partition_col", F.lit(1))
     out = conform(df.withColumn("extra", F.lit("x")).withColumnRenamed("Name", "NAME"), "product_category")
