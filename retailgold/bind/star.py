@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailgold.operators.typed import type_feeds
 from retailgold.schemas import POS_FEEDS, feed_layout
@@ -12,8 +13,15 @@ DIMENSION_DT = 19950101
 DIMENSION_DAY = "1995-01-01"
 
 
+_layouts: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; its footer is read for the layout only once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _layouts:
+        _layouts[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_layouts[path]).parquet(path)
 
 
 def _text(c: Column | str) -> Column:
