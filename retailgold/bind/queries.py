@@ -24,7 +24,7 @@ from retailgold.sinks import (
     write_audit, write_gold,
 )
 from retailgold.sources import create_external_table, read_feed, read_gold, read_settlement, run_sql
-from retailgold.streaming import read_notifications, stream_arrivals, stream_completeness, stream_gold
+from retailgold.streaming import read_notifications, read_ready, stream_arrivals, stream_completeness, stream_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -638,7 +638,7 @@ def stream_ready_dates(spark, sf):
     stream_completeness(
         source, star.settlement_dates(spark, sf), f"{base}/ledger", f"{base}/ready", f"{base}/checkpoint"
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/ready").select("brand", "schedule", "dt").distinct()
+    return read_ready(spark, f"{base}/ready").select("brand", "schedule", "dt").distinct()
 
 
 @query

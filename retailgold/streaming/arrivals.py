@@ -80,3 +80,8 @@ def stream_completeness(
         _append(update_ledger(batch, batch_id, ledger, settlement_dates, routes), out, batch_id, ["batch_id"])
 
     return _start(notifications, checkpoint, each)
+
+
+def read_ready(spark: SparkSession, out: str) -> DataFrame:
+    """What ``stream_completeness`` wrote, also while no date is ready yet."""
+    return spark.read.schema(_READY).parquet(out)

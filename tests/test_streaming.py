@@ -8,7 +8,7 @@ from test_arrivals import key, notice, settled
 from retailgold.operators import arrivals
 from retailgold.schemas import POS_FEEDS
 from retailgold.sources import read_gold
-from retailgold.streaming import read_notifications, stream_arrivals, stream_completeness, stream_gold
+from retailgold.streaming import read_notifications, read_ready, stream_arrivals, stream_completeness, stream_gold
 from retailgold.streaming.arrivals import update_ledger
 
 
@@ -38,7 +38,7 @@ def test_stream_equals_batch_and_restarts(spark, landing, tmp_path):
         stream_completeness(
             notes, dates, f"{tmp_path}/ledger", f"{tmp_path}/ready", f"{tmp_path}/c2"
         ).awaitTermination()
-        return rows(spark.read.parquet(f"{tmp_path}/ready"), "brand", "schedule", "dt", "batch_id")
+        return rows(read_ready(spark, f"{tmp_path}/ready"), "brand", "schedule", "dt", "batch_id")
 
     assert go() == [("brand_a", "daily", D1, 1)]
     # a restart takes up after the second batch
