@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailgold.llm.frames import by_batch
+from retailgold.llm.frames import by_batch, stored
 from retailgold.llm.lexicon import Lexicon, compile_lexicon
 
 # Characters that str.split() takes for white space and Unicode does not.
@@ -192,8 +192,6 @@ def frequent_words(counts: DataFrame, most: int) -> list[str]:
 
 def lexicon_of(docs: DataFrame, path: str, text: str = "text", most: int = 200_000) -> bytes:
     """The compiled transducer of the most frequent words of all documents, at most ``most``."""
-    from retailgold.llm.frames import stored
-
     bpe = WordBpe(path)
     words = frequent_words(stored(word_counts(docs, path, text), "bpe-words"), most)
     return compile_lexicon({(raw := w.encode("utf-8", "surrogatepass")): bpe.merge(raw) for w in words if w not in bpe.special})

@@ -4,21 +4,73 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retailgold.llm import bpe
+from retailgold.llm import bpe, caps, extract, langid, line_dedup, mixing, ngram_join, quality, secrets, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and calibrated score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op2_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all vectors of equal label."""
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document; a source is an owner, its documents of one language a repository."""
+    repository = F.concat_ws("/", "source", "lang")
+    return secrets.scan(table(spark, sf_dir, "documents"), repository=repository, owner=F.col("source"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive, normalised and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of all sources."""
+    mix = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mix.select("doc_id", "source", "share", "block", "release", "deadline", "slot", "position")
+
+
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of repeated line runs."""
+    docs = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_deleted", "text")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.references(docs))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def llm_queries():
-    return {"op4_bpe": op4_bpe}
+    run = (op1_langid, op2_caps, op3_extract, op4_bpe, op5_secrets, op6_warc, op7_mixing, op8_lines, op9_quality, op10_ngram_join)
+    return {f.__name__: f for f in run}
 
 
 def llm_oracles() -> dict[str, str]:
