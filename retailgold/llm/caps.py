@@ -1,11 +1,11 @@
 """Near-duplicate vectors by spherical-cap filters.
 
 Filter directions are a product code: the rotated space is cut into four blocks, each with random unit code words, and a
-direction is one word per block.  A vector is list-decoded to all directions that it exceeds the threshold in, without
-looking at the others; vectors meet where they share a filter and are verified by their cosine in double precision.  There
-are about as many directions as vectors, ``LEAST_FILTERS`` at least, and the threshold follows from their number so that
-a vector passes about ``PER_VECTOR`` of them; one that passes fewer takes its best ones.  Two vectors at the similarity
-limit then share more than ten filters on average; tests measure the recall.
+direction is one word per block.  A vector is list-decoded to the directions that exceed its threshold, without looking at
+the others; the threshold is set for each vector so that ``PER_VECTOR`` directions do.  Vectors meet where they share a filter
+and are verified by their cosine in double precision.  The code grows with the number of vectors, so that a filter is
+passed by a few vectors at any size.  Two vectors at the similarity limit share about 35 filters; tests measure the recall.
+Vectors of fewer than ``LEAST_SIZE`` components have too few separate caps: they all pass one filter.
 
 Equal vectors of a label are one node.  A filter's vectors are split into chunks, and a pair of chunks is a unit of work, so a
 filter that many vectors pass spreads over many tasks.  A pair is counted at the lowest filter that both pass; what leaves
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailgold.llm.components import components
-from retailgold.llm.frames import arrow_schema, by_batch, pieces, small_batches, stored
+from retailgold.llm.frames import arrow_schema, by_batch, small_batches, stored
 
 LIMIT = 0.93
 BLOCKS = 4
+FILTERS_PER_VECTOR = 64
 LEAST_FILTERS = 1 << 20
-PER_VECTOR = 32
+LEAST_SIZE = 24
+PER_VECTOR = 96
 CHUNK = 256
+WIDE = 6
 
 
 class ProductCode:
@@ -43,40 +45,35 @@ class ProductCode:
         draw = np.random.default_rng([seed, size])
         self.words = math.ceil(filters ** (1 / BLOCKS))
         width = -(-size // BLOCKS)
-        self.size, self.padded = size, width * BLOCKS
-        self.rotation = np.linalg.qr(draw.standard_normal((self.padded, self.padded)))[0][:size]
+        padded = width * BLOCKS
+        self.rotation = np.linalg.qr(draw.standard_normal((padded, padded)))[0][:size]
         code = draw.standard_normal((BLOCKS, self.words, width))
         self.code = code / np.linalg.norm(code, axis=2, keepdims=True)
-        # the score of a random vector is about normal with variance 1 / size
-        self.threshold = NormalDist().inv_cdf(1 - PER_VECTOR / self.words**BLOCKS) * math.sqrt(BLOCKS / self.padded)
+        # of two sorted lists the a-th and b-th best can only be among the best PER_VECTOR sums if a * b is not more
+        rank = np.arange(1, PER_VECTOR + 1)
+        self.left, self.right = np.nonzero(rank[:, None] * rank[None, :] <= PER_VECTOR)
 
-    def filters(self, unit: np.ndarray) -> list[np.ndarray]:
-        """Sorted filter numbers of each row of unit vectors."""
-        x = (unit @ self.rotation).reshape(len(unit), BLOCKS, -1)
-        score = np.einsum("nbw,bkw->nbk", x, self.code)
+    def filters(self, unit: np.ndarray) -> np.ndarray:
+        """Sorted numbers of the PER_VECTOR best filters of each row of unit vectors."""
         n, k = len(unit), self.words
-        left = (score[:, 0, :, None] + score[:, 1, None, :]).reshape(n, k * k)
-        right = (score[:, 2, :, None] + score[:, 3, None, :]).reshape(n, k * k)
-        order = np.argsort(right, axis=1)
-        return [self._decode(left[i], right[i][order[i]], order[i]) for i in range(n)]
-
-    def _decode(self, left: np.ndarray, right: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """All (left, right) with a sum of at least the threshold; a lower one where that is too few."""
-        threshold, size = self.threshold, len(right)
-        while True:
-            first = np.searchsorted(right, threshold - left)
-            if (size - first).sum() >= PER_VECTOR // 2:
-                break
-            threshold -= 0.1 * self.threshold
-        rows = np.flatnonzero(first < size)
-        found = np.concatenate([r * size + order[first[r] :] for r in rows])
-        found.sort()
-        return found
-
-
-def _units(vectors: list[list[float]]) -> np.ndarray:
-    x = np.array(vectors, np.float64)
-    x /= np.abs(x).max(1, keepdims=True)  # so that squares of very large or small numbers stay finite
+        x = (unit @ self.rotation).reshape(n, BLOCKS, -1)
+        score = np.einsum("nbw,bkw->nbk", x, self.code)
+        halves = []
+        for b in (0, 2):
+            sums = (score[:, b, :, None] + score[:, b + 1, None, :]).reshape(n, k * k)
+            best = np.argpartition(-sums, PER_VECTOR, axis=1)[:, :PER_VECTOR]
+            order = np.argsort(-np.take_along_axis(sums, best, 1), axis=1, kind="stable")
+            best = np.take_along_axis(best, order, 1)
+            halves.append((best, np.take_along_axis(sums, best, 1)))
+        (left, left_sum), (right, right_sum) = halves
+        sums = left_sum[:, self.left] + right_sum[:, self.right]
+        best = np.argpartition(-sums, PER_VECTOR, axis=1)[:, :PER_VECTOR]
+        return np.sort(np.take_along_axis(left[:, self.left], best, 1) * (k * k) + np.take_along_axis(right[:, self.right], best, 1), axis=1)
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)  # so that squares of very large or small numbers stay finite
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -87,13 +84,16 @@ def passed(nodes: DataFrame, filters: int) -> DataFrame:
         codes: dict[int, ProductCode] = {}
 
         def work(ids, vectors):
-            out: list[list[int]] = [[]] * len(ids)
+            out: list[list[int]] = [[0]] * len(ids)
             for size in {len(v) for v in vectors}:
+                if size < LEAST_SIZE:
+                    continue
                 at = [i for i, v in enumerate(vectors) if len(v) == size]
-                code = codes.setdefault(size, ProductCode(size, filters)) if size not in codes else codes[size]
+                if size not in codes:
+                    codes[size] = ProductCode(size, filters)
                 for start in range(0, len(at), 256):
                     part = at[start : start + 256]
-                    for i, f in zip(part, code.filters(_units([vectors[i] for i in part]))):
+                    for i, f in zip(part, codes[size].filters(_units(np.array([vectors[i] for i in part])))):
                         out[i] = f
             return ids, out
 
@@ -111,9 +111,8 @@ def _earlier(lists: list[np.ndarray], at: int) -> np.ndarray:
     return held @ held.T > 0
 
 
-def _unit(filter_: int, sides: np.ndarray | None, nodes, copies, vectors, lists, limit: float) -> list[tuple[int, int | None, int]]:
+def _unit(filter_: int, sides: np.ndarray | None, nodes, copies, x, lists, limit: float) -> list[tuple[int, int | None, int]]:
     """Sums and stars of one filter's chunk, or of the pairs between two chunks where ``sides`` tells them apart."""
-    x = _units(vectors)
     near = x @ x.T >= limit
     if sides is not None:
         near &= sides[:, None] != sides[None, :]
@@ -121,8 +120,8 @@ def _unit(filter_: int, sides: np.ndarray | None, nodes, copies, vectors, lists,
     if not near.any():
         return []
     counted = near & ~_earlier(lists, filter_)
-    sums = counted @ np.array(copies, np.int64)
-    out: list[tuple[int, int | None, int]] = [(nodes[i], None, int(sums[i])) for i in np.flatnonzero(sums)]
+    sums = counted @ copies
+    out: list[tuple[int, int | None, int]] = [(int(nodes[i]), None, int(sums[i])) for i in np.flatnonzero(sums)]
     left = near.any(1)
     while left.any():
         start = int(np.argmax(left))
@@ -131,11 +130,48 @@ def _unit(filter_: int, sides: np.ndarray | None, nodes, copies, vectors, lists,
         while edge.any():
             group |= edge
             edge = near[edge].any(0) & ~group
-        out += [(nodes[start], nodes[i], 0) for i in np.flatnonzero(group) if i != start]
+        out += [(int(nodes[start]), int(nodes[i]), 0) for i in np.flatnonzero(group) if i != start]
         left &= ~group
     return out
 
 
+def _split(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column end to end, and where each list starts and the last ends."""
+    sizes = column.value_lengths().to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _groups(table: pa.Table, limit: float) -> list[tuple[int, int | None, int]]:
+    """All units of a table that holds whole units, neighbours by unit."""
+    keys = np.stack([table.column(i).to_numpy() for i in range(4)])
+    chunk, nodes, copies = (table.column(i).to_numpy() for i in (4, 5, 6))
+    vectors, bounds = _split(table.column(7).combine_chunks())
+    numbers, places = _split(table.column(8).combine_chunks())
+    first = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)])
+    group = np.cumsum(first) - 1
+    starts = np.append(np.flatnonzero(first), len(first))
+    sizes = np.diff(bounds)
+    out = []
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        x = _units(vectors[bounds[rows][:, None] + np.arange(size)])
+        mine = group[rows]
+        # most units hold a few vectors, none of them alike: these are settled side by side
+        wide = np.bincount(mine, minlength=len(starts) - 1) > WIDE
+        found = set(np.flatnonzero(wide).tolist())
+        for step in range(1, min(WIDE, len(rows))):
+            at = np.flatnonzero((mine[step:] == mine[:-step]) & ~wide[mine[step:]])
+            near = np.einsum("ij,ij->i", x[at], x[at + step]) >= limit
+            found.update(mine[at[near]].tolist())
+        for g in sorted(found):
+            a, b = starts[g], starts[g + 1]
+            at = np.searchsorted(rows, a)
+            p, q = keys[2, a], keys[3, a]
+            lists = [numbers[places[i] : places[i + 1]] for i in range(a, b)]
+            out += _unit(int(keys[1, a]), None if p == q else chunk[a:b], nodes[a:b], copies[a:b], x[at : at + b - a], lists, limit)
+    return out
+
+
 def linked(units: DataFrame, limit: float) -> DataFrame:
     """Rows sorted by unit to (node, other, links): sums where ``other`` is null, stars elsewhere."""
     small_batches(units.sparkSession)
@@ -143,26 +179,24 @@ def linked(units: DataFrame, limit: float) -> DataFrame:
     schema = arrow_schema(schema_text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
-
-        def finish():
-            _, f, p, q = key
-            _, _, _, _, chunk, nodes, copies, vectors, lists = zip(*group)
-            sides = None if p == q else np.array(chunk)
-            return _unit(f, sides, nodes, copies, vectors, [np.array(x) for x in lists], limit)
-
-        for columns in pieces(batches, None):
-            out = []
-            for row in zip(*columns):
-                if row[:4] != key:
-                    if len(group) > 1:
-                        out += finish()
-                    key, group = row[:4], []
-                group.append(row)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], schema=schema)
-        out = finish() if len(group) > 1 else []
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], schema=schema)
+        def result(table: pa.Table) -> pa.RecordBatch:
+            out = _groups(table, limit) if table.num_rows else []
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], schema=schema)
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            if not table.num_rows:
+                continue
+            keys = np.stack([table.column(i).to_numpy() for i in range(4)])
+            last = int(np.flatnonzero((keys != keys[:, -1:]).any(0))[-1]) + 1 if (keys != keys[:, -1:]).any() else 0
+            held = table.slice(last)
+            if last:
+                yield result(table.slice(0, last))
+        if held is not None:
+            yield result(held)
 
     return units.mapInArrow(run, schema_text)
 
@@ -177,20 +211,23 @@ def near_duplicates(
     usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
     nodes = rows.where(usable).groupBy("label", "embedding").agg(F.min("key").alias("least"), F.count("*").alias("copies"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "caps-nodes")
-    filters = stored(passed(nodes, max(LEAST_FILTERS, nodes.count())), "caps-filters")
-    hits = nodes.select("node", "label", F.size("embedding").alias("size")).join(filters, "node").select(
-        "node", F.struct("label", "size").alias("space"), F.explode("filters").alias("filter")
-    )
+    filters = max(LEAST_FILTERS, FILTERS_PER_VECTOR * nodes.count())
+    hits = nodes.select("node", F.xxhash64("label", F.size("embedding")).alias("space")).join(passed(nodes, filters), "node")
+    hits = stored(hits.select("node", "space", F.explode("filters").alias("filter")), "caps-hits")
     busy = hits.groupBy("space", "filter").agg(F.count("*").alias("n")).where("n > 1")
+    hits = stored(hits.join(busy, ["space", "filter"]), "caps-busy")
+    # a vector's filters that others pass too: where a pair is counted shows on them
+    vectors = nodes.select("node", "copies", "embedding").join(
+        hits.groupBy("node").agg(F.sort_array(F.collect_list("filter")).alias("filters")), "node"
+    )
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    hits = hits.join(busy.select("space", "filter", chunks.alias("chunks")), ["space", "filter"])
-    hits = hits.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).withColumn(
-        "mate", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    hits = hits.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn(
+        "mate", F.explode(F.sequence(F.lit(0), chunks - 1))
     )
+    unit = ["space", "filter", "p", "q"]
     units = hits.select(
         "space", "filter", F.least("chunk", "mate").alias("p"), F.greatest("chunk", "mate").alias("q"), "chunk", "node"
-    ).join(nodes.select("node", "copies", "embedding"), "node").join(filters, "node")
-    unit = ["space", "filter", "p", "q"]
+    ).join(vectors, "node")
     units = units.select(*unit, "chunk", "node", "copies", "embedding", "filters").repartition(*unit).sortWithinPartitions(*unit)
     found = stored(linked(units, limit), "caps-links")
     sums = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
