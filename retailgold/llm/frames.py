@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from retailgold.session import scratch_dir
 
+ROOT = str(Path(__file__).resolve().parents[2])
 BATCH_CHARS = 1_000_000
 BATCH_ROWS = 2_000
 
@@ -24,8 +27,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Few rows per Arrow batch, so that a batch of very long texts still fits a worker."""
+    """Few rows per Arrow batch, so that a batch of very long texts still fits a worker.
+
+    Workers on the driver's machine also find this package where the driver has it, whatever folder they start in; a cluster
+    gets it with ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    paths = spark.sparkContext.environment
+    if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), ROOT]))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: int | None) -> Iterator[list[list]]:
