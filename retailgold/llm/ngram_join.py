@@ -171,7 +171,7 @@ def passes(percent: int) -> Column:
     that both share, where every similar pair comes through.
     """
     nx, ny = F.col("x.n").cast("bigint"), F.col("y.n").cast("bigint")
-    rest = 1 + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
+    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")).cast("bigint")
     return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & ((100 + percent) * rest >= percent * (nx + ny))
 
 
@@ -198,34 +198,40 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return int(np.count_nonzero(both[1:] == both[:-1])) >= need
 
 
-def sets_of(docs: DataFrame, rows: DataFrame, involved: DataFrame, text: str, key: str, width: int) -> DataFrame:
-    """(sid, tokens) of the involved sets, cut again from one document each.
+def marked(slots: DataFrame) -> Column:
+    """Whether a row's column ``slot`` is among the given ones, by a bitmap of ``MARKS`` bits in the query itself."""
+    bitmap = np.zeros(MARKS, bool)
+    for r in slots.distinct().toLocalIterator():  # at most MARKS numbers
+        bitmap[r["slot"]] = True
+    bits = F.lit(bytearray(np.packbits(bitmap, bitorder="little").tobytes()))
+    byte = F.conv(F.hex(F.substring(bits, F.expr("cast(slot div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.pow(F.lit(2), F.col("slot") % 8).cast("int")) != 0
+
+
+def sets_of(docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, key: str, width: int) -> DataFrame:
+    """(sid, tokens) of the sets in the pairs, cut again from one document each.
 
     A bitmap of fixed size tells which documents may be needed, so that the others' texts are not cut; what it lets through
     in error is dropped by the join.
     """
-    spark = docs.sparkSession
+    involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "ngram-involved")
+    slot = F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int").alias("slot")
     first = rows.join(involved, "sid", "left_semi").groupBy("sid").agg(F.min("key").alias("key"))
-    slot = F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int")
-    bitmap = np.zeros(MARKS, bool)
-    marks = first.select(slot.alias("slot")).distinct()  # at most MARKS numbers
-    for r in marks.toLocalIterator():
-        bitmap[r["slot"]] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap).tobytes())
+    wanted = marked(first.select(slot))
 
     def make():
-        marked = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         seen: set[int] = set()
 
-        def work(slots, texts):
-            sets = [s for s in shingle_sets([t for i, t in zip(slots, texts) if marked[i]], width) if len(s)]
-            ids = [set_id(s) for s in sets]
-            new = [i not in seen and not seen.add(i) for i in ids]
-            return [[i for i, n in zip(ids, new) if n], [s.tobytes() for s, n in zip(sets, new) if n]]
+        def work(texts):
+            sets = [s for s in shingle_sets(texts, width) if len(s)]
+            new = {i: s for s in sets if (i := set_id(s)) not in seen}
+            seen.update(new)
+            return [list(new), [s.tobytes() for s in new.values()]]
 
         return work
 
-    cut = by_batch(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(slot.alias("slot"), "text"), make, "sid bigint, tokens binary", text=1)
+    mine = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(slot, "text").where(wanted)
+    cut = by_batch(mine.select("text"), make, "sid bigint, tokens binary", text=0)
     return cut.join(involved, "sid", "left_semi").dropDuplicates(["sid"])
 
 
@@ -248,7 +254,6 @@ def _pair(x: str, y: str) -> list[Column]:
 def linked_sets(docs: DataFrame, rows: DataFrame, key: str, text: str, frequency: np.ndarray, width: int, percent: int) -> DataFrame:
     """(node, component) over set ids."""
     runs = stored(shared_runs(prefixes(docs, text, frequency, width, percent)), "ngram-runs")
-    sets = stored(sets_of(docs, rows, runs.select("sid").distinct(), text, key, width), "ngram-sets")
     checked, classes = None, None
     for turn in range(ROUNDS + 1):
         at = runs
@@ -275,6 +280,8 @@ def linked_sets(docs: DataFrame, rows: DataFrame, key: str, text: str, frequency
         pairs = pairs.select(*_pair("x.sid", "y.sid")).distinct()
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = stored(pairs, "ngram-pairs")
+        sets = stored(sets_of(docs, rows, pairs, text, key, width), "ngram-sets")
         new = stored(verified(pairs, sets, percent), "ngram-checked")
         checked = new if checked is None else checked.union(new)
         classes = stored(components(checked.where("linked").select("a", "b")), "ngram-classes")
