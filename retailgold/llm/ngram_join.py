@@ -36,7 +36,8 @@ _SLOT_SHIFT = np.uint64(64 - 20)
 _CHUNK = 1 << 12
 MARKS = 1 << 22  # of the bitmap of documents whose sets are needed: 0.5 MB
 HEAD = 16
-ROUNDS = 2
+ROUNDS = 5
+LEADERS = 8
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -254,8 +255,8 @@ def _pair(x: str, y: str) -> list[Column]:
 def linked_sets(docs: DataFrame, rows: DataFrame, key: str, text: str, frequency: np.ndarray, width: int, percent: int) -> DataFrame:
     """(node, component) over set ids."""
     runs = stored(shared_runs(prefixes(docs, text, frequency, width, percent)), "ngram-runs")
-    checked, classes = None, None
-    for turn in range(ROUNDS + 1):
+    checked, classes, turn, last = None, None, 0, False
+    while True:
         at = runs
         if classes is not None:
             at = runs.join(classes.withColumnRenamed("node", "sid"), "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
@@ -263,29 +264,45 @@ def linked_sets(docs: DataFrame, rows: DataFrame, key: str, text: str, frequency
             at = at.join(open_, "token", "left_semi")
         else:
             at = at.withColumn("class", F.col("sid"))
-        if turn < ROUNDS:
-            # one leader per run: the set whose number, mixed anew each round, comes first
-            order = F.xxhash64("sid", F.lit(turn))
-            leaders = at.groupBy("token").agg(F.min_by(F.struct("sid", "n", "pos", "class"), order).alias("l")).select("token", "l.*")
-            pairs = at.alias("x").join(leaders.alias("y"), "token").where((F.col("x.class") != F.col("y.class")) & passes(percent))
-        else:
-            # all pairs of different classes; a pair comes through at its first common token where both heads show it
-            heads = at.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
-            at = stored(at.join(heads.select("sid", F.col("h.token").alias("head")), "sid"), "ngram-open")
-            common = F.try_element_at(F.array_intersect("x.head", "y.head"), F.lit(1))
-            pairs = at.alias("x").join(at.alias("y"), "token").where(
-                (F.col("x.sid") < F.col("y.sid")) & (F.col("x.class") != F.col("y.class")) & passes(percent)
-                & F.coalesce(common == F.col("token"), F.lit(True))
-            )
-        pairs = pairs.select(*_pair("x.sid", "y.sid")).distinct()
+        pairs = _all_pairs(at, percent) if last else _leader_pairs(at, turn, percent)
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stored(pairs, "ngram-pairs")
         sets = stored(sets_of(docs, rows, pairs, text, key, width), "ngram-sets")
         new = stored(verified(pairs, sets, percent), "ngram-checked")
+        found = not new.where("linked").isEmpty()
         checked = new if checked is None else checked.union(new)
-        classes = stored(components(checked.where("linked").select("a", "b")), "ngram-classes")
-    return classes
+        if found or classes is None:
+            classes = stored(components(checked.where("linked").select("a", "b")), "ngram-classes")
+        if last:
+            return classes
+        turn += 1
+        # further leaders are worth while as long as they link anything; what they leave is compared in full
+        last = not found or turn == ROUNDS
+
+
+def _leader_pairs(at: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each member of a run with its leaders of other classes: sets whose number, mixed anew each turn, comes first.
+
+    At first one leader gathers what is alike; later ones look for what it missed.
+    """
+    picks = [F.min_by(F.struct("sid", "n", "pos", "class"), F.xxhash64("sid", F.lit(turn), F.lit(i))) for i in range(LEADERS if turn else 1)]
+    leaders = at.groupBy("token").agg(F.array_distinct(F.array(*picks)).alias("leaders"))
+    met = at.join(leaders, "token").withColumn("leaders", F.filter("leaders", lambda y: y["class"] != F.col("class"))).where("size(leaders) > 0")
+    met = met.select(F.struct("sid", "n", "pos").alias("x"), F.explode("leaders").alias("y"))
+    return met.where(passes(percent)).select(*_pair("x.sid", "y.sid")).distinct()
+
+
+def _all_pairs(at: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different classes in a run; a pair comes through at its first common token where both heads show it."""
+    heads = at.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
+    at = stored(at.join(heads.select("sid", F.col("h.token").alias("head")), "sid"), "ngram-open")
+    common = F.try_element_at(F.array_intersect("x.head", "y.head"), F.lit(1))
+    pairs = at.alias("x").join(at.alias("y"), "token").where(
+        (F.col("x.sid") < F.col("y.sid")) & (F.col("x.class") != F.col("y.class")) & passes(percent)
+        & F.coalesce(common == F.col("token"), F.lit(True))
+    )
+    return pairs.select(*_pair("x.sid", "y.sid")).distinct()
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
