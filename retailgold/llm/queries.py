@@ -72,6 +72,3 @@ def llm_queries():
     run = (op1_langid, op2_caps, op3_extract, op4_bpe, op5_secrets, op6_warc, op7_mixing, op8_lines, op9_quality, op10_ngram_join)
     return {f.__name__: f for f in run}
 
-
-def llm_oracles() -> dict[str, str]:
-    return {}
