@@ -13,11 +13,12 @@ _DT = "cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 1 as integer)
 _DAY = "strftime(o_orderdate, '%Y-%m-%d')"
 _STORE = "cast(o_custkey % 100 as integer)"
 _REG = "lpad(cast(o_orderkey % 12 as varchar), 2, '0')"
-_ITEM = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
+_ITEM = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || copy"
 _CODE = "'D' || cast(cast(round(l_discount * 100) as integer) as varchar)"
 _PRE = "'4' || lpad(cast(o_custkey % 100000 as varchar), 5, '0')"
 _SUF = "lpad(cast(o_orderkey % 10000 as varchar), 4, '0')"
-_LINES = "lineitem join orders on l_orderkey = o_orderkey"
+_LINES = """(select *, row_number() over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey order by l_discount) as copy
+        from lineitem) l join orders on l_orderkey = o_orderkey"""
 _FOLDERS = {"click": "brand_a/daily/", "view": "brand_b/daily/", "purchase": "brand_a/weekly/", "signup": "brand_b/weekly/"}
 _DIMS = "('product', 'product_category', 'organization')"
 
@@ -180,7 +181,7 @@ _RESULTS = f"""select c.*, case when destination_count = 0 then 'FAILURE'
     when entity_type = 'tenders' then case when source_count = destination_count
         and (select {_RATIO} from g_tender) > 0.2 then 'SUCCESS' else 'WARNING' end
     when source_count = destination_count then 'SUCCESS' else 'FAILURE' end as event_result from ({_COUNTS}) c"""
-_AUDIT = f"""select 'brand_a' as brand_sid, 'transformer' as event_type, 'pos' as data_category,
+_AUDIT = f"""select 'brand_a' as brand_sid, 'gold_run' as event_type, 'pos' as data_category,
     '2024-01-31' as ingestion_date, entity_type, source_count, destination_count, event_result, 'daily' as note_schedule
     from ({_RESULTS}) r"""
 _ORDER = "case entity_type " + " ".join(f"when '{t}' then {i}" for i, t in enumerate(GOLD_TABLES)) + " end"
@@ -235,6 +236,10 @@ ORACLES = {
         from tender d join tx t on t.dt = d.dt and t.number = d.number group by t.dt, d.name""",
     "catalog_external_table":
         "select item_no as sourcetransactionitemnumber, code as discountcode, amount as discountamt, dt from xref",
+    "catalog_gold": 'select dt as partition_col, count(*) as "rows", min(check_id) as first_check_id from g_tx group by dt',
+    "catalog_archive": 'select dt, count(*) as "rows", max(amount_text) as largest from tender group by dt',
+    "catalog_settlement": """select cast(strftime(day, '%Y%m01') as integer) as file_dt, count(*) as "rows",
+        count(distinct day) as days from settled group by file_dt""",
     "type_settlement": """select store as store_id, name as customer_name, card as masked_card_number,
         amount as approved_amount, register as pos_register_number from settled""",
     "type_transactions": f"select {_cols(_without(GOLD_COLUMNS['transactions'], 'check_id'), **_TX)} from tx",
@@ -307,7 +312,16 @@ ORACLES = {
         ) for schedule in ("daily", "weekly")
     ),
     "publish_gold": f"""select dt, count(*) as "rows", min(check_id) as first_check_id, max(check_id) as last_check_id,
-        {_name('line_item', 'daily')} as file_name from g_item group by dt""",
+        replace({_name('line_item', 'daily')}, '.psv.gz', '_p0001.psv.gz') as file_name from g_item group by dt""",
+    "publish_large_date": """select dt, cast(ceil(count(*) / 100.0) as bigint) as files, count(*) as "rows",
+        least(count(*), 100) as largest, least(count(*), 100) as smallest_but_last from tx group by dt""",
+    "rerun_date_emptied": """select dt, count(*) as "rows" from g_tx where dt <> 19960301 group by dt""",
+    "stage_incremental": f"""select strftime(day, '%Y%m01') as file, count(*) as "rows", strftime(day, '%Y') >= '1997' as second
+        from settled group by all""",
+    "scan_feed_header_drift": """select number as sourcetransactionnumber, register as registernumber,
+        case when dt // 10000 % 3 = 1 then 'new' end as newcol, day as datecreated, dt from tx""",
+    "scan_settlement_header_drift": """select cast(store as varchar) as store_id, name as customer_name, card as masked_card_number,
+        case when month(day) % 2 = 0 then 'new' end as newcol, cast(strftime(day, '%Y%m01') as integer) as file_dt from settled""",
     "rerun_date_idempotent": """select number as sourcetransactionnumber,
         case when dt between 19960101 and 19961231 then 'EUR' else 'USD' end as currency, check_id, dt from g_tx""",
     "sink_audit_log": _AUDIT,
@@ -316,6 +330,10 @@ ORACLES = {
     "carry_over_dimensions": """select 'product' as feed, name, dt from goods union all
         select 'product_category', name, dt from cats union all select 'organization', name, dt from stores""",
     "dq_reconcile": _RESULTS,
+    "dq_reconcile_by_date": """select 'transactions' as entity_type, count(*) as source_count, count(*) as destination_count,
+        cast(2 as bigint) as dates_differing, 'row counts of 2 dates differ from staging' as reason, 'FAILURE' as event_result from tx""",
+    "dq_name_gate_success": """select count(*) as source_count, count(*) as destination_count,
+        count(distinct number) as distinct_names, 'SUCCESS' as event_result from tender""",
     "dq_mandatory_fields": """select 'transactions' as entity_type, count(*) as destination_count,
             count(*) filter (where pos is null or register is null) as missing_check_id, cast(0 as bigint) as missing_timestamp
             from raw_tx
@@ -343,6 +361,16 @@ ORACLES = {
         for t, source in {**_GOLD_SOURCES, "transaction_item": "g_full_item", "discounts":
             "(select x.dt from xref x join g_full_item g on x.dt = g.dt and x.item_no = g.item_no) d"}.items()
     ),
+    "run_weekly": " union all ".join(
+        f"select '{t}' as entity_type, dt, count(*) as \"rows\" from {source} where dt in (19950101, 19960201) group by dt"
+        for t, source in {**_GOLD_SOURCES, "transaction_item": "g_full_item", "discounts":
+            "(select x.dt from xref x join g_full_item g on x.dt = g.dt and x.item_no = g.item_no) d"}.items()
+    ),
+    "run_manifest": " union all ".join(
+        f"""select '{t}' as entity_type, dt, cast(1 as integer) as part,
+        replace({_name(public, 'daily')}, '.psv.gz', '_p0001.psv.gz') as file_name from (select distinct dt from {source}) m_{t}"""
+        for t, public, source in (("transactions", "transactions", "tx"), ("transaction_item", "line_item", "g_full_item"))
+    ),
     "arrivals_parse": "select event_time, 'landing' as bucket, key, size from keys",
     "arrivals_relevant": "select event_id, key from keys where relevant",
     "arrivals_classify": "select event_id, key, brand, schedule, place from keys",
@@ -356,9 +384,13 @@ ORACLES = {
         union all select number, dt, '19950101,19960201,19990101' from tx where dt in (19950101, 19960201, 19990101)
         union all select number, dt, '19951101:19960201' from tx where dt in (19951101, 19951201, 19960101, 19960201)""",
     "select_files_by_date":
-        "select event_id, 'feed_' || feed || '_' || day || '.psv.gz' as name, feed from keys where day like '202401%'",
+        "select event_id, 'feed_' || feed || '_' || day || '.psv.gz' as name, feed from keys where day = '20240115'",
     "stream_arrivals": "select key, size, brand, schedule, place, feed, dt from keys where relevant",
     "stream_ready_dates": "select brand, schedule, dt from complete where missing = '' and has_settlement",
+    "stream_ready_late_settlement": "select brand, schedule, dt from complete where missing = '' and has_settlement",
+    "stream_gold_rejects_date": """select dt, count(*) as "rows", false as rejected from g_full_item
+        where dt // 100 % 100 <> 7 and dt <> 19960301 group by dt
+        union all select 19960301, 0, true""",
     "stream_gold_line_item": _gold(
         "transaction_item", "g_full_item where dt // 100 % 100 <> 7", _ITEMS, check_id="check_id",
         transactiontimestamp="stamp",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,15 +16,17 @@ from retailgold.functions import (
 )
 from retailgold.operators import arrivals, gold, quality, selection
 from retailgold.operators.typed import type_feeds, type_line_items, type_settlement, type_tenders, type_transactions
-from retailgold.plans import GateFailure, run, stage_feeds
+from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_settlement
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
-from retailgold.session import configure, scratch_dir
+from retailgold.session import configure, file_system, scratch_dir
 from retailgold.sinks import (
-    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, store,
+    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, read_manifest, store,
     write_audit, write_gold,
 )
-from retailgold.sources import create_external_table, read_feed, read_gold, read_settlement, run_sql
-from retailgold.streaming import read_notifications, read_ready, stream_arrivals, stream_completeness, stream_gold
+from retailgold.sources import create_external_table, list_files, read_feed, read_gold, read_settlement, run_sql
+from retailgold.streaming import (
+    read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_gold,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -87,6 +89,51 @@ def scan_settlement_glob(spark, sf):
     return read_settlement(spark, f"{path}/part-*").select(*raw.columns)
 
 
+@query
+def scan_feed_header_drift(spark, sf):
+    """Dates whose files have the documented columns, a new one in front, or the documented ones in another order."""
+    path = scratch_dir(spark, "drift")
+    raw = star.transactions(spark, sf)
+    names = [c for c in raw.columns if c != "dt"]
+    kind = F.floor(F.col("dt") / 10000) % 3
+    for k, columns in enumerate((names, None, names[::-1])):
+        part = raw.filter(kind == k)
+        part = part.select(*columns, "dt") if columns else part.select(F.lit("new").alias("newcol"), *names, "dt")
+        part.hint("rebalance", "dt").write.mode("append").partitionBy("dt").option("sep", "|").option("header", True).option(
+            "nullValue", "\\N").option("compression", "gzip").csv(f"{path}/transactions")
+    drifted = read_feed(spark, path, "transactions")
+    return drifted.select(
+        "SourceTransactionNumber", F.coalesce("RegisterNumber", F.lit("")).alias("registernumber"), "newcol", "DateCreated", "dt"
+    )
+
+
+def _settlement_files(spark: SparkSession, df: DataFrame, path: str, name: str = "SETTLE") -> None:
+    """One file per ``file_dt`` with the date in its name."""
+    sorted_days = [r["file_dt"] for r in df.select("file_dt").distinct().orderBy("file_dt").collect()]
+    staged = f"{path}/_by_day"
+    (
+        df.repartition("file_dt").withColumn("day", F.col("file_dt")).drop("file_dt").write.mode("overwrite").partitionBy("day")
+        .option("header", True).option("nullValue", "\\N").csv(staged)
+    )
+    fs, _ = file_system(spark, path)
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for day in sorted_days:
+        for i, found in enumerate(fs.globStatus(of(f"{staged}/day={day}/part-*"))):
+            fs.rename(found.getPath(), of(f"{path}/{name}_{i}_{day}.csv"))
+    fs.delete(of(staged), True)
+
+
+@query
+def scan_settlement_header_drift(spark, sf):
+    """Every second month's file has a new column in front."""
+    path = scratch_dir(spark, "drift")
+    raw = star.settlement_files(spark, sf)
+    new = F.floor(F.col("file_dt") / 100) % 100 % 2 == 0
+    _settlement_files(spark, raw.filter(~new), path, "SETTLE_A")
+    _settlement_files(spark, raw.filter(new).select(F.lit("new").alias("newcol"), *raw.columns), path, "SETTLE_B")
+    return read_settlement(spark, f"{path}/SETTLE_*").select("store_id", "customer_name", "masked_card_number", "newcol", "file_dt")
+
+
 @query
 def scan_partitioned_dt(spark, sf):
     feed = read_feed(spark, _feed_files(spark, sf, "transactions"), "transactions", declared=False)
@@ -118,6 +165,31 @@ def catalog_external_table(spark, sf):
     return create_external_table(spark, name, f"{path}/trans_disc_xref", "trans_disc_xref", kind="staging")
 
 
+@query
+def catalog_gold(spark, sf):
+    path = scratch_dir(spark, "catalog")
+    write_gold(_stored(spark, gold.transactions(star.feeds(spark, sf, "transactions"))), path, "transactions")
+    name = "gold_" + path.rsplit("-", 1)[-1]
+    rows = create_external_table(spark, name, f"{path}/transactions", "transactions")
+    return rows.groupBy("partition_col").agg(F.count(F.lit(1)).alias("rows"), F.min("check_id").alias("first_check_id"))
+
+
+@query
+def catalog_archive(spark, sf):
+    path = scratch_dir(spark, "catalog")
+    archive_feed(star.tenders(spark, sf).hint("rebalance", "dt"), path, "tenders")
+    rows = create_external_table(spark, "archive_" + path.rsplit("-", 1)[-1], f"{path}/tenders", "tenders", kind="archive")
+    return rows.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"), F.max("tenderamt").alias("largest"))
+
+
+@query
+def catalog_settlement(spark, sf):
+    path = scratch_dir(spark, "catalog")
+    archive_feed(star.settlement_files(spark, sf).hint("rebalance", "file_dt"), path, "settlement")
+    rows = create_external_table(spark, "settled_" + path.rsplit("-", 1)[-1], f"{path}/settlement", "settlement", kind="archive")
+    return rows.groupBy("file_dt").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("settlement_day").alias("days"))
+
+
 # --- typing, projections, filters --------------------------------------------------------------------------------------
 
 @query
@@ -383,6 +455,20 @@ def sink_one_file_per_dt(spark, sf):
     return files.groupBy("dt").agg(F.count(F.lit(1)).alias("files"))
 
 
+@query
+def publish_large_date(spark, sf):
+    """Files per date at 100 rows a file, their rows, and the sizes of all but the last."""
+    path = scratch_dir(spark, "large")
+    write_gold(_stored(spark, gold.transactions(star.feeds(spark, sf, "transactions"))), path, "transactions", rows_per_file=100)
+    rows = read_gold(spark, path, "transactions").groupBy("dt", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    small = F.row_number().over(Window.partitionBy("dt").orderBy("n"))
+    # a date's smallest file is its last part, or its only one
+    return rows.withColumn("k", small).withColumn("files", F.count(F.lit(1)).over(Window.partitionBy("dt"))).groupBy("dt", "files").agg(
+        F.sum("n").alias("rows"), F.max("n").alias("largest"),
+        F.min(F.when((F.col("k") > 1) | (F.col("files") == 1), F.col("n"))).alias("smallest_but_last"),
+    )
+
+
 @query
 def gold_file_names(spark, sf):
     feeds = star.feeds(spark, sf, "transactions", "transaction_item", "organization")
@@ -424,6 +510,18 @@ def rerun_date_idempotent(spark, sf):
     return read_gold(spark, path, "transactions").select("sourcetransactionnumber", "Currency", "check_id", "dt")
 
 
+@query
+def rerun_date_emptied(spark, sf):
+    """A second run of one month that has no transactions any more."""
+    path = scratch_dir(spark, "emptied")
+    built = _stored(spark, gold.transactions(star.feeds(spark, sf, "transactions")))
+    publish(built, path, "transactions")
+    month = "19960301:19960401"
+    again = _stored(spark, selection.select_dates(built, month).filter("dt <> 19960301"))
+    publish(again, path, "transactions", emptied=lambda dt: selection.spec_holds(month, dt))
+    return quality.counts_per_date(read_gold(spark, path, "transactions"))
+
+
 @query
 def sink_audit_log(spark, sf):
     path = scratch_dir(spark, "audit")
@@ -449,6 +547,26 @@ def archive_feed_(spark, sf):
     ))
 
 
+@query
+def stage_incremental(spark, sf):
+    """Settlement files in two deliveries; the second staging lands new files only: rows per file, and whether it came second."""
+    base = scratch_dir(spark, "incremental")
+    raw = star.settlement_files(spark, sf)
+    _settlement_files(spark, raw.filter("file_dt < 19970101"), f"{base}/in")
+    stage_settlement(spark, f"{base}/in/SETTLE_*", f"{base}/archive", "19900101")
+    first = {r["path"] for r in list_files(spark, f"{base}/archive/settlement").select("path").collect()}
+    _settlement_files(spark, raw.filter("file_dt >= 19970101"), f"{base}/in")
+    archive = stage_settlement(spark, f"{base}/in/SETTLE_*", f"{base}/archive", "19900101")
+    # files of the first delivery that were written again would have other names
+    kept = spark.createDataFrame([(p,) for p in first], "path string")
+    rows = archive.groupBy("file_dt", F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    known = rows.join(kept.select(plain(F.col("path")).alias("p"), F.lit(False).alias("new")), plain(F.col("path")) == F.col("p"), "left")
+    return known.groupBy(F.col("file_dt").cast("string").alias("file")).agg(
+        F.sum("n").alias("rows"), F.bool_and(F.coalesce("new", F.lit(True))).alias("second")
+    )
+
+
 @query
 def carry_over_dimensions_(spark, sf):
     path = scratch_dir(spark, "weekly")
@@ -459,9 +577,13 @@ def carry_over_dimensions_(spark, sf):
 # --- data quality ------------------------------------------------------------------------------------------------------
 
 def _all_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items are built once, for their own check and for the discounts."""
     feeds = star.feeds(spark, sf)
-    sides = [quality.gold_side(t, gold.BUILDERS[t](feeds)) for t in GOLD_TABLES]
-    return quality.metrics(sides + [quality.staging_side(t, feeds[STAGING_OF[t]]) for t in GOLD_TABLES])
+    items = _stored(spark, gold.line_item(feeds))
+    built = {t: gold.BUILDERS[t](feeds) for t in GOLD_TABLES if t not in ("transaction_item", "discounts")}
+    built |= {"transaction_item": items, "discounts": gold.discounts(feeds, line_items=items)}
+    sides = [quality.gold_side(t, built[t]) for t in GOLD_TABLES]
+    return quality.metrics(sides + [quality.staging_side(t, feeds[STAGING_OF[t]]) for t in GOLD_TABLES], GOLD_TABLES)
 
 
 @query
@@ -471,6 +593,28 @@ def dq_reconcile(spark, sf):
     )
 
 
+@query
+def dq_reconcile_by_date(spark, sf):
+    """One row moved from one date to another: totals agree, two dates do not."""
+    feeds = star.feeds(spark, sf, "transactions")
+    built = gold.transactions(feeds)
+    row = built.agg(F.min("SourceTransactionNumber").alias("n"), F.min("dt").alias("d"), F.max("dt").alias("e")).first()
+    other = F.when(F.col("dt") == row["e"], row["d"]).otherwise(row["e"])
+    wrong = built.withColumn("dt", F.when(F.col("SourceTransactionNumber") == row["n"], other).otherwise(F.col("dt")))
+    return quality.evaluate(quality.table_metrics("transactions", wrong, feeds["transactions"])).select(
+        "entity_type", "source_count", "destination_count", "dates_differing", "reason", "event_result"
+    )
+
+
+@query
+def dq_name_gate_success(spark, sf):
+    """Every tender under a name of its own."""
+    feeds = star.feeds(spark, sf, "tenders", "transactions")
+    named = gold.tender_transactions(feeds).withColumn("customer_name", F.col("sourcetransactionnumber"))
+    measured = quality.table_metrics("tenders", named, feeds["tenders"])
+    return quality.evaluate(measured).select("source_count", "destination_count", "distinct_names", "event_result")
+
+
 @query
 def dq_mandatory_fields(spark, sf):
     """Transactions that kept the NULLs of their key parts: each table then has rows without a check id."""
@@ -559,6 +703,34 @@ def run_daily(spark, sf):
     return _tagged({t: quality.counts_per_date(read_gold(spark, f"{base}/gold", t)) for t in GOLD_TABLES}, "entity_type")
 
 
+@query
+def run_weekly(spark, sf):
+    """Two days of daily runs leave their dimensions; the weekly run takes five feeds, those, and no settlement files."""
+    base = scratch_dir(spark, "weekly")
+    days, dates = "19950101,19960201", F.col("dt").isin(19950101, 19960201)
+    raw = {f: df.filter(dates) for f, df in star.raw_feeds(spark, sf, *POS_FEEDS, complete=True).items()}
+    carry_over_dimensions({f: raw[f] for f in DIMENSIONS}, f"{base}/weekly_staging")
+    for feed in raw:
+        if feed not in DIMENSIONS:
+            write_feed_files(raw[feed], f"{base}/landing", feed)
+    archive_feed(star.settlement_files(spark, sf).hint("rebalance", "file_dt"), f"{base}/archive", "settlement")
+    run_paths(
+        spark, f"{base}/landing", f"{base}/none/SETTLE_*", f"{base}/archive", f"{base}/gold", dates=days, schedule="weekly",
+        dimensions=f"{base}/weekly_staging", audit_path=f"{base}/audit", brand="brand_a", as_of=AS_OF,
+    )
+    return _tagged({t: quality.counts_per_date(read_gold(spark, f"{base}/gold", t)) for t in GOLD_TABLES}, "entity_type")
+
+
+@query
+def run_manifest(spark, sf):
+    base = scratch_dir(spark, "manifest")
+    run(
+        spark, star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True), f"{base}/gold", audit_path=f"{base}/audit",
+        brand="brand_a", schedule="daily", as_of=AS_OF, tables=("transactions", "transaction_item"),
+    )
+    return read_manifest(spark, f"{base}/gold").select("entity_type", "dt", "part", "file_name")
+
+
 # --- arrivals and selection ------------------------------------------------------------------------------------------
 
 @query
@@ -610,7 +782,7 @@ def select_dates(spark, sf):
 def select_files_by_date(spark, sf):
     files = arrivals.classify(star.arrival_keys(spark, sf)).withColumnRenamed("file_name", "name")
     return _tagged({
-        feed: selection.files_of(files, "feed", feed, "202401").select("event_id", "name") for feed in POS_FEEDS
+        feed: selection.files_of(files, "feed", feed, "20240115").select("event_id", "name") for feed in POS_FEEDS
     }, "feed")
 
 
@@ -631,23 +803,56 @@ def stream_arrivals_(spark, sf):
     return spark.read.parquet(f"{base}/out").select("key", "size", "brand", "schedule", "place", "feed", "dt")
 
 
+def _settled(spark: SparkSession, dates: DataFrame) -> DataFrame:
+    return star.settlement_notifications(dates)
+
+
 @query
 def stream_ready_dates(spark, sf):
     base = scratch_dir(spark, "stream")
-    source = _notification_stream(spark, star.notifications(spark, sf), f"{base}/in")
-    stream_completeness(
-        source, star.settlement_dates(spark, sf), f"{base}/ledger", f"{base}/ready", f"{base}/checkpoint"
-    ).awaitTermination()
+    notices = star.notifications(spark, sf).union(_settled(spark, star.settlement_dates(spark, sf)))
+    source = _notification_stream(spark, notices, f"{base}/in")
+    stream_completeness(source, f"{base}/ledger", f"{base}/ready", f"{base}/checkpoint").awaitTermination()
     return read_ready(spark, f"{base}/ready").select("brand", "schedule", "dt").distinct()
 
 
 @query
-def stream_gold_line_item(spark, sf):
+def stream_ready_late_settlement(spark, sf):
+    """All feeds first and their settlement files last, in a second start of the stream."""
     base = scratch_dir(spark, "stream")
-    source = _notification_stream(spark, star.order_notifications(spark, sf), f"{base}/in")
-    feeds = star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True)
+    for notices in (star.notifications(spark, sf), _settled(spark, star.settlement_dates(spark, sf))):
+        notices.write.mode("append").text(f"{base}/in")
+        source = read_notifications(spark, f"{base}/in")
+        stream_completeness(source, f"{base}/ledger", f"{base}/ready", f"{base}/checkpoint").awaitTermination()
+    return read_ready(spark, f"{base}/ready").select("brand", "schedule", "dt").distinct()
+
+
+def _stream_line_items(spark: SparkSession, sf: str, base: str, feeds: dict[str, DataFrame]) -> None:
+    notices = star.order_notifications(spark, sf).union(_settled(spark, star.order_months(spark, sf)))
+    source = _notification_stream(spark, notices, f"{base}/in")
     stream_gold(
-        source, lambda brand, schedule: feeds, star.order_settlement_dates(spark, sf), ledger=f"{base}/ledger",
-        out=f"{base}/gold", audit_path=f"{base}/audit", checkpoint=f"{base}/checkpoint", tables=("transaction_item",),
+        source, lambda brand, schedule: feeds, ledger=f"{base}/ledger", out=f"{base}/gold", rejected=f"{base}/rejected",
+        audit_path=f"{base}/audit", checkpoint=f"{base}/checkpoint", tables=("transaction_item",),
     ).awaitTermination()
+
+
+@query
+def stream_gold_line_item(spark, sf):
+    base = scratch_dir(spark, "stream")
+    _stream_line_items(spark, sf, base, star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True))
     return read_gold(spark, f"{base}/gold/brand_a/daily", "transaction_item")
+
+
+@query
+def stream_gold_rejects_date(spark, sf):
+    """One month lost the transaction of its items: rows per published month, and the month that was rejected."""
+    base = scratch_dir(spark, "stream")
+    feeds = star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True)
+    number = F.when(F.col("dt") != 19960301, F.col("sourcetransactionnumber"))
+    feeds["transaction_item"] = feeds["transaction_item"].withColumn("sourcetransactionnumber", number)
+    _stream_line_items(spark, sf, base, feeds)
+    good = quality.counts_per_date(read_gold(spark, f"{base}/gold/brand_a/daily", "transaction_item"))
+    bad = read_rejected(spark, f"{base}/rejected")
+    return good.select("dt", "rows", F.lit(False).alias("rejected")).unionByName(
+        bad.select("dt", F.lit(0).cast("bigint").alias("rows"), F.lit(True).alias("rejected"))
+    )

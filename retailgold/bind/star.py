@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,14 +71,18 @@ def _null_every(n: int, key: str, c: Column) -> Column:
     return F.when(F.col(key) % n != 0, c)
 
 
-def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
+def _order_lines(spark: SparkSession, sf: str, numbered: bool = True) -> DataFrame:
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount")
+    if numbered:
+        # the tables hold lines with equal keys; the copy's number makes item numbers unique
+        copies = Window.partitionBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").orderBy("l_discount")
+        lines = lines.withColumn("copy", F.row_number().over(copies))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _item_number() -> Column:
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "copy")
 
 
 def _code() -> Column:
@@ -151,7 +155,7 @@ def trans_disc_xref(spark: SparkSession, sf: str) -> DataFrame:
 
 def discounts(spark: SparkSession, sf: str) -> DataFrame:
     """Every code of every date, one of them listed twice."""
-    codes = _order_lines(spark, sf).filter("l_discount > 0").select(_code().alias("code"), _dt().alias("d")).distinct()
+    codes = _order_lines(spark, sf, numbered=False).filter("l_discount > 0").select(_code().alias("code"), _dt().alias("d")).distinct()
     rows = _feed(
         codes, "discounts", F.col("d"), discountcode=F.col("code"),
         discountdescription=F.concat(F.col("code"), F.lit(" percent")), discounttype=F.lit("PCT"),
@@ -261,10 +265,21 @@ def settlement_dates(spark: SparkSession, sf: str) -> DataFrame:
     return day.select(F.date_format("ts", "yyyyMMdd").cast("int").alias("dt")).distinct()
 
 
+def settlement_notifications(dates: DataFrame) -> DataFrame:
+    """One announced settlement file per day."""
+    return _as_json(dates.select(
+        F.lit("2024-01-01 00:00:00").alias("event_time"), F.concat(F.lit("settlement/SETTLE_"), "dt", F.lit(".csv")).alias("key"),
+        F.lit(1).cast("long").alias("size"),
+    ))
+
+
+def order_months(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(_dt().cast("int").alias("dt")).distinct()
+
+
 def order_notifications(spark: SparkSession, sf: str) -> DataFrame:
     """Daily arrivals of the order months, one per feed; the tenders of each July have not come."""
-    months = table(spark, sf, "orders").select(_dt().cast("int").alias("dt")).distinct()
-    arrived = months.select("dt", F.explode(F.array(*[F.lit(f) for f in POS_FEEDS])).alias("feed")).filter(
+    arrived = order_months(spark, sf).select("dt", F.explode(F.array(*[F.lit(f) for f in POS_FEEDS])).alias("feed")).filter(
         ~((F.col("feed") == "tenders") & (F.floor(F.col("dt") / 100) % 100 == 7))
     )
     return _as_json(arrived.select(
@@ -272,7 +287,3 @@ def order_notifications(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("brand_a/daily/"), "feed", F.lit("/feed_"), "feed", F.lit("_"), "dt", F.lit(".psv.gz")).alias("key"),
         F.length("feed").cast("long").alias("size"),
     ))
-
-
-def order_settlement_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(_dt().cast("int").alias("dt")).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailgold.functions import date_from_name, feed_from_name, file_name
+from retailgold.operators.selection import real_day
 from retailgold.schemas import DIMENSIONS, POS_FEEDS
 
 _RECORD = "eventTime: string, s3: struct<bucket: struct<name: string>, object: struct<key: string, size: bigint, eTag: string>>"
@@ -15,7 +16,7 @@ _NOTICE = f"Records array<struct<{_RECORD}>>"
 _ENVELOPE = f"Records array<struct<Sns: struct<Message: string>, {_RECORD}>>"
 
 DAILY, WEEKLY = "daily", "weekly"
-REMOTE, STAGED = "remote", "staged"
+REMOTE, STAGED, SETTLEMENT = "remote", "staged", "settlement"
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,7 @@ class Routes:
 
     remote: tuple[str, ...] = ("brand_a/daily/", "brand_b/daily/", "brand_a/weekly/", "brand_b/weekly/")
     staged: tuple[str, ...] = ("brand_a/weekly_staging/", "brand_b/weekly_staging/")
+    settlement: tuple[str, ...] = ("settlement/",)
     second_brand: str = "brand_b"
     first_brand: str = "brand_a"
 
@@ -67,24 +69,33 @@ def relevant(arrivals: DataFrame, routes: Routes = Routes()) -> DataFrame:
     for feed in DIMENSIONS:
         dimension = dimension | key.contains(feed)
     return arrivals.filter(
-        _starts_with_any(key, routes.remote) | (_starts_with_any(key, routes.staged) & dimension)
+        _starts_with_any(key, routes.remote + routes.settlement) | (_starts_with_any(key, routes.staged) & dimension)
     )
 
 
 def classify(arrivals: DataFrame, routes: Routes = Routes()) -> DataFrame:
-    """Adds brand, schedule (``weekly`` wins over ``daily``; NULL for neither), place, feed and date."""
+    """Adds brand, schedule (``weekly`` wins over ``daily``; NULL for neither), place, feed and date.
+
+    A settlement file belongs to all brands and schedules, so it has none.  The date is NULL where the name holds no real day.
+    """
     key = F.col("key")
+    settlement = _starts_with_any(key, routes.settlement)
     return arrivals.select(
         "*",
-        F.when(key.contains(routes.second_brand), routes.second_brand).otherwise(routes.first_brand).alias("brand"),
-        F.when(F.lower(key).contains(WEEKLY), WEEKLY).when(F.lower(key).contains(DAILY), DAILY).alias("schedule"),
-        F.when(_starts_with_any(key, routes.staged), STAGED).otherwise(REMOTE).alias("place"),
+        F.when(~settlement, F.when(key.contains(routes.second_brand), routes.second_brand).otherwise(routes.first_brand)).alias("brand"),
+        F.when(settlement, F.lit(None)).when(F.lower(key).contains(WEEKLY), WEEKLY).when(F.lower(key).contains(DAILY), DAILY).alias("schedule"),
+        F.when(settlement, SETTLEMENT).when(_starts_with_any(key, routes.staged), STAGED).otherwise(REMOTE).alias("place"),
         file_name(key).alias("file_name"),
-        feed_from_name(key).alias("feed"),
-        date_from_name(key).try_cast("int").alias("dt"),
+        F.when(settlement, SETTLEMENT).otherwise(feed_from_name(key)).alias("feed"),
+        real_day(date_from_name(key)).alias("dt"),
     )
 
 
+def settled(classified: DataFrame) -> DataFrame:
+    """Days whose settlement file has come."""
+    return classified.filter((F.col("place") == SETTLEMENT) & F.col("dt").isNotNull()).select("dt").distinct()
+
+
 def route(notifications: DataFrame, routes: Routes = Routes()) -> DataFrame:
     """Parse, filter and classify; stateless, so the same for a batch and a stream."""
     return classify(relevant(parse(notifications), routes), routes)
@@ -98,17 +109,18 @@ def _seen(feed: str) -> Column:
     return F.coalesce(F.bool_or((F.col("feed") == feed) & hit), F.lit(False))
 
 
-def completeness(classified: DataFrame, settlement_dates: DataFrame) -> DataFrame:
+def completeness(classified: DataFrame, settlement_dates: DataFrame | None = None) -> DataFrame:
     """Per brand, schedule and date: what is missing and whether the date is ready.
 
+    Without ``settlement_dates`` the settlement files among the arrivals count.
     One flag per required feed instead of a set: the partial aggregate has a fixed size however often a file is announced.
     """
     feeds = classified.filter(F.col("dt").isNotNull() & F.col("schedule").isNotNull()).groupBy("brand", "schedule", "dt").agg(
         *[_seen(f).alias(f"has_{f}") for f in POS_FEEDS]
     )
-    settled = settlement_dates.select("dt").distinct().withColumn("has_settlement", F.lit(True))
+    days = settled(classified) if settlement_dates is None else settlement_dates.select("dt").distinct()
     return (
-        feeds.join(settled, "dt", "left")
+        feeds.join(days.withColumn("has_settlement", F.lit(True)), "dt", "left")
         .select(
             "brand", "schedule", "dt",
             F.concat_ws(",", *[F.when(~F.col(f"has_{f}"), f) for f in POS_FEEDS]).alias("missing"),
@@ -118,11 +130,11 @@ def completeness(classified: DataFrame, settlement_dates: DataFrame) -> DataFram
     )
 
 
-def ready(classified: DataFrame, settlement_dates: DataFrame) -> DataFrame:
+def ready(classified: DataFrame, settlement_dates: DataFrame | None = None) -> DataFrame:
     return completeness(classified, settlement_dates).filter("ready").select("brand", "schedule", "dt")
 
 
-def missing(classified: DataFrame, settlement_dates: DataFrame) -> DataFrame:
+def missing(classified: DataFrame, settlement_dates: DataFrame | None = None) -> DataFrame:
     return completeness(classified, settlement_dates).filter("not ready").select(
         "brand", "schedule", "dt", "missing", "has_settlement"
     )

@@ -1,6 +1,6 @@
 """Reconciliation, mandatory fields, name match rate and the audit row.
 
-Each side of a check is one aggregate; the sides meet by ``union`` and a second, tiny aggregate.  Everything stays lazy, so the
+Each side of a check is one aggregate by date; the sides meet by ``union`` and second, tiny aggregates.  Everything stays lazy, so the
 checks of all tables can run as one job.
 """
 
@@ -19,16 +19,19 @@ CHECK_ID_TABLES = ("transactions", "transaction_item", "tenders", "discounts")
 TIMESTAMP_TABLES = ("transaction_item",)
 NAME_TABLE = "tenders"
 MIN_NAME_RATIO = 0.2
-EVENT_TYPE, DATA_CATEGORY = "transformer", "pos"
+DATA_CATEGORY = "pos"
 SUCCESS, WARNING, FAILURE = "SUCCESS", "WARNING", "FAILURE"
 # --- end of fixed values ---------------------------------------------------------------------------------------------
 
+EVENT_TYPE = "gold_run"
+
 # row layout of ``evaluate``
 CHECKED_LAYOUT = (
     "entity_type string, source_count bigint, destination_count bigint, missing_check_id bigint, missing_timestamp bigint, "
-    "distinct_names bigint, name_ratio double, reason string, event_result string"
+    "distinct_names bigint, dates_differing bigint, name_ratio double, reason string, event_result string"
 )
 _METRICS = ("source_count", "destination_count", "missing_check_id", "missing_timestamp", "distinct_names")
+DATED_LAYOUT = "entity_type string, dt int, " + ", ".join(f"{m} bigint" for m in _METRICS)
 
 
 def missing_rows(df: DataFrame, column: str) -> DataFrame:
@@ -49,36 +52,54 @@ def counts_per_date(df: DataFrame, date: str = "dt") -> DataFrame:
     return df.groupBy(date).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _side(table: str, df: DataFrame, **metrics: Column) -> DataFrame:
+def _side(table: str, df: DataFrame, by: list[Column], **metrics: Column) -> DataFrame:
     zero = F.lit(0).cast("long")
-    row = df.agg(*[metrics.get(m, zero).cast("long").alias(m) for m in _METRICS])
-    return row.select(F.lit(table).alias("entity_type"), *_METRICS)
+    rows = df.groupBy(*by).agg(*[metrics.get(m, zero).cast("long").alias(m) for m in _METRICS])
+    dt = F.col("dt").cast("int") if by else F.lit(None).cast("int").alias("dt")
+    return rows.select(F.lit(table).alias("entity_type"), dt, *_METRICS)
 
 
 def gold_side(table: str, gold: DataFrame) -> DataFrame:
-    """All checks on one gold table in one pass over the columns they need."""
+    """All checks on one gold table by date, in one pass over the columns they need; distinct names go over all dates."""
     metrics = {"destination_count": F.count(F.lit(1))}
     if table in CHECK_ID_TABLES:
         metrics["missing_check_id"] = F.count_if(is_missing(F.col("check_id")))
     if table in TIMESTAMP_TABLES:
         metrics["missing_timestamp"] = F.count_if(is_missing(F.col("transactiontimestamp")))
-    if table == NAME_TABLE:
-        metrics["distinct_names"] = distinct_with_null("customer_name")
-    return _side(table, gold, **metrics)
+    dated = _side(table, gold, [F.col("dt")], **metrics)
+    if table != NAME_TABLE:
+        return dated
+    return dated.unionByName(_side(table, gold, [], distinct_names=distinct_with_null("customer_name")))
 
 
 def staging_side(table: str, staging: DataFrame) -> DataFrame:
-    return _side(table, staging, source_count=F.count(F.lit(1)))
+    return _side(table, staging, [F.col("dt")], source_count=F.count(F.lit(1)))
 
 
-def metrics(sides: list[DataFrame]) -> DataFrame:
-    """One row per table from any number of gold and staging sides."""
+def dated_metrics(sides: list[DataFrame]) -> DataFrame:
+    """One row per table and date from any number of gold and staging sides."""
     rows = reduce(DataFrame.unionByName, sides)
-    return rows.groupBy("entity_type").agg(*[F.sum(m).alias(m) for m in _METRICS])
+    return rows.groupBy("entity_type", "dt").agg(*[F.sum(m).alias(m) for m in _METRICS])
+
+
+def summed(dated: DataFrame, tables: tuple[str, ...] = ()) -> DataFrame:
+    """One row per table; ``dates_differing`` counts the dates on which the two sides differ.
+
+    A table without any row on either side is only known if it is among ``tables``.
+    """
+    if tables:
+        dated = dated.unionByName(dated.sparkSession.createDataFrame([(t, None, *[0] * len(_METRICS)) for t in tables], DATED_LAYOUT))
+    return dated.groupBy("entity_type").agg(
+        *[F.sum(m).alias(m) for m in _METRICS], F.count_if(F.col("source_count") != F.col("destination_count")).alias("dates_differing")
+    )
+
+
+def metrics(sides: list[DataFrame], tables: tuple[str, ...] = ()) -> DataFrame:
+    return summed(dated_metrics(sides), tables)
 
 
 def table_metrics(table: str, gold: DataFrame, staging: DataFrame) -> DataFrame:
-    return metrics([gold_side(table, gold), staging_side(table, staging)])
+    return metrics([gold_side(table, gold), staging_side(table, staging)], (table,))
 
 
 def evaluate(measured: DataFrame) -> DataFrame:
@@ -95,6 +116,8 @@ def evaluate(measured: DataFrame) -> DataFrame:
         F.when(empty, F.lit("zero rows")),
         F.when(F.col("destination_count") != F.col("source_count"), F.format_string(
             "row count %d differs from staging row count %d", "destination_count", "source_count")),
+        F.when((F.col("destination_count") == F.col("source_count")) & (F.col("dates_differing") > 0), F.format_string(
+            "row counts of %d dates differ from staging", "dates_differing")),
         F.when(F.col("missing_check_id") > 0, F.format_string("%d rows without check_id", "missing_check_id")),
         F.when(F.col("missing_timestamp") > 0,
                F.format_string("%d rows without transactiontimestamp", "missing_timestamp")),
@@ -122,7 +145,7 @@ def counts_by_date(gold: DataFrame, staging: DataFrame) -> DataFrame:
 
 def audit_rows(
     evaluated: DataFrame, *, brand: str, ingestion_date: str, source: str, destination: str,
-    start: Column, end: Column, notes: dict[str, str] | None = None,
+    start: Column, end: Column, notes: dict[str, str] | None = None, event_type: str = EVENT_TYPE,
 ) -> DataFrame:
     """The 13-column audit row of every evaluated table."""
     note_fields = [F.lit(v).alias(k) for k, v in sorted((notes or {}).items())]
@@ -131,7 +154,7 @@ def audit_rows(
         F.nullif(F.col("reason"), F.lit("")).alias("FAILURE_REASON"),
     ))
     return evaluated.select(
-        F.lit(brand).alias("BRAND_SID"), F.lit(EVENT_TYPE).alias("EVENT_TYPE"), F.lit(DATA_CATEGORY).alias("DATA_CATEGORY"),
+        F.lit(brand).alias("BRAND_SID"), F.lit(event_type).alias("EVENT_TYPE"), F.lit(DATA_CATEGORY).alias("DATA_CATEGORY"),
         F.lit(ingestion_date).alias("INGESTION_DATE"), F.col("entity_type").alias("ENTITY_TYPE"),
         F.col("source_count").alias("SOURCE_COUNT"), F.col("destination_count").alias("DESTINATION_COUNT"),
         F.lit(source).alias("SOURCE"), F.lit(destination).alias("DESTINATION"),

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # --- fixed values ----------------------------------------------------------------------------------------------------
 SETTLEMENT_START = "20200910"
 NEVER = "99990101"
+# a daily run takes settlement files after the start day, a weekly one takes none
+SETTLEMENT_AFTER = {"daily": SETTLEMENT_START, "weekly": NEVER}
 # --- end of fixed values ---------------------------------------------------------------------------------------------
 
 
@@ -26,6 +28,21 @@ def in_date_spec(spec: str, dt: Column | None = None) -> Column:
     return dt == int(spec)
 
 
+def spec_holds(spec: str | None, dt: int) -> bool:
+    """``in_date_spec`` for one known date; without a spec nothing is asked for."""
+    if spec is None:
+        return False
+    if "," in spec:
+        return dt in {int(d) for d in spec.split(",")}
+    first, _, last = spec.partition(":")
+    return int(first) <= dt <= int(last or first)
+
+
+def real_day(text: Column) -> Column:
+    """``yyyyMMdd`` text as a number where it is a day of the calendar, else NULL."""
+    return F.when(F.try_to_date(text, "yyyyMMdd").isNotNull(), text.try_cast("int"))
+
+
 def select_dates(df: DataFrame, spec: str) -> DataFrame:
     return df.filter(in_date_spec(spec))
 

@@ -1,13 +1,18 @@
 """One gold run: build, validate, and only then publish.
 
-Jobs per run: one count of all staging feeds, then per table one write of the built rows (Parquet, in the shared scratch folder),
-one aggregate over what was written, and, once every table has passed, one publishing write.  The joins run once; validation
-and publication read their result.  Checks read the written rows rather than metrics observed during the write, because a
-task that is run again after a lost executor would be observed twice.
+Jobs per run: one count of all staging feeds by date, one list of the tenders' days, per table one write of the built rows
+(Parquet, in the shared scratch folder), one aggregate over all that was written, and, once every table has passed, per table
+one write of its files; then the manifest and the audit log.  Tables that need no other one are built side by side.  The joins run
+once; validation and publication read their result.  Checks read the written rows rather than metrics observed during the
+write, because a task that is run again after a lost executor would be observed twice.
+
+Files are written where no reader looks and moved when all tables' writes have succeeded.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -16,18 +21,18 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from retailgold.folders import discard
 from retailgold.functions import settlement_date
 from retailgold.operators import gold, quality
-from retailgold.operators.selection import after_start, in_date_spec
+from retailgold.operators.selection import NEVER, SETTLEMENT_AFTER, after_start, in_date_spec, spec_holds
 from retailgold.operators.typed import type_feeds
-from retailgold.schemas import GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
-from retailgold.session import drop_scratch, scratch_dir
-from retailgold.sinks import archive_feed, publish, store, write_audit
+from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform, feed_layout
+from retailgold.session import configure, drop_scratch, scratch_dir
+from retailgold.sinks import (
+    archive_feed, archived_settlement_files, carry_over_dimensions, stage_gold, store, switch_gold, write_audit, write_manifest,
+)
 from retailgold.sinks.gold_files import ROWS_PER_FILE
-from retailgold.sources import read_feed, read_settlement
-
-
-_MAX_REASON = 100_000
+from retailgold.sources import read_feed, read_settlement, run_sql, settlement_files
 
 
 class GateFailure(RuntimeError):
@@ -43,41 +48,40 @@ class GateFailure(RuntimeError):
 
 @dataclass(frozen=True)
 class RunResult:
-    """Event result and published folder per table."""
+    """Event result and published folder per table, and where the list of published files is."""
 
     results: dict[str, str]
     published: dict[str, str]
+    manifest: str | None = None
 
 
 def stage_feeds(
-    raw: dict[str, DataFrame], path: str, *, settlement_after: str | None = None,
+    raw: dict[str, DataFrame], path: str, *, settlement_after: str | None = None, dates: str | None = None,
 ) -> dict[str, DataFrame]:
     """Archive all raw feeds as Parquet and give them back from there, so that gzip text is parsed once.
 
     An archive holds earlier dates too: ``run(dates=...)`` picks those to build.  With ``settlement_after`` only settlement
-    files dated after that day are taken.
+    files dated after that day are taken.  Dates that ``dates`` asks for and a feed does not have are removed from its archive.
     """
     if settlement_after is not None:
+        if not raw["settlement"].filter(F.col("file_dt").isNull()).isEmpty():
+            raise ValueError("settlement rows of a file without a date in its name")
         raw = {**raw, "settlement": after_start(raw["settlement"], settlement_after, "file_dt")}
-    return {feed: archive_feed(df, path, feed) for feed, df in raw.items()}
+    return {feed: archive_feed(df, path, feed, lambda dt: spec_holds(dates, dt)) for feed, df in raw.items()}
 
 
 def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Keep the settlement days between the tenders' first and last day; no other day can match."""
-    days = feeds["tenders"].agg(F.min("transactiondate").alias("first"), F.max("transactiondate").alias("last")).first()
+    """Keep the settlement of the tenders' days; no other day can match.
+
+    The days are calendar days, and as values they pick partitions of the archive before any file is opened.
+    """
+    days = [r["day"] for r in feeds["tenders"].select(F.col("transactiondate").alias("day")).distinct().collect() if r["day"]]
     settlement = feeds["settlement"]
     if "settlement_day" in settlement.columns:
         day = F.col("settlement_day")
     else:
         day = settlement_date(F.col("store_transaction_date_time"))
-    if days["first"] is None:
-        return {**feeds, "settlement": settlement.filter(F.lit(False))}
-    return {**feeds, "settlement": settlement.filter(day.between(F.lit(days["first"]), F.lit(days["last"])))}
-
-
-def _staging_counts(feeds: dict[str, DataFrame], tables: tuple[str, ...]) -> dict[str, int]:
-    sides = [quality.staging_side(t, feeds[STAGING_OF[t]]) for t in tables]
-    return {r["entity_type"]: r["source_count"] for r in quality.metrics(sides).collect()}
+    return {**feeds, "settlement": settlement.filter(day.isin(days) if days else F.lit(False))}
 
 
 def _now() -> datetime:
@@ -85,111 +89,182 @@ def _now() -> datetime:
 
 
 def _build(
-    feeds: dict[str, DataFrame], table: str, built: dict[str, DataFrame], scratch: str, strict: bool,
+    spark: SparkSession, feeds: dict[str, DataFrame], table: str, built: dict[str, DataFrame], scratch: str, strict: bool, sql: dict[str, str],
 ) -> DataFrame:
     """Build one table into the scratch folder and give it back from there."""
-    if table == "discounts" and "transaction_item" in built:
+    if table in sql:
+        df = run_sql(spark, feeds, sql[table])
+    elif table == "discounts" and "transaction_item" in built:
         df = gold.discounts(feeds, line_items=built["transaction_item"])
     else:
         df = gold.BUILDERS[table](feeds)
-    contract = conform(df, table)  # also fails on a missing column
-    df = contract if strict else df
-    return store(df, f"{scratch}/{table}")
+    return store(conform(df, table, unknown=not strict), f"{scratch}/{table}")
 
 
-def _publish_all(
-    spark: SparkSession, built: dict[str, DataFrame], out: str, rows_per_file: int,
-) -> dict[str, str | Exception]:
-    """Publish the tables side by side, so that one table's last tasks do not leave the cluster idle.
-
-    Gives the folder per table, or what went wrong.
-    """
-    def one(table: str) -> str | Exception:
+def _side_by_side(spark: SparkSession, tables: list[str], step: Callable[[str], object]) -> dict[str, object]:
+    """The step's result per table, or what went wrong; all tables at the same time."""
+    def one(table: str) -> object:
         try:
-            return publish(built[table], out, table, rows_per_file=rows_per_file)
+            return step(table)
         except Exception as error:
             return error
 
-    with ThreadPoolExecutor(max_workers=len(built)) as pool:
-        return dict(zip(built, pool.map(inheritable_thread_target(spark)(one), built)))
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        return dict(zip(tables, pool.map(inheritable_thread_target(spark)(one), tables)))
 
 
-def _crashed(table: str, source_count: int | None, error: Exception) -> tuple:
-    """A checked row for a step that raised."""
-    return (table, source_count, None, None, None, None, None, str(error)[:_MAX_REASON], quality.FAILURE)
+@dataclass
+class _Checked:
+    """What the audit log says of a table."""
+
+    table: str
+    source_count: int | None
+    destination_count: int | None = None
+    missing_check_id: int | None = None
+    missing_timestamp: int | None = None
+    distinct_names: int | None = None
+    dates_differing: int | None = None
+    name_ratio: float | None = None
+    reason: str = ""
+    event_result: str = quality.FAILURE
+    started: datetime | None = None
+    ended: datetime | None = None
+
+    def row(self) -> tuple:
+        return (
+            self.table, self.source_count, self.destination_count, self.missing_check_id, self.missing_timestamp, self.distinct_names,
+            self.dates_differing, self.name_ratio, self.reason, self.event_result, self.started, self.ended,
+        )
 
 
 def run(
     spark: SparkSession, raw: dict[str, DataFrame], out: str, *, audit_path: str, brand: str, schedule: str, as_of: str,
     dates: str | None = None, tables: tuple[str, ...] = GOLD_TABLES, rows_per_file: int = ROWS_PER_FILE,
-    strict_contract: bool = False,
+    strict_contract: bool = False, sql: dict[str, str] | None = None, scratch: str | None = None,
 ) -> RunResult:
     """Build the gold tables of one brand and schedule from its raw feeds and publish them below ``out``.
 
-    ``dates`` (``d``, ``d1,d2`` or ``d1:d2``) limits every dated feed; ``as_of`` is the run day.  The first table that fails stops the
-    run: the audit log gets the rows so far, ``GateFailure`` is raised and no table is published.  ``strict_contract`` keeps
-    exactly the contract's columns; otherwise unknown columns of a feed pass through.
+    ``dates`` (``d``, ``d1,d2`` or ``d1:d2``) limits every dated feed; ``as_of`` is the run day.  The first table that fails ends the
+    run: the audit log gets the rows up to it, ``GateFailure`` is raised and no table is published.  A date that the run covers
+    and that has no rows any more goes from the gold.  ``strict_contract`` keeps exactly the contract's columns; otherwise unknown
+    columns of a feed follow them.  ``sql`` gives a user's own text, over the typed feeds, for some tables; its rows pass the same
+    checks.  Built tables lie below ``scratch`` until the run ends.
     """
+    configure(spark)
+    sql = sql or {}
     feeds = type_feeds(raw)
     if dates is not None:
         # settlement files are not dated like the feeds: a day's settlement may come in a later file
         feeds = {n: df if n == "settlement" else df.filter(in_date_spec(dates)) for n, df in feeds.items()}
-    scratch = scratch_dir(spark, f"gold-{brand}-{schedule}")
-    built: dict[str, DataFrame] = {}
-    checked: list[tuple] = []
-    staged_rows: dict[str, int] = {}
-    by_date: list[Row] = []
-    crash = None
+    scratch = scratch_dir(spark, f"gold-{brand}-{schedule}", scratch)
+    began, failed, crash, by_date, published = _now(), None, None, [], {}
+    staged_rows: dict[str, int | None] = dict.fromkeys(tables)
+    checked: list[_Checked] = []
     try:
+        built: dict[str, object] = {}
+        try:
+            counts = quality.dated_metrics([quality.staging_side(t, feeds[STAGING_OF[t]]) for t in tables]).collect()
+            staged_rows = {t: sum(r["source_count"] for r in counts if r["entity_type"] == t) for t in tables}
+            if "tenders" in tables:
+                feeds = _prune_settlement(feeds)
+        except Exception as error:
+            built = dict.fromkeys(tables, error)
+        build = lambda t: _build(spark, feeds, t, built, scratch, strict_contract, sql)
+        if not built:
+            built = _side_by_side(spark, [t for t in tables if t != "discounts"], build)
+            if "discounts" in tables and not isinstance(built.get("transaction_item"), Exception):
+                built |= _side_by_side(spark, ["discounts"], build)
+        # tables up to the first that could not be built are checked, in one job
+        whole = []
         for table in tables:
-            started = _now()
-            try:
-                staged_rows = staged_rows or _staging_counts(feeds, tables)
-                if table == "tenders":
-                    feeds = _prune_settlement(feeds)
-                built[table] = _build(feeds, table, built, scratch, strict_contract)
-                measured = quality.gold_side(table, built[table]).withColumn("source_count", F.lit(staged_rows[table]))
-                row = tuple(quality.evaluate(measured).first())
-                if row[-1] == quality.FAILURE:
-                    both = quality.counts_by_date(built[table], feeds[STAGING_OF[table]])
-                    by_date = both.filter("difference <> 0").orderBy("dt").collect()
-            except Exception as error:  # a crash is audited like a failed check, then raised
-                crash = error
-                row = _crashed(table, staged_rows.get(table), error)
-            checked.append((*row, started, _now()))
-            if row[-1] == quality.FAILURE:
+            if isinstance(built[table], Exception):
+                crash = built[table]
                 break
-
-        published = {}
-        if checked[-1][8] != quality.FAILURE:
-            published = _publish_all(spark, built, out, rows_per_file)
-            for i, (table, *_, started, _) in enumerate(checked):
-                if isinstance(published[table], Exception):
-                    crash = published[table]
-                    checked[i] = (*_crashed(table, staged_rows[table], crash), started, _now())
-
-        log = spark.createDataFrame(checked, f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
+            whole.append(table)
+        evaluated, sizes = _evaluate(spark, built, whole, counts) if whole else ({}, {})
+        for table in whole:
+            checked.append(_Checked(*evaluated[table], started=began, ended=_now()))
+            if checked[-1].event_result == quality.FAILURE:
+                failed, crash = checked[-1], None
+                both = quality.counts_by_date(built[table], feeds[STAGING_OF[table]])
+                by_date = both.filter("difference <> 0").orderBy("dt").collect()
+                break
+        if failed is None and len(whole) < len(tables):
+            failed = _Checked(tables[len(whole)], staged_rows[tables[len(whole)]], reason=str(crash), started=began, ended=_now())
+            checked.append(failed)
+        if failed is None:
+            covered = {r["dt"] for r in counts}
+            staged = _side_by_side(spark, list(tables), lambda t: stage_gold(built[t], out, t, rows_per_file, sizes[t]))
+            broken = next((t for t in tables if isinstance(staged[t], Exception)), None)
+            if broken is None:
+                gone = lambda dt: dt in covered or spec_holds(dates, dt)
+                published = {t: switch_gold(spark, staged[t], out, t, gone) for t in tables}
+            else:
+                crash = staged[broken]
+                for c in checked:  # what passed is not published either
+                    c.event_result, c.ended = quality.FAILURE, _now()
+                    c.reason = str(crash) if c.table == broken else f"not published, because {broken} could not be written"
+                failed = next(c for c in checked if c.table == broken)
+                for folder in staged.values():
+                    if not isinstance(folder, Exception):
+                        discard(spark, folder)
+        manifest = write_manifest(spark, out, list(published), schedule=schedule, as_of=as_of) if published else None
+        log = spark.createDataFrame([c.row() for c in checked], f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
         write_audit(quality.audit_rows(
             log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
             start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
         ), audit_path)
-        failed = next((c for c in checked if c[8] == quality.FAILURE), None)
         if failed is not None:
-            raise GateFailure(failed[0], failed[7], by_date) from crash
-        return RunResult({c[0]: c[8] for c in checked}, published)
+            raise GateFailure(failed.table, failed.reason, by_date) from crash
+        return RunResult({c.table: c.event_result for c in checked}, published, manifest)
     finally:
         drop_scratch(spark, scratch)
 
 
+def _evaluate(
+    spark: SparkSession, built: dict[str, DataFrame], tables: list[str], counts: list[Row],
+) -> tuple[dict[str, tuple], dict[str, dict[int | None, int]]]:
+    """The verdict per table, and the rows per date of each; one row per table and calendar day comes to the driver."""
+    measured = quality.dated_metrics([quality.gold_side(t, built[t]) for t in tables]).collect()
+    staged = [r for r in counts if r["entity_type"] in tables]
+    both = spark.createDataFrame([tuple(r) for r in measured + staged], quality.DATED_LAYOUT)
+    verdicts = quality.evaluate(quality.summed(quality.dated_metrics([both]), tuple(tables))).collect()
+    sizes: dict[str, dict[int | None, int]] = defaultdict(dict)
+    for r in measured:
+        if r["destination_count"]:
+            sizes[r["entity_type"]][r["dt"]] = r["destination_count"]
+    return {r["entity_type"]: tuple(r) for r in verdicts}, sizes
+
+
 def run_paths(
-    spark: SparkSession, staging: str, settlement: str | list[str], archive: str, out: str, *, dates: str,
-    settlement_after: str | None = None, **options,
+    spark: SparkSession, staging: str, settlement: str | list[str], archive: str, out: str, *, dates: str, schedule: str,
+    settlement_after: str | None = None, dimensions: str | None = None, **options,
 ) -> RunResult:
     """``run`` over feed files: ``staging/<feed>/dt=<date>/`` and settlement files by glob, landed in ``archive`` first.
 
-    Only the folders of ``dates`` are read.  ``options`` are those of ``run``.
+    Only the folders of ``dates`` are read.  Settlement files that are archived already are not read again, nor are those up to
+    ``settlement_after`` (by default the start day of a daily run; a weekly run takes none and uses what is archived).
+    ``dimensions`` is where a daily run leaves its dimensions for the weekly one, which takes them from there.  ``options`` are
+    those of ``run``.
     """
-    raw = {feed: read_feed(spark, staging, feed).filter(in_date_spec(dates)) for feed in POS_FEEDS}
-    raw["settlement"] = read_settlement(spark, settlement)
-    staged = stage_feeds(raw, archive, settlement_after=settlement_after)
-    return run(spark, staged, out, dates=dates, **options)
+    weekly = schedule == "weekly"
+    if weekly and dimensions is None:
+        raise ValueError("a weekly run takes its dimensions from the folder that the daily runs leave them in")
+    feeds = [f for f in POS_FEEDS if not (weekly and f in DIMENSIONS)]
+    raw = {feed: read_feed(spark, staging, feed, dates=dates) for feed in feeds}
+    if weekly:
+        raw |= {f: spark.read.schema(feed_layout(f)).parquet(f"{dimensions}/{f}").filter(in_date_spec(dates)) for f in DIMENSIONS}
+    asked = lambda dt: spec_holds(dates, dt)
+    staged = stage_feeds(raw, archive, dates=dates)
+    staged["settlement"] = stage_settlement(spark, settlement, archive, SETTLEMENT_AFTER[schedule] if settlement_after is None else settlement_after)
+    if not weekly and dimensions is not None:
+        carry_over_dimensions({f: staged[f].filter(in_date_spec(dates)) for f in DIMENSIONS}, dimensions, asked)
+    return run(spark, staged, out, dates=dates, schedule=schedule, **options)
+
+
+def stage_settlement(spark: SparkSession, paths: str | list[str], archive: str, after: str) -> DataFrame:
+    """Land the settlement files dated after a day that are not archived yet, and give back the whole archive."""
+    known = archived_settlement_files(spark, archive)
+    new = [] if after == NEVER else [path for path, day in settlement_files(spark, paths).items() if day > after and day not in known]
+    rows = read_settlement(spark, new) if new else spark.createDataFrame([], feed_layout("settlement")).withColumn("file_dt", F.lit(None).cast("int"))
+    return archive_feed(rows, archive, "settlement")

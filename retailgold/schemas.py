@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 
 def _layout(names: str, **typed: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(n, typed.get(n, T.StringType()), True) for n in names.split()])
+    types = {n.lower(): t for n, t in typed.items()}
+    return T.StructType([T.StructField(n, types.get(n.lower(), T.StringType()), True) for n in names.split()])
 
 
 # --- fixed values: feed columns, in file order -----------------------------------------------------------------------
@@ -45,24 +46,49 @@ FEED_COLUMNS = {
     ),
 }
 
-# --- fixed values: gold columns, in contract order -------------------------------------------------------------------
+# --- fixed values: gold columns, in the contract's order and spelling ------------------------------------------------
 GOLD_COLUMNS = {
-    "transactions": FEED_COLUMNS["transactions"] + " dt check_id",
-    "product_category": FEED_COLUMNS["product_category"] + " dt",
-    "product": FEED_COLUMNS["product"] + " dt Sourceproductcategoryname",
-    "organization": FEED_COLUMNS["organization"] + " dt",
+    "transactions": (
+        "sourcetransactionnumber SourceOrganizationNumber Total Currency Discount Tax Type Transactiontimestamp "
+        "Sourcecustomernumber DateCreated CustomAttributes Promoamt Couponamt Posdiscamt Manufacturercouponamt "
+        "registernumber AccountNumberMasked postransactionnumber dt check_id"
+    ),
+    "product_category": (
+        "Sourcecategorynumber Name Sourceparentcategorynumber Datecreated Customattributes dt"
+    ),
+    "product": (
+        "Sourceproductnumber Name Description Producturl Imageurl Parentproductnumber BrandName Msrp Listprice Saleprice "
+        "Salecondition Availability Availableqty Recostatus Size Color Sourceproductcategorynumber Datecreated "
+        "Customattributes dt Sourceproductcategoryname"
+    ),
+    "organization": (
+        "Sourceorganizationnumberkey Name Status Type Subtype Parentsourceorganizationnumber Country State City "
+        "Addr_line_1 Addr_line_2 Zip Excludeascloseststore Datecreated Customattributes dt"
+    ),
     "tenders": (
         "sourcecustomernumber registernumber transactiontimestamp currency customer_name check_id "
         "sourcetransactionnumber sourceorganizationnumber transactiondate tendercode tendername tenderamt "
         "accountnumbermasked cardusagetype dt"
     ),
-    "transaction_item": FEED_COLUMNS["transaction_item"] + " dt check_id transactiontimestamp",
+    "transaction_item": (
+        "Sourcetransactionitemnumber Sourcetransactionnumber SourceOrganizationNumber Type Subtype Invoicedate Shipdate "
+        "Sourceproductnumber Quantity Weight Volume Listprice Currency Salesrevenue Discount Costbasis Tax "
+        "Shippingrevenue Shippingcost Shippingdiscount Otherrevenue Othercosts datecreated dt check_id transactiontimestamp"
+    ),
     "discounts": (
         "DateCreated SourceTransactionNumber SourceTransactionItemNumber SourceOrganizationNumber InvoiceDate ShipDate "
         "SourceProductNumber DiscountCode DiscountAmt DiscountType DiscountDescription check_id dt"
     ),
 }
 
+# what a file's header must name: all documented columns of a feed, of settlement files those that are used
+NEEDED_COLUMNS = {
+    **FEED_COLUMNS,
+    "settlement": (
+        "store_id store_transaction_date_time customer_name masked_card_number approved_amount pos_register_number"
+    ),
+}
+
 POS_FEEDS = (
     "transactions", "tenders", "transaction_item", "trans_disc_xref",
     "product", "product_category", "organization", "discounts",
@@ -120,14 +146,20 @@ AUDIT_LAYOUT = T.StructType([
 ])
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Exactly the contract's columns, in its order and spelling, plus the partition key; fails if one is missing."""
+def conform(df: DataFrame, table: str, *, unknown: bool = False) -> DataFrame:
+    """The contract's columns, in its order and spelling, plus the partition key; fails if one is missing.
+
+    With ``unknown`` other columns follow them as they are.
+    """
     wanted = gold_layout(table).names
     have = {c.lower() for c in df.columns}
     missing = [c for c in wanted if c.lower() not in have]
     if missing:
         raise ValueError(f"{table}: columns missing from the contract: {missing}")
-    return df.select(*[F.col(c).alias(c) for c in wanted])
+    known = {c.lower() for c in wanted}
+    more = [F.col(f"`{c}`") for c in df.columns if unknown and c.lower() not in known]
+    # the partition key stays last
+    return df.select(*[F.col(c).alias(c) for c in wanted[:-1]], *more, F.col(wanted[-1]).alias(wanted[-1]))
 
 
 def columns_of(df: DataFrame, alias: str) -> list[Column]:

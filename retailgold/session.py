@@ -36,12 +36,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one the cluster names in ``spark.checkpoint.dir``.
+def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A new folder below ``root``, or else below the shared one the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session that names none gets a temporary folder, which goes when the process ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
@@ -51,7 +51,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``scratch_dir`` named."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    fs, folder = file_system(spark, path)
+    fs.delete(folder, True)

@@ -1,8 +1,10 @@
-from retailgold.sinks.archive import archive_feed, carry_over_dimensions
+from retailgold.sinks.archive import archive_feed, archived_settlement_files, carry_over_dimensions
 from retailgold.sinks.audit import read_audit, write_audit
-from retailgold.sinks.gold_files import gold_manifest, publish, published_files, store, write_gold
+from retailgold.sinks.gold_files import (
+    gold_manifest, publish, published_files, read_manifest, stage_gold, store, switch_gold, write_gold, write_manifest,
+)
 
 __all__ = [
-    "archive_feed", "carry_over_dimensions", "read_audit", "write_audit",
-    "gold_manifest", "publish", "published_files", "store", "write_gold",
+    "archive_feed", "archived_settlement_files", "carry_over_dimensions", "read_audit", "write_audit", "gold_manifest", "publish",
+    "published_files", "read_manifest", "stage_gold", "store", "switch_gold", "write_gold", "write_manifest",
 ]

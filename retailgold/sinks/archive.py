@@ -2,30 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailgold.functions import settlement_date
 from retailgold.schemas import DIMENSIONS
+from retailgold.folders import partitions, stage, switch, value_of
 
 
-def archive_feed(df: DataFrame, path: str, feed: str) -> DataFrame:
+def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], bool] = lambda dt: False) -> DataFrame:
     """Land a raw feed as Parquet by date and give back the feed's whole archive.
 
-    Dates that come again replace themselves, others stay.  No shuffle: a staged file holds one date, so a scan task writes few
-    dates.  A settlement file is known by the date in its name (``file_dt``) and may hold several transaction days, so it is
-    archived by file date with the day as a column: a run's day range then skips row groups, and landing a file again
-    replaces that file only.
+    Dates that come again replace themselves, dates that ``emptied`` names and that have no rows any more go, others stay.  No
+    shuffle: a staged file holds one date, so a scan task writes few dates.  A settlement file is known by the date in its
+    name (``file_dt``) and may hold several transaction days, so it is archived by day and file: a run reads the days it
+    needs, and landing a file again replaces that file's rows of all days.
     """
-    partition = "dt"
+    target, by = f"{path}/{feed}", ["dt"]
     if feed == "settlement":
-        partition = "file_dt"
+        by = ["settlement_day", "file_dt"]
         df = df.withColumn("settlement_day", settlement_date(F.col("store_transaction_date_time")))
-    target = f"{path}/{feed}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    spark = df.sparkSession
+    staged = stage(df, path, feed, by)
+    # every day of a file that comes again is replaced, also days that it no longer has
+    again = {value_of(p, "file_dt") for p in partitions(spark, staged, len(by))}
+
+    def gone(partition: str) -> bool:
+        if feed == "settlement":
+            return value_of(partition, "file_dt") in again
+        value = value_of(partition, "dt")
+        return value.isdigit() and emptied(int(value))
+
+    switch(spark, staged, target, len(by), gone)
+    return read_archive(spark, path, feed, df)
+
+
+def read_archive(spark: SparkSession, path: str, feed: str, like: DataFrame) -> DataFrame:
+    """A feed's archive with the columns of ``like``."""
+    return spark.read.schema(like.schema).parquet(f"{path}/{feed}")
+
+
+def archived_settlement_files(spark: SparkSession, path: str) -> set[str]:
+    """File dates that are archived."""
+    return {value_of(p, "file_dt") for p in partitions(spark, f"{path}/settlement", 2)}
 
 
-def carry_over_dimensions(feeds: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+def carry_over_dimensions(
+    feeds: dict[str, DataFrame], path: str, emptied: Callable[[int], bool] = lambda dt: False,
+) -> dict[str, DataFrame]:
     """Stage a daily run's dimensions, with their dates, for the weekly run."""
-    return {feed: archive_feed(feeds[feed], path, feed) for feed in DIMENSIONS}
+    return {feed: archive_feed(feeds[feed], path, feed, emptied) for feed in DIMENSIONS}

@@ -1,11 +1,15 @@
-"""Gold files: one gzip pipe-delimited file per date, several for a date that is too large for one."""
+"""Gold files: gzip pipe-delimited files of a fixed number of rows per date, numbered within the date."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailgold.functions import partition_value, shift_day
+from retailgold.folders import stage, switch, value_of
 from retailgold.sources.files import list_files
 
 # --- fixed values ----------------------------------------------------------------------------------------------------
@@ -14,6 +18,7 @@ FILE_OPTIONS = {"sep": "|", "header": "true", "compression": "gzip", "quote": '"
 # --- end of fixed values ---------------------------------------------------------------------------------------------
 
 ROWS_PER_FILE = 5_000_000
+PARTITION = "partition_col"
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
@@ -22,67 +27,104 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def by_date(stored: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Shuffle a date to one task, or to ``ceil(rows / rows_per_file)`` tasks where it is larger.
+def date_sizes(stored: DataFrame) -> dict[int | None, int]:
+    """Rows per date."""
+    return {r[PARTITION]: r["n"] for r in stored.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def in_parts(stored: DataFrame, rows_per_file: int, sizes: dict[int | None, int]) -> DataFrame:
+    """One task per date and part, each part but a date's last with exactly ``rows_per_file`` rows.
 
-    ``stored`` is a Parquet scan.  It is read twice, the first time for its date column only.  The date counts are pre-aggregated
-    and hold one row per calendar day, which bounds the broadcast.  A row's part comes from its place in its file: that is the
-    same whenever a task runs again, and spreads also identical rows.
+    ``stored`` is a Parquet scan.  A row's rank within its date is its place in its file after the rows of the date's earlier
+    files, which is the same whenever a task runs again and spreads also identical rows.  Files are counted before they are
+    ranked, so no shuffle brings more than one file's rows of a date together.
     """
-    sizes = stored.groupBy("partition_col").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_parts"))
-    sizes = F.broadcast(sizes.select(F.col("partition_col").alias("_date"), "_parts"))
-    return (
-        stored.withColumn("_place", F.xxhash64("_metadata.file_name", "_metadata.row_index"))
-        .join(sizes, F.col("partition_col").eqNullSafe(F.col("_date")))
-        .withColumn("_part", F.pmod("_place", "_parts"))
-        .repartition("partition_col", "_part")
-        .drop("_date", "_parts", "_part", "_place")
+    starts, total = [], 0
+    for day in sorted(sizes, key=lambda d: (d is not None, d or 0)):
+        starts.append((day, total))
+        total += -(-sizes[day] // rows_per_file)
+    spark = stored.sparkSession
+    first = spark.createDataFrame(starts, "_date int, _first int")  # a row per calendar day
+    columns = stored.columns
+    placed = stored.withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+    before = Window.partitionBy(PARTITION).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy(PARTITION, "_file").agg(F.count(F.lit(1)).alias("_n"))
+    files = files.select(
+        F.col(PARTITION).alias("_d"), F.col("_file").alias("_f"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
+    inside = Window.partitionBy(PARTITION, "_file").orderBy("_row")
+    ranked = placed.withColumn("_rank", F.row_number().over(inside) - 1).join(
+        files, F.col(PARTITION).eqNullSafe(F.col("_d")) & (F.col("_file") == F.col("_f"))
+    ).join(first, F.col(PARTITION).eqNullSafe(F.col("_date")))
+    part = F.col("_first") + F.floor((F.col("_before") + F.col("_rank")) / rows_per_file).cast("int")
+    return ranked.withColumn("_part", part).repartitionById(max(1, total), "_part").select(*columns)
 
 
-def _write(stored: DataFrame, path: str, mode: str, rows_per_file: int) -> str:
-    (
-        by_date(stored, rows_per_file).write.mode("overwrite").option("partitionOverwriteMode", mode)
-        .option("maxRecordsPerFile", rows_per_file).options(**FILE_OPTIONS)
-        .partitionBy("partition_col").csv(path)
-    )
-    return path
+def stage_gold(stored: DataFrame, path: str, table: str, rows_per_file: int, sizes: dict[int | None, int] | None = None) -> str:
+    """Write a table's files where no reader looks yet; gives the folder."""
+    parts = in_parts(stored, rows_per_file, date_sizes(stored) if sizes is None else sizes)
+    return stage(parts, path, table, [PARTITION], "csv", **FILE_OPTIONS)
+
+
+def switch_gold(spark: SparkSession, staged: str, path: str, table: str, emptied: Callable[[int], bool]) -> str:
+    """Make staged files the table's: written dates replace themselves, dates that ``emptied`` names go, others stay."""
+    def gone(partition: str) -> bool:
+        value = value_of(partition, PARTITION)
+        return value.isdigit() and emptied(int(value))
+
+    switch(spark, staged, f"{path}/{table}", 1, gone)
+    return f"{path}/{table}"
 
 
 def write_gold(stored: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE) -> str:
     """Write a whole table's files, replacing what is there."""
-    return _write(stored, f"{path}/{table}", "static", rows_per_file)
+    return publish(stored, path, table, rows_per_file=rows_per_file, emptied=lambda dt: True)
 
 
-def publish(stored: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE) -> str:
-    """Write the dates in ``stored`` and leave every other date of the table as it is."""
-    return _write(stored, f"{path}/{table}", "dynamic", rows_per_file)
+def publish(
+    stored: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE,
+    emptied: Callable[[int], bool] = lambda dt: False,
+) -> str:
+    """Replace the dates in ``stored``, remove those that ``emptied`` names, and leave every other date as it is."""
+    staged = stage_gold(stored, path, table, rows_per_file)
+    return switch_gold(stored.sparkSession, staged, path, table, emptied)
 
 
-def _published_name(table: str, dt: Column, schedule: str, as_of: str, part: Column, prefix: str) -> Column:
+def _stem(table: str, dt: Column, schedule: str, as_of: str, prefix: str) -> Column:
     first = shift_day(F.lit(as_of), 1) if schedule == "weekly" else shift_day(dt, -1)
-    stem = F.concat_ws("_", F.lit(prefix + PUBLISHED_NAMES.get(table, table)), first, dt.cast("string"), F.lit(schedule))
-    return F.concat(stem, F.when(part > 1, F.format_string("_p%04d", part)).otherwise(""), F.lit(".psv.gz"))
+    return F.concat_ws("_", F.lit(prefix + PUBLISHED_NAMES.get(table, table)), first, dt.cast("string"), F.lit(schedule))
 
 
 def gold_manifest(df: DataFrame, table: str, *, schedule: str, as_of: str, prefix: str = "") -> DataFrame:
-    """Date -> published file name; daily files carry the day before, weekly ones the day after ``as_of``."""
-    dates = df.select(F.col("partition_col").alias("dt")).distinct()
-    return dates.select(
-        F.lit(table).alias("entity_type"), "dt",
-        _published_name(table, F.col("dt"), schedule, as_of, F.lit(1), prefix).alias("file_name"),
-    )
+    """Date -> name of the date's data; daily ones carry the day before, weekly ones the day after ``as_of``."""
+    dates = df.select(F.col(PARTITION).alias("dt")).distinct()
+    name = F.concat(_stem(table, F.col("dt"), schedule, as_of, prefix), F.lit(".psv.gz"))
+    return dates.select(F.lit(table).alias("entity_type"), "dt", name.alias("file_name"))
 
 
 def published_files(
     spark: SparkSession, path: str, table: str, *, schedule: str, as_of: str, prefix: str = "",
 ) -> DataFrame:
-    """Every written file with its published name, from a listing; parts of a large date are numbered."""
+    """Every written file with its published name, from a listing; all dates' files are numbered from 1."""
     listed = list_files(spark, f"{path}/{table}").filter(F.col("name").endswith(".csv.gz")).select(
         "path", "size", partition_value(F.col("path")).cast("int").alias("dt")
     )
     part = F.row_number().over(Window.partitionBy("dt").orderBy("path"))
+    name = F.concat(_stem(table, F.col("dt"), schedule, as_of, prefix), F.format_string("_p%04d", "part"), F.lit(".psv.gz"))
     return listed.withColumn("part", part).select(
-        F.lit(table).alias("entity_type"), "dt", "part", "path", "size",
-        _published_name(table, F.col("dt"), schedule, as_of, F.col("part"), prefix).alias("file_name"),
+        F.lit(table).alias("entity_type"), "dt", "part", "path", "size", name.alias("file_name")
     )
+
+
+def write_manifest(
+    spark: SparkSession, path: str, tables: list[str], *, schedule: str, as_of: str, prefix: str = "",
+) -> str:
+    """List all files of the tables with their published names next to the gold; gives the folder."""
+    rows = [published_files(spark, path, t, schedule=schedule, as_of=as_of, prefix=prefix) for t in tables]
+    target = f"{path}/_manifest"
+    reduce(DataFrame.unionByName, rows).coalesce(1).write.mode("overwrite").parquet(target)
+    return target
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("entity_type string, dt int, part int, path string, size bigint, file_name string").parquet(f"{path}/_manifest")

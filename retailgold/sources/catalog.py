@@ -23,7 +23,8 @@ def create_external_table(
     elif table != "settlement":
         fields, partition = feed_layout(table), "dt"
     elif kind == "archive":
-        fields, partition = feed_layout(table).add("settlement_day", T.DateType()).add("file_dt", T.IntegerType()), "file_dt"
+        fields = feed_layout(table).add("settlement_day", T.DateType()).add("file_dt", T.IntegerType())
+        partition = "settlement_day, file_dt"
     else:
         fields, partition = feed_layout(table), None
     file_format = "parquet" if kind == "archive" else "csv"

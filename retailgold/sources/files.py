@@ -2,41 +2,118 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailgold.functions import date_from_name
-from retailgold.schemas import feed_layout, gold_layout
+from retailgold.operators.selection import in_date_spec, real_day, spec_holds
+from retailgold.schemas import DT, NEEDED_COLUMNS, feed_layout, gold_layout
+from retailgold.folders import partitions, value_of
 
 NULL_TEXT = "\\N"
 
 
+def _file_day() -> Column:
+    return date_from_name(F.col("_metadata.file_name")).try_cast("int")
+
+
+def _reader(spark: SparkSession, sep: str, quote_escape: str = '"') -> DataFrameReader:
+    return (
+        spark.read.option("sep", sep).option("header", True).option("nullValue", NULL_TEXT).option("escape", quote_escape)
+    )
+
+
 def _scan(spark: SparkSession, path, sep: str, schema: T.StructType | None, quote_escape: str = '"') -> DataFrame:
     """Without a schema the first file's header names the columns.  With one, a file with another header is an error."""
-    reader = (
-        spark.read.option("sep", sep).option("header", True).option("nullValue", NULL_TEXT)
-        .option("escape", quote_escape)
-    )
+    reader = _reader(spark, sep, quote_escape)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
 
-def read_feed(spark: SparkSession, path: str, feed: str, *, declared: bool = False, escape: str = '"') -> DataFrame:
+def _headers(spark: SparkSession, paths: list[str], sep: str, quote_escape: str) -> dict[tuple[str, ...], list[str]]:
+    """Paths by the header of their first file; a path without a line is left out."""
+    def header(path: str) -> tuple[str, ...] | None:
+        return tuple(_reader(spark, sep, quote_escape).csv(path).columns) or None
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(header), paths))
+    by: dict[tuple[str, ...], list[str]] = {}
+    for path, names in zip(paths, found):
+        if names:
+            by.setdefault(names, []).append(path)
+    return by
+
+
+def _by_header(
+    spark: SparkSession, paths: list[str], sep: str, feed: str, quote_escape: str = '"', base: str | None = None,
+) -> DataFrame:
+    """One scan per distinct header, put together by column name; a column that a file lacks is NULL there.
+
+    A header without a column of the feed is an error that names its paths.  A file whose header differs from that of its
+    path's first file is an error when it is read.
+    """
+    scans = []
+    wanted = {n.lower() for n in NEEDED_COLUMNS[feed].split()}
+    for names, group in _headers(spark, paths, sep, quote_escape).items():
+        if lacking := sorted(wanted - {n.lower() for n in names}):
+            raise ValueError(f"{feed}: no {lacking} in {group[:5]}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names if base is None or n.lower() != "dt"])
+        if base is not None:
+            schema = schema.add(DT)
+        reader = _reader(spark, sep, quote_escape).schema(schema).option("enforceSchema", False)
+        if base is not None:
+            reader = reader.option("basePath", base)
+        rows = reader.csv(group)
+        if base is None:
+            rows = rows.withColumn("file_dt", _file_day())
+        scans.append(rows)
+    if scans:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    empty = spark.createDataFrame([], feed_layout(feed))
+    return empty if base is not None else empty.withColumn("file_dt", F.lit(None).cast("int"))
+
+
+def read_feed(
+    spark: SparkSession, path: str, feed: str, *, declared: bool = False, escape: str = '"', dates: str | None = None,
+) -> DataFrame:
     """One pipe-delimited feed below ``path/feed``, all columns text, plus ``dt`` from the ``dt=`` directories.
 
-    The header names the columns, so new ones pass through; only the first line of one file is read for that.  With
-    ``declared`` the documented layout is used instead and every file's header is compared with it.  ``escape='\\'`` reads quotes
-    the way older runs did.
+    Each date's header names its columns, so new ones pass through and their order may change from date to date; only the
+    first line of each date is read for that.  ``dates`` leaves other dates' folders unread.  With ``declared`` the documented
+    layout is used instead and every file's header is compared with it.  ``escape='\\'`` reads quotes the way older runs did.
     """
-    return _scan(spark, f"{path}/{feed}", "|", feed_layout(feed) if declared else None, escape)
+    base = f"{path}/{feed}"
+    if declared:
+        rows = _scan(spark, base, "|", feed_layout(feed), escape)
+        return rows if dates is None else rows.filter(in_date_spec(dates))
+    days = [p for p in partitions(spark, base) if dates is None or spec_holds(dates, int(value_of(p, "dt")))]
+    return _by_header(spark, [f"{base}/{p}" for p in days], "|", feed, escape, base)
+
+
+def settlement_files(spark: SparkSession, paths: str | list[str]) -> dict[str, str]:
+    """Path -> date in the name of every settlement file; a name without a real day is an error."""
+    day = real_day(date_from_name(F.col("name")))
+    listed = list_files(spark, paths).select("path", "name", day.alias("day")).collect()  # one row per file
+    if bad := sorted(r["name"] for r in listed if r["day"] is None):
+        raise ValueError(f"settlement files without a date in their name: {bad[:5]}")
+    return {r["path"]: str(r["day"]) for r in listed}
 
 
 def read_settlement(spark: SparkSession, paths: str | list[str], *, declared: bool = False) -> DataFrame:
-    """All comma-delimited settlement files that a glob (or several) names, with the date in the file name as ``file_dt``."""
-    rows = _scan(spark, paths, ",", feed_layout("settlement") if declared else None)
-    return rows.withColumn("file_dt", date_from_name(F.col("_metadata.file_name")).try_cast("int"))
+    """All comma-delimited settlement files that a glob (or several) names, with the date in the file name as ``file_dt``.
+
+    Each file's own header names its columns, as for the feeds.
+    """
+    if declared:
+        return _scan(spark, paths, ",", feed_layout("settlement")).withColumn("file_dt", _file_day())
+    files = sorted(r["path"] for r in list_files(spark, paths).select("path").collect())  # one row per file
+    return _by_header(spark, files, ",", "settlement")
 
 
 def read_gold(spark: SparkSession, path: str, table: str) -> DataFrame:

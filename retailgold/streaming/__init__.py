@@ -1,4 +1,4 @@
 from retailgold.streaming.arrivals import read_notifications, read_ready, stream_arrivals, stream_completeness
-from retailgold.streaming.gold import stream_gold
+from retailgold.streaming.gold import read_rejected, stream_gold
 
-__all__ = ["read_notifications", "read_ready", "stream_arrivals", "stream_completeness", "stream_gold"]
+__all__ = ["read_notifications", "read_ready", "read_rejected", "stream_arrivals", "stream_completeness", "stream_gold"]

@@ -46,15 +46,16 @@ def _append(rows: DataFrame, path: str, batch_id: int, by: list[str]) -> None:
     )
 
 
-def update_ledger(batch: DataFrame, batch_id: int, ledger: str, settlement_dates: DataFrame, routes: Routes) -> DataFrame:
+def update_ledger(batch: DataFrame, batch_id: int, ledger: str, routes: Routes) -> DataFrame:
     """Add a batch's arrivals to the ledger; the ready dates among those the batch touched.
 
-    The ledger holds at most one row per brand, schedule, place, feed, date and batch, and is partitioned by date: only touched
-    dates are read again.  The touched dates are calendar days, which bounds what the driver sees of a batch.
+    Settlement files are in the ledger like all others, so a date also becomes ready when its settlement comes last.  The
+    ledger holds at most one row per brand, schedule, place, feed, date and batch, and is partitioned by date: only touched
+    dates are read again.  The touched dates are real calendar days, which bounds what the driver sees of a batch.
     """
     spark = batch.sparkSession
     seen = (
-        arrivals.route(batch, routes).filter(F.col("dt").isNotNull() & F.col("schedule").isNotNull())
+        arrivals.route(batch, routes).filter(F.col("dt").isNotNull() & (F.col("schedule").isNotNull() | (F.col("place") == arrivals.SETTLEMENT)))
         .select("brand", "schedule", "place", "feed", "dt").distinct().persist()
     )
     touched = [r["dt"] for r in seen.select("dt").distinct().collect()]
@@ -62,22 +63,21 @@ def update_ledger(batch: DataFrame, batch_id: int, ledger: str, settlement_dates
         _append(seen, ledger, batch_id, ["dt", "batch_id"])
     seen.unpersist()
     if not touched:
-        return arrivals.ready(seen, settlement_dates)
+        return arrivals.ready(seen)
     known = spark.read.schema(_LEDGER).option("basePath", ledger).parquet(*[f"{ledger}/dt={d}" for d in touched])
     # a replayed batch must not see what came after it
-    return arrivals.ready(known.filter(F.col("batch_id") <= batch_id), settlement_dates)
+    return arrivals.ready(known.filter(F.col("batch_id") <= batch_id))
 
 
 def stream_completeness(
-    notifications: DataFrame, settlement_dates: DataFrame, ledger: str, out: str, checkpoint: str,
-    routes: Routes = Routes(),
+    notifications: DataFrame, ledger: str, out: str, checkpoint: str, routes: Routes = Routes(),
 ) -> StreamingQuery:
     """Write the dates that are ready after each batch, one partition per batch.
 
     A date that was ready before and got another file is listed again, because it has to be rebuilt.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        _append(update_ledger(batch, batch_id, ledger, settlement_dates, routes), out, batch_id, ["batch_id"])
+        _append(update_ledger(batch, batch_id, ledger, routes), out, batch_id, ["batch_id"])
 
     return _start(notifications, checkpoint, each)
 

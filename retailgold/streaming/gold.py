@@ -4,32 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retailgold.operators.arrivals import Routes
-from retailgold.plans.gold_run import run
+from retailgold.plans.gold_run import GateFailure, run
 from retailgold.schemas import GOLD_TABLES
 from retailgold.streaming.arrivals import _start, update_ledger
 
+_REJECTED = "brand string, schedule string, dt int, entity_type string, reason string, batch_id bigint"
+
 
 def stream_gold(
-    notifications: DataFrame, feeds: Callable[[str, str], dict[str, DataFrame]], settlement_dates: DataFrame, *,
-    ledger: str, out: str, audit_path: str, checkpoint: str, tables: tuple[str, ...] = GOLD_TABLES,
-    routes: Routes = Routes(),
+    notifications: DataFrame, feeds: Callable[[str, str], dict[str, DataFrame]], *, ledger: str, out: str, rejected: str,
+    audit_path: str, checkpoint: str, tables: tuple[str, ...] = GOLD_TABLES, routes: Routes = Routes(),
 ) -> StreamingQuery:
     """Build, check and publish every newly ready date of every brand and schedule.
 
     ``feeds(brand, schedule)`` gives the raw feeds.  A replayed batch finds the same ready dates and overwrites the same
-    date partitions.  A failed gate stops the stream before its batch is committed.
+    date partitions.  A brand's ready dates are one run; if that fails, the bad dates are written to ``rejected`` with the reason,
+    the good ones are published without them, and the stream goes on.  A rejected date is run again when another of its files
+    comes.  Other errors stop the stream before its batch is committed.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        ready = update_ledger(batch, batch_id, ledger, settlement_dates, routes).collect()
+        spark, bad = batch.sparkSession, []
+        ready = update_ledger(batch, batch_id, ledger, routes).collect()
         for brand, schedule in sorted({(r["brand"], r["schedule"]) for r in ready}):
-            dates = sorted(str(r["dt"]) for r in ready if (r["brand"], r["schedule"]) == (brand, schedule))
-            run(
-                batch.sparkSession, feeds(brand, schedule), f"{out}/{brand}/{schedule}", audit_path=audit_path,
-                brand=brand, schedule=schedule, as_of=dates[-1], dates=",".join(dates), tables=tables,
-            )
+            dates = sorted(r["dt"] for r in ready if (r["brand"], r["schedule"]) == (brand, schedule))
+
+            def publish(part: list[int], brand: str = brand, schedule: str = schedule) -> None:
+                spec = ",".join(map(str, part))
+                run(
+                    spark, feeds(brand, schedule), f"{out}/{brand}/{schedule}", audit_path=audit_path, brand=brand, schedule=schedule,
+                    as_of=str(part[-1]), dates=spec, tables=tables,
+                )
+
+            # what failed is taken out: the dates whose counts differ at once, else one date after the other
+            while dates:
+                try:
+                    publish(dates)
+                    break
+                except GateFailure as failure:
+                    wrong = {r["dt"] for r in failure.by_date} & set(dates)
+                    if not wrong and len(dates) > 1:
+                        bad += [(brand, schedule, dt, f.table, f.reason, batch_id) for dt in dates if (f := _failure(publish, dt))]
+                        break
+                    wrong = wrong or set(dates)
+                    bad += [(brand, schedule, dt, failure.table, failure.reason, batch_id) for dt in sorted(wrong)]
+                    dates = [d for d in dates if d not in wrong]
+        rows = spark.createDataFrame(bad, _REJECTED).coalesce(1)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected)
 
     return _start(notifications, checkpoint, each)
+
+
+def _failure(publish: Callable[[list[int]], None], dt: int) -> GateFailure | None:
+    """Why a date alone fails; None if it was published."""
+    try:
+        publish([dt])
+    except GateFailure as failure:
+        return failure
+    return None
+
+
+def read_rejected(spark: SparkSession, rejected: str) -> DataFrame:
+    """Dates that failed, each with the table and the reason of the last batch that ran it."""
+    rows = spark.read.schema(_REJECTED).parquet(rejected)
+    last = F.max_by(F.struct("entity_type", "reason", "batch_id"), "batch_id").alias("last")
+    return rows.groupBy("brand", "schedule", "dt").agg(last).select("brand", "schedule", "dt", "last.*")

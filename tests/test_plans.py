@@ -16,7 +16,7 @@ from retailgold.plans import stage_feeds
 from retailgold.plans.gold_run import _prune_settlement
 from retailgold.schemas import GOLD_TABLES
 from retailgold.sinks import store
-from retailgold.sinks.gold_files import by_date
+from retailgold.sinks.gold_files import date_sizes, in_parts
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -78,9 +78,10 @@ def test_dates_prune_partitions_through_the_joins(spark, staged):
         assert scans == {"transaction_item": 2, "discounts": 4, "tenders": 2}[table]
 
 
-def test_settlement_days_reach_the_scan(spark, staged):
+def test_settlement_days_pick_partitions(spark, staged):
     text = explain(gold.settlement_summary(_prune_settlement(staged)["settlement"]))
-    assert "GreaterThanOrEqual(settlement_day,2020-01-02)" in text and "LessThanOrEqual(settlement_day,2020-01-03)" in text
+    filters = re.search(r"PartitionFilters: \[(.*)\]", text)[1]
+    assert "settlement_day" in filters and "2020-01-02" in filters and "2020-01-03" in filters
 
 
 def test_settlement_is_combined_before_its_shuffle(spark, staged):
@@ -88,10 +89,11 @@ def test_settlement_is_combined_before_its_shuffle(spark, staged):
     assert "partial_min(customer_name" in text
 
 
-def test_dates_are_shuffled_by_date_and_part(spark, staged, tmp_path):
-    text = plan(by_date(store(gold.organization(staged), str(tmp_path)), rows_per_file=10))
-    assert re.search(r"hashpartitioning\(partition_col#\d+, _part#\d+L?, \d+\), REPARTITION_BY_COL", text)
-    assert "BroadcastHashJoin" in text and "NestedLoop" not in text
+def test_a_part_is_a_task(spark, staged, tmp_path):
+    stored = store(gold.organization(staged), str(tmp_path))
+    parts = in_parts(stored, 10, date_sizes(stored))
+    assert "NestedLoop" not in plan(parts) and "Cartesian" not in plan(parts)
+    assert parts.rdd.getNumPartitions() == sum(-(-n // 10) for n in date_sizes(stored).values())
 
 
 def test_checks_are_one_row_per_side(spark, staged):

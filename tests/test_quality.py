@@ -12,8 +12,8 @@ from retailgold.schemas import AUDIT_LAYOUT
 
 
 def verdict(spark, table, gold_rows, staging, columns="check_id string, transactiontimestamp string, customer_name string"):
-    gold = spark.createDataFrame(gold_rows, columns)
-    measured = quality.table_metrics(table, gold, spark.range(staging))
+    gold = spark.createDataFrame(gold_rows, columns).withColumn("dt", F.lit(D1))
+    measured = quality.table_metrics(table, gold, spark.range(staging).withColumn("dt", F.lit(D1)))
     row = quality.evaluate(measured).first()
     return row.event_result, row.reason
 
@@ -45,7 +45,7 @@ def test_verdicts(spark, table, gold_rows, staging, result, reason):
 
 
 def test_all_tables_in_one_job(spark):
-    gold = spark.createDataFrame([FULL], "check_id string, transactiontimestamp string, customer_name string")
+    gold = spark.createDataFrame([(*FULL, D1)], "check_id string, transactiontimestamp string, customer_name string, dt int")
     sides = [s for t in ("transactions", "tenders") for s in (quality.gold_side(t, gold), quality.staging_side(t, gold))]
     measured = quality.metrics(sides)
     assert rows(measured, "entity_type", "source_count", "destination_count", "distinct_names") == [
@@ -67,16 +67,35 @@ def test_distinct_with_null(spark):
 
 
 def test_audit_row(spark):
-    gold = spark.createDataFrame([FULL], "check_id string, transactiontimestamp string, customer_name string")
-    evaluated = quality.evaluate(quality.table_metrics("transactions", gold, spark.range(2)))
+    gold = spark.createDataFrame([(*FULL, D1)], "check_id string, transactiontimestamp string, customer_name string, dt int")
+    evaluated = quality.evaluate(quality.table_metrics("transactions", gold, spark.range(2).withColumn("dt", F.lit(D1))))
     out = quality.audit_rows(
         evaluated, brand="brand_a", ingestion_date="2020-01-02", source="in", destination="out",
         start=F.lit("2020-01-02 00:00:00"), end=F.lit("2020-01-02 00:01:00"), notes={"SCHEDULE": "daily"},
     )
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in AUDIT_LAYOUT]
     row = out.first()
-    assert row[:9] == ("brand_a", "transformer", "pos", "2020-01-02", "transactions", 2, 1, "in", "out")
+    assert row[:9] == ("brand_a", "gold_run", "pos", "2020-01-02", "transactions", 2, 1, "in", "out")
     assert json.loads(row.EVENT_NOTES) == {
         "SOURCE_TYPE": "table", "DESTINATION_TYPE": "file", "SCHEDULE": "daily",
         "FAILURE_REASON": "row count 1 differs from staging row count 2",
     }
+
+
+def test_dates_are_compared_one_by_one(spark):
+    gold = spark.createDataFrame([("1", D1), ("2", D1)], "check_id string, dt int")
+    staging = spark.createDataFrame([(D1,), (D2,)], "dt int")
+    row = quality.evaluate(quality.table_metrics("transactions", gold, staging)).first()
+    assert (row.source_count, row.destination_count, row.dates_differing, row.event_result) == (2, 2, 2, "FAILURE")
+    assert row.reason == "row counts of 2 dates differ from staging"
+
+
+def test_a_long_reason_is_kept(spark):
+    evaluated = spark.createDataFrame(
+        [("t", 1, None, None, None, None, None, None, "x" * 150_000, "FAILURE")], quality.CHECKED_LAYOUT
+    )
+    out = quality.audit_rows(
+        evaluated, brand="b", ingestion_date="d", source="s", destination="d", start=F.lit("2020-01-02 00:00:00"),
+        end=F.lit("2020-01-02 00:00:00"), event_type="other",
+    ).first()
+    assert len(json.loads(out.EVENT_NOTES)["FAILURE_REASON"]) == 150_000 and out.EVENT_TYPE == "other"

@@ -1,18 +1,19 @@
 from __future__ import annotations
 
 import glob
+import gzip
 import json
 import os
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from shop import D1, D2, good_feeds, item, paid, tender
+from shop import D1, D2, good_feeds, item, paid, tender, transaction
 
 from retailgold.bind.queries import write_feed_files
-from retailgold.plans import GateFailure, run, run_paths, stage_feeds
-from retailgold.schemas import GOLD_TABLES, POS_FEEDS
-from retailgold.sinks import read_audit
+from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_settlement
+from retailgold.schemas import DIMENSIONS, GOLD_COLUMNS, GOLD_TABLES, POS_FEEDS
+from retailgold.sinks import read_audit, read_manifest
 from retailgold.sources import read_gold
 
 
@@ -122,7 +123,7 @@ def test_large_date_is_published_in_parts(spark, feed, tmp_path):
     raw["tenders"] = feed("tenders", [tender("1")] * 100)
     result = go(spark, raw, tmp_path, tables=("tenders",), rows_per_file=10)
     assert result.results == {"tenders": "WARNING"}
-    assert len(glob.glob(f"{tmp_path}/gold/tenders/partition_col={D1}/*.gz")) >= 10
+    assert len(glob.glob(f"{tmp_path}/gold/tenders/partition_col={D1}/*.gz")) == 10
     assert read_gold(spark, f"{tmp_path}/gold", "tenders").count() == 100
 
 
@@ -131,9 +132,9 @@ def test_scratch_folder_is_gone(spark, feed, tmp_path, monkeypatch):
 
     made = []
     real = gold_run.scratch_dir
-    monkeypatch.setattr(gold_run, "scratch_dir", lambda s, n: made.append(real(s, n)) or made[-1])
-    go(spark, good_feeds(feed), tmp_path)
-    assert len(made) == 1 and not os.path.exists(made[0])
+    monkeypatch.setattr(gold_run, "scratch_dir", lambda s, n, root: made.append(real(s, n, root)) or made[-1])
+    go(spark, good_feeds(feed), tmp_path, scratch=f"{tmp_path}/mine")
+    assert len(made) == 1 and made[0].startswith(f"{tmp_path}/mine/") and not os.path.exists(made[0])
 
 
 def test_run_from_files(spark, feed, tmp_path):
@@ -173,18 +174,119 @@ def test_missing_contract_column_fails(spark, feed, tmp_path):
         go(spark, raw, tmp_path)
 
 
-def test_a_publishing_crash_is_audited(spark, feed, tmp_path, monkeypatch):
+def test_a_publishing_crash_leaves_all_tables_as_they_were(spark, feed, tmp_path, monkeypatch):
     from retailgold.plans import gold_run
 
-    real = gold_run.publish
+    go(spark, good_feeds(feed), tmp_path, tables=("product_category", "product"))
+    before = sorted(glob.glob(f"{tmp_path}/gold/**", recursive=True))
+    real = gold_run.stage_gold
 
-    def broken_disk(stored, path, table, **more):
+    def broken_disk(stored, path, table, *more):
         if table == "product":
             raise OSError("disk full")
-        return real(stored, path, table, **more)
+        return real(stored, path, table, *more)
 
-    monkeypatch.setattr(gold_run, "publish", broken_disk)
+    monkeypatch.setattr(gold_run, "stage_gold", broken_disk)
     with pytest.raises(GateFailure, match="disk full"):
-        go(spark, good_feeds(feed), tmp_path, tables=("product_category", "product"))
-    audit = rows(read_audit(spark, f"{tmp_path}/audit"), "ENTITY_TYPE", "EVENT_RESULT")
-    assert audit == [("product", "FAILURE"), ("product_category", "SUCCESS")]
+        go(spark, good_feeds(feed), tmp_path, tables=("product_category", "product"), audit_path=f"{tmp_path}/audit2")
+    assert sorted(glob.glob(f"{tmp_path}/gold/**", recursive=True)) == before
+    audit = rows(read_audit(spark, f"{tmp_path}/audit2"), "ENTITY_TYPE", "EVENT_RESULT", "DESTINATION_COUNT")
+    assert audit == [("product", "FAILURE", 1), ("product_category", "FAILURE", 1)]
+
+
+def test_stale_gold_goes(spark, feed, tmp_path):
+    raw = good_feeds(feed)
+    go(spark, raw, tmp_path)
+    raw["trans_disc_xref"] = raw["trans_disc_xref"].filter(F.col("dt") == D1)
+    go(spark, raw, tmp_path)
+    assert [r[0] for r in rows(read_gold(spark, f"{tmp_path}/gold", "discounts"), "dt")] == [D1]
+    assert len(rows(read_gold(spark, f"{tmp_path}/gold", "transactions"))) == 3
+
+
+def test_lost_and_doubled_rows_do_not_cancel_out(spark, feed, tmp_path):
+    raw = good_feeds(feed)
+    raw["transactions"] = feed("transactions", [transaction("1"), transaction("1"), transaction("2", "11")])
+    with pytest.raises(GateFailure, match="row counts of 2 dates differ") as failure:
+        go(spark, raw, tmp_path, tables=("transaction_item",))
+    assert [tuple(r) for r in failure.value.by_date] == [(D1, 3, 2, 1), (D2, 0, 1, -1)]
+
+
+def test_contract_header(spark, feed, tmp_path):
+    raw = good_feeds(feed)
+    raw["transactions"] = raw["transactions"].withColumn("brand_new", F.lit("n"))
+    go(spark, raw, tmp_path / "wide")
+    go(spark, raw, tmp_path / "strict", strict_contract=True)
+
+    def header(path, table):
+        (file, *_) = sorted(glob.glob(f"{path}/gold/{table}/partition_col={D1}/*.gz"))
+        with gzip.open(file, "rt") as f:
+            return f.readline().strip().split("|")
+
+    for table, names in GOLD_COLUMNS.items():
+        assert header(tmp_path / "strict", table) == names.split()
+    assert header(tmp_path / "wide", "transactions") == [*GOLD_COLUMNS["transactions"].split(), "brand_new"]
+
+
+def test_own_sql_for_a_table(spark, feed, tmp_path):
+    text = "select *, dt as partition_col from pos_organization where Name <> 'gone'"
+    result = go(spark, good_feeds(feed), tmp_path, tables=("organization",), sql={"organization": text})
+    assert result.results == {"organization": "SUCCESS"}
+    with pytest.raises(GateFailure, match="zero rows"):
+        go(spark, good_feeds(feed), tmp_path, tables=("organization",), sql={"organization": text.replace("<>", "=")})
+
+
+def test_manifest(spark, feed, tmp_path):
+    result = go(spark, good_feeds(feed), tmp_path, tables=("transactions", "organization"))
+    assert result.manifest == f"{tmp_path}/gold/_manifest"
+    listed = rows(read_manifest(spark, f"{tmp_path}/gold"), "entity_type", "dt", "part", "file_name")
+    assert listed == [
+        ("organization", D1, 1, "organization_20200101_20200102_daily_p0001.psv.gz"),
+        ("transactions", D1, 1, "transactions_20200101_20200102_daily_p0001.psv.gz"),
+        ("transactions", D2, 1, "transactions_20200102_20200103_daily_p0001.psv.gz"),
+    ]
+
+
+def test_weekly_run_takes_what_daily_runs_left(spark, feed, tmp_path):
+    raw = good_feeds(feed)
+    for name in POS_FEEDS:
+        write_feed_files(raw[name], f"{tmp_path}/daily", name)
+        if name not in DIMENSIONS:
+            write_feed_files(raw[name], f"{tmp_path}/weekly", name)
+    folder = tmp_path / "settlement"
+    folder.mkdir()
+    (folder / "SETTLE_1_20210102.csv").write_text(",".join(paid()) + "\n" + ",".join(paid().values()) + "\n")
+
+    def go_files(schedule, dates):
+        return run_paths(
+            spark, f"{tmp_path}/{schedule}", f"{folder}/SETTLE_*", f"{tmp_path}/archive", f"{tmp_path}/{schedule}/gold", dates=dates,
+            schedule=schedule, dimensions=f"{tmp_path}/carried", audit_path=f"{tmp_path}/audit", brand="brand_a", as_of="20200110",
+        )
+
+    go_files("daily", str(D1))
+    os.remove(folder / "SETTLE_1_20210102.csv")
+    result = go_files("weekly", str(D1))
+    assert set(result.results) == set(GOLD_TABLES)
+    for table in GOLD_TABLES:
+        one, other = (read_gold(spark, f"{tmp_path}/{s}/gold", table) for s in ("daily", "weekly"))
+        assert rows(one) == rows(other) != []
+    with pytest.raises(ValueError, match="dimensions"):
+        run_paths(spark, "x", "x", "x", "x", dates=str(D1), schedule="weekly", audit_path="x", brand="b", as_of="20200110")
+
+
+def test_settlement_is_staged_once(spark, feed, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def deliver(day, name):
+        (folder / f"SETTLE_1_{day}.csv").write_text(",".join(paid()) + "\n" + ",".join(paid(name=name).values()) + "\n")
+
+    deliver("20210102", "Ann")
+    stage_settlement(spark, f"{folder}/SETTLE_*", f"{tmp_path}/archive", "20200910")
+    first = {p: os.path.getmtime(p) for p in glob.glob(f"{tmp_path}/archive/settlement/*/*/*.parquet")}
+    deliver("20210102", "Changed"), deliver("20210103", "Bob"), deliver("20200101", "Too early")
+    out = stage_settlement(spark, f"{folder}/SETTLE_*", f"{tmp_path}/archive", "20200910")
+    assert rows(out, "customer_name", "file_dt") == [("Ann", 20210102), ("Bob", 20210103)]
+    assert {p: os.path.getmtime(p) for p in first} == first
+    (folder / "SETTLE_1_nodate.csv").write_text("x\n")
+    with pytest.raises(ValueError, match="nodate"):
+        stage_settlement(spark, f"{folder}/SETTLE_*", f"{tmp_path}/archive", "20200910")

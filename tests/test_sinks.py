@@ -35,7 +35,7 @@ def test_one_file_per_date_and_format(spark, built, tmp_path):
     assert len(files(tmp_path, D1)) == len(files(tmp_path, D2)) == 1
     with gzip.open(files(tmp_path, D1)[0], "rt") as f:
         head, *lines = f.read().splitlines()
-    # typed columns carry the typing's spelling, and dt stays inside the file too
+    # dt stays inside the file too
     assert head == (
         "sourcetransactionnumber|SourceOrganizationNumber|Total|Currency|Discount|Tax|Type|TransactionTimeStamp|"
         "SourceCustomerNumber|DateCreated|CustomAttributes|PromoAmt|CouponAmt|POSDiscAmt|ManufacturerCouponAmt|"
@@ -56,15 +56,24 @@ def test_large_date_is_split_and_whole(spark, built, tmp_path):
     # every row of the large date a copy of one row: still spread, nothing lost
     one = built.filter("dt = 20200102 and sourcetransactionnumber = '1'")
     copies = one.select("*", F.explode(F.array_repeat(F.lit(1), 200)).alias("n")).drop("n").unionByName(built)
-    stored = store(copies, str(tmp_path / "built"))
+    stored = store(copies.repartition(5), str(tmp_path / "built"))
     write_gold(stored, str(tmp_path), "transactions", rows_per_file=25)
-    assert len(files(tmp_path, D2)) == 1 and len(files(tmp_path, D1)) >= 220 // 25
     back = read_gold(spark, str(tmp_path), "transactions")
     assert rows(back, *stored.columns) == rows(stored)
+    sizes = back.filter(F.col("dt") == D1).groupBy(F.col("_metadata.file_name").alias("f")).count()
+    assert sorted(r[0] for r in rows(sizes, "count")) == [20, *[25] * 8]
     listed = published_files(spark, str(tmp_path), "transactions", schedule="daily", as_of="20200110")
-    names = [r[0] for r in rows(listed.filter(F.col("dt") == D1), "file_name")]
-    assert "transactions_20200101_20200102_daily.psv.gz" in names and len(set(names)) == len(names)
-    assert "transactions_20200101_20200102_daily_p0002.psv.gz" in names
+    names = {dt: [r[0] for r in rows(listed.filter(F.col("dt") == dt), "file_name")] for dt in (D1, D2)}
+    # one scheme of names, whatever a date's size
+    assert names[D2] == ["transactions_20200102_20200103_daily_p0001.psv.gz"]
+    assert names[D1] == [f"transactions_20200101_20200102_daily_p{i:04d}.psv.gz" for i in range(1, 10)]
+
+
+def test_emptied_dates_go(spark, built, tmp_path):
+    publish(built, str(tmp_path), "transactions")
+    only = store(built.filter(F.col("dt") == D1), str(tmp_path / "again"))
+    publish(only, str(tmp_path), "transactions", emptied=lambda dt: dt == D2)
+    assert not files(tmp_path, D2) and len(files(tmp_path, D1)) == 1
 
 
 def test_rerun_replaces_its_dates_only(spark, built, tmp_path):
@@ -92,13 +101,13 @@ def test_published_names(spark, table, schedule, dt, name):
 
 
 def test_audit_log_appends(spark, tmp_path):
-    one = spark.createDataFrame([("b", "transformer", "pos", "2020-01-02", "t", 1, 2, "s", "d", None, None, "SUCCESS", "{}")],
+    one = spark.createDataFrame([("b", "gold_run", "pos", "2020-01-02", "t", 1, 2, "s", "d", None, None, "SUCCESS", "{}")],
                                 AUDIT_LAYOUT)
     for _ in range(2):
         write_audit(one, str(tmp_path / "log"))
     assert read_audit(spark, str(tmp_path / "log")).count() == 2
     with open(glob.glob(f"{tmp_path}/log/part-*")[0]) as f:
-        assert f.read().startswith("b\u0001transformer\u0001pos\u0001")
+        assert f.read().startswith("b\u0001gold_run\u0001pos\u0001")
 
 
 def test_archive_replaces_dates(spark, feed, tmp_path):
@@ -133,3 +142,10 @@ def test_carry_over(spark, feed, tmp_path):
     staged = carry_over_dimensions(feeds, str(tmp_path))
     assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(f"{tmp_path}/*")) == sorted(DIMENSIONS)
     assert rows(staged["product"], "SourceProductNumber", "dt") == [("1", D1)]
+
+
+def test_emptied_date_goes_from_the_archive(spark, feed, tmp_path):
+    path = str(tmp_path)
+    archive_feed(feed("transactions", [transaction("1"), transaction("2", dt=D2)]), path, "transactions")
+    out = archive_feed(feed("transactions", [transaction("9")]), path, "transactions", lambda dt: dt == D2)
+    assert rows(out, "SourceTransactionNumber", "dt") == [("9", D1)]

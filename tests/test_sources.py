@@ -42,14 +42,44 @@ def test_older_quote_reading(spark, landing):
     assert df.filter("discountcode = 'C'").first().discounttype == '"q""q"'
 
 
-def test_unknown_columns_pass_by_header(spark, tmp_path):
-    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|new\nA|n\n")
+def test_each_date_is_read_by_its_own_header(spark, tmp_path):
+    heads = {20200101: "discountcode|discountdescription|discounttype", 20200102: "new|discountcode|discountdescription|discounttype",
+             20200103: "discounttype|discountdescription|DiscountCode"}
+    lines = {20200101: "A|one|PCT", 20200102: "n|B|two|PCT", 20200103: "AMT|three|C"}
+    for day, head in heads.items():
+        put(tmp_path / "discounts" / f"dt={day}", "a.psv.gz", f"{head}\n{lines[day]}\n")
     df = read_feed(spark, str(tmp_path), "discounts")
-    assert rows(df) == [("A", "n", 20200101)] and df.columns == ["discountcode", "new", "dt"]
+    assert rows(df, "dt", "discountcode", "discountdescription", "discounttype", "new") == [
+        (20200101, "A", "one", "PCT", None), (20200102, "B", "two", "PCT", "n"), (20200103, "C", "three", "AMT", None)
+    ]
+    assert rows(read_feed(spark, str(tmp_path), "discounts", dates="20200102:20200103"), "dt") == [(20200102,), (20200103,)]
+    assert read_feed(spark, str(tmp_path), "discounts", dates="20210101").count() == 0
+
+
+def test_header_without_a_contract_column_names_its_date(spark, tmp_path):
+    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|discountdescription|discounttype\nA|o|x\n")
+    put(tmp_path / "discounts" / "dt=20200102", "a.psv.gz", "discountcode|other|discounttype\nA|n|x\n")
+    with pytest.raises(ValueError, match="discountdescription.*dt=20200102"):
+        read_feed(spark, str(tmp_path), "discounts")
+    # within a date all files have the header of the first
+    put(tmp_path / "discounts" / "dt=20200102", "a.psv.gz", "discountcode|discountdescription|discounttype\nA|n|x\n")
+    put(tmp_path / "discounts" / "dt=20200102", "b.psv.gz", "discountcode|discounttype|discountdescription\nA|n|x\n")
+    with pytest.raises(Exception, match="header"):
+        read_feed(spark, str(tmp_path), "discounts").collect()
+
+
+def test_settlement_files_are_read_by_their_own_headers(spark, tmp_path):
+    names = feed_layout("settlement").names
+    put(tmp_path, "SETTLE_5_20200102.csv", ",".join(names) + "\n1,t,s,h,Ann,m,a,p,10.5,7\n", packed=False)
+    put(tmp_path, "SETTLE_5_20200103.csv", ",".join(["new", *names[::-1]]) + "\nn,7,1,p,a,m,Bob,h,s,t,2\n", packed=False)
+    df = read_settlement(spark, f"{tmp_path}/SETTLE_*")
+    assert rows(df, "store_id", "customer_name", "approved_amount", "new", "file_dt") == [
+        ("1", "Ann", "10.5", None, 20200102), ("2", "Bob", "1", "n", 20200103)
+    ]
 
 
 def test_declared_layout_compares_headers(spark, tmp_path):
-    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|other|discounttype\nA|n|x\n")
+    put(tmp_path / "discounts" / "dt=20200101", "a.psv.gz", "discountcode|discounttype|discountdescription\nA|n|x\n")
     assert read_feed(spark, str(tmp_path), "discounts").count() == 1
     with pytest.raises(Exception, match="header"):
         read_feed(spark, str(tmp_path), "discounts", declared=True).collect()
@@ -125,8 +155,10 @@ def test_conform(spark, feed):
     df = feed("product_category", [dict(SourceCategoryNumber="1", dt=1)]).withColumn("partition_col", F.lit(1))
     out = conform(df.withColumn("extra", F.lit("x")).withColumnRenamed("Name", "NAME"), "product_category")
     assert out.columns == [
-        "SourceCategoryNumber", "Name", "SourceParentCategoryNumber", "DateCreated", "CustomAttributes", "dt",
+        "Sourcecategorynumber", "Name", "Sourceparentcategorynumber", "Datecreated", "Customattributes", "dt",
         "partition_col",
     ]
+    wide = conform(df.withColumn("extra", F.lit("x")), "product_category", unknown=True)
+    assert wide.columns == [*out.columns[:-1], "extra", "partition_col"]
     with pytest.raises(ValueError, match="Name"):
         conform(df.drop("Name"), "product_category")

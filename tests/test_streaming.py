@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from shop import D1, D2, good_feeds
-from test_arrivals import key, notice, settled
+from test_arrivals import key, notice
 
 from retailgold.operators import arrivals
 from retailgold.schemas import POS_FEEDS
 from retailgold.sources import read_gold
-from retailgold.streaming import read_notifications, read_ready, stream_arrivals, stream_completeness, stream_gold
+from retailgold.streaming import (
+    read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_gold,
+)
 from retailgold.streaming.arrivals import update_ledger
 
 
@@ -22,21 +25,24 @@ def landing(tmp_path):
     return land
 
 
+def settlement(*dates):
+    return [f"settlement/SETTLE_1_{d}.csv" for d in dates]
+
+
 def files(dt, feeds=POS_FEEDS, brand="brand_a"):
     return [key(brand, "daily", f, dt) for f in feeds]
 
 
 def test_stream_equals_batch_and_restarts(spark, landing, tmp_path):
     source = f"{tmp_path}/in"
-    landing("1", *files(D1, POS_FEEDS[:5]), "other/x")
+    landing("1", *files(D1, POS_FEEDS[:5]), *settlement(D1, D2), "other/x")
     landing("2", *files(D1, POS_FEEDS[3:]), *files(D2, POS_FEEDS[:7]))
-    dates = settled(spark, D1, D2)
 
     def go():
         notes = read_notifications(spark, source, 1)
         stream_arrivals(notes, f"{tmp_path}/arrived", f"{tmp_path}/c1").awaitTermination()
         stream_completeness(
-            notes, dates, f"{tmp_path}/ledger", f"{tmp_path}/ready", f"{tmp_path}/c2"
+            notes, f"{tmp_path}/ledger", f"{tmp_path}/ready", f"{tmp_path}/c2"
         ).awaitTermination()
         return rows(read_ready(spark, f"{tmp_path}/ready"), "brand", "schedule", "dt", "batch_id")
 
@@ -46,35 +52,35 @@ def test_stream_equals_batch_and_restarts(spark, landing, tmp_path):
     assert go() == [("brand_a", "daily", D1, 1), ("brand_a", "daily", D2, 2)]
     batch = arrivals.route(spark.read.text(source))
     assert rows(spark.read.parquet(f"{tmp_path}/arrived"), *batch.columns) == rows(batch)
-    assert len(rows(arrivals.ready(batch, dates))) == 2
+    assert len(rows(arrivals.ready(batch))) == 2
 
 
 def test_replayed_batch_replaces_itself(spark, tmp_path):
-    dates, ledger = settled(spark, D1), f"{tmp_path}/ledger"
+    ledger = f"{tmp_path}/ledger"
 
     def batch(number, *keys):
         df = spark.createDataFrame([(notice(*keys),)], "value string")
-        return rows(update_ledger(df, number, ledger, dates, arrivals.Routes()))
+        return rows(update_ledger(df, number, ledger, arrivals.Routes()))
 
-    first, last = files(D1, POS_FEEDS[:5]), files(D1, POS_FEEDS[5:])
+    first, last = files(D1, POS_FEEDS[:5]) + settlement(D1), files(D1, POS_FEEDS[5:])
     assert batch(0, *first) == []
     assert batch(1, *last) == [("brand_a", "daily", D1)]
     # replaying batch 0 must not see batch 1; replaying batch 1 finds the date again
     assert batch(0, *first) == []
     assert batch(1, *last) == [("brand_a", "daily", D1)]
-    assert spark.read.parquet(ledger).count() == len(POS_FEEDS)
+    assert spark.read.parquet(ledger).count() == len(POS_FEEDS) + 1
     assert batch(2, "other/x") == []
 
 
 def test_incremental_gold(spark, feed, landing, tmp_path):
     raw = good_feeds(feed)
-    landing("1", *files(D1, POS_FEEDS[:5]))
+    landing("1", *files(D1, POS_FEEDS[:5]), *settlement(D1, D2))
     landing("2", *files(D1, POS_FEEDS[5:]), *files(D2, POS_FEEDS[:5]))
 
     def go():
         stream_gold(
-            read_notifications(spark, f"{tmp_path}/in", 1), lambda brand, schedule: raw, settled(spark, D1, D2),
-            ledger=f"{tmp_path}/ledger", out=f"{tmp_path}/gold", audit_path=f"{tmp_path}/audit",
+            read_notifications(spark, f"{tmp_path}/in", 1), lambda brand, schedule: raw,
+            ledger=f"{tmp_path}/ledger", out=f"{tmp_path}/gold", rejected=f"{tmp_path}/rejected", audit_path=f"{tmp_path}/audit",
             checkpoint=f"{tmp_path}/c", tables=("transactions", "transaction_item"),
         ).awaitTermination()
         items = read_gold(spark, f"{tmp_path}/gold/brand_a/daily", "transaction_item")
@@ -83,3 +89,40 @@ def test_incremental_gold(spark, feed, landing, tmp_path):
     assert go() == [("1-1", "1~55~07"), ("2-1", "2~55~07")]
     landing("3", *files(D2, POS_FEEDS[5:]))
     assert go() == [("1-1", "1~55~07"), ("2-1", "2~55~07"), ("3-1", "3~55~07")]
+
+
+def test_settlement_that_comes_last_makes_its_date_ready(spark, landing, tmp_path):
+    def go():
+        stream_completeness(
+            read_notifications(spark, f"{tmp_path}/in", 1), f"{tmp_path}/ledger", f"{tmp_path}/ready", f"{tmp_path}/c"
+        ).awaitTermination()
+        return rows(read_ready(spark, f"{tmp_path}/ready"), "dt")
+
+    landing("1", *files(D1), *files(99999999), *files(20200230))
+    assert go() == []
+    landing("2", *settlement(D1, 99999999))
+    assert go() == [(D1,)]
+
+
+def test_a_bad_date_is_rejected_and_the_stream_goes_on(spark, feed, landing, tmp_path):
+    raw = good_feeds(feed)
+    bad = dict(raw, transaction_item=raw["transaction_item"].filter(f"dt = {D1}").unionByName(
+        raw["transaction_item"].filter(f"dt = {D2}").withColumn("sourcetransactionnumber", F.lit("lost"))
+    ))
+
+    def go(feeds):
+        stream_gold(
+            read_notifications(spark, f"{tmp_path}/in", 1), lambda brand, schedule: feeds, ledger=f"{tmp_path}/ledger",
+            out=f"{tmp_path}/gold", rejected=f"{tmp_path}/rejected", audit_path=f"{tmp_path}/audit", checkpoint=f"{tmp_path}/c",
+            tables=("transactions", "transaction_item"),
+        ).awaitTermination()
+        return (
+            rows(read_gold(spark, f"{tmp_path}/gold/brand_a/daily", "transaction_item"), "sourcetransactionitemnumber"),
+            rows(read_rejected(spark, f"{tmp_path}/rejected"), "dt", "entity_type", "batch_id"),
+        )
+
+    landing("1", *files(D1), *files(D2), *settlement(D1, D2))
+    assert go(bad) == ([("1-1",), ("2-1",)], [(D2, "transaction_item", 0)])
+    # the next batch and a restart go on; a file that comes again has its date run again
+    landing("2", key("brand_a", "daily", "transaction_item", D2))
+    assert go(raw) == ([("1-1",), ("2-1",), ("3-1",)], [(D2, "transaction_item", 0)])
