@@ -57,7 +57,8 @@ def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def repeated_segments(lines: DataFrame, least: int) -> DataFrame:
     """Lines that occur more than once, in segments of neighbours with ``least`` words or more; ``place`` numbers them."""
-    often = lines.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
+    # a table of its own, so that the join may split a line that very many documents have
+    often = stored(lines.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low"), "line-often")
     by_row = Window.partitionBy("key", "row").orderBy("line")
     # repeated rows are one place
     again = lines.join(often, ["high", "low"]).dropDuplicates(["key", "row", "line"])
@@ -103,7 +104,7 @@ def doubled(ranked: DataFrame, k: int) -> DataFrame:
 
 def later_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS) -> DataFrame:
     """(key, row, start, lines): runs that occur earlier too."""
-    segments = stored(repeated_segments(lines_of(docs, key, text), least), "line-segments")
+    segments = stored(repeated_segments(stored(lines_of(docs, key, text), "line-ids"), least), "line-segments")
     names = segments.groupBy("high", "low").agg(F.min("place").alias("r0"))
     ranked = stored(segments.join(names, ["high", "low"]).drop("high", "low"), "line-ranks")
     longest, levels = longest_needed(_segments(ranked, 1), least), 1
@@ -144,7 +145,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least
     cuts = runs.groupBy("row").agg(F.collect_set(F.struct("start", "lines")).alias("cuts"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
     numbered = with_row_id(docs.select(*names), key, text)
-    joined = numbered.join(stored(cuts, "line-cuts").withColumnRenamed("row", "_row"), "_row", "left").drop("_row")
+    # sort-merge at any size: the list of cuts grows with the documents
+    joined = numbered.join(stored(cuts, "line-cuts").withColumnRenamed("row", "_row").hint("merge"), "_row", "left").drop("_row")
     small_batches(docs.sparkSession)
     at = names.index(text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
