@@ -73,7 +73,7 @@ def stage_feeds(
 def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Keep the settlement of the tenders' days; no other day can match.
 
-    The days are calendar days, and as values they pick partitions of the archive before any file is opened.
+    The days are calendar days; their months pick partitions of the archive before any file is opened.
     """
     days = [r["day"] for r in feeds["tenders"].select(F.col("transactiondate").alias("day")).distinct().collect() if r["day"]]
     settlement = feeds["settlement"]
@@ -81,7 +81,10 @@ def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
         day = F.col("settlement_day")
     else:
         day = settlement_date(F.col("store_transaction_date_time"))
-    return {**feeds, "settlement": settlement.filter(day.isin(days) if days else F.lit(False))}
+    settlement = settlement.filter(day.isin(days) if days else F.lit(False))
+    if days and "settlement_month" in settlement.columns:
+        settlement = settlement.filter(F.col("settlement_month").isin(sorted({d.year * 100 + d.month for d in days})))
+    return {**feeds, "settlement": settlement}
 
 
 def _now() -> datetime:

@@ -17,13 +17,15 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
 
     Dates that come again replace themselves, dates that ``emptied`` names and that have no rows any more go, others stay.  No
     shuffle: a staged file holds one date, so a scan task writes few dates.  A settlement file is known by the date in its
-    name (``file_dt``) and may hold several transaction days, so it is archived by day and file: a run reads the days it
-    needs, and landing a file again replaces that file's rows of all days.
+    name (``file_dt``) and may hold several transaction days, so it is archived by month and file with the day as a column: a
+    run reads the months of its days, within them the row groups that hold one, and landing a file again replaces that
+    file's rows of all days.  (A folder per day would be thousands of small files where a file holds a month.)
     """
     target, by = f"{path}/{feed}", ["dt"]
     if feed == "settlement":
-        by = ["settlement_day", "file_dt"]
+        by = ["settlement_month", "file_dt"]
         df = df.withColumn("settlement_day", settlement_date(F.col("store_transaction_date_time")))
+        df = df.withColumn("settlement_month", F.date_format("settlement_day", "yyyyMM").cast("int"))
     spark = df.sparkSession
     staged = stage(df, path, feed, by)
     # every day of a file that comes again is replaced, also days that it no longer has

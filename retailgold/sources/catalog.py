@@ -23,8 +23,8 @@ def create_external_table(
     elif table != "settlement":
         fields, partition = feed_layout(table), "dt"
     elif kind == "archive":
-        fields = feed_layout(table).add("settlement_day", T.DateType()).add("file_dt", T.IntegerType())
-        partition = "settlement_day, file_dt"
+        fields = feed_layout(table).add("settlement_day", T.DateType()).add("settlement_month", T.IntegerType()).add("file_dt", T.IntegerType())
+        partition = "settlement_month, file_dt"
     else:
         fields, partition = feed_layout(table), None
     file_format = "parquet" if kind == "archive" else "csv"

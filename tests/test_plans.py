@@ -80,8 +80,9 @@ def test_dates_prune_partitions_through_the_joins(spark, staged):
 
 def test_settlement_days_pick_partitions(spark, staged):
     text = explain(gold.settlement_summary(_prune_settlement(staged)["settlement"]))
-    filters = re.search(r"PartitionFilters: \[(.*)\]", text)[1]
-    assert "settlement_day" in filters and "2020-01-02" in filters and "2020-01-03" in filters
+    assert "settlement_month" in re.search(r"PartitionFilters: \[(.*)\]", text)[1] and "202001" in text
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text)[1]
+    assert "settlement_day" in pushed and "2020-01-02" in pushed and "2020-01-03" in pushed
 
 
 def test_settlement_is_combined_before_its_shuffle(spark, staged):
