@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from retailgold.llm.frames import stored
 
 
-def _sum(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-    return r["n"], r["x"]
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node either has one smaller neighbour and no larger one, or only larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    each = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return each.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -32,14 +34,12 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every linked node: the smallest node it can reach.  ``edges`` has columns a, b; nulls link nothing.
 
-    Each round goes to the shared folder.  The driver compares two numbers per round; rounds grow with the logarithm of
-    the longest chain.
+    Each round goes to the shared folder.  Edges always lead to the smaller node, so when they are stars their centers are the
+    smallest nodes.  The driver sees one answer per round; rounds grow with the logarithm of the longest chain.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stored(edges, "links")
-    before, now = None, _sum(edges)
-    while now != before and now[0]:
+    while not _are_stars(edges):
         edges = stored(_star(_star(edges, True), False), "links")
-        before, now = now, _sum(edges)
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(stars.select("component", "component").distinct())

@@ -34,10 +34,10 @@ PERCENT = 75
 SLOTS = 1 << 20  # of the frequency table: 4 MB, at any size of the corpus
 _SLOT_SHIFT = np.uint64(64 - 20)
 _CHUNK = 1 << 12
-MARKS = 1 << 22  # of the bitmap of documents whose sets are needed: 0.5 MB
+MARKS = 1 << 21  # bits of the bitmap of documents whose sets are needed: 0.25 MB
 HEAD = 16
-ROUNDS = 5
-LEADERS = 8
+ROUNDS = 2
+LEADERS = 16
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -199,14 +199,12 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return int(np.count_nonzero(both[1:] == both[:-1])) >= need
 
 
-def marked(slots: DataFrame) -> Column:
-    """Whether a row's column ``slot`` is among the given ones, by a bitmap of ``MARKS`` bits in the query itself."""
-    bitmap = np.zeros(MARKS, bool)
-    for r in slots.distinct().toLocalIterator():  # at most MARKS numbers
-        bitmap[r["slot"]] = True
-    bits = F.lit(bytearray(np.packbits(bitmap, bitorder="little").tobytes()))
-    byte = F.conv(F.hex(F.substring(bits, F.expr("cast(slot div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.pow(F.lit(2), F.col("slot") % 8).cast("int")) != 0
+def marked(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """Rows whose column ``slot`` is among the given ones, by a bitmap of ``MARKS`` bits: at most ``MARKS / 64`` rows go to all executors."""
+    bit = F.expr("shiftleft(1L, slot % 64)")
+    word = F.expr("slot div 64").alias("_word")
+    words = slots.groupBy(word).agg(F.bit_or(bit).alias("_bits"))
+    return rows.withColumn("_word", word).join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, key: str, width: int) -> DataFrame:
@@ -215,10 +213,9 @@ def sets_of(docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, key:
     A bitmap of fixed size tells which documents may be needed, so that the others' texts are not cut; what it lets through
     in error is dropped by the join.
     """
-    involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), "ngram-involved")
+    involved = stored(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "ngram-involved")
     slot = F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int").alias("slot")
     first = rows.join(involved, "sid", "left_semi").groupBy("sid").agg(F.min("key").alias("key"))
-    wanted = marked(first.select(slot))
 
     def make():
         seen: set[int] = set()
@@ -231,15 +228,16 @@ def sets_of(docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, key:
 
         return work
 
-    mine = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(slot, "text").where(wanted)
+    mine = marked(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(slot, "text"), first.select(slot))
     cut = by_batch(mine.select("text"), make, "sid bigint, tokens binary", text=0)
     return cut.join(involved, "sid", "left_semi").dropDuplicates(["sid"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked) of distinct pairs."""
-    x = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
+    # sort-merge at any size: sets are the heavy side, and pairs grow with the documents
+    x = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x")).hint("merge")
+    y = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y")).hint("merge")
 
     def make():
         read = lambda t: np.frombuffer(t, np.uint64)
