@@ -2,9 +2,11 @@
 
 Filter directions are a product code: the rotated space is cut into four blocks, each with random unit code words, and a
 direction is one word per block.  A vector is list-decoded to the directions that exceed its threshold, without looking at
-the others; the threshold is set for each vector so that ``PER_VECTOR`` directions do.  Vectors meet where they share a filter
-and are verified by their cosine in double precision.  The code grows with the number of vectors, so that a filter is
-passed by a few vectors at any size.  Two vectors at the similarity limit share about 35 filters; tests measure the recall.
+the others; the threshold is set for each vector so that a given number of directions do.  Vectors meet where they share a
+filter and are verified by their cosine in double precision.  The code grows with the number of vectors, so that a filter is
+passed by a few vectors at any size, and its caps get smaller; the directions of a vector grow with the words of a block, from
+``PER_VECTOR`` at ``LEAST_FILTERS`` on, so that two vectors at the similarity limit share 33 filters or more on average at any
+size.  Tests measure the recall with the filters of large tables.
 Vectors of fewer than ``LEAST_SIZE`` components have too few separate caps: they all pass one filter.
 
 Equal vectors of a label are one node.  A filter's vectors are split into chunks, and a pair of chunks is a unit of work, so a
@@ -38,37 +40,47 @@ CHUNK = 256
 WIDE = 6
 
 
+def per_vector(words: int) -> int:
+    """Directions a vector is decoded to, in proportion to the words of a block."""
+    return min(words**2, max(PER_VECTOR, math.ceil(PER_VECTOR * words / LEAST_FILTERS ** (1 / BLOCKS))))
+
+
 class ProductCode:
     """Code words of each block for vectors of one length, the same in every process."""
 
     def __init__(self, size: int, filters: int, seed: int = 11):
         draw = np.random.default_rng([seed, size])
         self.words = math.ceil(filters ** (1 / BLOCKS))
+        self.per_vector = per_vector(self.words)
         width = -(-size // BLOCKS)
         padded = width * BLOCKS
         self.rotation = np.linalg.qr(draw.standard_normal((padded, padded)))[0][:size]
         code = draw.standard_normal((BLOCKS, self.words, width))
         self.code = code / np.linalg.norm(code, axis=2, keepdims=True)
-        # of two sorted lists the a-th and b-th best can only be among the best PER_VECTOR sums if a * b is not more
-        rank = np.arange(1, PER_VECTOR + 1)
-        self.left, self.right = np.nonzero(rank[:, None] * rank[None, :] <= PER_VECTOR)
+        # of two sorted lists the a-th and b-th best can only be among the best per_vector sums if a * b is not more
+        rank = np.arange(1, self.per_vector + 1)
+        self.left, self.right = np.nonzero(rank[:, None] * rank[None, :] <= self.per_vector)
+        inside = (self.left < self.words) & (self.right < self.words)
+        self.first, self.second = self.left[inside], self.right[inside]
 
     def filters(self, unit: np.ndarray) -> np.ndarray:
-        """Sorted numbers of the PER_VECTOR best filters of each row of unit vectors."""
+        """Sorted numbers of the per_vector best filters of each row of unit vectors."""
         n, k = len(unit), self.words
         x = (unit @ self.rotation).reshape(n, BLOCKS, -1)
         score = np.einsum("nbw,bkw->nbk", x, self.code)
+        order = np.argsort(-score, axis=2, kind="stable")
+        score = np.take_along_axis(score, order, 2)
         halves = []
         for b in (0, 2):
-            sums = (score[:, b, :, None] + score[:, b + 1, None, :]).reshape(n, k * k)
-            best = np.argpartition(-sums, PER_VECTOR, axis=1)[:, :PER_VECTOR]
-            order = np.argsort(-np.take_along_axis(sums, best, 1), axis=1, kind="stable")
-            best = np.take_along_axis(best, order, 1)
-            halves.append((best, np.take_along_axis(sums, best, 1)))
+            sums = score[:, b, self.first] + score[:, b + 1, self.second]
+            best = np.argpartition(-sums, self.per_vector - 1, axis=1)[:, : self.per_vector]
+            best = np.take_along_axis(best, np.argsort(-np.take_along_axis(sums, best, 1), axis=1, kind="stable"), 1)
+            number = np.take_along_axis(order[:, b], self.first[best], 1) * k + np.take_along_axis(order[:, b + 1], self.second[best], 1)
+            halves.append((number, np.take_along_axis(sums, best, 1)))
         (left, left_sum), (right, right_sum) = halves
         sums = left_sum[:, self.left] + right_sum[:, self.right]
-        best = np.argpartition(-sums, PER_VECTOR, axis=1)[:, :PER_VECTOR]
-        return np.sort(np.take_along_axis(left[:, self.left], best, 1) * (k * k) + np.take_along_axis(right[:, self.right], best, 1), axis=1)
+        best = np.argpartition(-sums, self.per_vector - 1, axis=1)[:, : self.per_vector]
+        return np.sort(np.take_along_axis(left, self.left[best], 1) * (k * k) + np.take_along_axis(right, self.right[best], 1), axis=1)
 
 
 def _units(x: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from retailgold.llm import caps
 
@@ -68,6 +69,27 @@ def test_recall_at_the_limit(spark):
     assert got >= 0.99 * 800
 
 
+@pytest.mark.parametrize("size", [24, 32, 64])
+@pytest.mark.parametrize("vectors", [1_000_000, 100_000_000])
+def test_recall_with_the_filters_of_a_large_table(size, vectors):
+    code = caps.ProductCode(size, caps.FILTERS_PER_VECTOR * vectors)
+    draw = np.random.default_rng(5)
+    x = np.array([unit(draw, size) for _ in range(1000)])
+    y = np.array([near_copies(draw, v, 0.9305, 1)[0] for v in x])
+    shared = [len(np.intersect1d(a, b)) for i in range(0, 1000, 250) for a, b in zip(code.filters(x[i : i + 250]), code.filters(y[i : i + 250]))]
+    assert np.mean(shared) >= 33 and np.mean(np.array(shared) == 0) <= 0.005
+
+
+def test_links_with_the_filters_of_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(caps, "FILTERS_PER_VECTOR", 8_000_000)  # 800 vectors have the filters of 100 million
+    draw = np.random.default_rng(6)
+    rows = []
+    for c in range(400):
+        center = unit(draw, 32)
+        rows += [(2 * c, center.tolist(), 0), (2 * c + 1, near_copies(draw, center, 0.9305, 1)[0].tolist(), 0)]
+    assert sum(r[1] for r in run(spark, rows)) >= 0.99 * 800
+
+
 def test_crowded_filter_is_split_and_counted_once(spark, monkeypatch):
     monkeypatch.setattr(caps, "CHUNK", 8)
     draw = np.random.default_rng(3)
