@@ -51,6 +51,16 @@ def test_mix(spark):
         left[r["source"]] -= 1
 
 
+def test_more_sources_than_slots(spark):
+    sizes = {f"host{i}": 1 + 40 * (i < 3) for i in range(1_500)} | {None: 2}
+    rows = mixing.mixed(frame(spark, sizes), block=4).orderBy("position").collect()
+    assert Counter(r["source"] for r in rows) == sizes and len({r["position"] for r in rows}) == len(rows)
+    share = {r["source"]: r["share"] for r in rows}
+    assert sum(share.values()) == mixing.period_of(len(sizes)) and min(share.values()) >= 1
+    assert share["host0"] > 5 * share["host9"]
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in rows)
+
+
 def test_order_within_a_source(spark):
     rows = mixing.mixed(frame(spark, {"a": 5_000}), block=8).orderBy("position").collect()
     assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in rows), key=lambda k: hashlib.md5(k.encode()).hexdigest())
