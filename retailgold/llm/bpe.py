@@ -225,15 +225,16 @@ def decode(coded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return by_batch(coded.select(key, "ids"), make, f"`{key}` {kind}, text string")
 
 
-def encode_digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", most: int = 200_000) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of every row; see ``encode`` for odd rows."""
+def encode_digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", most: int = 200_000, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) and the columns ``keep`` of every row; see ``encode`` for odd rows."""
     encoder = _encoders(docs, path, text, most)
 
     def make():
         run = encoder()
-        return lambda keys, texts: (keys, *run.digests(texts))
+        return lambda keys, texts, *kept: (keys, *run.digests(texts), *kept)
 
     kind = docs.schema[key].dataType.simpleString()
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return by_batch(
-        docs.select(key, text), make, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", text=1
+        docs.select(key, text, *keep), make, f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{more}", text=1
     )

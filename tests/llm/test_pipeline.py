@@ -1,15 +1,19 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from retailgold.llm import mixing
+
 from . import brute
 from .conftest import ODD, SF
 
+COLUMNS_TYPED = ["doc_id bigint", "text string", "lang string", "source string", "n_chars bigint"]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -62,6 +66,33 @@ def test_the_mix_keeps_all(steps):
     assert len(set(first)) > 3  # sources alternate from the start
 
 
+def test_the_mix_survives_the_reread(spark, steps):
+    before, after = steps["mix"][0], steps["tokens"][1]
+    rows = after.repartition(5).orderBy("position").collect()
+    assert len(rows) == len(before) and len({r["position"] for r in rows}) == len(rows)
+    want = mixing.mixed(spark.createDataFrame(before, ", ".join(COLUMNS_TYPED))).select("doc_id", "position").collect()
+    assert {(r["doc_id"], r["position"]) for r in rows} == {tuple(r) for r in want}
+    assert [r["doc_id"] for r in rows] != [r["doc_id"] for r in before]
+
+
+def test_the_result_is_in_the_proportions_of_the_weights(spark, tmp_path):
+    left = Counter({"a": 400, "b": 100, "c": 25})
+    data = [(i, f"text {i}", "en", s, 6) for i, s in enumerate(left.elements())]
+    docs = spark.createDataFrame(data, ", ".join(COLUMNS_TYPED)).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mix"](spark, docs, SF).write.parquet(f"file://{tmp_path}/mix")
+    stages["tokens"](spark, spark.read.parquet(f"file://{tmp_path}/mix"), SF).write.parquet(f"file://{tmp_path}/tokens")
+    rows = spark.read.parquet(f"file://{tmp_path}/tokens").orderBy("position").collect()
+    assert len(rows) == len(data)
+    weights, seen = {"a": 20 / 35, "b": 10 / 35, "c": 5 / 35}, Counter()
+    for total, r in enumerate(rows, 1):
+        seen[data[r["doc_id"]][3]] += 1
+        if any(left[s] - seen[s] < mixing.BLOCK for s in left):  # until a source runs out
+            break
+        assert all(abs(seen[s] - total * w) < 2 * mixing.BLOCK for s, w in weights.items())
+    assert total > 100
+
+
 def test_tokens_and_run(spark, steps):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     before, after = steps["tokens"]
