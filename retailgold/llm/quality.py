@@ -1,8 +1,8 @@
 """Quality rules: base counts of a text, and how far it is from the language references.
 
 A reference is, for each language of the corpus, the histogram of character classes and of common words over all its
-documents.  A common word has at most ``WORD_BYTES`` bytes and a share of at least ``WORD_SHARE`` of its language's words,
-so a language has at most ``1 / WORD_SHARE`` of them; all other words are one more bin.  A text is compared by
+documents.  A common word has a share of at least ``WORD_SHARE`` of its language's words, whatever its length, so a language
+has at most ``1 / WORD_SHARE`` of them; all other words are one more bin.  A text is compared by
 Jensen-Shannon distance (0 to 1) with every reference and the nearest counts, so its own language label is not needed.
 Texts below the minimum lengths are not judged by distance.
 
@@ -24,7 +24,6 @@ from retailgold.llm.frames import arrow_schema, by_batch, pieces, small_batches,
 from retailgold.llm.words import Words, mixed, windows
 
 WORD_SHARE = 0.001
-WORD_BYTES = 8
 LEAST_WORDS = 100
 LEAST_CHARS = 400
 # Distances above which a text fails; see README for how they were set.
@@ -141,11 +140,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> Refer
         for langs, texts in pieces(batches, 1):
             for name in set(langs):
                 part = Words([t for t, x in zip(texts, langs) if x == name], lower=True)
-                short = part.hashes()[part.end - part.start <= WORD_BYTES]
-                keys, n = np.unique(short, return_counts=True)
-                words.setdefault(name, []).append((keys, n))
-                # words that are too long to be common count towards the total only
-                words[name].append((np.zeros(1, np.uint64), np.array([len(part.start) - len(short)])))
+                words.setdefault(name, []).append(np.unique(part.hashes(), return_counts=True))
                 whole = class_counts(Words([t for t, x in zip(texts, langs) if x == name])).sum(0)
                 classes[name] = classes.get(name, 0) + whole
                 if len(words[name]) > 40:
@@ -167,7 +162,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> Refer
     least = F.lit(None).cast("double")
     for name, n in totals.items():
         least = F.when(F.col("lang") == name, n * WORD_SHARE).otherwise(least)
-    common = counted.where("word and key <> 0").where(F.col("n") >= least).collect()  # at most 1 / WORD_SHARE per language
+    common = counted.where("word").where(F.col("n") >= least).collect()  # at most 1 / WORD_SHARE per language
     classes = counted.where("not word").collect()  # 7 per language
     names = sorted(n for n, total in totals.items() if total)
     keys = np.unique(np.array([r["key"] for r in common], np.int64).view(np.uint64))

@@ -56,6 +56,14 @@ def test_references_over_all_documents(spark, texts):
     assert max(refs.shares[0]) == 0.5 and abs(refs.classes.sum() - 1) < 1e-12
 
 
+def test_long_words_are_common_too(texts):
+    refs = quality.references(texts([(1, "international the international обществознание"), (2, "обществознание INTERNATIONAL")]))
+    assert len(refs.words) == 3 and sorted(np.round(refs.shares[0] * 6)) == [0, 1, 2, 3]
+    near = quality.judge(texts([(3, "international обществознание")]), refs).collect()[0]
+    assert near["word_distance"] < 0.4
+    assert not len(quality.references(texts([(1, ""), (2, None)])).classes)
+
+
 def test_no_reference(texts):
     docs = texts(ODD, lang=None)
     refs = quality.references(docs)
