@@ -82,5 +82,74 @@ links as (select a, b from pairs where 100 * common >= 75 * (total - common)),
 select doc_id, len(set) as n_shingles, least(doc_id, coalesce((select min(other) from reach r where r.id = s.doc_id), doc_id)) as component_id from s"""
 
 
+OP11 = r"""with docs as (select row_number() over () as doc, coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+cut as (select lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as ws from docs),
+sizes as (select lang, sum(len(ws)) as n from cut group by lang),
+said as (select lang, k, ws[i:i + k - 1] as p from (select lang, ws, k, unnest(range(1, len(ws) - k + 2)) as i from cut, (select unnest(range(1, 6)) as k))),
+f as (select lang, k, p, count(*) as a from said group by lang, k, p having count(*) >= 100),
+longer as (select lang, unnest([p[1:k - 1], p[2:k]]) as p, a from f where k > 2),
+kept as (select * from f where k > 1 and not exists (select 1 from longer x where x.lang = f.lang and x.p = f.p and x.a >= f.a)),
+cuts as (select lang, k, p, a, unnest(range(1, k)) as c from kept),
+priced as (select cuts.lang, cuts.p, cuts.a, c, x.a as l, y.a as r, n, 1000 * cast(cuts.a as hugeint) * n // (cast(x.a as hugeint) * y.a) as score
+    from cuts join f x on x.lang = cuts.lang and x.p = cuts.p[1:c] join f y on y.lang = cuts.lang and y.p = cuts.p[c + 1:] join sizes on sizes.lang = cuts.lang),
+worst as (select *, row_number() over (partition by lang, p order by score, c) as place from priced),
+ranked as (select lang, array_to_string(p, ' ') as phrase, a, l, r, n, score,
+    row_number() over (partition by lang order by score desc, a desc, encode(array_to_string(p, ' '))) as rank from worst where place = 1)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from ranked where rank <= 2000"""
+
+# states of the role pattern: 0 nothing yet, 1 after the system turn, 2 after a user's, 3 after an assistant's
+OP12 = r"""with recursive crc(tab) as (select list_transform(range(256), lambda i:
+    list_reduce(list_concat([i], range(8)), lambda x, y: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))),
+named as (select *, coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name from conversations),
+lots as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor(list_reduce(list_concat([4294967295],
+    list_transform(range(1, len(name) + 1), lambda i: cast(ascii(substr(name, i, 1)) as bigint))),
+    lambda x, b: xor(x >> 8, tab[1 + (xor(x, b) & 255)])), 4294967295) % 20 as lot from named, crc),
+damaged as (select conv_id, turn, case when lot = 4 then 'user' else role end as role, case lot when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when lot = 3 then 2 else 1 end)) as copy from lots where lot <> 0),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i from damaged),
+bare as (select *, regexp_replace(text, '[\x20\x09-\x0D]+$', '') as said, row_number() over (partition by conv_id, role, text order by i) as time,
+    substr(lag(role) over (partition by conv_id order by i), 1, 1) || substr(role, 1, 1) as pair from placed),
+turns as (select *, case when said = '' then 'blank' when time > 1 then 'duplicate' when right(said, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault from bare),
+-- turns put before a row: letters, cost, lines, states
+put(q, letters, c, lines, q1) as (values (0, '', 0, '', 0), (1, '', 0, '', 1), (2, '', 0, '', 2), (3, '', 0, '', 3), (0, 'I', 2, 'user:' || chr(10), 2),
+    (1, 'I', 2, 'user:' || chr(10), 2), (3, 'I', 2, 'user:' || chr(10), 2), (2, 'I', 2, 'assistant:' || chr(10), 3),
+    (0, 'II', 4, 'user:' || chr(10) || 'assistant:' || chr(10), 3), (1, 'II', 4, 'user:' || chr(10) || 'assistant:' || chr(10), 3)),
+-- edits of a row: state, initial (* any), letter, cost, state
+edit(q, initial, letter, c, q1) as (values (0, '*', 'D', 3, 0), (1, '*', 'D', 3, 1), (2, '*', 'D', 3, 2), (3, '*', 'D', 3, 3), (0, 's', 'K', 0, 1), (0, 'u', 'K', 0, 2),
+    (1, 'u', 'K', 0, 2), (3, 'u', 'K', 0, 2), (2, 'a', 'K', 0, 3), (0, '*', 'R', 2, 2), (1, '*', 'R', 2, 2), (2, '*', 'R', 2, 3), (3, '*', 'R', 2, 2)),
+walk(conv_id, i, q, best) as (
+    select distinct conv_id, cast(0 as bigint), 0, {'c': 0, 'a': '', 't': ''} from conversations
+    union all
+    select w.conv_id, t.i, e.q1, min({'c': w.best.c + p.c + e.c + case when t.fault = 'truncated' and e.letter <> 'D' then 1 else 0 end, 'a': w.best.a || p.letters || e.letter,
+        't': w.best.t || p.lines || case e.letter when 'D' then '' when 'K' then t.role || ':' || t.text || chr(10)
+            else case when p.q1 = 2 then 'assistant' else 'user' end || ':' || t.text || chr(10) end})
+    from walk w join turns t on t.conv_id is not distinct from w.conv_id and t.i = w.i + 1 join put p on p.q = w.q join edit e on e.q = p.q1
+        and (e.initial = '*' or e.initial = substr(t.role, 1, 1)) and (e.letter = 'D' or t.fault not in ('blank', 'duplicate'))
+    group by w.conv_id, t.i, e.q1
+),
+ends as (select w.conv_id, min({'c': w.best.c + p.c, 'a': w.best.a || p.letters, 't': w.best.t || p.lines}) as best from walk w join put p on p.q = w.q and p.q1 in (0, 3)
+    where w.i = (select count(*) from turns t where t.conv_id is not distinct from w.conv_id) group by w.conv_id),
+counted as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+    from turns group by conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+    cast(best.c as bigint) as cost, best.a as audit, sha256(left(best.t, greatest(len(best.t) - 1, 0))) as repaired_sha256
+from ends e left join counted c on c.conv_id is not distinct from e.conv_id"""
+
+_CONTROL = r"([<\[])(\\*)(/?s>|/?INST\]|/?ROLE\]|SAYS\])"
+OP13 = rf"""with said as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, t, case t when 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]' from range(2) r(t)),
+escaped as (select *, len(regexp_replace(text, '{_CONTROL}', '\1\\\2\3', 'g')) as chars, len(regexp_replace(role, '{_CONTROL}', '\1\\\2\3', 'g')) as role_chars from said)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, md5(text))) as turns_sha256,
+    coalesce(sum(len(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls first, role, md5(text)) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(chars + case role when 'user' then 15 when 'assistant' then 9 else 23 + role_chars end)::bigint as formatted_chars
+from escaped group by conv_id"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_caps": OP2, "op6_warc": OP6, "op7_mixing": OP7, "op8_lines": OP8, "op10_ngram_join": OP10}
+    return {
+        "op2_caps": OP2, "op6_warc": OP6, "op7_mixing": OP7, "op8_lines": OP8, "op10_ngram_join": OP10,
+        "op11_collocations": OP11, "op12_structure": OP12, "op13_chat": OP13,
+    }
