@@ -103,9 +103,9 @@ def _batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def cut(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """Rows (shard, lang, n, codes): a text's numbers with a 0 between pieces; and (chunk, counts): parts of the filter of pairs."""
+    """Rows (shard, lang, seed, n, codes): a text's numbers with a 0 between pieces; and (chunk, counts): parts of the filter of pairs."""
     small_batches(docs.sparkSession)
-    layout = "shard int, lang string, n bigint, codes binary, chunk int, counts binary"
+    layout = "shard int, lang string, seed bigint, n bigint, codes binary, chunk int, counts binary"
     schema = arrow_schema(layout)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,11 +128,12 @@ def cut(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 none = [None] * len(rows)
                 codes_of = [flat[8 * a : 8 * b] for a, b, _, _ in rows]
                 shard = [zlib.crc32(c) % SHARDS for c in codes_of]
-                yield _batch([shard, [r[3] for r in rows], [r[2] for r in rows], codes_of, none, none], schema)
+                seeds = [int(language_seed(r[3]).view(np.int64)) for r in rows]
+                yield _batch([shard, [r[3] for r in rows], seeds, [r[2] for r in rows], codes_of, none, none], schema)
         parts = [(i // _CHUNK, zlib.compress(p.tobytes(), 1)) for i in range(0, BUCKETS, _CHUNK) if (p := filled[i : i + _CHUNK]).any()]
         none = [None] * len(parts)
         # filter parts lie beside the shards
-        yield _batch([[-1] * len(parts), none, none, none, [p[0] for p in parts], [p[1] for p in parts]], schema)
+        yield _batch([[-1] * len(parts), none, none, none, none, [p[0] for p in parts], [p[1] for p in parts]], schema)
 
     return docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang")).mapInArrow(run, layout)
 
@@ -174,40 +175,48 @@ def marked(counts: list[DataFrame], least: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _sum(counts: list[DataFrame]) -> DataFrame:
+def _sum(counts: list[DataFrame], *carried: str) -> DataFrame:
     rows = counts[0]
     for c in counts[1:]:
         rows = rows.union(c)
-    return rows.groupBy("phrase").agg(F.sum("n").alias("n"))
+    return rows.groupBy("phrase").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in carried))
+
+
+COUNTED = ("prefix", "suffix", "seed")
 
 
 def scan(shard: DataFrame, words_too: bool, now: np.ndarray | None, ago: np.ndarray | None, pairs: np.ndarray) -> DataFrame:
-    """(phrase, n): how often a shard has each phrase that is being counted: those that ``now`` admits and ``ago`` did not."""
+    """(phrase, n, prefix, suffix, seed): how often a shard has each phrase that is being counted: those that ``now`` admits and ``ago`` did not.
+
+    ``prefix`` and ``suffix`` are the phrases of one word less that it begins and ends with (0: it is a word).
+    """
     small_batches(shard.sparkSession)
-    layout = "phrase bigint, n bigint"
+    layout = "phrase bigint, n bigint, prefix bigint, suffix bigint, seed bigint"
     schema = arrow_schema(layout)
     shared = shard.sparkSession.sparkContext.broadcast((now, ago, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, ago, pairs = shared.value
-        found: list[np.ndarray] = []
+        found: list[tuple[np.ndarray, ...]] = []
         held, last = 0, np.zeros(1, np.uint64)
         for batch in batches:
-            column = batch.column(0)
-            codes = np.concatenate([np.frombuffer(b, np.uint64) for b in column.to_pylist()] + [last]) if len(column) else last
+            parts = [np.frombuffer(b, np.uint64) for b in batch.column(0).to_pylist()]
+            codes = np.concatenate([*parts, last])
+            seeds = np.repeat(np.concatenate([batch.column(1).to_numpy(), [0]]), [*map(len, parts), 1])
             word = codes != 0
             if words_too:
-                found.append(codes[word])
+                found.append((codes[word], np.zeros(int(word.sum()), np.uint64), np.zeros(int(word.sum()), np.uint64), seeds[word]))
             if now is not None:
                 phrases, ok = codes, word
                 for length in range(2, LONGEST + 1):
                     inside, before = has(now, phrases) & ok, has(ago, phrases)
                     n = max(0, len(codes) - length + 1)
                     admitted = inside[:n] & inside[1 : n + 1]
-                    phrases = longer(phrases, codes, length)
+                    shorter, phrases = phrases, longer(phrases, codes, length)
                     if length == 2:
                         admitted &= has(pairs, phrases)
-                    found.append(phrases[admitted & ~(before[:n] & before[1 : n + 1])])
+                    at = np.flatnonzero(admitted & ~(before[:n] & before[1 : n + 1]))
+                    found.append((phrases[at], shorter[at], shorter[at + 1], seeds[at]))
                     ok = admitted
             held += len(codes)
             if held >= FLUSH:
@@ -215,17 +224,19 @@ def scan(shard: DataFrame, words_too: bool, now: np.ndarray | None, ago: np.ndar
                 found, held = [], 0
         yield _counted(found, schema)
 
-    sent = shard.select("codes").mapInArrow(run, layout)
-    return sent.groupBy("phrase").agg(F.sum("n").alias("n"))
+    return _sum([shard.select("codes", "seed").mapInArrow(run, layout)], *COUNTED)
 
 
-def _counted(found: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
-    phrases, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-    return _batch([phrases.view(np.int64), n], schema)
+def _counted(found: list[tuple[np.ndarray, ...]], schema: pa.Schema) -> pa.RecordBatch:
+    if not found:
+        return _batch([[]] * len(schema), schema)
+    columns = [np.concatenate(c) for c in zip(*found)]
+    phrases, at, n = np.unique(columns[0], return_index=True, return_counts=True)
+    return _batch([phrases.view(np.int64), n, *(c[at].astype(np.int64, copy=False) if c.dtype == np.int64 else c[at].view(np.int64) for c in columns[1:])], schema)
 
 
 def frequent(spark: SparkSession, shards: list[DataFrame], pairs: np.ndarray, least: int) -> DataFrame:
-    """(phrase, n) of all phrases that occur at least ``least`` times."""
+    """(phrase, n, prefix, suffix, seed) of all phrases that occur at least ``least`` times."""
     size = len(shards)
     tables: list[DataFrame] = []
     bitmaps: list[np.ndarray | None] = [None]  # before each scan; None: nothing has reached the threshold
@@ -244,7 +255,7 @@ def frequent(spark: SparkSession, shards: list[DataFrame], pairs: np.ndarray, le
             break  # all that was admitted has had its cycle
         if step > size:
             bitmaps[step - size - 1] = None  # no scan looks back so far
-    return stored(_sum(tables).where(F.col("n") >= least), "phrases")
+    return stored(_sum(tables, *COUNTED).where(F.col("n") >= least), "phrases")
 
 
 def _same(a: np.ndarray | None, b: np.ndarray | None) -> bool:
@@ -252,12 +263,9 @@ def _same(a: np.ndarray | None, b: np.ndarray | None) -> bool:
 
 
 def named(docs: DataFrame, text: str, lang: str, bits: np.ndarray) -> DataFrame:
-    """(phrase, lang, words, left, right) of the phrases of two words and more in ``bits``: their texts, and the phrases they are cut into.
-
-    A task sends a phrase again only when it has sent very many others meanwhile.
-    """
+    """(phrase, words) of the phrases of two words and more in ``bits``.  A task sends a phrase again only after very many others."""
     small_batches(docs.sparkSession)
-    layout = "phrase bigint, lang string, words string, left array<bigint>, right array<bigint>"
+    layout = "phrase bigint, words string"
     schema = arrow_schema(layout)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -266,24 +274,20 @@ def named(docs: DataFrame, text: str, lang: str, bits: np.ndarray) -> DataFrame:
         for texts, langs in pieces(batches, 0):
             words = Pieces(texts)
             codes = coded(words, langs)
-            levels, ok = [codes], has(shared.value, codes)
+            phrases = codes
             for length in range(2, LONGEST + 1):
                 n = max(0, len(codes) - length + 1)
-                phrases = longer(levels[-1], codes, length)
-                levels.append(phrases)
-                ok = ok[:n] & (words.piece[length - 1 : length - 1 + n] == words.piece[:n]) & has(shared.value, phrases)
-                at = np.flatnonzero(ok)
+                phrases = longer(phrases, codes, length)
+                at = np.flatnonzero((words.piece[length - 1 : length - 1 + n] == words.piece[:n]) & has(shared.value, phrases))
                 at = at[np.unique(phrases[at], return_index=True)[1]]
                 at = at[~np.isin(phrases[at], sent)]
                 sent = np.concatenate([sent if len(sent) < SENT else sent[:0], phrases[at]])
-                rows = []
-                for i in at.tolist():
-                    said = b" ".join(words.data[a:b].tobytes() for a, b in zip(words.start[i : i + length].tolist(), words.end[i : i + length].tolist()))
-                    left = [int(levels[k][i].view(np.int64)) for k in range(length - 1)]
-                    right = [int(levels[length - 2 - k][i + 1 + k].view(np.int64)) for k in range(length - 1)]
-                    rows.append((int(phrases[i].view(np.int64)), langs[words.text[i]], said.decode("utf-8", "surrogatepass"), left, right))
-                if rows:
-                    yield _batch(list(zip(*rows)), schema)
+                said = [
+                    b" ".join(words.data[a:b].tobytes() for a, b in zip(words.start[i : i + length].tolist(), words.end[i : i + length].tolist()))
+                    for i in at.tolist()
+                ]
+                if said:
+                    yield _batch([phrases[at].view(np.int64), [s.decode("utf-8", "surrogatepass") for s in said]], schema)
 
     return docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang")).mapInArrow(run, layout)
 
@@ -296,12 +300,25 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     """
     spark = docs.sparkSession
     kept = stored_shards(cut(docs, text, lang))
-    rows = spark.read.schema("lang string, n bigint, codes binary, chunk int, counts binary, shard int").parquet(kept)
+    rows = spark.read.schema("lang string, seed bigint, n bigint, codes binary, chunk int, counts binary, shard int").parquet(kept)
     pairs = pair_filter(rows.where("shard = -1"), least)
     shards = [rows.where(F.col("shard") == i) for i in range(SHARDS)]
     often = frequent(spark, shards, pairs, least)
-    sizes = rows.where("shard >= 0").groupBy("lang").agg(F.sum("n").alias("n"))
-    return _scored(docs, text, lang, often, sizes, least, top)
+    sizes = rows.where("shard >= 0").groupBy("seed", "lang").agg(F.sum("n").alias("size"))
+    best = scored(often).join(sizes, "seed").select(
+        "phrase", "lang", "a", F.col("size").alias("n"), F.transform("cuts", lambda c, i: F.struct(_score(c["l"], c["r"]).alias("score"), i, c["l"], c["r"])).alias("cuts")
+    ).select("phrase", "lang", "a", "n", F.array_min("cuts").alias("cut"))
+    found = best.select("phrase", "lang", "a", "cut.l", "cut.r", "n", "cut.score")
+    strongest = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    if top is not None:  # also all that the last one's text decides about
+        found = found.withColumn("place", F.rank().over(strongest)).where(F.col("place") <= top).drop("place")
+    found = stored(found, "strongest")
+    texts = named(docs, text, lang, marked([found.withColumn("n", F.lit(least))], least)).groupBy("phrase").agg(F.first("words").alias("words"))
+    out = found.join(texts, "phrase").drop("phrase").withColumnRenamed("words", "phrase")
+    ranked = out.withColumn("rank", F.row_number().over(strongest.orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("bigint"))
+    if top is not None:
+        ranked = ranked.where(F.col("rank") <= top)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def stored_shards(rows: DataFrame) -> str:
@@ -311,30 +328,27 @@ def stored_shards(rows: DataFrame) -> str:
     return path
 
 
-def _scored(docs: DataFrame, text: str, lang: str, often: DataFrame, sizes: DataFrame, least: int, top: int | None) -> DataFrame:
-    texts = named(docs, text, lang, marked([often], least)).groupBy("phrase").agg(F.first(F.struct("lang", "words", "left", "right")).alias("it"))
-    found = stored(
-        often.join(texts, "phrase").select("phrase", F.col("n").alias("a"), "it.*"), "candidates"
-    )
+def scored(often: DataFrame) -> DataFrame:
+    """(phrase, seed, a, cuts) of the candidates: ``cuts`` has (l, r), the counts of both parts, for each cut from the left."""
+    longest = often.where("prefix <> 0").select(F.explode(F.array("prefix", "suffix")).alias("phrase"), F.col("n").alias("longer"))
     # what a phrase loses to a longer one, it loses to one of one word more
-    parts = F.explode(F.when(F.size("left") > 1, F.array(F.element_at("left", -1), F.element_at("right", 1))).otherwise(F.array().cast("array<bigint>")))
-    inside = found.select(parts.alias("phrase"), "a").groupBy("phrase").agg(F.max("a").alias("longer"))
-    kept = found.join(inside, "phrase", "left").where("longer is null or longer < a").drop("longer")
-    cuts = kept.select("phrase", "lang", "words", "a", F.posexplode(F.arrays_zip("left", "right")).alias("cut", "ends"))
-    cuts = cuts.select("phrase", "lang", "words", "a", "cut", F.col("ends.left").alias("left"), F.col("ends.right").alias("right"))
-    of = lambda name, count: often.select(F.col("phrase").alias(name), F.col("n").alias(count))
-    priced = cuts.join(of("left", "l"), "left").join(of("right", "r"), "right").join(sizes, "lang")
-    exact = lambda c: F.col(c).cast("decimal(19,0)")
-    score = F.expr("cast(1000 * cast(a as decimal(19,0)) as decimal(22,0))") * exact("n")
-    priced = priced.withColumn("score", _quotient(score, exact("l") * exact("r")))
-    worst = F.min(F.struct("score", "cut", "l", "r")).alias("worst")
-    each = priced.groupBy("phrase", "lang", "words", "a", "n").agg(worst)
-    out = each.select("lang", F.col("words").alias("phrase"), "a", "worst.l", "worst.r", "n", "worst.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = out.withColumn("rank", F.row_number().over(order).cast("bigint"))
-    if top is not None:
-        ranked = ranked.where(F.col("rank") <= top)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    inside = longest.groupBy("phrase").agg(F.max("longer").alias("longer"))
+    rows = often.where("prefix <> 0").join(inside, "phrase", "left").where("longer is null or longer < n")
+    rows = rows.select("phrase", "seed", F.col("n").alias("a"), "prefix", "suffix")
+    for side in ("prefix", "suffix"):
+        known = often.select(F.col("phrase").alias("_part"), F.col("n").alias("_n"), F.col(side).alias("_next"))
+        rows = rows.withColumns({f"{side}es": F.array().cast("array<bigint>"), "_at": F.col(side)})
+        for _ in range(LONGEST - 1):
+            rows = rows.join(known, F.col("_at") == F.col("_part"), "left").withColumns({
+                f"{side}es": F.when(F.col("_n").isNull(), F.col(f"{side}es")).otherwise(F.concat(f"{side}es", F.array("_n"))), "_at": F.coalesce("_next", F.lit(0)),
+            }).drop("_part", "_n", "_next")
+    cuts = F.zip_with(F.reverse("prefixes"), "suffixes", lambda x, y: F.struct(x.alias("l"), y.alias("r")))
+    return rows.select("phrase", "seed", "a", cuts.alias("cuts"))
+
+
+def _score(l: Column, r: Column) -> Column:  # noqa: E741
+    exact = lambda c: c.cast("decimal(19,0)")
+    return _quotient((F.lit(1000) * exact(F.col("a"))).cast("decimal(22,0)") * exact(F.col("size")), exact(l) * exact(r))
 
 
 def _quotient(above: Column, below: Column) -> Column:
