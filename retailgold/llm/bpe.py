@@ -14,19 +14,24 @@ import json
 import math
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain
 
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailgold.llm.frames import by_batch, stored
+from retailgold.llm.frames import arrow_schema, by_batch, pieces, small_batches, stored
 from retailgold.llm.lexicon import Lexicon, compile_lexicon
 
 # Characters that str.split() takes for white space and Unicode does not.
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
 SPACES = regex.compile(r"\p{White_Space}+")
 MEMO_CHUNKS = 300_000
+COUNT_CHUNKS = 500_000
 SHORT = 40
+NEVER = 1 << 62
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,7 +50,10 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # pairs of ids as one number -> rank; rank -> new id
+        listed = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in pairs]
+        self.ranks = {a << 32 | b: rank for rank, (a, b, _) in enumerate(listed)}
+        self.made = [new for _, _, new in listed]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
@@ -77,35 +85,36 @@ class WordBpe:
         ids = [self.inner[b] for b in word[:-1]] + [self.outer[word[-1]]]
         if len(ids) <= SHORT:
             return self._merge_short(ids)
-        merges, end = self.merges, len(ids)
+        rank_of, made, end = self.ranks.get, self.made, len(ids)
         after, prior = list(range(1, end + 1)), list(range(-1, end - 1))
-        heap = [(m[0], i, m[1], ids[i], ids[i + 1]) for i in range(end - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(end - 1) if (r := rank_of(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= end or ids[j] != b:
                 continue  # one side has been merged meanwhile
+            new = made[rank]
             ids[i], ids[j], after[i] = new, -1, after[j]
             if after[i] < end:
                 prior[after[i]] = i
-                if m := merges.get((new, ids[after[i]])):
-                    heapq.heappush(heap, (m[0], i, m[1], new, ids[after[i]]))
-            if (p := prior[i]) >= 0 and (m := merges.get((ids[p], new))):
-                heapq.heappush(heap, (m[0], p, m[1], ids[p], new))
+                if (r := rank_of(new << 32 | ids[after[i]])) is not None:
+                    heapq.heappush(heap, (r, i, new, ids[after[i]]))
+            if (p := prior[i]) >= 0 and (r := rank_of(ids[p] << 32 | new)) is not None:
+                heapq.heappush(heap, (r, p, ids[p], new))
         return [i for i in ids if i >= 0]
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        get, never = self.merges.get, (math.inf, -1)
-        ways = [get(p, never) for p in zip(ids, ids[1:])]
-        while ways and (best := min(ways))[1] >= 0:
+        rank_of, made = self.ranks.get, self.made
+        ways = [rank_of(a << 32 | b, NEVER) for a, b in zip(ids, ids[1:])]
+        while ways and (best := min(ways)) != NEVER:
             i = ways.index(best)
-            ids[i : i + 2] = [best[1]]
-            del ways[i]
+            ids[i] = new = made[best]
+            del ids[i + 1], ways[i]
             if i:
-                ways[i - 1] = get((ids[i - 1], ids[i]), never)
+                ways[i - 1] = rank_of(ids[i - 1] << 32 | new, NEVER)
             if i < len(ways):
-                ways[i] = get((ids[i], ids[i + 1]), never)
+                ways[i] = rank_of(new << 32 | ids[i + 1], NEVER)
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -121,7 +130,7 @@ class Encoder:
         self.known: dict[str, tuple[str, str]] = {}  # ids and tokens of a chunk, each joined by spaces
 
     def learn(self, chunks: set[str]) -> dict[str, tuple[str, str]]:
-        """Ids and tokens of each chunk.  A chunk holds at least one word."""
+        """Put ids and tokens of each chunk into ``known``; gives those that are to be taken out again.  A chunk holds a word at least."""
         known, bpe = self.known, self.bpe
         new = {c: bpe.pieces(c) for c in chunks if c not in known}
         words = list({w for cut in new.values() for w in cut})
@@ -134,47 +143,59 @@ class Encoder:
             c: word[cut[0]] if len(cut) == 1 else (" ".join([word[w][0] for w in cut]), " ".join([word[w][1] for w in cut]))
             for c, cut in new.items()
         }
-        if len(known) < MEMO_CHUNKS:
-            known.update(fresh)
-            return known
-        return {c: known[c] for c in chunks - new.keys()} | fresh
+        full = len(known) >= MEMO_CHUNKS
+        known.update(fresh)
+        return fresh if full else {}
 
-    def _read(self, texts: list[str | None]) -> tuple[list[list[str]], dict[str, tuple[str, str]]]:
+    def _read(self, texts: list[str | None]) -> list[list[tuple[str, str]]]:
+        """Ids and tokens of each text's chunks."""
         cut = [self.bpe.chunks(t) if t else [] for t in texts]
-        return cut, self.learn({c for chunks in cut for c in chunks})
+        passing = self.learn(set(chain.from_iterable(cut)))
+        read = [list(map(self.known.__getitem__, chunks)) for chunks in cut]
+        for chunk in passing:
+            del self.known[chunk]
+        return read
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text; null counts as empty."""
-        cut, read = self._read(texts)
-        return [[int(i) for c in chunks for i in read[c][0].split(" ")] for chunks in cut]
+        return [[int(i) for ids, _ in chunks for i in ids.split(" ")] for chunks in self._read(texts)]
 
     def digests(self, texts: list[str | None]) -> tuple[list[int], list[str], list[str]]:
         """Per text: tokens, SHA-256 of its ids joined by spaces, SHA-256 of the decoded text."""
-        cut, read = self._read(texts)
-        said = [" ".join([read[c][0] for c in chunks]) for chunks in cut]
-        back = [" ".join([read[c][1] for c in chunks]) for chunks in cut]
+        read = self._read(texts)
+        said = [" ".join([ids for ids, _ in chunks]) for chunks in read]
+        back = [" ".join([tokens for _, tokens in chunks]) for chunks in read]
         sha = lambda t: hashlib.sha256(t.encode("utf-8")).hexdigest()
         return [s.count(" ") + 1 if s else 0 for s in said], list(map(sha, said)), list(map(sha, back))
 
 
 def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(word, n): the pre-tokenized words of all texts; each batch adds its own up first."""
+    """(word, n): the pre-tokenized words of all texts.
 
-    def make():
-        bpe = WordBpe(path)
+    A task counts what lies between white space, and cuts that into words once it has met ``COUNT_CHUNKS`` different ones or its end.
+    """
+    small_batches(docs.sparkSession)
+    schema = arrow_schema("word string, n bigint")
 
-        def work(texts):
-            chunks, seen = Counter(), Counter()
-            for t in texts:
-                chunks.update(bpe.chunks(t) if t else ())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, chunks = WordBpe(path), Counter()
+
+        def words() -> pa.RecordBatch:
+            seen: dict[str, int] = {}
             for chunk, n in chunks.items():
                 for word in bpe.pieces(chunk):
-                    seen[word] += n
-            return list(seen), list(seen.values())
+                    seen[word] = seen.get(word, 0) + n
+            chunks.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], schema=schema)
 
-        return work
+        for (texts,) in pieces(batches, 0):
+            for t in texts:
+                chunks.update(bpe.chunks(t) if t else ())
+            if len(chunks) >= COUNT_CHUNKS:
+                yield words()
+        yield words()
 
-    return by_batch(docs.select(text), make, "word string, n bigint", text=0).groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(counts: DataFrame, most: int) -> list[str]:
