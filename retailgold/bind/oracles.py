@@ -227,6 +227,8 @@ _SETTLEMENT = dict(
     masked_card_number="card", approved_amount="amount_text", pos_register_number="register",
 )
 
+_MONTHS = "(select dt, row_number() over (order by dt) - 1 as place, count(*) over () as months from (select distinct dt from tx)) m"
+
 ORACLES = {
     "scan_feed_psv": f"select {_SCANNED_ITEM} from item",
     "scan_settlement_glob": f"select {_cols(FEED_COLUMNS['settlement'], **_SETTLEMENT)} from settled",
@@ -258,6 +260,10 @@ ORACLES = {
         f"select {_cols(_without(GOLD_COLUMNS['tenders'], 'customer_name'), **_TENDER)} from sold",
     "gold_tenders": _GOLD_TENDER,
     "gold_line_item": _GOLD_ITEM,
+    "gold_line_item_bucketed": _GOLD_ITEM,
+    "gold_discounts_bucketed": _gold("discounts", "g_discount", _DISC),
+    "join_tender_transaction_bucketed":
+        f"select {_cols(_without(GOLD_COLUMNS['tenders'], 'customer_name'), **_TENDER)} from sold",
     "join_xref_item": f"""select x.item_no as sourcetransactionitemnumber, x.code as discountcode, x.amount as discountamt, x.dt,
         i.number as sourcetransactionnumber, i.product as sourceproductnumber from {_XREF_ITEM}""",
     "gold_discounts": _gold("discounts", "g_discount", _DISC),
@@ -315,11 +321,20 @@ ORACLES = {
         replace({_name('line_item', 'daily')}, '.psv.gz', '_p0001.psv.gz') as file_name from g_item group by dt""",
     "publish_large_date": """select dt, cast(ceil(count(*) / 100.0) as bigint) as files, count(*) as "rows",
         least(count(*), 100) as largest, least(count(*), 100) as smallest_but_last from tx group by dt""",
+    "publish_crash_between_tables": " union all ".join(
+        f"""select 'transactions' as entity_type, dt, '{money}' as currency, count(*) as "rows", '{state}' as state from g_tx group by dt
+        union all select 'transaction_item', dt, null, count(*), '{state}' from g_item group by dt"""
+        for state, money in (("crashed", "USD"), ("finished", "EUR"))
+    ),
     "rerun_date_emptied": """select dt, count(*) as "rows" from g_tx where dt <> 19960301 group by dt""",
     "stage_incremental": f"""select strftime(day, '%Y%m01') as file, count(*) as "rows", strftime(day, '%Y') >= '1997' as second
         from settled group by all""",
     "scan_feed_header_drift": """select number as sourcetransactionnumber, register as registernumber,
         case when dt // 10000 % 3 = 1 then 'new' end as newcol, day as datecreated, dt from tx""",
+    "scan_feed_two_headers": """select number as sourcetransactionnumber, register as registernumber,
+        case when cast(number as bigint) % 2 = 1 then 'new' end as newcol, day as datecreated, dt from tx""",
+    "scan_gold_readback_drift": """select number as sourcetransactionnumber, check_id, case when dt < 19960101 then 'red' end as colour,
+        case when dt >= 19960101 then 'P' end as promo, dt as partition_col from g_tx""",
     "scan_settlement_header_drift": """select cast(store as varchar) as store_id, name as customer_name, card as masked_card_number,
         case when month(day) % 2 = 0 then 'new' end as newcol, cast(strftime(day, '%Y%m01') as integer) as file_dt from settled""",
     "rerun_date_idempotent": """select number as sourcetransactionnumber,
@@ -371,6 +386,15 @@ ORACLES = {
         replace({_name(public, 'daily')}, '.psv.gz', '_p0001.psv.gz') as file_name from (select distinct dt from {source}) m_{t}"""
         for t, public, source in (("transactions", "transactions", "tx"), ("transaction_item", "line_item", "g_full_item"))
     ),
+    "run_manifest_two_runs": " union all ".join(
+        f"""select '{t}' as entity_type, dt, cast(1 as integer) as part,
+        '{public}_{first}_' || dt || '_weekly_p0001.psv.gz' as file_name from (select distinct dt from {source} where {dates}) m_{t}_{first}"""
+        for t, public, source, first, dates in (
+            ("transactions", "transactions", "tx", "20240201", "dt < 19951201 and dt >= 19950101"),
+            ("transactions", "transactions", "tx", "20240208", "dt between 19951201 and 19960201"),
+            ("transaction_item", "line_item", "g_full_item", "20240201", "dt between 19950101 and 19951201"),
+        )
+    ),
     "arrivals_parse": "select event_time, 'landing' as bucket, key, size from keys",
     "arrivals_relevant": "select event_id, key from keys where relevant",
     "arrivals_classify": "select event_id, key, brand, schedule, place from keys",
@@ -391,6 +415,13 @@ ORACLES = {
     "stream_gold_rejects_date": """select dt, count(*) as "rows", false as rejected from g_full_item
         where dt // 100 % 100 <> 7 and dt <> 19960301 group by dt
         union all select 19960301, 0, true""",
+    "stream_gold_all_tables": " union all ".join(
+        f"""select '{t}' as entity_type, dt, count(*) as "rows" from {source} where dt // 100 % 100 <> 7 and dt <> 19960301 group by dt"""
+        for t, source in {**_GOLD_SOURCES, "transaction_item": "g_full_item", "discounts":
+            "(select x.dt from xref x join g_full_item g on x.dt = g.dt and x.item_no = g.item_no) d",
+            "product_category": f"(select m.dt from cats cross join {_MONTHS})", "organization": f"(select m.dt from stores cross join {_MONTHS})",
+            "product": f"(select m.dt from goods g join {_MONTHS} on cast(g.number as bigint) % m.months = m.place)"}.items()
+    ) + " union all select 'transaction_item', 19960301, null",
     "stream_gold_line_item": _gold(
         "transaction_item", "g_full_item where dt // 100 % 100 <> 7", _ITEMS, check_id="check_id",
         transactiontimestamp="stamp",

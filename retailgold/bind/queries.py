@@ -20,9 +20,10 @@ from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_set
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
 from retailgold.session import configure, file_system, scratch_dir
 from retailgold.sinks import (
-    archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, read_manifest, store,
-    write_audit, write_gold,
+    archive_feed, carry_over_dimensions, commit_gold, gold_manifest, publish, published_files, read_audit, read_manifest,
+    stage_bucketed, stage_gold, store, write_audit, write_gold,
 )
+from retailgold.snapshots import new_run
 from retailgold.sources import create_external_table, list_files, read_feed, read_gold, read_settlement, run_sql
 from retailgold.streaming import (
     read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_gold,
@@ -60,6 +61,11 @@ def _tagged(parts: dict[str, DataFrame], name: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.withColumn(name, F.lit(tag)) for tag, df in parts.items()])
 
 
+def _bucketed(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    path = scratch_dir(spark, "bucketed")
+    return stage_bucketed(star.feeds(spark, sf, *names), path, "b" + path.rsplit("-", 1)[-1], spark.sparkContext.defaultParallelism)
+
+
 # --- files for the scans ---------------------------------------------------------------------------------------------
 
 def write_feed_files(df: DataFrame, path: str, feed: str) -> None:
@@ -148,6 +154,32 @@ def scan_gold_readback(spark, sf):
     return read_gold(spark, path, "transaction_item")
 
 
+@query
+def scan_feed_two_headers(spark, sf):
+    """Every date has two files, one with a new column in front and the documented ones in reverse."""
+    path = scratch_dir(spark, "headers")
+    raw = star.transactions(spark, sf)
+    names = [c for c in raw.columns if c != "dt"]
+    first = F.col("SourceTransactionNumber").try_cast("bigint") % 2 == 0
+    for part in (raw.filter(first), raw.filter(~first).select(F.lit("new").alias("newcol"), *names[::-1], "dt")):
+        part.hint("rebalance", "dt").write.mode("append").partitionBy("dt").option("sep", "|").option("header", True).option(
+            "nullValue", "\\N").option("compression", "gzip").csv(f"{path}/transactions")
+    return read_feed(spark, path, "transactions").select(
+        "SourceTransactionNumber", F.coalesce("RegisterNumber", F.lit("")).alias("registernumber"), "newcol", "DateCreated", "dt"
+    )
+
+
+@query
+def scan_gold_readback_drift(spark, sf):
+    """Two runs whose dates have different unknown columns after the contract's."""
+    path = scratch_dir(spark, "drift")
+    built = gold.transactions(star.feeds(spark, sf, "transactions"))
+    early = F.col("dt") < 19960101
+    publish(_stored(spark, built.filter(early).withColumn("colour", F.lit("red"))), path, "transactions")
+    publish(_stored(spark, built.filter(~early).withColumn("promo", F.lit("P"))), path, "transactions")
+    return read_gold(spark, path, "transactions").select("sourcetransactionnumber", "check_id", "colour", "promo", "partition_col")
+
+
 @query
 def sql_surface_view(spark, sf):
     feeds = star.feeds(spark, sf, "transactions", "tenders")
@@ -438,6 +470,22 @@ def fn_feed_folder(spark, sf):
     return routed.select("event_id", "feed", feed_folder(F.col("feed")).alias("folder"))
 
 
+@query
+def gold_line_item_bucketed(spark, sf):
+    """From staging in which items and transactions lie in buckets of the same number."""
+    return gold.line_item(_bucketed(spark, sf, "transactions", "transaction_item"))
+
+
+@query
+def join_tender_transaction_bucketed(spark, sf):
+    return gold.tender_transactions(_bucketed(spark, sf, "transactions", "tenders"))
+
+
+@query
+def gold_discounts_bucketed(spark, sf):
+    return gold.discounts(_bucketed(spark, sf, "transactions", "transaction_item", "trans_disc_xref", "discounts"))
+
+
 # --- sinks -----------------------------------------------------------------------------------------------------------
 
 @query
@@ -499,6 +547,40 @@ def publish_gold(spark, sf):
     ).join(names, "dt")
 
 
+@query
+def publish_crash_between_tables(spark, sf):
+    """A second run of two tables dies when the files of one are written; then it comes again and ends.
+
+    Rows per table, date and currency after each.
+    """
+    path = scratch_dir(spark, "crash")
+    feeds = star.feeds(spark, sf, "transactions", "transaction_item")
+    items = _stored(spark, gold.line_item(feeds))
+    first = {"transactions": _stored(spark, gold.transactions(feeds)), "transaction_item": items}
+    second = {"transactions": _stored(spark, first["transactions"].withColumn("Currency", F.lit("EUR"))), "transaction_item": items}
+
+    def seen(state: str) -> DataFrame:
+        transactions = read_gold(spark, path, "transactions").select("dt", F.col("Currency").alias("currency"))
+        all_rows = _tagged({"transactions": transactions, "transaction_item": read_gold(spark, path, "transaction_item").select(
+            "dt", F.lit(None).cast("string").alias("currency"))}, "entity_type")
+        counted = all_rows.groupBy("entity_type", "dt", "currency").agg(F.count(F.lit(1)).alias("rows"))
+        out = scratch_dir(spark, "seen")
+        counted.withColumn("state", F.lit(state)).write.parquet(out)  # the next run removes the files it replaces
+        return spark.read.parquet(out)
+
+    def finished(tables: dict[str, DataFrame]) -> None:
+        name = new_run()
+        for table, df in tables.items():
+            stage_gold(df, path, table, 5_000_000, run=name)
+        commit_gold(spark, path, list(tables), name)
+
+    finished(first)
+    stage_gold(second["transactions"], path, "transactions", 5_000_000)
+    crashed = seen("crashed")
+    finished(second)
+    return crashed.unionByName(seen("finished"))
+
+
 @query
 def rerun_date_idempotent(spark, sf):
     path = scratch_dir(spark, "rerun")
@@ -707,8 +789,7 @@ def run_daily(spark, sf):
 def run_weekly(spark, sf):
     """Two days of daily runs leave their dimensions; the weekly run takes five feeds, those, and no settlement files."""
     base = scratch_dir(spark, "weekly")
-    days, dates = "19950101,19960201", F.col("dt").isin(19950101, 19960201)
-    raw = {f: df.filter(dates) for f, df in star.raw_feeds(spark, sf, *POS_FEEDS, complete=True).items()}
+    days, raw = "19950101,19960201", star.raw_feeds(spark, sf, *POS_FEEDS, complete=True)
     carry_over_dimensions({f: raw[f] for f in DIMENSIONS}, f"{base}/weekly_staging")
     for feed in raw:
         if feed not in DIMENSIONS:
@@ -731,6 +812,18 @@ def run_manifest(spark, sf):
     return read_manifest(spark, f"{base}/gold").select("entity_type", "dt", "part", "file_name")
 
 
+@query
+def run_manifest_two_runs(spark, sf):
+    """Two weekly runs, the second of a later day with fewer tables and dates: names that were published stay."""
+    base = scratch_dir(spark, "manifest")
+    feeds = star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True)
+    for as_of, dates, tables in (("20240131", "19950101:19951201", ("transactions", "transaction_item")), ("20240207", "19951201:19960201", ("transactions",))):
+        run(
+            spark, feeds, f"{base}/gold", audit_path=f"{base}/audit", brand="brand_a", schedule="weekly", as_of=as_of, dates=dates, tables=tables,
+        )
+    return read_manifest(spark, f"{base}/gold").select("entity_type", "dt", "part", "file_name")
+
+
 # --- arrivals and selection ------------------------------------------------------------------------------------------
 
 @query
@@ -827,19 +920,21 @@ def stream_ready_late_settlement(spark, sf):
     return read_ready(spark, f"{base}/ready").select("brand", "schedule", "dt").distinct()
 
 
-def _stream_line_items(spark: SparkSession, sf: str, base: str, feeds: dict[str, DataFrame]) -> None:
+def _stream_months(
+    spark: SparkSession, sf: str, base: str, feeds: dict[str, DataFrame], tables: tuple[str, ...] = ("transaction_item",),
+) -> None:
     notices = star.order_notifications(spark, sf).union(_settled(spark, star.order_months(spark, sf)))
     source = _notification_stream(spark, notices, f"{base}/in")
     stream_gold(
         source, lambda brand, schedule: feeds, ledger=f"{base}/ledger", out=f"{base}/gold", rejected=f"{base}/rejected",
-        audit_path=f"{base}/audit", checkpoint=f"{base}/checkpoint", tables=("transaction_item",),
+        audit_path=f"{base}/audit", checkpoint=f"{base}/checkpoint", tables=tables,
     ).awaitTermination()
 
 
 @query
 def stream_gold_line_item(spark, sf):
     base = scratch_dir(spark, "stream")
-    _stream_line_items(spark, sf, base, star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True))
+    _stream_months(spark, sf, base, star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True))
     return read_gold(spark, f"{base}/gold/brand_a/daily", "transaction_item")
 
 
@@ -850,9 +945,36 @@ def stream_gold_rejects_date(spark, sf):
     feeds = star.raw_feeds(spark, sf, "transactions", "transaction_item", complete=True)
     number = F.when(F.col("dt") != 19960301, F.col("sourcetransactionnumber"))
     feeds["transaction_item"] = feeds["transaction_item"].withColumn("sourcetransactionnumber", number)
-    _stream_line_items(spark, sf, base, feeds)
+    _stream_months(spark, sf, base, feeds)
     good = quality.counts_per_date(read_gold(spark, f"{base}/gold/brand_a/daily", "transaction_item"))
     bad = read_rejected(spark, f"{base}/rejected")
     return good.select("dt", "rows", F.lit(False).alias("rejected")).unionByName(
         bad.select("dt", F.lit(0).cast("bigint").alias("rows"), F.lit(True).alias("rejected"))
     )
+
+
+@query
+def stream_gold_all_tables(spark, sf):
+    """All seven tables; one month's items lost their transaction: rows per table and published month, and the month that was rejected."""
+    base = scratch_dir(spark, "stream")
+    feeds = star.raw_feeds(spark, sf, complete=True)
+    number = F.when(F.col("dt") != 19960301, F.col("sourcetransactionnumber"))
+    feeds["transaction_item"] = feeds["transaction_item"].withColumn("sourcetransactionnumber", number)
+    months = [r["dt"] for r in star.order_months(spark, sf).orderBy("dt").collect()]
+    every = F.array(*[F.lit(m) for m in months])
+    for name in ("product_category", "organization"):  # every month has them, a product comes in one month
+        feeds[name] = feeds[name].drop("dt").withColumn("dt", F.explode(every))
+    number = F.col("SourceProductNumber").try_cast("int")
+    feeds["product"] = feeds["product"].withColumn("dt", F.get(every, number % len(months)))
+    # stored once, as a landed archive is
+    feeds = {name: _landed(spark, df) for name, df in feeds.items()}
+    _stream_months(spark, sf, base, feeds, GOLD_TABLES)
+    good = _tagged({t: quality.counts_per_date(read_gold(spark, f"{base}/gold/brand_a/daily", t)) for t in GOLD_TABLES}, "entity_type")
+    bad = read_rejected(spark, f"{base}/rejected")
+    return good.unionByName(bad.select("dt", F.lit(None).cast("bigint").alias("rows"), "entity_type"))
+
+
+def _landed(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = scratch_dir(spark, "landed")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,17 +1,11 @@
-"""Partition folders: what lies below a table, and replacing some of it by what was written elsewhere."""
+"""Partition folders: what lies below a table."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from retailgold.session import file_system
 
-# Spark's readers skip folders that begin with an underscore.
-STAGED = "_staged-"
-
 
 def partitions(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
     """Partition folders below a table as relative paths, such as ``dt=20200101``; at most one per date (and file)."""
@@ -24,35 +18,3 @@ def partitions(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
 
 def value_of(partition: str, column: str) -> str | None:
     return dict(part.split("=", 1) for part in partition.split("/")).get(column)
-
-
-def stage(df: DataFrame, path: str, name: str, by: list[str], source: str = "parquet", **options) -> str:
-    """Write a table below ``path`` where no reader looks yet; gives the folder."""
-    staged = f"{path}/{STAGED}{uuid.uuid4().hex[:12]}/{name}"
-    df.write.options(**options).partitionBy(*by).format(source).save(staged)
-    return staged
-
-
-def switch(spark: SparkSession, staged: str, target: str, depth: int, emptied: Callable[[str], bool]) -> None:
-    """Move staged partitions to their table.
-
-    A partition of the table goes where it comes again or ``emptied`` names it; all others stay.
-    """
-    fs, folder = file_system(spark, target)
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs.mkdirs(folder)
-    new = partitions(spark, staged, depth)
-    for old in partitions(spark, target, depth):
-        if old in new or emptied(old):
-            fs.delete(path_of(f"{target}/{old}"), True)
-    for part in new:
-        fs.mkdirs(path_of(f"{target}/{part}").getParent())
-        if not fs.rename(path_of(f"{staged}/{part}"), path_of(f"{target}/{part}")):
-            raise OSError(f"{part} could not be moved to {target}")
-    discard(spark, staged)
-
-
-def discard(spark: SparkSession, staged: str) -> None:
-    """Remove what was staged and not moved."""
-    fs, folder = file_system(spark, staged)
-    fs.delete(folder.getParent(), True)

@@ -133,6 +133,15 @@ def evaluate(measured: DataFrame) -> DataFrame:
     )
 
 
+def failing_dates(dated: DataFrame) -> DataFrame:
+    """(entity_type, dt, reason) of every table and date that fails on its own, from the metrics by date.
+
+    A date without rows on either side fails nothing here; a table without any is for ``evaluate``.
+    """
+    each = dated.where("source_count + destination_count > 0").withColumn("dates_differing", F.lit(0).cast("long"))
+    return evaluate(each).where(F.col("event_result") == FAILURE).select("entity_type", "dt", "reason")
+
+
 def counts_by_date(gold: DataFrame, staging: DataFrame) -> DataFrame:
     """Both sides' rows per date; a date that one side lacks counts 0 there."""
     both = counts_per_date(gold).select("dt", F.col("rows").alias("gold_rows"), F.lit(0).alias("staging_rows")).unionByName(

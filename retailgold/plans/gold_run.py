@@ -2,11 +2,11 @@
 
 Jobs per run: one count of all staging feeds by date, one list of the tenders' days, per table one write of the built rows
 (Parquet, in the shared scratch folder), one aggregate over all that was written, and, once every table has passed, per table
-one write of its files; then the manifest and the audit log.  Tables that need no other one are built side by side.  The joins run
+one write of its files; then one entry of the log that readers follow, and the audit log.  Tables that need no other one are built side by side.  The joins run
 once; validation and publication read their result.  Checks read the written rows rather than metrics observed during the
 write, because a task that is run again after a lost executor would be observed twice.
 
-Files are written where no reader looks and moved when all tables' writes have succeeded.
+Readers take the files that the log names (``snapshots``), so all tables change in one step, or none does.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from retailgold.folders import discard
+from retailgold import snapshots
 from retailgold.functions import settlement_date
 from retailgold.operators import gold, quality
 from retailgold.operators.selection import NEVER, SETTLEMENT_AFTER, after_start, in_date_spec, spec_holds
@@ -29,7 +29,7 @@ from retailgold.operators.typed import type_feeds
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform, feed_layout
 from retailgold.session import configure, drop_scratch, scratch_dir
 from retailgold.sinks import (
-    archive_feed, archived_settlement_files, carry_over_dimensions, stage_gold, store, switch_gold, write_audit, write_manifest,
+    archive_feed, archived_settlement_files, carry_over_dimensions, commit_gold, read_archive, stage_gold, store, write_audit,
 )
 from retailgold.sinks.gold_files import ROWS_PER_FILE
 from retailgold.sources import read_feed, read_settlement, run_sql, settlement_files
@@ -38,21 +38,31 @@ from retailgold.sources import read_feed, read_settlement, run_sql, settlement_f
 class GateFailure(RuntimeError):
     """A table failed its checks and nothing of the run was published, or its files could not be written.
 
-    ``by_date`` lists the dates whose gold and staging counts differ.
+    ``by_date`` lists the dates whose gold and staging counts differ, ``rejected`` the dates of a run with ``gate_dates`` if all failed.
     """
 
-    def __init__(self, table: str, reason: str, by_date: list[Row]):
+    def __init__(self, table: str, reason: str, by_date: list[Row], rejected: tuple[RejectedDate, ...] = ()):
         super().__init__(f"{table}: {reason}")
-        self.table, self.reason, self.by_date = table, reason, by_date
+        self.table, self.reason, self.by_date, self.rejected = table, reason, by_date, rejected
+
+
+@dataclass(frozen=True)
+class RejectedDate:
+    """A date that was not published, and the first table that failed on it."""
+
+    dt: int | None
+    table: str
+    reason: str
 
 
 @dataclass(frozen=True)
 class RunResult:
-    """Event result and published folder per table, and where the list of published files is."""
+    """Event result and published folder per table, where the list of published files is, and the dates that were left out."""
 
     results: dict[str, str]
     published: dict[str, str]
     manifest: str | None = None
+    rejected: tuple[RejectedDate, ...] = ()
 
 
 def stage_feeds(
@@ -143,7 +153,7 @@ class _Checked:
 def run(
     spark: SparkSession, raw: dict[str, DataFrame], out: str, *, audit_path: str, brand: str, schedule: str, as_of: str,
     dates: str | None = None, tables: tuple[str, ...] = GOLD_TABLES, rows_per_file: int = ROWS_PER_FILE,
-    strict_contract: bool = False, sql: dict[str, str] | None = None, scratch: str | None = None,
+    strict_contract: bool = False, sql: dict[str, str] | None = None, scratch: str | None = None, gate_dates: bool = False,
 ) -> RunResult:
     """Build the gold tables of one brand and schedule from its raw feeds and publish them below ``out``.
 
@@ -151,7 +161,8 @@ def run(
     run: the audit log gets the rows up to it, ``GateFailure`` is raised and no table is published.  A date that the run covers
     and that has no rows any more goes from the gold.  ``strict_contract`` keeps exactly the contract's columns; otherwise unknown
     columns of a feed follow them.  ``sql`` gives a user's own text, over the typed feeds, for some tables; its rows pass the same
-    checks.  Built tables lie below ``scratch`` until the run ends.
+    checks.  Built tables lie below ``scratch`` until the run ends.  With ``gate_dates`` a date on which some table fails is left out
+    of all tables and keeps the gold it has; the others are published.
     """
     configure(spark)
     sql = sql or {}
@@ -163,6 +174,7 @@ def run(
     began, failed, crash, by_date, published = _now(), None, None, [], {}
     staged_rows: dict[str, int | None] = dict.fromkeys(tables)
     checked: list[_Checked] = []
+    rejected: dict[int | None, RejectedDate] = {}
     try:
         built: dict[str, object] = {}
         try:
@@ -184,7 +196,7 @@ def run(
                 crash = built[table]
                 break
             whole.append(table)
-        evaluated, sizes = _evaluate(spark, built, whole, counts) if whole else ({}, {})
+        evaluated, sizes, rejected = _evaluate(spark, built, whole, counts, gate_dates) if whole else ({}, {}, {})
         for table in whole:
             checked.append(_Checked(*evaluated[table], started=began, ended=_now()))
             if checked[-1].event_result == quality.FAILURE:
@@ -196,47 +208,64 @@ def run(
             failed = _Checked(tables[len(whole)], staged_rows[tables[len(whole)]], reason=str(crash), started=began, ended=_now())
             checked.append(failed)
         if failed is None:
-            covered = {r["dt"] for r in counts}
-            staged = _side_by_side(spark, list(tables), lambda t: stage_gold(built[t], out, t, rows_per_file, sizes[t]))
+            covered = {r["dt"] for r in counts} - set(rejected)
+            name = snapshots.new_run()
+            staged = _side_by_side(spark, list(tables), lambda t: stage_gold(built[t], out, t, rows_per_file, sizes[t], name))
             broken = next((t for t in tables if isinstance(staged[t], Exception)), None)
             if broken is None:
-                gone = lambda dt: dt in covered or spec_holds(dates, dt)
-                published = {t: switch_gold(spark, staged[t], out, t, gone) for t in tables}
+                gone = lambda dt: dt in covered or (dt not in rejected and spec_holds(dates, dt))
+                commit_gold(spark, out, list(tables), name, schedule=schedule, as_of=as_of, emptied=gone)
+                published = {t: f"{out}/{t}" for t in tables}
             else:
                 crash = staged[broken]
                 for c in checked:  # what passed is not published either
                     c.event_result, c.ended = quality.FAILURE, _now()
                     c.reason = str(crash) if c.table == broken else f"not published, because {broken} could not be written"
                 failed = next(c for c in checked if c.table == broken)
-                for folder in staged.values():
-                    if not isinstance(folder, Exception):
-                        discard(spark, folder)
-        manifest = write_manifest(spark, out, list(published), schedule=schedule, as_of=as_of) if published else None
+                snapshots.discard(spark, out, tables, name)
+        manifest = f"{out}/{snapshots.LOG}" if published else None
         log = spark.createDataFrame([c.row() for c in checked], f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
         write_audit(quality.audit_rows(
             log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
             start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
         ), audit_path)
         if failed is not None:
-            raise GateFailure(failed.table, failed.reason, by_date) from crash
-        return RunResult({c.table: c.event_result for c in checked}, published, manifest)
+            raise GateFailure(failed.table, failed.reason, by_date, tuple(rejected.values())) from crash
+        return RunResult({c.table: c.event_result for c in checked}, published, manifest, tuple(rejected.values()))
     finally:
         drop_scratch(spark, scratch)
 
 
 def _evaluate(
-    spark: SparkSession, built: dict[str, DataFrame], tables: list[str], counts: list[Row],
-) -> tuple[dict[str, tuple], dict[str, dict[int | None, int]]]:
-    """The verdict per table, and the rows per date of each; one row per table and calendar day comes to the driver."""
+    spark: SparkSession, built: dict[str, DataFrame], tables: list[str], counts: list[Row], gate_dates: bool = False,
+) -> tuple[dict[str, tuple], dict[str, dict[int | None, int]], dict[int | None, RejectedDate]]:
+    """The verdict per table, the rows per date of each, and the dates left out; a row per table and calendar day comes to the driver.
+
+    A verdict speaks of the dates that are not left out.  The sizes are what a publishing write joins its rows with, so a date
+    that is not among them is not written.
+    """
     measured = quality.dated_metrics([quality.gold_side(t, built[t]) for t in tables]).collect()
     staged = [r for r in counts if r["entity_type"] in tables]
-    both = spark.createDataFrame([tuple(r) for r in measured + staged], quality.DATED_LAYOUT)
-    verdicts = quality.evaluate(quality.summed(quality.dated_metrics([both]), tuple(tables))).collect()
+    both = [tuple(r) for r in measured + staged]
+    rejected: dict[int | None, RejectedDate] = {}
+    if gate_dates:
+        failing = quality.failing_dates(quality.dated_metrics([spark.createDataFrame(both, quality.DATED_LAYOUT)])).collect()
+        for r in sorted(failing, key=lambda r: tables.index(r["entity_type"])):
+            rejected.setdefault(r["dt"], RejectedDate(r["dt"], r["entity_type"], r["reason"]))
+        dated = {r["dt"] for r in measured + staged if r["source_count"] + r["destination_count"]}
+        if rejected and dated - set(rejected):
+            left = [x for x in both if x[1] not in rejected]
+            empty = [t for t in tables if not sum(r["destination_count"] for r in measured if r["entity_type"] == t and r["dt"] not in rejected)]
+            # a table whose rows were all on dates left out has none to publish the others with
+            for dt in dated - set(rejected) if empty else ():
+                rejected[dt] = RejectedDate(dt, empty[0], "zero rows")
+            both = left
+    verdicts = quality.evaluate(quality.summed(quality.dated_metrics([spark.createDataFrame(both, quality.DATED_LAYOUT)]), tuple(tables))).collect()
     sizes: dict[str, dict[int | None, int]] = defaultdict(dict)
     for r in measured:
-        if r["destination_count"]:
+        if r["destination_count"] and r["dt"] not in rejected:
             sizes[r["entity_type"]][r["dt"]] = r["destination_count"]
-    return {r["entity_type"]: tuple(r) for r in verdicts}, sizes
+    return {r["entity_type"]: tuple(r) for r in verdicts}, sizes, rejected
 
 
 def run_paths(
@@ -256,7 +285,7 @@ def run_paths(
     feeds = [f for f in POS_FEEDS if not (weekly and f in DIMENSIONS)]
     raw = {feed: read_feed(spark, staging, feed, dates=dates) for feed in feeds}
     if weekly:
-        raw |= {f: spark.read.schema(feed_layout(f)).parquet(f"{dimensions}/{f}").filter(in_date_spec(dates)) for f in DIMENSIONS}
+        raw |= {f: read_archive(spark, dimensions, f, feed_layout(f)).filter(in_date_spec(dates)) for f in DIMENSIONS}
     asked = lambda dt: spec_holds(dates, dt)
     staged = stage_feeds(raw, archive, dates=dates)
     staged["settlement"] = stage_settlement(spark, settlement, archive, SETTLEMENT_AFTER[schedule] if settlement_after is None else settlement_after)

@@ -1,10 +1,12 @@
-from retailgold.sinks.archive import archive_feed, archived_settlement_files, carry_over_dimensions
+from retailgold.sinks.archive import archive_feed, archived_settlement_files, carry_over_dimensions, read_archive
 from retailgold.sinks.audit import read_audit, write_audit
+from retailgold.sinks.bucketed import attach_bucketed, stage_bucketed
 from retailgold.sinks.gold_files import (
-    gold_manifest, publish, published_files, read_manifest, stage_gold, store, switch_gold, write_gold, write_manifest,
+    commit_gold, gold_manifest, publish, published_files, read_manifest, stage_gold, store, write_gold,
 )
 
 __all__ = [
     "archive_feed", "archived_settlement_files", "carry_over_dimensions", "read_audit", "write_audit", "gold_manifest", "publish",
-    "published_files", "read_manifest", "stage_gold", "store", "switch_gold", "write_gold", "write_manifest",
+    "published_files", "read_manifest", "stage_gold", "store", "write_gold", "commit_gold", "read_archive",
+    "attach_bucketed", "stage_bucketed",
 ]

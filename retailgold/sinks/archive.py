@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from retailgold import snapshots
+from retailgold.folders import value_of
 from retailgold.functions import settlement_date
 from retailgold.schemas import DIMENSIONS
-from retailgold.folders import partitions, stage, switch, value_of
+
+
+def _log(path: str, feed: str) -> str:
+    """Each feed has a log of its own, so that feeds are landed side by side."""
+    return f"{path}/{feed}/{snapshots.LOG}"
 
 
 def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], bool] = lambda dt: False) -> DataFrame:
@@ -21,34 +28,40 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
     run reads the months of its days, within them the row groups that hold one, and landing a file again replaces that
     file's rows of all days.  (A folder per day would be thousands of small files where a file holds a month.)
     """
-    target, by = f"{path}/{feed}", ["dt"]
+    by = ["dt"]
     if feed == "settlement":
         by = ["settlement_month", "file_dt"]
         df = df.withColumn("settlement_day", settlement_date(F.col("store_transaction_date_time")))
         df = df.withColumn("settlement_month", F.date_format("settlement_day", "yyyyMM").cast("int"))
-    spark = df.sparkSession
-    staged = stage(df, path, feed, by)
+    spark, run = df.sparkSession, snapshots.new_run()
+    snapshots.add_files(df, path, feed, by, run)
+    files = snapshots.files_of(spark, path, [feed], run, len(by))
     # every day of a file that comes again is replaced, also days that it no longer has
-    again = {value_of(p, "file_dt") for p in partitions(spark, staged, len(by))}
+    again = {value_of(r["partition"], "file_dt") for r in files.select("partition").distinct().collect()} if feed == "settlement" else set()
 
-    def gone(partition: str) -> bool:
+    def gone(_: str, partition: str) -> bool:
         if feed == "settlement":
             return value_of(partition, "file_dt") in again
         value = value_of(partition, "dt")
         return value.isdigit() and emptied(int(value))
 
-    switch(spark, staged, target, len(by), gone)
-    return read_archive(spark, path, feed, df)
+    done = snapshots.commit(spark, path, files, gone, [feed], _log(path, feed))
+    snapshots.remove(spark, path, done.replaced)
+    return read_archive(spark, path, feed, df.schema)
 
 
-def read_archive(spark: SparkSession, path: str, feed: str, like: DataFrame) -> DataFrame:
-    """A feed's archive with the columns of ``like``."""
-    return spark.read.schema(like.schema).parquet(f"{path}/{feed}")
+def read_archive(spark: SparkSession, path: str, feed: str, layout: T.StructType) -> DataFrame:
+    """A feed's archive with the columns of ``layout``."""
+    files = snapshots.current_files(spark, path, feed, _log(path, feed))
+    if not files:
+        return spark.createDataFrame([], layout)
+    return spark.read.schema(layout).option("basePath", f"{path}/{feed}").parquet(*files)
 
 
 def archived_settlement_files(spark: SparkSession, path: str) -> set[str]:
     """File dates that are archived."""
-    return {value_of(p, "file_dt") for p in partitions(spark, f"{path}/settlement", 2)}
+    rows = snapshots.state(spark, _log(path, "settlement")).select("partition").distinct().collect()
+    return {value_of(r["partition"], "file_dt") for r in rows}
 
 
 def carry_over_dimensions(

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from retailgold import snapshots
+from retailgold.folders import value_of
 from retailgold.functions import partition_value, shift_day
-from retailgold.folders import stage, switch, value_of
-from retailgold.sources.files import list_files
 
 # --- fixed values ----------------------------------------------------------------------------------------------------
 PUBLISHED_NAMES = {"transaction_item": "line_item"}
@@ -22,8 +21,11 @@ PARTITION = "partition_col"
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
-    """Write a built table as Parquet and give it back as a scan; what ``write_gold`` and ``publish`` take."""
-    df.write.mode("overwrite").parquet(path)
+    """Write a built table as Parquet and give it back as a scan; what ``write_gold`` and ``publish`` take.
+
+    Each file is sorted by date, so a date's rows follow each other in it.
+    """
+    df.sortWithinPartitions(PARTITION).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -35,9 +37,9 @@ def date_sizes(stored: DataFrame) -> dict[int | None, int]:
 def in_parts(stored: DataFrame, rows_per_file: int, sizes: dict[int | None, int]) -> DataFrame:
     """One task per date and part, each part but a date's last with exactly ``rows_per_file`` rows.
 
-    ``stored`` is a Parquet scan.  A row's rank within its date is its place in its file after the rows of the date's earlier
-    files, which is the same whenever a task runs again and spreads also identical rows.  Files are counted before they are
-    ranked, so no shuffle brings more than one file's rows of a date together.
+    ``stored`` comes from ``store``.  A row's rank within its date is its place in its file, less that of the date's first row there,
+    after the rows of the date's earlier files: no window ranks it, it is the same whenever a task runs again, and identical
+    rows are spread like others.  The places come from one scan of the date column, a row per file and date.
     """
     starts, total = [], 0
     for day in sorted(sizes, key=lambda d: (d is not None, d or 0)):
@@ -45,35 +47,43 @@ def in_parts(stored: DataFrame, rows_per_file: int, sizes: dict[int | None, int]
         total += -(-sizes[day] // rows_per_file)
     spark = stored.sparkSession
     first = spark.createDataFrame(starts, "_date int, _first int")  # a row per calendar day
-    columns = stored.columns
     placed = stored.withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
     before = Window.partitionBy(PARTITION).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = placed.groupBy(PARTITION, "_file").agg(F.count(F.lit(1)).alias("_n"))
+    files = placed.groupBy(PARTITION, "_file").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_top"))
     files = files.select(
-        F.col(PARTITION).alias("_d"), F.col("_file").alias("_f"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy(PARTITION, "_file").orderBy("_row")
-    ranked = placed.withColumn("_rank", F.row_number().over(inside) - 1).join(
-        files, F.col(PARTITION).eqNullSafe(F.col("_d")) & (F.col("_file") == F.col("_f"))
-    ).join(first, F.col(PARTITION).eqNullSafe(F.col("_date")))
-    part = F.col("_first") + F.floor((F.col("_before") + F.col("_rank")) / rows_per_file).cast("int")
-    return ranked.withColumn("_part", part).repartitionById(max(1, total), "_part").select(*columns)
-
-
-def stage_gold(stored: DataFrame, path: str, table: str, rows_per_file: int, sizes: dict[int | None, int] | None = None) -> str:
-    """Write a table's files where no reader looks yet; gives the folder."""
+        F.col(PARTITION).alias("_d"), F.col("_file").alias("_f"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_top")).alias("_shift")
+    ).join(first, F.col("_d").eqNullSafe(F.col("_date")))
+    ranked = placed.join(files, F.col(PARTITION).eqNullSafe(F.col("_d")) & (F.col("_file") == F.col("_f")))
+    part = F.col("_first") + F.floor((F.col("_row") + F.col("_shift")) / rows_per_file).cast("int")
+    return ranked.withColumn("_part", part).repartitionById(max(1, total), "_part").select(*stored.columns)
+
+
+def stage_gold(
+    stored: DataFrame, path: str, table: str, rows_per_file: int, sizes: dict[int | None, int] | None = None, run: str | None = None,
+) -> str:
+    """Write a table's files, which no reader sees before ``commit_gold``; gives the run they are named after."""
+    run = run or snapshots.new_run()
     parts = in_parts(stored, rows_per_file, date_sizes(stored) if sizes is None else sizes)
-    return stage(parts, path, table, [PARTITION], "csv", **FILE_OPTIONS)
+    snapshots.add_files(parts, path, table, [PARTITION], run, "csv", **FILE_OPTIONS)
+    return run
+
 
+def commit_gold(
+    spark: SparkSession, path: str, tables: list[str], run: str, *, schedule: str = "daily", as_of: str | None = None, prefix: str = "",
+    emptied: Callable[[int], bool] = lambda dt: False,
+) -> int:
+    """Publish what a run wrote of all tables, in one step; gives the number of the log's entry.
 
-def switch_gold(spark: SparkSession, staged: str, path: str, table: str, emptied: Callable[[int], bool]) -> str:
-    """Make staged files the table's: written dates replace themselves, dates that ``emptied`` names go, others stay."""
-    def gone(partition: str) -> bool:
+    Written dates replace themselves, dates that ``emptied`` names go, others stay with the names they were published under.
+    """
+    def gone(_: str, partition: str) -> bool:
         value = value_of(partition, PARTITION)
         return value.isdigit() and emptied(int(value))
 
-    switch(spark, staged, f"{path}/{table}", 1, gone)
-    return f"{path}/{table}"
+    files = _named(snapshots.files_of(spark, path, tables, run), schedule, as_of, prefix)
+    done = snapshots.commit(spark, path, files, gone, tables)
+    snapshots.remove(spark, path, done.replaced)
+    return done.version
 
 
 def write_gold(stored: DataFrame, path: str, table: str, *, rows_per_file: int = ROWS_PER_FILE) -> str:
@@ -86,45 +96,46 @@ def publish(
     emptied: Callable[[int], bool] = lambda dt: False,
 ) -> str:
     """Replace the dates in ``stored``, remove those that ``emptied`` names, and leave every other date as it is."""
-    staged = stage_gold(stored, path, table, rows_per_file)
-    return switch_gold(stored.sparkSession, staged, path, table, emptied)
+    commit_gold(stored.sparkSession, path, [table], stage_gold(stored, path, table, rows_per_file), emptied=emptied)
+    return f"{path}/{table}"
 
 
-def _stem(table: str, dt: Column, schedule: str, as_of: str, prefix: str) -> Column:
+def _stem(table: Column, dt: Column, schedule: str, as_of: str | None, prefix: str) -> Column:
     first = shift_day(F.lit(as_of), 1) if schedule == "weekly" else shift_day(dt, -1)
-    return F.concat_ws("_", F.lit(prefix + PUBLISHED_NAMES.get(table, table)), first, dt.cast("string"), F.lit(schedule))
+    name = table
+    for one, other in PUBLISHED_NAMES.items():
+        name = F.when(table == one, F.lit(other)).otherwise(name)
+    return F.concat_ws("_", F.concat(F.lit(prefix), name), first, dt.cast("string"), F.lit(schedule))
+
+
+def _named(files: DataFrame, schedule: str, as_of: str | None, prefix: str) -> DataFrame:
+    """Files with their number in their date and their published name; all dates' files are numbered from 1."""
+    dt = partition_value(F.col("path")).cast("int")
+    part = F.row_number().over(Window.partitionBy("table", "partition").orderBy("path"))
+    stem = _stem(F.col("table"), dt, schedule, as_of, prefix)
+    return files.withColumn("part", part).withColumn("file_name", F.concat(stem, F.format_string("_p%04d", "part"), F.lit(".psv.gz")))
 
 
 def gold_manifest(df: DataFrame, table: str, *, schedule: str, as_of: str, prefix: str = "") -> DataFrame:
     """Date -> name of the date's data; daily ones carry the day before, weekly ones the day after ``as_of``."""
     dates = df.select(F.col(PARTITION).alias("dt")).distinct()
-    name = F.concat(_stem(table, F.col("dt"), schedule, as_of, prefix), F.lit(".psv.gz"))
+    name = F.concat(_stem(F.lit(table), F.col("dt"), schedule, as_of, prefix), F.lit(".psv.gz"))
     return dates.select(F.lit(table).alias("entity_type"), "dt", name.alias("file_name"))
 
 
 def published_files(
     spark: SparkSession, path: str, table: str, *, schedule: str, as_of: str, prefix: str = "",
 ) -> DataFrame:
-    """Every written file with its published name, from a listing; all dates' files are numbered from 1."""
-    listed = list_files(spark, f"{path}/{table}").filter(F.col("name").endswith(".csv.gz")).select(
-        "path", "size", partition_value(F.col("path")).cast("int").alias("dt")
-    )
-    part = F.row_number().over(Window.partitionBy("dt").orderBy("path"))
-    name = F.concat(_stem(table, F.col("dt"), schedule, as_of, prefix), F.format_string("_p%04d", "part"), F.lit(".psv.gz"))
-    return listed.withColumn("part", part).select(
-        F.lit(table).alias("entity_type"), "dt", "part", "path", "size", name.alias("file_name")
-    )
-
-
-def write_manifest(
-    spark: SparkSession, path: str, tables: list[str], *, schedule: str, as_of: str, prefix: str = "",
-) -> str:
-    """List all files of the tables with their published names next to the gold; gives the folder."""
-    rows = [published_files(spark, path, t, schedule=schedule, as_of=as_of, prefix=prefix) for t in tables]
-    target = f"{path}/_manifest"
-    reduce(DataFrame.unionByName, rows).coalesce(1).write.mode("overwrite").parquet(target)
-    return target
+    """Every file of a table with the name that a run of this schedule and day would publish it under."""
+    files = _named(snapshots.state(spark, f"{path}/{snapshots.LOG}").where(F.col("table") == table), schedule, as_of, prefix)
+    return _listed(files, path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("entity_type string, dt int, part int, path string, size bigint, file_name string").parquet(f"{path}/_manifest")
+    """All files of all tables, each with the name that the run which wrote it published it under."""
+    return _listed(snapshots.state(spark, f"{path}/{snapshots.LOG}"), path)
+
+
+def _listed(files: DataFrame, path: str) -> DataFrame:
+    dt = partition_value(F.col("path")).cast("int")
+    return files.select(F.col("table").alias("entity_type"), dt.alias("dt"), "part", F.concat(F.lit(f"{path}/"), "path").alias("path"), "size", "file_name")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark import inheritable_thread_target
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailgold import snapshots
+from retailgold.folders import partitions, value_of
 from retailgold.functions import date_from_name
 from retailgold.operators.selection import in_date_spec, real_day, spec_holds
 from retailgold.schemas import DT, NEEDED_COLUMNS, feed_layout, gold_layout
-from retailgold.folders import partitions, value_of
 
 NULL_TEXT = "\\N"
 
@@ -36,17 +39,41 @@ def _scan(spark: SparkSession, path, sep: str, schema: T.StructType | None, quot
     return reader.csv(path)
 
 
-def _headers(spark: SparkSession, paths: list[str], sep: str, quote_escape: str) -> dict[tuple[str, ...], list[str]]:
-    """Paths by the header of their first file; a path without a line is left out."""
-    def header(path: str) -> tuple[str, ...] | None:
-        return tuple(_reader(spark, sep, quote_escape).csv(path).columns) or None
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """File -> its first line that is not blank, of every file below the paths; a file without one is left out.
+
+    One scan with a task per file, which ends with its first batch of lines, so that no file is read whole.
+    """
+    if not paths:
+        return {}
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for line, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if line.strip():
+                    yield pa.RecordBatch.from_arrays([pa.array([unquote(path)]), pa.array([line])], names=["path", "line"])
+                    return
+
+    apart = spark.newSession()  # one file per task only here
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        apart.conf.set(f"spark.sql.files.{key}", str(1 << 40))
+    lines = apart.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+    return {r["path"]: r["line"] for r in lines.mapInArrow(first, "path string, line string").collect()}  # a row per file
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = list(pool.map(inheritable_thread_target(spark)(header), paths))
+
+def column_names(line: str, sep: str, quote_escape: str = '"') -> tuple[str, ...]:
+    """The names in a header line; one that is empty or comes again is told apart by its place."""
+    doubled = quote_escape == '"'
+    (names,) = csv.reader([line.removeprefix("\ufeff")], delimiter=sep, doublequote=doubled, escapechar=None if doubled else quote_escape)
+    plain = [n.lower() for n in names]
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if plain.count(n.lower()) > 1 else n for i, n in enumerate(names))
+
+
+def _headers(spark: SparkSession, paths: list[str], sep: str, quote_escape: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by the names in their header."""
     by: dict[tuple[str, ...], list[str]] = {}
-    for path, names in zip(paths, found):
-        if names:
-            by.setdefault(names, []).append(path)
+    for path, line in sorted(first_lines(spark, paths).items()):
+        by.setdefault(column_names(line, sep, quote_escape), []).append(path)
     return by
 
 
@@ -55,8 +82,7 @@ def _by_header(
 ) -> DataFrame:
     """One scan per distinct header, put together by column name; a column that a file lacks is NULL there.
 
-    A header without a column of the feed is an error that names its paths.  A file whose header differs from that of its
-    path's first file is an error when it is read.
+    A header without a column of the feed is an error that names its files.
     """
     scans = []
     wanted = {n.lower() for n in NEEDED_COLUMNS[feed].split()}
@@ -84,8 +110,8 @@ def read_feed(
 ) -> DataFrame:
     """One pipe-delimited feed below ``path/feed``, all columns text, plus ``dt`` from the ``dt=`` directories.
 
-    Each date's header names its columns, so new ones pass through and their order may change from date to date; only the
-    first line of each date is read for that.  ``dates`` leaves other dates' folders unread.  With ``declared`` the documented
+    Each file's header names its columns, so new ones pass through and their order may change from file to file; only the
+    first lines are read for that.  ``dates`` leaves other dates' folders unread.  With ``declared`` the documented
     layout is used instead and every file's header is compared with it.  ``escape='\\'`` reads quotes the way older runs did.
     """
     base = f"{path}/{feed}"
@@ -112,14 +138,25 @@ def read_settlement(spark: SparkSession, paths: str | list[str], *, declared: bo
     """
     if declared:
         return _scan(spark, paths, ",", feed_layout("settlement")).withColumn("file_dt", _file_day())
-    files = sorted(r["path"] for r in list_files(spark, paths).select("path").collect())  # one row per file
-    return _by_header(spark, files, ",", "settlement")
+    return _by_header(spark, [paths] if isinstance(paths, str) else paths, ",", "settlement")
 
 
 def read_gold(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Written gold files with ``partition_col`` from their directories; the contract's columns are typed."""
+    """Published gold files with ``partition_col`` from their directories; the contract's columns are typed.
+
+    The files are those that the log next to the tables names, or all below the folder where there is no log.  Each file's own
+    header names its columns: a column that a date does not have is NULL there.
+    """
     types = {f.name.lower(): f.dataType for f in gold_layout(table)}
-    rows = _scan(spark, f"{path}/{table}", "|", None)
+    base = f"{path}/{table}"
+    files = snapshots.current_files(spark, path, table) if snapshots.exists(spark, f"{path}/{snapshots.LOG}") else [base]
+    scans = []
+    for names, group in _headers(spark, files, "|", '"').items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names]).add("partition_col", T.IntegerType())
+        scans.append(_reader(spark, "|").schema(schema).option("enforceSchema", False).option("basePath", base).csv(group))
+    if not scans:
+        return spark.createDataFrame([], gold_layout(table).add("partition_col", T.IntegerType()))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     return rows.select(*[
         F.col(f"`{c}`").try_cast(types[c.lower()]).alias(c) if c.lower() in types else F.col(f"`{c}`")
         for c in rows.columns

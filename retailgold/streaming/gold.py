@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retailgold.operators.arrivals import Routes
-from retailgold.plans.gold_run import GateFailure, run
+from retailgold.plans.gold_run import GateFailure, RejectedDate, run
 from retailgold.schemas import GOLD_TABLES
 from retailgold.streaming.arrivals import _start, update_ledger
 
@@ -23,9 +23,10 @@ def stream_gold(
     """Build, check and publish every newly ready date of every brand and schedule.
 
     ``feeds(brand, schedule)`` gives the raw feeds.  A replayed batch finds the same ready dates and overwrites the same
-    date partitions.  A brand's ready dates are one run; if that fails, the bad dates are written to ``rejected`` with the reason,
-    the good ones are published without them, and the stream goes on.  A rejected date is run again when another of its files
-    comes.  Other errors stop the stream before its batch is committed.
+    date partitions.  A brand's ready dates are one run; dates on which a table fails are left out of it and written to
+    ``rejected`` with the reason, and the stream goes on.  A rejected date is run again when another of its files comes.  Where
+    rows of some date cannot be computed at all, the dates are halved until those are found.  Other errors stop the stream before
+    its batch is committed.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark, bad = batch.sparkSession, []
@@ -33,39 +34,30 @@ def stream_gold(
         for brand, schedule in sorted({(r["brand"], r["schedule"]) for r in ready}):
             dates = sorted(r["dt"] for r in ready if (r["brand"], r["schedule"]) == (brand, schedule))
 
-            def publish(part: list[int], brand: str = brand, schedule: str = schedule) -> None:
-                spec = ",".join(map(str, part))
-                run(
+            def publish(part: list[int], brand: str = brand, schedule: str = schedule) -> Iterable[RejectedDate]:
+                return run(
                     spark, feeds(brand, schedule), f"{out}/{brand}/{schedule}", audit_path=audit_path, brand=brand, schedule=schedule,
-                    as_of=str(part[-1]), dates=spec, tables=tables,
-                )
+                    as_of=str(part[-1]), dates=",".join(map(str, part)), tables=tables, gate_dates=True,
+                ).rejected
 
-            # what failed is taken out: the dates whose counts differ at once, else one date after the other
-            while dates:
-                try:
-                    publish(dates)
-                    break
-                except GateFailure as failure:
-                    wrong = {r["dt"] for r in failure.by_date} & set(dates)
-                    if not wrong and len(dates) > 1:
-                        bad += [(brand, schedule, dt, f.table, f.reason, batch_id) for dt in dates if (f := _failure(publish, dt))]
-                        break
-                    wrong = wrong or set(dates)
-                    bad += [(brand, schedule, dt, failure.table, failure.reason, batch_id) for dt in sorted(wrong)]
-                    dates = [d for d in dates if d not in wrong]
+            bad += [(brand, schedule, r.dt, r.table, r.reason, batch_id) for r in _rejected(publish, dates)]
         rows = spark.createDataFrame(bad, _REJECTED).coalesce(1)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejected)
 
     return _start(notifications, checkpoint, each)
 
 
-def _failure(publish: Callable[[list[int]], None], dt: int) -> GateFailure | None:
-    """Why a date alone fails; None if it was published."""
+def _rejected(publish: Callable[[list[int]], Iterable[RejectedDate]], dates: list[int]) -> list[RejectedDate]:
+    """The dates that were not published; those of a run that failed as a whole are tried in halves."""
     try:
-        publish([dt])
+        return list(publish(dates))
     except GateFailure as failure:
-        return failure
-    return None
+        if failure.rejected:
+            return list(failure.rejected)
+        if len(dates) == 1:
+            return [RejectedDate(dates[0], failure.table, failure.reason)]
+        half = len(dates) // 2
+        return _rejected(publish, dates[:half]) + _rejected(publish, dates[half:])
 
 
 def read_rejected(spark: SparkSession, rejected: str) -> DataFrame:

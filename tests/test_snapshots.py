@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from shop import D1, D2, transaction
+
+from retailgold import snapshots
+from retailgold.operators import gold
+from retailgold.operators.typed import type_feeds
+from retailgold.sinks import commit_gold, publish, read_manifest, stage_gold, store
+from retailgold.sources import read_gold
+
+
+@pytest.fixture(scope="module")
+def built(feed, tmp_path_factory):
+    rows_ = [transaction(str(i), dt=D1) for i in range(4)] + [transaction(str(i), dt=D2) for i in range(2)]
+    return store(gold.transactions(type_feeds({"transactions": feed("transactions", rows_)})), str(tmp_path_factory.mktemp("built")))
+
+
+@pytest.fixture
+def euros(built, tmp_path):
+    return store(built.withColumn("Currency", F.lit("EUR")), str(tmp_path / "euros"))
+
+
+def money(spark, path, table="transactions"):
+    return rows(read_gold(spark, path, table).groupBy("dt", "Currency").count())
+
+
+OLD, NEW = [(D1, "USD", 4), (D2, "USD", 2)], [(D1, "EUR", 4), (D2, "EUR", 2)]
+
+
+def test_a_crash_before_the_entry_leaves_the_old_tables(spark, built, euros, tmp_path):
+    path = str(tmp_path / "gold")
+    for table in ("transactions", "tenders"):
+        publish(built, path, table)
+    names = rows(read_manifest(spark, path), "file_name")
+    run = stage_gold(euros, path, "transactions", 100)  # and then the driver dies
+    assert money(spark, path) == money(spark, path, "tenders") == OLD and rows(read_manifest(spark, path), "file_name") == names
+    assert len(glob.glob(f"{path}/transactions/*/*.csv.gz")) == 4
+    # what it left goes, the published files stay
+    assert {p.split("/")[-1].split("-")[1] for p in snapshots.vacuum(spark, path, "transactions")} == {run}
+    assert len(glob.glob(f"{path}/transactions/*/*.csv.gz")) == 2 and money(spark, path) == OLD
+
+
+def test_all_tables_change_in_one_entry(spark, built, euros, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "gold"), []
+    for table in ("transactions", "tenders"):
+        publish(built, path, table)
+    run = snapshots.new_run()
+    for table in ("transactions", "tenders"):
+        stage_gold(euros, path, table, 100, run=run)
+    real = snapshots._put
+    monkeypatch.setattr(snapshots, "_put", lambda *a: (seen.append((money(spark, path), money(spark, path, "tenders"))), real(*a))[1])
+    commit_gold(spark, path, ["transactions", "tenders"], run)
+    assert seen == [(OLD, OLD)] and money(spark, path) == money(spark, path, "tenders") == NEW
+    assert len(glob.glob(f"{path}/*/*/*.csv.gz")) == 4  # replaced files went
+
+
+def test_a_crash_after_the_entry_leaves_the_new_tables(spark, built, euros, tmp_path, monkeypatch):
+    path = str(tmp_path / "gold")
+    publish(built, path, "transactions")
+
+    def dies(*_):
+        raise OSError("gone")
+
+    monkeypatch.setattr(snapshots, "remove", dies)
+    with pytest.raises(OSError):
+        publish(euros, path, "transactions")
+    assert money(spark, path) == NEW and len(glob.glob(f"{path}/transactions/*/*.csv.gz")) == 4
+
+
+def test_who_comes_second_takes_the_next_number(spark, built, euros, tmp_path, monkeypatch):
+    path = str(tmp_path / "gold")
+    publish(built, path, "transactions")
+    real, once = snapshots._put, []
+
+    def late(*a):
+        if not once:
+            once.append(1)
+            publish(built.filter(F.col("dt") == D1), path, "tenders")  # another run takes the number meanwhile
+        return real(*a)
+
+    monkeypatch.setattr(snapshots, "_put", late)
+    publish(euros, path, "transactions")
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{path}/_manifest/*.json")) == [f"{i:012d}.json" for i in range(3)]
+    assert money(spark, path) == NEW and money(spark, path, "tenders") == OLD[:1]
+
+
+def test_whole_states(spark, built, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "WHOLE_EVERY", 2)
+    path = str(tmp_path / "gold")
+    publish(built, path, "transactions")
+    one = store(built.filter(F.col("dt") == D1), str(tmp_path / "one"))
+    for _ in range(3):
+        publish(one, path, "transactions")
+    assert len(glob.glob(f"{path}/_manifest/whole-*")) == 2 and money(spark, path) == OLD
+    publish(one, path, "transactions", emptied=lambda dt: dt == D2)
+    assert money(spark, path) == OLD[:1]
+    publish(built.filter("false"), path, "transactions", emptied=lambda dt: True)
+    assert read_gold(spark, path, "transactions").count() == 0
+
+
+def test_names_stay_with_the_run_that_published_them(spark, built, tmp_path):
+    path = str(tmp_path / "gold")
+    commit_gold(spark, path, ["transactions"], stage_gold(built, path, "transactions", 100), schedule="weekly", as_of="20200110")
+    one = store(built.filter(F.col("dt") == D2), str(tmp_path / "one"))
+    commit_gold(spark, path, ["transactions"], stage_gold(one, path, "transactions", 100), schedule="weekly", as_of="20200117")
+    assert rows(read_manifest(spark, path), "dt", "file_name") == [
+        (D1, "transactions_20200111_20200102_weekly_p0001.psv.gz"), (D2, "transactions_20200118_20200103_weekly_p0001.psv.gz")
+    ]
+
+
+def test_tables_without_a_log_are_read_from_their_folder(spark, built, tmp_path):
+    built.write.partitionBy("partition_col").option("sep", "|").option("header", True).option("compression", "gzip").csv(f"{tmp_path}/transactions")
+    assert money(spark, str(tmp_path)) == OLD
+
+
+def test_unknown_columns_keep_their_dates(spark, built, tmp_path):
+    path = str(tmp_path / "gold")
+    for day, name in ((D1, "colour"), (D2, "promo")):
+        publish(store(built.filter(F.col("dt") == day).withColumn(name, F.lit(name[0])), f"{tmp_path}/{name}"), path, "transactions")
+    assert rows(read_gold(spark, path, "transactions").select("dt", "colour", "promo").distinct()) == [(D1, "c", None), (D2, None, "p")]

@@ -7,12 +7,14 @@ from shop import D1, D2, good_feeds
 from test_arrivals import key, notice
 
 from retailgold.operators import arrivals
+from retailgold.plans import GateFailure
 from retailgold.schemas import POS_FEEDS
 from retailgold.sources import read_gold
 from retailgold.streaming import (
     read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_gold,
 )
 from retailgold.streaming.arrivals import update_ledger
+from retailgold.streaming.gold import _rejected
 
 
 @pytest.fixture
@@ -126,3 +128,43 @@ def test_a_bad_date_is_rejected_and_the_stream_goes_on(spark, feed, landing, tmp
     # the next batch and a restart go on; a file that comes again has its date run again
     landing("2", key("brand_a", "daily", "transaction_item", D2))
     assert go(raw) == ([("1-1",), ("2-1",), ("3-1",)], [(D2, "transaction_item", 0)])
+
+
+def test_one_build_for_many_dates_with_a_bad_one(spark, feed, landing, tmp_path, monkeypatch):
+    """The bad date is left out of all tables by the run that finds it; it keeps the gold it has."""
+    from retailgold.streaming import gold as streaming_gold
+
+    raw, runs = good_feeds(feed), []
+    real = streaming_gold.run
+    monkeypatch.setattr(streaming_gold, "run", lambda *a, **o: (runs.append(o["dates"]), real(*a, **o))[1])
+    landing("1", *files(D1), *files(D2), *settlement(D1, D2))
+
+    def go(feeds):
+        stream_gold(
+            read_notifications(spark, f"{tmp_path}/in", 1), lambda brand, schedule: feeds, ledger=f"{tmp_path}/ledger",
+            out=f"{tmp_path}/gold", rejected=f"{tmp_path}/rejected", audit_path=f"{tmp_path}/audit", checkpoint=f"{tmp_path}/c",
+            tables=("transactions", "transaction_item", "tenders"),
+        ).awaitTermination()
+        base = f"{tmp_path}/gold/brand_a/daily"
+        return [rows(read_gold(spark, base, t).groupBy("dt", *more).count()) for t, *more in (("transactions", "Currency"), ("transaction_item",), ("tenders",))]
+
+    assert go(raw) == [[(D1, "USD", 2), (D2, "USD", 1)], [(D1, 2), (D2, 1)], [(D1, 2), (D2, 1)]]
+    bad = dict(raw, transactions=raw["transactions"].withColumn("Currency", F.lit("EUR")), transaction_item=raw["transaction_item"].withColumn(
+        "sourcetransactionnumber", F.when(F.col("dt") == D1, F.col("sourcetransactionnumber"))))
+    landing("2", key("brand_a", "daily", "transaction_item", D1), key("brand_a", "daily", "transaction_item", D2))
+    assert go(bad) == [[(D1, "EUR", 2), (D2, "USD", 1)], [(D1, 2), (D2, 1)], [(D1, 2), (D2, 1)]]
+    assert runs == [f"{D1},{D2}"] * 2
+    assert rows(read_rejected(spark, f"{tmp_path}/rejected"), "dt", "entity_type") == [(D2, "transaction_item")]
+
+
+def test_dates_whose_rows_cannot_be_computed_are_halved():
+    tried = []
+
+    def publish(dates):
+        tried.append(dates)
+        if 5 in dates:
+            raise GateFailure("tenders", "boom", [])
+        return []
+
+    assert [(r.dt, r.table, r.reason) for r in _rejected(publish, list(range(8)))] == [(5, "tenders", "boom")]
+    assert len(tried) == 7
