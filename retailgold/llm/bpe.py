@@ -56,7 +56,10 @@ class WordBpe:
         self.made = [new for _, _, new in listed]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
-        self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        # nothing before this part of the pattern begins with a letter, so a run of letters is one word
+        self.letters_whole = r"|[\p{L}]+|" in pattern and not any(p[:1].isalpha() for p in pattern.split(r"|[\p{L}]+|")[0].split("|"))
+        self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         letters = byte_letters()
         self.inner = [self.vocab[letters[b]] for b in range(256)]
@@ -68,6 +71,8 @@ class WordBpe:
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk in order; a special token is a piece of its own."""
+        if self.letters_whole and chunk.isascii() and chunk.isalpha():
+            return [chunk.lower()]
         out: list[str] = []
         for part in self.cut.split(chunk) if self.cut and "<|" in chunk else (chunk,):
             if part in self.special:
