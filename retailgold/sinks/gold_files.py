@@ -17,6 +17,7 @@ FILE_OPTIONS = {"sep": "|", "header": "true", "compression": "gzip", "quote": '"
 # --- end of fixed values ---------------------------------------------------------------------------------------------
 
 ROWS_PER_FILE = 5_000_000
+BROADCAST_PLACES = 100_000
 PARTITION = "partition_col"
 
 
@@ -53,6 +54,8 @@ def in_parts(stored: DataFrame, rows_per_file: int, sizes: dict[int | None, int]
     files = files.select(
         F.col(PARTITION).alias("_d"), F.col("_file").alias("_f"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_top")).alias("_shift")
     ).join(first, F.col("_d").eqNullSafe(F.col("_date")))
+    if len(stored.inputFiles()) * len(sizes) <= BROADCAST_PLACES:  # rows of ``files`` at most
+        files = F.broadcast(files)
     ranked = placed.join(files, F.col(PARTITION).eqNullSafe(F.col("_d")) & (F.col("_file") == F.col("_f")))
     part = F.col("_first") + F.floor((F.col("_row") + F.col("_shift")) / rows_per_file).cast("int")
     return ranked.withColumn("_part", part).repartitionById(max(1, total), "_part").select(*stored.columns)

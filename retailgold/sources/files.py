@@ -7,8 +7,7 @@ from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +18,7 @@ from retailgold.operators.selection import in_date_spec, real_day, spec_holds
 from retailgold.schemas import DT, NEEDED_COLUMNS, feed_layout, gold_layout
 
 NULL_TEXT = "\\N"
+SMALL_FILE = 1 << 20
 
 
 def _file_day() -> Column:
@@ -42,23 +42,27 @@ def _scan(spark: SparkSession, path, sep: str, schema: T.StructType | None, quot
 def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """File -> its first line that is not blank, of every file below the paths; a file without one is left out.
 
-    One scan with a task per file, which ends with its first batch of lines, so that no file is read whole.
+    One scan with a task per file.  A large file's task ends with its first line; a small file is read to its end, which costs less
+    than the new Python worker that Spark starts after a task that stopped early.  (An RDD, because a DataFrame has no limit per
+    partition.)
     """
     if not paths:
         return {}
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for line, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if line.strip():
-                    yield pa.RecordBatch.from_arrays([pa.array([unquote(path)]), pa.array([line])], names=["path", "line"])
-                    return
+    def first(rows: Iterator[Row]) -> Iterator[tuple[str, str]]:
+        found = None
+        for value, path, size in rows:
+            if found is None and value.strip():
+                found = unquote(path), value
+                yield found
+            if found and size > SMALL_FILE:
+                return
 
     apart = spark.newSession()  # one file per task only here
     for key in ("maxPartitionBytes", "openCostInBytes"):
         apart.conf.set(f"spark.sql.files.{key}", str(1 << 40))
-    lines = apart.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
-    return {r["path"]: r["line"] for r in lines.mapInArrow(first, "path string, line string").collect()}  # a row per file
+    lines = apart.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+    return dict(lines.rdd.mapPartitions(first).collect())  # a row per file
 
 
 def column_names(line: str, sep: str, quote_escape: str = '"') -> tuple[str, ...]:
