@@ -4,6 +4,10 @@ Each page's containers are scored by the text of the blocks below them; a page v
 of its best container.  The votes are added up per host in Spark, and the pages are extracted again from the containers
 on their host's winning path.  A page without such a container, or without a host, is extracted from its own best one.
 
+Elements that are never content (menus, forms, scripts) are left out by what they are.  A word in a class or an id, such as
+``sidebar``, only suggests it: an element that holds most of what the page says outside such elements is a wrapper and stays,
+and the elements inside it are looked at in turn (``wrappers``).
+
 Null and empty pages give an empty text.  Ties between paths go to the one that sorts first.
 """
 
@@ -44,6 +48,10 @@ CLOSES = {
 # An element that an implied end does not reach over.
 FENCE = frozenset("ul ol dl table article section div main body html td th blockquote".split())
 
+WRAPS = 20
+LEAST_WRAPPED = 140
+LEAST_ARTICLE = 200
+
 _MARK = re.compile(
     r"<!--(?:.*?-->|[^>]*>?)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
 )
@@ -61,6 +69,8 @@ class Node:
     path: str = ""
     score: float = 0.0
     link: bool = False
+    named: bool = False  # a word in a class or id suggests that it is not content
+    outright: bool = False  # a class or id is such a word
 
 
 @dataclass
@@ -78,11 +88,11 @@ def _node(tag: str, rest: str, parent: Node | None) -> Node:
     a = attributes(rest)
     classes = sorted({_DIGITS.sub("#", c.lower()) for c in a.get("class", "").split()})
     words = {w for v in (a.get("class", ""), a.get("id", "")) for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", v).lower())}
-    dropped = bool(parent and parent.dropped) or tag in DROP_TAG or a.get("role", "").lower() in DROP_ROLE or "hidden" in rest.split() or (
-        bool(words & DROP_WORD) and not (tag in ("html", "body", "article", "main"))
-    )
+    dropped = bool(parent and parent.dropped) or tag in DROP_TAG or a.get("role", "").lower() in DROP_ROLE or "hidden" in rest.split()
+    named = bool(words & DROP_WORD) and tag not in ("html", "body", "article", "main")
+    outright = named and any(c.lower() in DROP_WORD for v in (a.get("class", ""), a.get("id", "")) for c in v.split())
     label = ".".join([tag, *classes])
-    return Node(tag, label, dropped, parent, f"{parent.path}>{label}" if parent else label, link=tag == "a" or bool(parent and parent.link))
+    return Node(tag, label, dropped, parent, f"{parent.path}>{label}" if parent else label, link=tag == "a" or bool(parent and parent.link), named=named, outright=outright)
 
 
 def _up(node: Node | None):
@@ -144,7 +154,50 @@ def blocks(page: str) -> list[Block]:
             continue
         node = child
     say(page[at:])
-    return out
+    return unnamed(out)
+
+
+def unnamed(found: list[Block]) -> list[Block]:
+    """The blocks that lie in no named element but wrappers."""
+    inside = [[n for n in _up(b.node) if n.named][::-1] for b in found]  # from the outermost on
+    if not any(inside):
+        return found
+    kept = wrappers(found, inside)
+    return [b for b, named in zip(found, inside) if all(id(n) in kept for n in named)]
+
+
+def wrappers(found: list[Block], inside: list[list[Node]]) -> set[int]:
+    """Named elements that are content all the same.
+
+    Of the page, and then of each wrapper, what it says itself is compared with the named element in it that says most, links
+    aside.  If that is long enough and mostly not links, it is a wrapper where there is no article outside it (less than
+    ``LEAST_ARTICLE`` characters), or, unless its class is such a word outright, where it says ``WRAPS`` times as much.  So
+    comments that are longer than the article still go.
+    """
+    kept: set[int] = set()
+    level = list(range(len(found)))
+    depth = 0
+    while True:
+        own, each = 0, {}
+        for i in level:
+            plain = max(0, sum(map(len, found[i].parts)) - found[i].linked)
+            if len(inside[i]) <= depth:
+                own += plain
+            else:
+                entry = each.setdefault(id(inside[i][depth]), [0, 0])
+                entry[0] += plain
+                entry[1] += found[i].linked
+        if not each:
+            return kept
+        most = max(each, key=lambda k: each[k][0])
+        plain, linked = each[most]
+        node = next(inside[i][depth] for i in level if len(inside[i]) > depth and id(inside[i][depth]) == most)
+        alone = own < LEAST_ARTICLE or (plain >= WRAPS * own and not node.outright)
+        if plain < LEAST_WRAPPED or 2 * linked > plain or not alone:
+            return kept
+        kept.add(most)
+        level = [i for i in level if len(inside[i]) > depth and id(inside[i][depth]) == most]
+        depth += 1
 
 
 def block_text(block: Block) -> str:

@@ -3,6 +3,8 @@ from __future__ import annotations
 import html
 import re
 
+import pytest
+
 from retailgold.llm import extract
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a></ul></nav>
@@ -63,3 +65,27 @@ def test_odd_pages(spark):
 
 def test_empty_table(spark):
     assert extract.extract(rows(spark, [(1, "u", "h")]).where("false")).count() == 0
+
+
+WRAPPERS = ["layout-with-sidebar", "no-sidebar", "has-header-image", "page-with-comments", "share-price-report", "widget-content", "related-work", "sans-menu"]
+PARAGRAPHS = [f"Paragraph {w} says a good deal about its matter, and then it says some more of it, in whole sentences." for w in ("one", "two", "three")]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_a_wrapper_with_a_listed_word_keeps_its_article(name):
+    said = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    replies = "".join(f"<p>Reply {i} is longer than the article if one puts all of them together, which is common.</p>" for i in range(9))
+    page = (
+        f'<html><body><div class="{name}"><div class="sidebar"><ul><li>Latest</li></ul></div><div class="story">{said}</div>'
+        f'<div class="comments">{replies}</div></div><div class="cookie-notice"><p>We use cookies.</p></div></body></html>'
+    )
+    assert extract.main_text(extract.blocks(page), None) == "\n".join(PARAGRAPHS)
+
+
+def test_named_elements_still_go():
+    said = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    replies = "<p>Reply.</p>" * 400
+    links = "".join(f'<a href="x">A link to an article about something else {i}</a>' for i in range(40))
+    page = f'<body><div>{said}</div><div class="comments">{replies}</div><div class="related">{links}</div></body>'
+    assert extract.main_text(extract.blocks(page), None) == "\n".join(PARAGRAPHS)
+    assert extract.main_text(extract.blocks(f'<body><div class="related">{links}</div></body>'), None) == ""
