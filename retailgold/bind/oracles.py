@@ -333,6 +333,9 @@ ORACLES = {
         case when dt // 10000 % 3 = 1 then 'new' end as newcol, day as datecreated, dt from tx""",
     "scan_feed_two_headers": """select number as sourcetransactionnumber, register as registernumber,
         case when cast(number as bigint) % 2 = 1 then 'new' end as newcol, day as datecreated, dt from tx""",
+    "scan_feed_rejects": """select dt, count(*) filter (where cast(number as bigint) % 50 > 1) as "rows",
+        count(*) filter (where cast(number as bigint) % 50 <= 1) as rejected, count(*) filter (where cast(number as bigint) % 50 = 0) as longer
+        from raw_tx group by dt""",
     "scan_gold_readback_drift": """select number as sourcetransactionnumber, check_id, case when dt < 19960101 then 'red' end as colour,
         case when dt >= 19960101 then 'P' end as promo, dt as partition_col from g_tx""",
     "scan_settlement_header_drift": """select cast(store as varchar) as store_id, name as customer_name, card as masked_card_number,
@@ -366,6 +369,11 @@ ORACLES = {
         coalesce(g.n, 0) - coalesce(s.n, 0) as difference
         from (select dt, count(*) as n from g_item group by dt) g
         full join (select dt, count(*) as n from item group by dt) s using (dt)""",
+    "dq_fingerprint_by_date": """select dt, count(*) as gold_rows, count(*) as staging_rows, dt // 100 % 2 = 0 or count(*) = 1 as same
+        from full_item group by dt""",
+    "dq_differing_rows": """select dt, item_no as sourcetransactionitemnumber, case when item_no = low then 2 else 0 end::bigint as gold_rows,
+        cast(1 as bigint) as staging_rows from full_item join (select dt, min(item_no) as low, max(item_no) as high from full_item group by dt) e using (dt)
+        where low <> high and item_no in (low, high)""",
     "dq_zero_rows": """select 'product' as entity_type, count(*) as source_count, cast(0 as bigint) as destination_count,
         'zero rows; row count 0 differs from staging row count ' || count(*) as reason, 'FAILURE' as event_result from goods""",
     "audit_rows": _AUDIT,
@@ -396,6 +404,9 @@ ORACLES = {
         )
     ),
     "arrivals_parse": "select event_time, 'landing' as bucket, key, size from keys",
+    "arrivals_malformed": """select case event_id % 10 when 3 then 'no records' when 4 then 'records without a key' else 'no text' end as reason,
+        count(*) as notifications, case when event_id % 10 = 4 then count(*) end as records from keys where event_id % 10 in (3, 4, 5)
+        group by event_id % 10""",
     "arrivals_relevant": "select event_id, key from keys where relevant",
     "arrivals_classify": "select event_id, key, brand, schedule, place from keys",
     "arrivals_feed_date": "select event_id, 'feed_' || feed || '_' || day || '.psv.gz' as file_name, feed, dt from keys",

@@ -21,7 +21,7 @@ from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, c
 from retailgold.session import configure, file_system, scratch_dir
 from retailgold.sinks import (
     archive_feed, carry_over_dimensions, commit_gold, gold_manifest, publish, published_files, read_audit, read_manifest,
-    stage_bucketed, stage_gold, store, write_audit, write_gold,
+    read_rejects, stage_bucketed, stage_gold, store, write_audit, write_gold,
 )
 from retailgold.snapshots import new_run
 from retailgold.sources import create_external_table, list_files, read_feed, read_gold, read_settlement, run_sql
@@ -169,6 +169,26 @@ def scan_feed_two_headers(spark, sf):
     )
 
 
+@query
+def scan_feed_rejects(spark, sf):
+    """Every 50th line has a field too many and every 50th one too few: rows per date, and those set aside when they land."""
+    path = scratch_dir(spark, "rejects")
+    raw = star.transactions(spark, sf)
+    names = [c for c in raw.columns if c != "dt"]
+    text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("\\N")) for c in names])
+    lot = F.col("SourceTransactionNumber").try_cast("bigint") % 50
+    line = F.when(lot == 0, F.concat(text, F.lit("|more"))).when(lot == 1, F.regexp_replace(text, r"\|[^|]*$", "")).otherwise(text)
+    raw.select(line.alias("|".join(names)), "dt").hint("rebalance", "dt").write.partitionBy("dt").option("sep", "\u0001").option(
+        "quote", "").option("header", True).option("compression", "gzip").csv(f"{path}/in/transactions")
+    landed = archive_feed(read_feed(spark, f"{path}/in", "transactions", rejects=True), f"{path}/archive", "transactions")
+    aside = read_rejects(spark, f"{path}/archive", ["transactions"])
+    zero = F.lit(0).cast("bigint")
+    both = landed.select("dt", F.lit(1).alias("good")).unionByName(aside.select("dt", F.lit(0).alias("good")))
+    longer = aside.groupBy("dt").agg(F.count_if(F.col("line").endswith("|more")).alias("longer"))
+    return both.groupBy("dt").agg(F.count_if(F.col("good") == 1).alias("rows"), F.count_if(F.col("good") == 0).alias("rejected")).join(
+        longer, "dt", "left").withColumn("longer", F.coalesce("longer", zero))
+
+
 @query
 def scan_gold_readback_drift(spark, sf):
     """Two runs whose dates have different unknown columns after the contract's."""
@@ -726,6 +746,34 @@ def dq_counts_by_date(spark, sf):
     return quality.counts_by_date(gold.line_item(feeds), feeds["transaction_item"])
 
 
+def _lost_and_doubled(spark, sf):
+    """Line items of which each date's first is doubled and its last is lost: counts agree on every date."""
+    feeds = star.feeds(spark, sf, "transactions", "transaction_item", complete=True)
+    built = _stored(spark, gold.line_item(feeds))
+    ends = built.groupBy("dt").agg(F.min("sourcetransactionitemnumber").alias("low"), F.max("sourcetransactionitemnumber").alias("high"))
+    key = F.col("sourcetransactionitemnumber")
+    marked = built.join(ends, "dt").where((key != F.col("high")) | (F.col("low") == F.col("high")))
+    again = marked.where((key == F.col("low")) & (F.col("low") != F.col("high")))
+    wrong = marked.unionByName(again).drop("low", "high")
+    return wrong, feeds["transaction_item"]
+
+
+@query
+def dq_fingerprint_by_date(spark, sf):
+    """In odd months a row is lost and another is doubled."""
+    wrong, staging = _lost_and_doubled(spark, sf)
+    odd = F.floor(F.col("dt") / 100) % 2 == 1
+    right = gold.line_item(star.feeds(spark, sf, "transactions", "transaction_item", complete=True)).filter(~odd)
+    return quality.contents_by_date(wrong.filter(odd).unionByName(right), staging)
+
+
+@query
+def dq_differing_rows(spark, sf):
+    """The rows behind it, by their number."""
+    wrong, staging = _lost_and_doubled(spark, sf)
+    return quality.differing_rows(wrong, staging, ["sourcetransactionitemnumber"])
+
+
 @query
 def dq_zero_rows(spark, sf):
     """A category list of another day leaves no product."""
@@ -831,6 +879,16 @@ def arrivals_parse(spark, sf):
     return arrivals.parse(star.notifications(spark, sf))
 
 
+@query
+def arrivals_malformed(spark, sf):
+    """Of ten notifications one is cut off, one has a record without a key and one has no text: how many there are of each."""
+    lot = F.col("size") % 10
+    cut = star.as_notifications(star.arrival_keys(spark, sf).withColumn("key", F.when(lot != 4, F.col("key"))), "size")
+    text = F.when(lot == 3, F.expr("left(value, length(value) - 5)")).when(lot != 5, F.col("value"))
+    bad = arrivals.malformed(cut.select(text.alias("value")))
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("notifications"), F.sum("lost").alias("records"))
+
+
 @query
 def arrivals_relevant(spark, sf):
     return arrivals.relevant(star.arrival_keys(spark, sf)).select("event_id", "key")

@@ -229,7 +229,12 @@ def _lookup(mapping: dict[str, str], c: Column) -> Column:
 
 def _as_json(df: DataFrame) -> DataFrame:
     """(event_time, key, size) -> the notification text an object store sends."""
-    return df.select(F.to_json(F.struct(F.array(F.struct(
+    return as_notifications(df)
+
+
+def as_notifications(df: DataFrame, *kept: str) -> DataFrame:
+    """The same with the columns ``kept``."""
+    return df.select(*kept, F.to_json(F.struct(F.array(F.struct(
         F.col("event_time").alias("eventTime"),
         F.struct(
             F.struct(F.lit("landing").alias("name")).alias("bucket"),

@@ -55,6 +55,20 @@ def parse(notifications: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def malformed(notifications: DataFrame, value: str = "value") -> DataFrame:
+    """(value, reason, lost) of every notification that ``parse`` takes less from than it holds; ``lost`` counts records without a key.
+
+    A notification without text, or whose text is no JSON with records, has lost an unknown number (NULL).
+    """
+    records = F.from_json(F.col(value), _ENVELOPE).getField("Records")
+    inner = lambda r: F.transform(F.from_json(r["Sns"]["Message"], _NOTICE).getField("Records"), lambda n: n["s3"]["object"]["key"])
+    keys = F.flatten(F.transform(records, lambda r: F.coalesce(inner(r), F.array(r["s3"]["object"]["key"]))))
+    lost = F.size(F.filter(keys, lambda k: k.isNull()))
+    reason = F.when(F.col(value).isNull(), F.lit("no text")).when(records.isNull(), F.lit("no records")).when(lost > 0, F.lit("records without a key"))
+    rows = notifications.select(F.col(value).alias("value"), reason.alias("reason"), F.when(records.isNotNull(), lost).alias("lost"))
+    return rows.filter(F.col("reason").isNotNull())
+
+
 def _starts_with_any(key: Column, prefixes: tuple[str, ...]) -> Column:
     found = F.lit(False)
     for prefix in prefixes:

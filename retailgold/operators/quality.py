@@ -152,6 +152,61 @@ def counts_by_date(gold: DataFrame, staging: DataFrame) -> DataFrame:
     ).withColumn("difference", F.col("gold_rows") - F.col("staging_rows"))
 
 
+# gold tables that carry every row of their feed with its own columns
+CARRIED_TABLES = ("transactions", "product_category", "organization", "transaction_item")
+_PRINT = (1 << 31) - 1
+
+
+def _row_print(df: DataFrame, columns: list[str]) -> Column:
+    """A number per row, of the given columns' values."""
+    return F.pmod(F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns]), F.lit(_PRINT))
+
+
+def carried_columns(gold: DataFrame, staging: DataFrame) -> list[str]:
+    """Columns that both sides have, in one order."""
+    other = {c.lower() for c in staging.columns}
+    return sorted(c.lower() for c in gold.columns if c.lower() in other)
+
+
+def contents_by_date(gold: DataFrame, staging: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows of both sides per date, and whether they are the same rows as far as ``columns`` go, in any order and each as often.
+
+    A date's fingerprint is the sum of its rows' numbers, so a lost row and a doubled one do not cancel out as their counts do.
+    """
+    columns = carried_columns(gold, staging) if columns is None else columns
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.sum(_row_print(df, columns)).alias("print"))
+        zero = F.lit(0).cast("long")
+        mine, other = ("gold", "staging") if name == "gold" else ("staging", "gold")
+        return counted.select("dt", *[c.alias(a) for c, a in sorted((
+            (F.col("n"), f"{mine}_rows"), (F.col("print"), f"{mine}_print"), (zero, f"{other}_rows"), (zero, f"{other}_print")), key=lambda x: x[1])])
+
+    both = side(gold, "gold").unionByName(side(staging, "staging")).groupBy("dt").agg(
+        *[F.sum(c).alias(c) for c in ("gold_rows", "staging_rows", "gold_print", "staging_print")]
+    )
+    same = (F.col("gold_rows") == F.col("staging_rows")) & (F.col("gold_print") == F.col("staging_print"))
+    return both.select("dt", "gold_rows", "staging_rows", same.alias("same"))
+
+
+def differing_rows(gold: DataFrame, staging: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """(dt, keys, gold_rows, staging_rows): rows that one side has more often than the other, named by ``keys``.
+
+    Only dates whose contents differ are compared row by row.
+    """
+    columns = carried_columns(gold, staging) if columns is None else columns
+    wrong = contents_by_date(gold, staging, columns).where("not same").select(F.col("dt").alias("_dt"))
+
+    def side(df: DataFrame, mine: int) -> DataFrame:
+        rows = df.join(wrong, F.col("dt").eqNullSafe(F.col("_dt")), "left_semi")
+        return rows.select("dt", *keys, _row_print(df, columns).alias("_print"), F.lit(mine).alias("_gold"))
+
+    both = side(gold, 1).unionByName(side(staging, 0)).groupBy("dt", *keys, "_print").agg(
+        F.count_if(F.col("_gold") == 1).alias("gold_rows"), F.count_if(F.col("_gold") == 0).alias("staging_rows")
+    )
+    return both.where("gold_rows <> staging_rows").drop("_print")
+
+
 def audit_rows(
     evaluated: DataFrame, *, brand: str, ingestion_date: str, source: str, destination: str,
     start: Column, end: Column, notes: dict[str, str] | None = None, event_type: str = EVENT_TYPE,

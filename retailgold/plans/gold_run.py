@@ -16,12 +16,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from retailgold import snapshots
+from retailgold.folders import value_of
 from retailgold.functions import settlement_date
 from retailgold.operators import gold, quality
 from retailgold.operators.selection import NEVER, SETTLEMENT_AFTER, after_start, in_date_spec, spec_holds
@@ -29,7 +31,7 @@ from retailgold.operators.typed import type_feeds
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform, feed_layout
 from retailgold.session import configure, drop_scratch, scratch_dir
 from retailgold.sinks import (
-    archive_feed, archived_settlement_files, carry_over_dimensions, commit_gold, read_archive, stage_gold, store, write_audit,
+    archive_feed, archived_settlement_files, carry_over_dimensions, commit_gold, read_archive, read_rejects, stage_gold, store, write_audit,
 )
 from retailgold.sinks.gold_files import ROWS_PER_FILE
 from retailgold.sources import read_feed, read_settlement, run_sql, settlement_files
@@ -77,7 +79,12 @@ def stage_feeds(
         if not raw["settlement"].filter(F.col("file_dt").isNull()).isEmpty():
             raise ValueError("settlement rows of a file without a date in its name")
         raw = {**raw, "settlement": after_start(raw["settlement"], settlement_after, "file_dt")}
-    return {feed: archive_feed(df, path, feed, lambda dt: spec_holds(dates, dt)) for feed, df in raw.items()}
+    spark = next(iter(raw.values())).sparkSession
+    landed = _side_by_side(spark, list(raw), lambda feed: archive_feed(raw[feed], path, feed, lambda dt: spec_holds(dates, dt)))
+    for done in landed.values():
+        if isinstance(done, Exception):
+            raise done
+    return landed
 
 
 def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -154,6 +161,7 @@ def run(
     spark: SparkSession, raw: dict[str, DataFrame], out: str, *, audit_path: str, brand: str, schedule: str, as_of: str,
     dates: str | None = None, tables: tuple[str, ...] = GOLD_TABLES, rows_per_file: int = ROWS_PER_FILE,
     strict_contract: bool = False, sql: dict[str, str] | None = None, scratch: str | None = None, gate_dates: bool = False,
+    notes: dict[str, str] | None = None, contents: bool = False,
 ) -> RunResult:
     """Build the gold tables of one brand and schedule from its raw feeds and publish them below ``out``.
 
@@ -162,7 +170,8 @@ def run(
     and that has no rows any more goes from the gold.  ``strict_contract`` keeps exactly the contract's columns; otherwise unknown
     columns of a feed follow them.  ``sql`` gives a user's own text, over the typed feeds, for some tables; its rows pass the same
     checks.  Built tables lie below ``scratch`` until the run ends.  With ``gate_dates`` a date on which some table fails is left out
-    of all tables and keeps the gold it has; the others are published.
+    of all tables and keeps the gold it has; the others are published.  With ``contents`` the tables that carry their feed's rows are
+    compared with it row by row, by one sum per date and side.  ``notes`` are added to the audit log's.
     """
     configure(spark)
     sql = sql or {}
@@ -197,6 +206,8 @@ def run(
                 break
             whole.append(table)
         evaluated, sizes, rejected = _evaluate(spark, built, whole, counts, gate_dates) if whole else ({}, {}, {})
+        if contents and whole:
+            _compare(built, feeds, whole, evaluated, set(rejected))
         for table in whole:
             checked.append(_Checked(*evaluated[table], started=began, ended=_now()))
             if checked[-1].event_result == quality.FAILURE:
@@ -227,7 +238,7 @@ def run(
         log = spark.createDataFrame([c.row() for c in checked], f"{quality.CHECKED_LAYOUT}, started timestamp, ended timestamp")
         write_audit(quality.audit_rows(
             log, brand=brand, ingestion_date=f"{as_of[:4]}-{as_of[4:6]}-{as_of[6:]}", source="staging", destination=out,
-            start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all"},
+            start=F.col("started"), end=F.col("ended"), notes={"SCHEDULE": schedule, "DATES": dates or "all", **(notes or {})},
         ), audit_path)
         if failed is not None:
             raise GateFailure(failed.table, failed.reason, by_date, tuple(rejected.values())) from crash
@@ -268,6 +279,24 @@ def _evaluate(
     return {r["entity_type"]: tuple(r) for r in verdicts}, sizes, rejected
 
 
+def _compare(
+    built: dict[str, DataFrame], feeds: dict[str, DataFrame], tables: list[str], evaluated: dict[str, tuple], rejected: set[int | None],
+) -> None:
+    """Fail the tables that do not carry just their feed's rows; one job for all of them, a row per date that differs."""
+    sides = [
+        quality.contents_by_date(built[t], feeds[STAGING_OF[t]]).where("not same").select(F.lit(t).alias("entity_type"), "dt")
+        for t in tables if t in quality.CARRIED_TABLES
+    ]
+    wrong: dict[str, int] = defaultdict(int)
+    for r in reduce(DataFrame.unionByName, sides).collect() if sides else ():
+        if r["dt"] not in rejected:
+            wrong[r["entity_type"]] += 1
+    for table, n in wrong.items():
+        *measures, reason, _ = evaluated[table]
+        reason = "; ".join(filter(None, [reason, f"rows of {n} dates are not those of staging"]))
+        evaluated[table] = (*measures, reason, quality.FAILURE)
+
+
 def run_paths(
     spark: SparkSession, staging: str, settlement: str | list[str], archive: str, out: str, *, dates: str, schedule: str,
     settlement_after: str | None = None, dimensions: str | None = None, **options,
@@ -276,6 +305,7 @@ def run_paths(
 
     Only the folders of ``dates`` are read.  Settlement files that are archived already are not read again, nor are those up to
     ``settlement_after`` (by default the start day of a daily run; a weekly run takes none and uses what is archived).
+    Lines with more or fewer fields than their header are landed apart (``read_rejects``), and their number is in the audit notes.
     ``dimensions`` is where a daily run leaves its dimensions for the weekly one, which takes them from there.  ``options`` are
     those of ``run``.
     """
@@ -283,7 +313,7 @@ def run_paths(
     if weekly and dimensions is None:
         raise ValueError("a weekly run takes its dimensions from the folder that the daily runs leave them in")
     feeds = [f for f in POS_FEEDS if not (weekly and f in DIMENSIONS)]
-    raw = {feed: read_feed(spark, staging, feed, dates=dates) for feed in feeds}
+    raw = {feed: read_feed(spark, staging, feed, dates=dates, rejects=True) for feed in feeds}
     if weekly:
         raw |= {f: read_archive(spark, dimensions, f, feed_layout(f)).filter(in_date_spec(dates)) for f in DIMENSIONS}
     asked = lambda dt: spec_holds(dates, dt)
@@ -291,12 +321,15 @@ def run_paths(
     staged["settlement"] = stage_settlement(spark, settlement, archive, SETTLEMENT_AFTER[schedule] if settlement_after is None else settlement_after)
     if not weekly and dimensions is not None:
         carry_over_dimensions({f: staged[f].filter(in_date_spec(dates)) for f in DIMENSIONS}, dimensions, asked)
-    return run(spark, staged, out, dates=dates, schedule=schedule, **options)
+    days = lambda feed, partition: feed == "settlement" or spec_holds(dates, int(value_of(partition, "dt") or 0))
+    aside = {r["feed"]: r["n"] for r in read_rejects(spark, archive, feeds, days).groupBy("feed").agg(F.count("*").alias("n")).collect()}
+    notes = {**options.pop("notes", {}), "REJECTED_ROWS": ",".join(f"{f}={aside[f]}" for f in feeds if f in aside) or "none"}
+    return run(spark, staged, out, dates=dates, schedule=schedule, notes=notes, **options)
 
 
 def stage_settlement(spark: SparkSession, paths: str | list[str], archive: str, after: str) -> DataFrame:
     """Land the settlement files dated after a day that are not archived yet, and give back the whole archive."""
     known = archived_settlement_files(spark, archive)
     new = [] if after == NEVER else [path for path, day in settlement_files(spark, paths).items() if day > after and day not in known]
-    rows = read_settlement(spark, new) if new else spark.createDataFrame([], feed_layout("settlement")).withColumn("file_dt", F.lit(None).cast("int"))
+    rows = read_settlement(spark, new, rejects=True) if new else spark.createDataFrame([], feed_layout("settlement")).withColumn("file_dt", F.lit(None).cast("int"))
     return archive_feed(rows, archive, "settlement")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from retailgold import snapshots
 from retailgold.folders import value_of
 from retailgold.functions import settlement_date
 from retailgold.schemas import DIMENSIONS
+from retailgold.sources.files import REJECTED
 
 
 def _log(path: str, feed: str) -> str:
@@ -26,7 +28,8 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
     shuffle: a staged file holds one date, so a scan task writes few dates.  A settlement file is known by the date in its
     name (``file_dt``) and may hold several transaction days, so it is archived by month and file with the day as a column: a
     run reads the months of its days, within them the row groups that hold one, and landing a file again replaces that
-    file's rows of all days.  (A folder per day would be thousands of small files where a file holds a month.)
+    file's rows of all days.  (A folder per day would be thousands of small files where a file holds a month.)  Rows that were
+    read with a ``_rejected`` line are landed with it and are not part of what is given back; ``read_rejects`` lists them.
     """
     by = ["dt"]
     if feed == "settlement":
@@ -53,9 +56,24 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
 def read_archive(spark: SparkSession, path: str, feed: str, layout: T.StructType) -> DataFrame:
     """A feed's archive with the columns of ``layout``."""
     files = snapshots.current_files(spark, path, feed, _log(path, feed))
+    good = T.StructType([f for f in layout if f.name != REJECTED])
     if not files:
-        return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).option("basePath", f"{path}/{feed}").parquet(*files)
+        return spark.createDataFrame([], good)
+    known = T.StructType([*good, T.StructField(REJECTED, T.StringType())])  # NULL where a file was landed without it
+    rows = spark.read.schema(known).option("basePath", f"{path}/{feed}").parquet(*files)
+    return rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def read_rejects(spark: SparkSession, path: str, feeds: Iterable[str], keep: Callable[[str, str], bool] = lambda feed, partition: True) -> DataFrame:
+    """(feed, dt, line): the lines that were set aside; ``dt`` is the file's date for settlement.  ``keep`` picks partitions."""
+    parts = []
+    for feed in feeds:
+        date = "file_dt" if feed == "settlement" else "dt"
+        files = snapshots.current_files(spark, path, feed, _log(path, feed), lambda p, f=feed: keep(f, p))
+        if files:
+            rows = spark.read.schema(f"{REJECTED} string, {date} int").option("basePath", f"{path}/{feed}").parquet(*files)
+            parts.append(rows.where(F.col(REJECTED).isNotNull()).select(F.lit(feed).alias("feed"), F.col(date).alias("dt"), F.col(REJECTED).alias("line")))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "feed string, dt int, line string")
 
 
 def archived_settlement_files(spark: SparkSession, path: str) -> set[str]:

@@ -19,6 +19,7 @@ from retailgold.schemas import DT, NEEDED_COLUMNS, feed_layout, gold_layout
 
 NULL_TEXT = "\\N"
 SMALL_FILE = 1 << 20
+REJECTED = "_rejected"
 
 
 def _file_day() -> Column:
@@ -82,7 +83,7 @@ def _headers(spark: SparkSession, paths: list[str], sep: str, quote_escape: str)
 
 
 def _by_header(
-    spark: SparkSession, paths: list[str], sep: str, feed: str, quote_escape: str = '"', base: str | None = None,
+    spark: SparkSession, paths: list[str], sep: str, feed: str, quote_escape: str = '"', base: str | None = None, rejects: bool = False,
 ) -> DataFrame:
     """One scan per distinct header, put together by column name; a column that a file lacks is NULL there.
 
@@ -94,9 +95,11 @@ def _by_header(
         if lacking := sorted(wanted - {n.lower() for n in names}):
             raise ValueError(f"{feed}: no {lacking} in {group[:5]}")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names if base is None or n.lower() != "dt"])
+        if rejects:
+            schema = schema.add(REJECTED, T.StringType())
         if base is not None:
             schema = schema.add(DT)
-        reader = _reader(spark, sep, quote_escape).schema(schema).option("enforceSchema", False)
+        reader = _reader(spark, sep, quote_escape).schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", REJECTED)
         if base is not None:
             reader = reader.option("basePath", base)
         rows = reader.csv(group)
@@ -106,24 +109,29 @@ def _by_header(
     if scans:
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     empty = spark.createDataFrame([], feed_layout(feed))
+    if rejects:
+        empty = empty.withColumn(REJECTED, F.lit(None).cast("string"))
     return empty if base is not None else empty.withColumn("file_dt", F.lit(None).cast("int"))
 
 
 def read_feed(
     spark: SparkSession, path: str, feed: str, *, declared: bool = False, escape: str = '"', dates: str | None = None,
+    rejects: bool = False,
 ) -> DataFrame:
     """One pipe-delimited feed below ``path/feed``, all columns text, plus ``dt`` from the ``dt=`` directories.
 
     Each file's header names its columns, so new ones pass through and their order may change from file to file; only the
     first lines are read for that.  ``dates`` leaves other dates' folders unread.  With ``declared`` the documented
     layout is used instead and every file's header is compared with it.  ``escape='\\'`` reads quotes the way older runs did.
+    With ``rejects`` a column ``_rejected`` holds the line of every row that has more or fewer fields than its file's header; an
+    archive that is landed with it sets such rows aside (``sinks.archive``).
     """
     base = f"{path}/{feed}"
     if declared:
         rows = _scan(spark, base, "|", feed_layout(feed), escape)
         return rows if dates is None else rows.filter(in_date_spec(dates))
     days = [p for p in partitions(spark, base) if dates is None or spec_holds(dates, int(value_of(p, "dt")))]
-    return _by_header(spark, [f"{base}/{p}" for p in days], "|", feed, escape, base)
+    return _by_header(spark, [f"{base}/{p}" for p in days], "|", feed, escape, base, rejects)
 
 
 def settlement_files(spark: SparkSession, paths: str | list[str]) -> dict[str, str]:
@@ -135,14 +143,14 @@ def settlement_files(spark: SparkSession, paths: str | list[str]) -> dict[str, s
     return {r["path"]: str(r["day"]) for r in listed}
 
 
-def read_settlement(spark: SparkSession, paths: str | list[str], *, declared: bool = False) -> DataFrame:
+def read_settlement(spark: SparkSession, paths: str | list[str], *, declared: bool = False, rejects: bool = False) -> DataFrame:
     """All comma-delimited settlement files that a glob (or several) names, with the date in the file name as ``file_dt``.
 
     Each file's own header names its columns, as for the feeds.
     """
     if declared:
         return _scan(spark, paths, ",", feed_layout("settlement")).withColumn("file_dt", _file_day())
-    return _by_header(spark, [paths] if isinstance(paths, str) else paths, ",", "settlement")
+    return _by_header(spark, [paths] if isinstance(paths, str) else paths, ",", "settlement", rejects=rejects)
 
 
 def read_gold(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -111,3 +111,11 @@ def test_files_of_a_feed(spark):
     files = spark.createDataFrame([(n,) for n in names], "name string")
     assert rows(selection.files_of(files, "p", "product", "20200101")) == [(names[0],)]
     assert rows(selection.files_of(files, "p", F.lit("product_category"), "2020")) == [(names[1],)]
+
+
+def test_malformed(spark):
+    keyless = json.dumps({"Records": [record("a"), {"eventTime": "t", "s3": {"bucket": {"name": "b"}, "object": {"size": 1}}}]})
+    out = arrivals.malformed(frame(spark, notice("a"), notice(), envelope(notice("c"), keyless), keyless, "not json", "{}", None, notice("x")[:-4]))
+    assert rows(out.groupBy("reason").agg(F.count("*").alias("n"), F.sum("lost").alias("lost"))) == [
+        ("no records", 3, None), ("no text", 1, None), ("records without a key", 2, 2)
+    ]

@@ -99,3 +99,25 @@ def test_a_long_reason_is_kept(spark):
         end=F.lit("2020-01-02 00:00:00"), event_type="other",
     ).first()
     assert len(json.loads(out.EVENT_NOTES)["FAILURE_REASON"]) == 150_000 and out.EVENT_TYPE == "other"
+
+
+def test_contents_by_date(spark):
+    """One date has a row lost and another doubled, one has a changed value, one has its rows in another order."""
+    layout = "dt int, id string, v string, extra string"
+    staging = [(1, "a", "x", None), (1, "b", None, None), (1, "c", "z", None), (2, "a", "x", None), (3, "a", "x", None), (3, "b", "", None)]
+    made = [(1, "a", "x", "g"), (1, "a", "x", "g"), (1, "b", None, "g"), (2, "a", "y", "g"), (3, "b", "", "h"), (3, "a", "x", "g"), (4, "n", "n", "g")]
+    staging, made = spark.createDataFrame(staging, layout).drop("extra"), spark.createDataFrame(made, layout)
+    assert rows(quality.contents_by_date(made, staging)) == [(1, 3, 3, False), (2, 1, 1, False), (3, 2, 2, True), (4, 1, 0, False)]
+    assert rows(quality.counts_by_date(made, staging), "dt", "difference") == [(1, 0), (2, 0), (3, 0), (4, 1)]
+    assert rows(quality.differing_rows(made, staging, ["id"])) == [(1, "a", 2, 1), (1, "c", 0, 1), (2, "a", 0, 1), (2, "a", 1, 0), (4, "n", 1, 0)]
+    # NULL and empty are different rows
+    other = staging.withColumn("v", F.nullif("v", F.lit("")))
+    assert rows(quality.contents_by_date(other, staging), "dt", "same") == [(1, True), (2, True), (3, False)]
+
+
+def test_failing_dates(spark):
+    measured = spark.createDataFrame([
+        ("transactions", 1, 3, 3, 0, 0, 0), ("transactions", 2, 3, 2, 0, 0, 0), ("transactions", 3, 2, 2, 1, 0, 0), ("tenders", 1, 3, 4, 0, 0, 0),
+        ("tenders", 2, 3, 0, 0, 0, 0), ("tenders", None, 0, 0, 0, 0, 9),
+    ], quality.DATED_LAYOUT)
+    assert rows(quality.failing_dates(measured), "entity_type", "dt") == [("tenders", 2), ("transactions", 2), ("transactions", 3)]

@@ -13,7 +13,7 @@ from shop import D1, D2, good_feeds, item, paid, tender, transaction
 from retailgold.bind.queries import write_feed_files
 from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_settlement
 from retailgold.schemas import DIMENSIONS, GOLD_COLUMNS, GOLD_TABLES, POS_FEEDS
-from retailgold.sinks import read_audit, read_manifest
+from retailgold.sinks import read_audit, read_manifest, read_rejects
 from retailgold.sources import read_gold
 
 
@@ -290,3 +290,31 @@ def test_settlement_is_staged_once(spark, feed, tmp_path):
     (folder / "SETTLE_1_nodate.csv").write_text("x\n")
     with pytest.raises(ValueError, match="nodate"):
         stage_settlement(spark, f"{folder}/SETTLE_*", f"{tmp_path}/archive", "20200910")
+
+
+def test_lines_of_another_width_are_landed_apart(spark, feed, tmp_path):
+    """One field too many, one too few: not in the gold, listed, and counted in the audit."""
+    raw = good_feeds(feed)
+    for name in POS_FEEDS:
+        write_feed_files(raw[name], f"{tmp_path}/landing", name)
+    folder = tmp_path / "landing" / "organization" / f"dt={D1}"
+    head = "|".join(raw["organization"].drop("dt").columns)
+    with gzip.open(folder / "more.psv.gz", "wt") as f:
+        f.write(f"{head}\n" + "|".join(["20"] * 99) + "\n21|few\n" + "|".join(["22"] * (head.count("|") + 1)) + "\n")
+    run_paths(
+        spark, f"{tmp_path}/landing", f"{tmp_path}/none_*", f"{tmp_path}/archive", f"{tmp_path}/gold", dates=str(D1), schedule="daily",
+        settlement_after="99990101", audit_path=f"{tmp_path}/audit", brand="brand_a", as_of="20200110", tables=("organization",), contents=True,
+    )
+    assert [r[0] for r in rows(read_gold(spark, f"{tmp_path}/gold", "organization"), "SourceOrganizationNumberkey")] == ["10", "22"]
+    aside = read_rejects(spark, f"{tmp_path}/archive", POS_FEEDS)
+    assert rows(aside) == [("organization", D1, "20" + "|20" * 98), ("organization", D1, "21|few")]
+    assert json.loads(read_audit(spark, f"{tmp_path}/audit").first().EVENT_NOTES)["REJECTED_ROWS"] == "organization=2"
+
+
+def test_contents_are_compared(spark, feed, tmp_path):
+    raw = good_feeds(feed)
+    tables = ("transactions", "organization")
+    assert go(spark, raw, tmp_path, tables=tables, contents=True).results == {t: "SUCCESS" for t in tables}
+    text = "select * except (Name), 'other' as Name, dt as partition_col from pos_organization"
+    with pytest.raises(GateFailure, match="rows of 1 dates are not those of staging"):
+        go(spark, raw, tmp_path, tables=tables, contents=True, sql={"organization": text})
