@@ -239,6 +239,10 @@ ORACLES = {
     "catalog_external_table":
         "select item_no as sourcetransactionitemnumber, code as discountcode, amount as discountamt, dt from xref",
     "catalog_gold": 'select dt as partition_col, count(*) as "rows", min(check_id) as first_check_id from g_tx group by dt',
+    "catalog_history": """select 'transactions' as entity_type, dt, count(*) as "rows", min(check_id) as first_check_id, max(check_id) as last_check_id
+        from g_tx group by dt union all select 'transaction_item', dt, count(*), min(check_id), max(check_id) from g_item group by dt""",
+    "catalog_sync_partitions": """select dt as partition_col, count(*) as "rows", 1 as added, 1 as dropped from g_tx
+        where dt >= 19950201 and dt <> 19960201 group by dt""",
     "catalog_archive": 'select dt, count(*) as "rows", max(amount_text) as largest from tender group by dt',
     "catalog_settlement": """select cast(strftime(day, '%Y%m01') as integer) as file_dt, count(*) as "rows",
         count(distinct day) as days from settled group by file_dt""",

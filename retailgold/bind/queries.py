@@ -17,14 +17,14 @@ from retailgold.functions import (
 from retailgold.operators import arrivals, gold, quality, selection
 from retailgold.operators.typed import type_feeds, type_line_items, type_settlement, type_tenders, type_transactions
 from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_settlement
-from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform
+from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform, from_history, history_columns
 from retailgold.session import configure, file_system, scratch_dir
 from retailgold.sinks import (
     archive_feed, carry_over_dimensions, commit_gold, gold_manifest, publish, published_files, read_audit, read_manifest,
     read_rejects, stage_bucketed, stage_gold, store, write_audit, write_gold,
 )
 from retailgold.snapshots import new_run
-from retailgold.sources import create_external_table, list_files, read_feed, read_gold, read_settlement, run_sql
+from retailgold.sources import create_external_table, list_files, read_feed, read_gold, read_settlement, run_sql, sync_partitions
 from retailgold.streaming import (
     read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_gold,
 )
@@ -226,6 +226,39 @@ def catalog_gold(spark, sf):
     return rows.groupBy("partition_col").agg(F.count(F.lit(1)).alias("rows"), F.min("check_id").alias("first_check_id"))
 
 
+@query
+def catalog_history(spark, sf):
+    """Gold before 1996 in files of the older layout, later gold as it is published: rows and check ids per table and date."""
+    path = scratch_dir(spark, "history")
+    feeds = star.feeds(spark, sf, "transactions", "transaction_item")
+    month = F.date_format(F.trunc("DateCreated", "month"), "yyyyMMdd")
+    parts = {}
+    for table, built in (("transactions", gold.transactions(feeds)), ("transaction_item", gold.line_item(feeds))):
+        stored, old = _stored(spark, conform(built, table)), F.col("dt") < 19960101
+        older = stored.filter(old).select(*[F.col(new).alias(name) for new, name in history_columns(table).items()])
+        older.write.option("sep", "|").option("header", True).option("compression", "gzip").option("emptyValue", "").csv(f"{path}/history/{table}")
+        publish(stored.filter(~old), f"{path}/gold", table)
+        history = create_external_table(spark, f"history_{table}_" + path.rsplit("-", 1)[-1], f"{path}/history/{table}", table, kind="history")
+        parts[table] = from_history(history, table, month).unionByName(read_gold(spark, f"{path}/gold", table)).select("dt", "check_id")
+    return _tagged(parts, "entity_type").groupBy("entity_type", "dt").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("check_id").alias("first_check_id"), F.max("check_id").alias("last_check_id"))
+
+
+@query
+def catalog_sync_partitions(spark, sf):
+    """An external table follows two runs, the second of which brings a date again and empties one: rows per date, and what was altered."""
+    path = scratch_dir(spark, "sync")
+    built = _stored(spark, gold.transactions(star.feeds(spark, sf, "transactions")))
+    publish(built.filter("dt >= 19950301"), path, "transactions")
+    name = "synced_" + path.rsplit("-", 1)[-1]
+    create_external_table(spark, name, f"{path}/transactions", "transactions")
+    publish(built.filter("dt in (19950201, 19960101)"), path, "transactions", emptied=lambda dt: dt == 19960201)
+    added, dropped = sync_partitions(spark, name, f"{path}/_manifest", "transactions")
+    spark.catalog.refreshTable(name)
+    counted = spark.table(name).groupBy("partition_col").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.withColumns({"added": F.lit(added), "dropped": F.lit(dropped)})
+
+
 @query
 def catalog_archive(spark, sf):
     path = scratch_dir(spark, "catalog")

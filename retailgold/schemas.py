@@ -81,6 +81,22 @@ GOLD_COLUMNS = {
     ),
 }
 
+# --- fixed values: what the older gold files call the contract's columns, and which of them have no dt --------------------
+HISTORY_NAMES = {
+    "transactions": {
+        "sourcetransactionnumber": "SourceTransactionNumer", "CustomAttributes": "Custom_Attributes",
+        "AccountNumberMasked": "Account_Number_Masked", "check_id": "checkid",
+    },
+    "transaction_item": {"Type": "transactionitemtype", "check_id": "checkid"},
+    "organization": {
+        "Sourceorganizationnumberkey": "SourceOrganizationNumber", "Name": "OrgName", "Type": "OrgType", "State": "OrgState",
+        "Addr_line_1": "Address1", "Addr_line_2": "Address2",
+    },
+    "product": {"Name": "ProductName", "Size": "ProductSize"},
+    "product_category": {"Name": "ProductCategoryName"},
+}
+HISTORY_WITHOUT_DT = ("transactions", "tenders", "organization", "product", "product_category")
+
 # what a file's header must name: all documented columns of a feed, of settlement files those that are used
 NEEDED_COLUMNS = {
     **FEED_COLUMNS,
@@ -128,6 +144,25 @@ def gold_layout(table: str, partition: bool = True) -> T.StructType:
     return T.StructType(layout.fields + [PARTITION]) if partition else layout
 
 
+def history_columns(table: str) -> dict[str, str]:
+    """Contract column -> its name in the older files, in their order."""
+    names = HISTORY_NAMES.get(table, {})
+    return {c: names.get(c, c) for c in GOLD_COLUMNS[table].split() if not (c == "dt" and table in HISTORY_WITHOUT_DT)}
+
+
+def from_history(df: DataFrame, table: str, dt: Column | None = None) -> DataFrame:
+    """Rows of the older layout by the contract, with ``partition_col``.
+
+    Where the layout has no ``dt`` it is the day of the row's own date, or what ``dt`` says.
+    """
+    columns, types = history_columns(table), {f.name: f.dataType for f in gold_layout(table)}
+    rows = df.select(*[F.col(f"`{old}`").cast("string").try_cast(types[new]).alias(new) for new, old in columns.items()])
+    if "dt" not in columns:
+        day = F.col("transactiondate" if table == "tenders" else "DateCreated").cast("string").try_cast("date")
+        rows = rows.withColumn("dt", F.date_format(day, "yyyyMMdd").cast("int") if dt is None else dt.cast("int"))
+    return conform(rows.withColumn("partition_col", F.col("dt")), table)
+
+
 AUDIT_LAYOUT = T.StructType([
     T.StructField("BRAND_SID", T.StringType()),
     T.StructField("EVENT_TYPE", T.StringType()),
