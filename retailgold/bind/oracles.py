@@ -276,6 +276,8 @@ ORACLES = {
         f"select g.*, case when sourceorganizationnumber % 2 = 0 then 'brand_a' else 'brand_b' end as brand from ({_GOLD_TENDER}) g",
     "agg_settlement_summary": """select store as store_id, cast(day as varchar) as settlement_day, card as masked_card_number,
         amount as approved_amount, register as pos_register_number, customer_name from names""",
+    "agg_settlement_incremental": """select store as store_id, cast(day as varchar) as settlement_day, card as masked_card_number,
+        amount as approved_amount, register as pos_register_number, customer_name from names""",
     "distinct_discount_dim":
         "select distinct code as discountcode, description as discountdescription, kind as discounttype, dt from codes",
     "count_rows": " union all ".join(

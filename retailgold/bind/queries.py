@@ -20,7 +20,7 @@ from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_set
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform, from_history, history_columns
 from retailgold.session import configure, file_system, scratch_dir
 from retailgold.sinks import (
-    archive_feed, carry_over_dimensions, commit_gold, gold_manifest, publish, published_files, read_audit, read_manifest,
+    archive_feed, archive_summary, carry_over_dimensions, commit_gold, gold_manifest, publish, published_files, read_audit, read_manifest,
     read_rejects, stage_bucketed, stage_gold, store, write_audit, write_gold,
 )
 from retailgold.snapshots import new_run
@@ -702,6 +702,18 @@ def stage_incremental(spark, sf):
     )
 
 
+@query
+def agg_settlement_incremental(spark, sf):
+    """Files summarised one delivery after the other; the first is delivered wrong, comes again, and replaces only itself."""
+    path = scratch_dir(spark, "summary")
+    raw = star.settlement_files(spark, sf).hint("rebalance", "file_dt")
+    early = F.col("file_dt") < 19970101
+    archive_summary(raw.filter(early).withColumn("customer_name", F.lit("A wrong name")), path)
+    archive_summary(raw.filter(~early), path)
+    parts = archive_summary(raw.filter(early), path)
+    return gold.merged_summary(parts)
+
+
 @query
 def carry_over_dimensions_(spark, sf):
     path = scratch_dir(spark, "weekly")

@@ -119,6 +119,20 @@ def settlement_summary(settlement: DataFrame) -> DataFrame:
     ).agg(F.min("customer_name").alias("customer_name"))
 
 
+_SUMMARY = ("store_id", "settlement_day", "masked_card_number", "approved_amount", "pos_register_number")
+
+
+def settlement_parts(settlement: DataFrame) -> DataFrame:
+    """The summary of each settlement file (``file_dt``) for itself; a smallest name of parts is that of the whole."""
+    day = settlement_date(F.col("store_transaction_date_time"))
+    return settlement.withColumn("settlement_day", day).groupBy("file_dt", *_SUMMARY).agg(F.min("customer_name").alias("customer_name"))
+
+
+def merged_summary(parts: DataFrame) -> DataFrame:
+    """``settlement_summary`` of all files from their parts."""
+    return parts.groupBy(*_SUMMARY).agg(F.min("customer_name").alias("customer_name"))
+
+
 # Longer than any card suffix, so it equals none.
 _NO_MATCH = "no-match~"
 
@@ -131,6 +145,8 @@ def tenders(feeds: Feeds) -> DataFrame:
 
     Cash and other tenders with an empty key part can match nothing but still have to pass the outer join's shuffle.  Their
     card suffix is replaced by a text made of their own transaction key, which spreads them over all partitions.
+
+    With a feed ``settlement_summary`` (``settlement_parts`` by file) the settlement itself is not read.
     """
     sold = tender_transactions(feeds)
     register, suffix = lenient_int(F.col("registernumber")), card_suffix(F.col("accountnumbermasked"))
@@ -143,7 +159,8 @@ def tenders(feeds: Feeds) -> DataFrame:
         "*", register.alias("k_register"), card_prefix(F.col("accountnumbermasked")).alias("k_prefix"),
         F.when(matchable, suffix).otherwise(spread).alias("k_suffix"),
     )
-    right = settlement_summary(feeds["settlement"]).select(
+    summary = merged_summary(feeds["settlement_summary"]) if "settlement_summary" in feeds else settlement_summary(feeds["settlement"])
+    right = summary.select(
         "customer_name", F.col("store_id").alias("s_store"), F.col("settlement_day").alias("s_day"),
         F.col("approved_amount").alias("s_amount"), lenient_int(F.col("pos_register_number")).alias("s_register"),
         card_prefix(F.col("masked_card_number")).alias("s_prefix"),

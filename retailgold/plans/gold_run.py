@@ -31,7 +31,7 @@ from retailgold.operators.typed import type_feeds
 from retailgold.schemas import DIMENSIONS, GOLD_TABLES, POS_FEEDS, STAGING_OF, conform, feed_layout
 from retailgold.session import configure, drop_scratch, scratch_dir
 from retailgold.sinks import (
-    archive_feed, archived_settlement_files, carry_over_dimensions, commit_gold, read_archive, read_rejects, stage_gold, store, write_audit,
+    archive_feed, archive_summary, archived_settlement_files, carry_over_dimensions, commit_gold, read_archive, read_rejects, stage_gold, store, write_audit,
 )
 from retailgold.sinks.gold_files import ROWS_PER_FILE
 from retailgold.sources import read_feed, read_settlement, run_sql, settlement_files
@@ -93,15 +93,16 @@ def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     The days are calendar days; their months pick partitions of the archive before any file is opened.
     """
     days = [r["day"] for r in feeds["tenders"].select(F.col("transactiondate").alias("day")).distinct().collect() if r["day"]]
-    settlement = feeds["settlement"]
-    if "settlement_day" in settlement.columns:
-        day = F.col("settlement_day")
-    else:
-        day = settlement_date(F.col("store_transaction_date_time"))
-    settlement = settlement.filter(day.isin(days) if days else F.lit(False))
-    if days and "settlement_month" in settlement.columns:
-        settlement = settlement.filter(F.col("settlement_month").isin(sorted({d.year * 100 + d.month for d in days})))
-    return {**feeds, "settlement": settlement}
+    out = dict(feeds)
+    for name in ("settlement", "settlement_summary"):
+        if name not in feeds:
+            continue
+        rows = feeds[name]
+        day = F.col("settlement_day") if "settlement_day" in rows.columns else settlement_date(F.col("store_transaction_date_time"))
+        out[name] = rows.filter(day.isin(days) if days else F.lit(False))
+        if days and "settlement_month" in rows.columns:
+            out[name] = out[name].filter(F.col("settlement_month").isin(sorted({d.year * 100 + d.month for d in days})))
+    return out
 
 
 def _now() -> datetime:
@@ -178,7 +179,7 @@ def run(
     feeds = type_feeds(raw)
     if dates is not None:
         # settlement files are not dated like the feeds: a day's settlement may come in a later file
-        feeds = {n: df if n == "settlement" else df.filter(in_date_spec(dates)) for n, df in feeds.items()}
+        feeds = {n: df if n.startswith("settlement") else df.filter(in_date_spec(dates)) for n, df in feeds.items()}
     scratch = scratch_dir(spark, f"gold-{brand}-{schedule}", scratch)
     began, failed, crash, by_date, published = _now(), None, None, [], {}
     staged_rows: dict[str, int | None] = dict.fromkeys(tables)
@@ -299,12 +300,13 @@ def _compare(
 
 def run_paths(
     spark: SparkSession, staging: str, settlement: str | list[str], archive: str, out: str, *, dates: str, schedule: str,
-    settlement_after: str | None = None, dimensions: str | None = None, **options,
+    settlement_after: str | None = None, dimensions: str | None = None, summarise: bool = False, **options,
 ) -> RunResult:
     """``run`` over feed files: ``staging/<feed>/dt=<date>/`` and settlement files by glob, landed in ``archive`` first.
 
     Only the folders of ``dates`` are read.  Settlement files that are archived already are not read again, nor are those up to
     ``settlement_after`` (by default the start day of a daily run; a weekly run takes none and uses what is archived).
+    With ``summarise`` each settlement file is summarised once, when it is landed, and the tenders take the summaries.
     Lines with more or fewer fields than their header are landed apart (``read_rejects``), and their number is in the audit notes.
     ``dimensions`` is where a daily run leaves its dimensions for the weekly one, which takes them from there.  ``options`` are
     those of ``run``.
@@ -318,7 +320,10 @@ def run_paths(
         raw |= {f: read_archive(spark, dimensions, f, feed_layout(f)).filter(in_date_spec(dates)) for f in DIMENSIONS}
     asked = lambda dt: spec_holds(dates, dt)
     staged = stage_feeds(raw, archive, dates=dates)
-    staged["settlement"] = stage_settlement(spark, settlement, archive, SETTLEMENT_AFTER[schedule] if settlement_after is None else settlement_after)
+    after = SETTLEMENT_AFTER[schedule] if settlement_after is None else settlement_after
+    staged["settlement"] = stage_settlement(spark, settlement, archive, after)
+    if summarise:
+        staged["settlement_summary"] = stage_summary(spark, staged["settlement"], archive)
     if not weekly and dimensions is not None:
         carry_over_dimensions({f: staged[f].filter(in_date_spec(dates)) for f in DIMENSIONS}, dimensions, asked)
     days = lambda feed, partition: feed == "settlement" or spec_holds(dates, int(value_of(partition, "dt") or 0))
@@ -333,3 +338,10 @@ def stage_settlement(spark: SparkSession, paths: str | list[str], archive: str,
     new = [] if after == NEVER else [path for path, day in settlement_files(spark, paths).items() if day > after and day not in known]
     rows = read_settlement(spark, new, rejects=True) if new else spark.createDataFrame([], feed_layout("settlement")).withColumn("file_dt", F.lit(None).cast("int"))
     return archive_feed(rows, archive, "settlement")
+
+
+def stage_summary(spark: SparkSession, settlement: DataFrame, archive: str) -> DataFrame:
+    """Summarise the archived settlement files that have no summary yet, and give back the summaries of all."""
+    known = sorted(int(d) for d in archived_settlement_files(spark, archive, "settlement_summary") if d and d.isdigit())
+    new = settlement.where(~F.col("file_dt").isin(known)) if known else settlement
+    return archive_summary(new, archive)

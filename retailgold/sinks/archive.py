@@ -12,10 +12,15 @@ from pyspark.sql import types as T
 from retailgold import snapshots
 from retailgold.folders import value_of
 from retailgold.functions import settlement_date
+from retailgold.operators import gold
+from retailgold.operators.typed import type_settlement
 from retailgold.schemas import DIMENSIONS
 from retailgold.sources.files import REJECTED
 
 
+SUMMARY = "settlement_summary"
+
+
 def _log(path: str, feed: str) -> str:
     """Each feed has a log of its own, so that feeds are landed side by side."""
     return f"{path}/{feed}/{snapshots.LOG}"
@@ -36,21 +41,38 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
         by = ["settlement_month", "file_dt"]
         df = df.withColumn("settlement_day", settlement_date(F.col("store_transaction_date_time")))
         df = df.withColumn("settlement_month", F.date_format("settlement_day", "yyyyMM").cast("int"))
-    spark, run = df.sparkSession, snapshots.new_run()
-    snapshots.add_files(df, path, feed, by, run)
-    files = snapshots.files_of(spark, path, [feed], run, len(by))
-    # every day of a file that comes again is replaced, also days that it no longer has
-    again = {value_of(r["partition"], "file_dt") for r in files.select("partition").distinct().collect()} if feed == "settlement" else set()
 
-    def gone(_: str, partition: str) -> bool:
+    def gone(partition: str, again: set[str | None]) -> bool:
         if feed == "settlement":
             return value_of(partition, "file_dt") in again
         value = value_of(partition, "dt")
         return value.isdigit() and emptied(int(value))
 
-    done = snapshots.commit(spark, path, files, gone, [feed], _log(path, feed))
+    _land(df, path, feed, by, gone)
+    return read_archive(df.sparkSession, path, feed, df.schema)
+
+
+def _land(df: DataFrame, path: str, feed: str, by: list[str], gone: Callable[[str, set[str | None]], bool]) -> None:
+    """Make rows the archive's; ``gone(partition, file dates that come again)`` names partitions that go."""
+    spark, run = df.sparkSession, snapshots.new_run()
+    snapshots.add_files(df, path, feed, by, run)
+    files = snapshots.files_of(spark, path, [feed], run, len(by))
+    # every day of a file that comes again is replaced, also days that it no longer has
+    again = {value_of(r["partition"], "file_dt") for r in files.select("partition").distinct().collect()} if "file_dt" in by else set()
+    done = snapshots.commit(spark, path, files, lambda _, partition: gone(partition, again), [feed], _log(path, feed))
     snapshots.remove(spark, path, done.replaced)
-    return read_archive(spark, path, feed, df.schema)
+
+
+def archive_summary(settlement: DataFrame, path: str) -> DataFrame:
+    """Summarise new settlement files (raw, with ``file_dt``) for themselves, and give back the parts of all files.
+
+    A file that comes again replaces its own part, so no other file is read again; a run merges the parts of its days
+    (``gold.merged_summary``).
+    """
+    parts = gold.settlement_parts(type_settlement(settlement))
+    parts = parts.withColumn("settlement_month", F.date_format("settlement_day", "yyyyMM").cast("int"))
+    _land(parts, path, SUMMARY, ["settlement_month", "file_dt"], lambda partition, again: value_of(partition, "file_dt") in again)
+    return read_archive(settlement.sparkSession, path, SUMMARY, parts.schema)
 
 
 def read_archive(spark: SparkSession, path: str, feed: str, layout: T.StructType) -> DataFrame:
@@ -76,9 +98,9 @@ def read_rejects(spark: SparkSession, path: str, feeds: Iterable[str], keep: Cal
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "feed string, dt int, line string")
 
 
-def archived_settlement_files(spark: SparkSession, path: str) -> set[str]:
+def archived_settlement_files(spark: SparkSession, path: str, feed: str = "settlement") -> set[str]:
     """File dates that are archived."""
-    rows = snapshots.state(spark, _log(path, "settlement")).select("partition").distinct().collect()
+    rows = snapshots.state(spark, _log(path, feed)).select("partition").distinct().collect()
     return {value_of(r["partition"], "file_dt") for r in rows}
 
 

@@ -318,3 +318,28 @@ def test_contents_are_compared(spark, feed, tmp_path):
     text = "select * except (Name), 'other' as Name, dt as partition_col from pos_organization"
     with pytest.raises(GateFailure, match="rows of 1 dates are not those of staging"):
         go(spark, raw, tmp_path, tables=tables, contents=True, sql={"organization": text})
+
+
+def test_summaries_of_settlement_files_give_the_same_tenders(spark, feed, tmp_path):
+    raw, folder = good_feeds(feed), tmp_path / "settlement"
+    folder.mkdir()
+    for name in POS_FEEDS:
+        write_feed_files(raw[name], f"{tmp_path}/landing", name)
+
+    def deliver(day, *people):
+        lines = [",".join(paid(name=n, **more).values()) for n, more in people]
+        (folder / f"SETTLE_1_{day}.csv").write_text("\n".join([",".join(paid()), *lines]) + "\n")
+
+    def go_files(to, **more):
+        run_paths(
+            spark, f"{tmp_path}/landing", f"{folder}/SETTLE_*", f"{tmp_path}/archive{to}", f"{tmp_path}/{to}", dates=f"{D1}:{D2}", settlement_after="20200101",
+            audit_path=f"{tmp_path}/audit", brand="brand_a", schedule="daily", as_of="20200110", tables=("tenders",), **more,
+        )
+        return rows(read_gold(spark, f"{tmp_path}/{to}", "tenders"), "check_id", "customer_name")
+
+    deliver("20200102", ("Zoe", {}), ("Bob", {"when": "01/03/2020 11:00:00", "amount": "7"}))
+    assert go_files("summed", summarise=True) == [("1~55~07", "Zoe"), ("2~55~07", None), ("3~55~07", "Bob")]
+    deliver("20200103", ("Ann", {}))
+    parts = {p: os.path.getmtime(p) for p in glob.glob(f"{tmp_path}/archivesummed/settlement_summary/*/*/*.parquet")}
+    assert go_files("summed", summarise=True) == go_files("plain") == [("1~55~07", "Ann"), ("2~55~07", None), ("3~55~07", "Bob")]
+    assert parts and {p: os.path.getmtime(p) for p in parts} == parts  # the first file was not summarised again
