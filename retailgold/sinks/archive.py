@@ -15,12 +15,22 @@ from retailgold.functions import settlement_date
 from retailgold.operators import gold
 from retailgold.operators.typed import type_settlement
 from retailgold.schemas import DIMENSIONS
+from retailgold.session import file_system
 from retailgold.sources.files import REJECTED
 
 
 SUMMARY = "settlement_summary"
 
 
+_MARK = "_has_rejects"
+
+
+def _has_rejects(spark: SparkSession, path: str, feed: str) -> bool:
+    """Whether lines that were set aside may lie in the archive; others are read without that column."""
+    fs, mark = file_system(spark, f"{path}/{feed}/{_MARK}")
+    return fs.exists(mark)
+
+
 def _log(path: str, feed: str) -> str:
     """Each feed has a log of its own, so that feeds are landed side by side."""
     return f"{path}/{feed}/{snapshots.LOG}"
@@ -48,6 +58,9 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
         value = value_of(partition, "dt")
         return value.isdigit() and emptied(int(value))
 
+    if REJECTED in df.columns:
+        fs, mark = file_system(df.sparkSession, f"{path}/{feed}/{_MARK}")
+        fs.mkdirs(mark)
     _land(df, path, feed, by, gone)
     return read_archive(df.sparkSession, path, feed, df.schema)
 
@@ -81,6 +94,8 @@ def read_archive(spark: SparkSession, path: str, feed: str, layout: T.StructType
     good = T.StructType([f for f in layout if f.name != REJECTED])
     if not files:
         return spark.createDataFrame([], good)
+    if not _has_rejects(spark, path, feed):
+        return spark.read.schema(good).option("basePath", f"{path}/{feed}").parquet(*files)
     known = T.StructType([*good, T.StructField(REJECTED, T.StringType())])  # NULL where a file was landed without it
     rows = spark.read.schema(known).option("basePath", f"{path}/{feed}").parquet(*files)
     return rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
@@ -92,7 +107,7 @@ def read_rejects(spark: SparkSession, path: str, feeds: Iterable[str], keep: Cal
     for feed in feeds:
         date = "file_dt" if feed == "settlement" else "dt"
         files = snapshots.current_files(spark, path, feed, _log(path, feed), lambda p, f=feed: keep(f, p))
-        if files:
+        if files and _has_rejects(spark, path, feed):
             rows = spark.read.schema(f"{REJECTED} string, {date} int").option("basePath", f"{path}/{feed}").parquet(*files)
             parts.append(rows.where(F.col(REJECTED).isNotNull()).select(F.lit(feed).alias("feed"), F.col(date).alias("dt"), F.col(REJECTED).alias("line")))
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "feed string, dt int, line string")
