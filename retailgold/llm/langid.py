@@ -151,27 +151,39 @@ def document_frequencies(docs: DataFrame, text: str) -> np.ndarray:
     return out
 
 
+def labelled(known: DataFrame, sizes: dict[str, int], sample: int) -> DataFrame:
+    """(place, lang, text) of about ``sample`` rows, about equally many of each language, by place between 0 and 1.
+
+    ``known`` has key, text and lang.  The first ``sample`` by place are the sample; which they are follows from the keys alone.
+    The languages' sizes are rows of a join, so their number does not matter to the plan.
+    """
+    share = known.sparkSession.createDataFrame([(name, n * len(sizes) / sample) for name, n in sizes.items()], "lang string, per_row double")
+    place = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / (1 << 20) * F.col("per_row")
+    return known.join(share, "lang").select(place.alias("place"), "lang", "text").where("place < 1")
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """A model from the rows outside ``held_out`` with a language."""
-    known = docs.where(~held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull()).select(key, text, lang)
-    sizes = {r[lang]: r["n"] for r in known.groupBy(lang).agg(F.count("*").alias("n")).collect()}
+    known = docs.where(~held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
+    )
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros(SIZE), np.zeros((SIZE, 0)))
-    frequency = document_frequencies(known, text)
+    frequency = document_frequencies(known, "text")
     idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col(lang) == name, sample / len(sizes) / n).otherwise(share)
-    drawn = known.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < share * (1 << 20)).limit(2 * sample)
+    drawn = labelled(known, sizes, sample)
 
     def make():
-        def work(langs, texts):
-            kept = [(lang, f.astype(np.int32).tobytes(), c.astype(np.int32).tobytes()) for lang, (f, c) in zip(langs, features(texts)) if len(f)]
-            return [list(v) for v in zip(*kept)] if kept else [[], [], []]
+        def work(places, langs, texts):
+            rows = zip(places, langs, features(texts))
+            kept = [(at, lang, f.astype(np.int32).tobytes(), c.astype(np.int32).tobytes()) for at, lang, (f, c) in rows if len(f)]
+            return [list(v) for v in zip(*kept)] if kept else [[], [], [], []]
 
         return work
 
-    rows = by_batch(drawn.select(lang, text), make, "lang string, found binary, counts binary", text=1).collect()
+    found = by_batch(drawn, make, "place double, lang string, found binary, counts binary", text=2)
+    rows = found.orderBy("place", "lang", "found", "counts").limit(sample).collect()
     read = lambda b: np.frombuffer(b, np.int32).astype(np.int64)
     # in an order of their own, so that the fit does not depend on the order of the tasks
     rows = sorted(((r["lang"], bytes(r["found"]), bytes(r["counts"])) for r in rows))

@@ -100,11 +100,18 @@ def distances(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.sqrt(np.clip(gap, 0, 1)), 0.0)
 
 
+CELLS = 2_000_000  # text and language pairs, and their common bins, that are held at one time
+
+
 @dataclass
 class References:
+    """Shares by language; those of words by word, with the languages that have it, as most words are common in few."""
+
     classes: np.ndarray  # languages x 7 shares
     words: np.ndarray  # sorted hashes of all common words
-    shares: np.ndarray  # languages x (words + 1)
+    first: np.ndarray  # words + 2: where each word's entries start, the last word standing for all others
+    langs: np.ndarray  # language of each entry
+    shares: np.ndarray  # share of each entry
 
     def nearest(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Distance of classes and of words to the nearest reference; 0 where there is none."""
@@ -117,10 +124,33 @@ class References:
             hashes = words.hashes()
             at = np.minimum(np.searchsorted(self.words, hashes), bins - 2)
             bin_ = np.where(self.words[at] == hashes, at, bins - 1)
-        histogram = np.bincount(words.text * bins + bin_, minlength=n * bins).reshape(n, bins)
+        cells, counts = np.unique(words.text * bins + bin_, return_counts=True)
         classes = class_counts(Words(texts))
-        near = lambda rows, refs: np.min([distances(rows, r) for r in refs], axis=0)
-        return near(classes, self.classes), near(histogram, self.shares)
+        near = np.ones(n)
+        for r in self.classes:
+            near = np.minimum(near, distances(classes, r))
+        return near, self._words_near(n, cells // bins, cells % bins, counts)
+
+    def _words_near(self, n: int, whose: np.ndarray, bin_: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The divergence is 1 plus half of a term per bin that both sides have, so only those are looked at."""
+        total = np.bincount(whose, counts, n)
+        p = counts / total[whose]
+        size = self.first[bin_ + 1] - self.first[bin_]
+        languages = len(self.classes)
+        work = np.bincount(whose, size, n) + languages
+        part = ((np.cumsum(work) - work) // CELLS).astype(np.int64)
+        out = np.zeros(n)
+        for i in np.unique(part):
+            texts = np.flatnonzero(part == i)
+            mine = slice(*np.searchsorted(whose, [texts[0], texts[-1] + 1]))
+            many = size[mine]
+            entry = np.arange(many.sum()) + np.repeat(self.first[bin_[mine]] - np.cumsum(many) + many, many)
+            a, b = np.repeat(p[mine], many), self.shares[entry]
+            term = a * np.log2(a / (a + b)) + b * np.log2(b / (a + b))
+            cell = np.repeat(whose[mine] - texts[0], many) * languages + self.langs[entry]
+            gap = 1 + np.bincount(cell, term, len(texts) * languages).reshape(-1, languages) / 2
+            out[texts] = np.sqrt(np.clip(gap.min(1), 0, 1))
+        return np.where(total > 0, out, 0.0)
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
@@ -138,10 +168,12 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> Refer
             return keys, np.bincount(back, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
         for langs, texts in pieces(batches, 1):
-            for name in set(langs):
-                part = Words([t for t, x in zip(texts, langs) if x == name], lower=True)
-                words.setdefault(name, []).append(np.unique(part.hashes(), return_counts=True))
-                whole = class_counts(Words([t for t, x in zip(texts, langs) if x == name])).sum(0)
+            by_lang: dict[str, list[str | None]] = {}
+            for t, name in zip(texts, langs):
+                by_lang.setdefault(name, []).append(t)
+            for name, own in by_lang.items():
+                words.setdefault(name, []).append(np.unique(Words(own, lower=True).hashes(), return_counts=True))
+                whole = class_counts(Words(own)).sum(0)
                 classes[name] = classes.get(name, 0) + whole
                 if len(words[name]) > 40:
                     words[name] = [merged(words[name])]
@@ -158,23 +190,28 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> Refer
         .groupBy("lang", "word", "key").agg(F.sum("n").alias("n"))
     )
     counted = stored(counted, "quality-counts")
-    totals = {r["lang"]: r["n"] for r in counted.where("word").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    least = F.lit(None).cast("double")
-    for name, n in totals.items():
-        least = F.when(F.col("lang") == name, n * WORD_SHARE).otherwise(least)
-    common = counted.where("word").where(F.col("n") >= least).collect()  # at most 1 / WORD_SHARE per language
+    sums = counted.where("word").groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = {r["lang"]: r["total"] for r in sums.collect()}
+    # languages are rows of a join, not branches of an expression, so their number does not matter to the plan
+    common = counted.where("word").join(sums, "lang").where(F.col("n") >= F.col("total") * WORD_SHARE)
+    common = common.select("lang", "key", "n").collect()  # at most 1 / WORD_SHARE per language
     classes = counted.where("not word").collect()  # 7 per language
-    names = sorted(n for n, total in totals.items() if total)
-    keys = np.unique(np.array([r["key"] for r in common], np.int64).view(np.uint64))
-    share = np.zeros((len(names), len(keys) + 1))
-    for r in common:
-        share[names.index(r["lang"]), np.searchsorted(keys, np.int64(r["key"]).view(np.uint64))] = r["n"] / totals[r["lang"]]
-    share[:, -1] = 1 - share[:, :-1].sum(1)
+    names = {n: i for i, n in enumerate(sorted(n for n, total in totals.items() if total))}
+    found = np.array([r["key"] for r in common], np.int64).view(np.uint64)
+    keys, word = np.unique(found, return_inverse=True)
+    lang_of = np.array([names[r["lang"]] for r in common], np.int64)
+    share = np.array([r["n"] / totals[r["lang"]] for r in common])
+    rest = 1 - np.bincount(lang_of, share, len(names))
+    open_ = np.flatnonzero(rest > 0)
+    word, lang_of, share = np.append(word, np.full(len(open_), len(keys))), np.append(lang_of, open_), np.append(share, rest[open_])
+    order = np.lexsort((lang_of, word))
     kinds = np.zeros((len(names), 7))
     for r in classes:
         if r["lang"] in names:
-            kinds[names.index(r["lang"]), r["key"]] = r["n"]
-    return References(kinds / np.maximum(kinds.sum(1, keepdims=True), 1), keys, share)
+            kinds[names[r["lang"]], r["key"]] = r["n"]
+    return References(
+        kinds / np.maximum(kinds.sum(1, keepdims=True), 1), keys, np.searchsorted(word[order], np.arange(len(keys) + 2)), lang_of[order], share[order],
+    )
 
 
 def judge(docs: DataFrame, refs: References, key: str = "doc_id", text: str = "text") -> DataFrame:

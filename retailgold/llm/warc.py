@@ -16,21 +16,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import zlib
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailgold.llm.frames import arrow_schema, pieces, small_batches
-from retailgold.session import scratch_dir
+from retailgold.session import file_system, scratch_dir
 
 PIECE = 1 << 20
 ARCHIVE_BYTES = 64 << 20  # payload after which a task starts its next archive
+READ_BYTES = 8 << 20  # compressed bytes that are read together
 END = b"\r\n\r\n"
 
 
@@ -105,9 +106,24 @@ class Reader:
             self.need = 0
 
 
+# What pyarrow opens itself, by scheme; every other scheme goes through the Hadoop client that the cluster has for it.
+_OWN_SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: a path without one is in the cluster's default file system, as for Spark itself."""
+    fs, path = file_system(spark, folder)
+    return path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
 def _open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a folder that all executors share, and the path there; a bare path is a local one."""
-    return pyarrow.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{os.path.abspath(folder.removeprefix('file:'))}")
+    """The file system of a qualified folder, and the path there."""
+    uri = urlsplit(folder)
+    if uri.scheme in ("", "file"):
+        return pyarrow.fs.LocalFileSystem(), uri.path
+    if uri.scheme in _OWN_SCHEMES:
+        return pyarrow.fs.FileSystem.from_uri(folder.replace(uri.scheme, _OWN_SCHEMES[uri.scheme], 1))
+    return pyarrow.fs.HadoopFileSystem(f"{uri.scheme}://{uri.netloc}"), uri.path
 
 
 def _attempt() -> tuple[int, str]:
@@ -118,6 +134,7 @@ def _attempt() -> tuple[int, str]:
 def write_monolithic(records: DataFrame, folder: str) -> DataFrame:
     """Writes (key, url, payload, digest, refers_to) rows; one row per archive: file, records."""
     small_batches(records.sparkSession)
+    folder = shared_folder(records.sparkSession, folder)
     schema = arrow_schema("file string, records bigint")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,8 +171,13 @@ def write_monolithic(records: DataFrame, folder: str) -> DataFrame:
 def normalise(archives: DataFrame, folder: str, to: str) -> DataFrame:
     """Rewrites each archive named in column ``file``; rows of its index: file, offset, size, id.
 
-    The index also lies beside the archive, as lines of ``offset size id``.
+    The index also lies beside the archive, as lines of ``offset size id``.  Each archive is a task of its own: their number
+    is counted first, because names are too small for the sizes by which partitions are otherwise merged.
     """
+    spark = archives.sparkSession
+    folder, to = shared_folder(spark, folder), shared_folder(spark, to)
+    archives = archives.select("file")
+    archives = archives.repartitionByRange(max(1, archives.count()), "file")
     schema_text = "file string, offset bigint, size bigint, id string"
     schema = arrow_schema(schema_text)
 
@@ -187,7 +209,7 @@ def normalise(archives: DataFrame, folder: str, to: str) -> DataFrame:
                     pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string()),
                 ], schema=schema)
 
-    return archives.select("file").mapInArrow(rewrite, schema_text)
+    return archives.mapInArrow(rewrite, schema_text)
 
 
 def inflated(fs: pyarrow.fs.FileSystem, path: str) -> Iterator[bytes]:
@@ -211,6 +233,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """
     schema_text = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
     schema = arrow_schema(schema_text)
+    folder = shared_folder(index.sparkSession, folder)
 
     def number(urn: str | None):
         text = urn[len("<urn:page:") : -1] if urn else ""
@@ -236,9 +259,13 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 out.append((number(head["warc-record-id"]), length, said, head["warc-type"], number(head.get("warc-refers-to"))))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    # a run of neighbouring records is a unit of work, so that one large archive is read by many tasks
-    spread = F.floor(F.col("offset") / (8 << 20))
-    return index.select("file", "offset", "size").repartition("file", spread).sortWithinPartitions("file", "offset").mapInArrow(read, schema_text)
+    # A run of neighbouring records is a unit of work, so that one large archive is read by many tasks.  Their number follows from
+    # the bytes they stand for, as the index itself is small.
+    total = index.agg(F.sum("size").alias("n")).first()["n"] or 0
+    tasks = -(-total // READ_BYTES) + index.sparkSession.sparkContext.defaultParallelism
+    spread = F.floor(F.col("offset") / READ_BYTES)
+    units = index.select("file", "offset", "size").repartition(tasks, "file", spread)
+    return units.sortWithinPartitions("file", "offset").mapInArrow(read, schema_text)
 
 
 def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
@@ -248,6 +275,5 @@ def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     written = write_monolithic(deduplicated(pages, key, url, html, least), f"{folder}/raw")
     written.write.parquet(f"{folder}/written")
     archives = spark.read.parquet(f"{folder}/written")
-    # an archive is a unit of work of its own
-    normalise(archives.repartition("file"), f"{folder}/raw", f"{folder}/records").write.parquet(f"{folder}/index")
+    normalise(archives, f"{folder}/raw", f"{folder}/records").write.parquet(f"{folder}/index")
     return read_records(spark.read.parquet(f"{folder}/index"), f"{folder}/records")

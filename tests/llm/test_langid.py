@@ -70,3 +70,19 @@ def test_weights_are_sparse_and_temperature_is_fitted():
     loose = langid.fit(rows, np.ones(langid.SIZE), l1=0.0)
     assert np.count_nonzero(tight.weights) < np.count_nonzero(loose.weights)
     assert 0.05 <= loose.temperature <= 10
+
+
+def test_thousands_of_languages_and_the_bound_of_the_sample(spark):
+    rows = [(i, f"text {i}", f"l{i % 3_000:04d}") for i in range(6_000)]
+    known = spark.createDataFrame(rows, "key bigint, text string, lang string")
+    sizes = {f"l{i:04d}": 2 for i in range(3_000)}
+    got = langid.labelled(known, sizes, 2_000).collect()
+    assert 1_700 < len(got) < 2_300 and all(0 <= r["place"] < 1 for r in got)
+    assert sorted(got) == sorted(langid.labelled(known.repartition(7), sizes, 2_000).collect())
+
+
+def test_the_sample_is_no_larger_than_its_parameter(table, monkeypatch):
+    taken = []
+    monkeypatch.setattr(langid, "fit", lambda rows, idf: taken.append(len(rows)))
+    langid.train(table("documents"), sample=40)
+    assert 20 <= taken[0] <= 40

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import re
+import time
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -53,12 +57,12 @@ def test_short_texts_are_not_judged_by_distance(texts, refs):
 def test_references_over_all_documents(spark, texts):
     refs = quality.references(texts([(1, "the cat the dog"), (2, "the END"), (3, None)]))
     assert len(refs.words) == 4 and abs(refs.shares.sum() - 1) < 1e-12
-    assert max(refs.shares[0]) == 0.5 and abs(refs.classes.sum() - 1) < 1e-12
+    assert max(refs.shares) == 0.5 and abs(refs.classes.sum() - 1) < 1e-12
 
 
 def test_long_words_are_common_too(texts):
     refs = quality.references(texts([(1, "international the international обществознание"), (2, "обществознание INTERNATIONAL")]))
-    assert len(refs.words) == 3 and sorted(np.round(refs.shares[0] * 6)) == [0, 1, 2, 3]
+    assert len(refs.words) == 3 and sorted(np.round(refs.shares * 6)) == [0, 1, 2, 3]
     near = quality.judge(texts([(3, "international обществознание")]), refs).collect()[0]
     assert near["word_distance"] < 0.4
     assert not len(quality.references(texts([(1, ""), (2, None)])).classes)
@@ -76,3 +80,46 @@ def test_distance():
     same, other = np.array([[2, 2, 0]]), np.array([[0, 0, 5]])
     ref = np.array([0.5, 0.5, 0.0])
     assert quality.distances(same, ref)[0] == 0 and quality.distances(other, ref)[0] == 1
+
+
+def plain_distance(p, q):
+    return sum(x * np.log2(2 * x / (x + y)) for x, y in ((p.get(k, 0), q.get(k, 0)) for k in p.keys() | q.keys()) if x)
+
+
+def test_distances_and_verdicts_against_plain_histograms(table, refs):
+    """Histograms as dicts over whole texts, every language compared, by the definition of the distance."""
+    docs = table("documents").collect()
+    words = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]
+    by_lang = {}
+    for r in docs:
+        if r["lang"] is not None:
+            by_lang.setdefault(r["lang"], Counter()).update(words(r["text"]))
+    reference = {}
+    for lang, counts in by_lang.items():
+        total = sum(counts.values())
+        kept = {w: n / total for w, n in counts.items() if n >= total * quality.WORD_SHARE}
+        reference[lang] = kept | {"": 1 - sum(kept.values())}
+    every = set().union(*reference.values())
+    got = {r["doc_id"]: r for r in quality.judge(table("documents"), refs).collect()}
+    for r in docs:
+        counts = Counter(w if w in every else "" for w in words(r["text"]))
+        total = sum(counts.values())
+        want = 0.0
+        if total:
+            p = {w: n / total for w, n in counts.items()}
+            want = min((max(0.0, plain_distance(p, q) + plain_distance(q, p)) / 2) ** 0.5 for q in reference.values())
+        row = got[r["doc_id"]]
+        assert abs(row["word_distance"] - want) < 1e-6
+        far = (len(r["text"] or "") >= quality.LEAST_CHARS and row["class_distance"] > quality.FAR_CLASSES) or (
+            row["n_words"] >= quality.LEAST_WORDS and want > quality.FAR_WORDS)
+        assert row["kept"] == (not row["base_failed"] and not far)
+
+
+def test_thousands_of_languages(spark):
+    rows = [(i, f"word{i} and more of word{i % 50}", f"l{i:04d}") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    refs = quality.references(docs)
+    assert len(refs.classes) == 3_000 and len(refs.shares) < 20_000
+    began = time.time()
+    classes, words = refs.nearest([t for _, t, _ in rows] + [None, "nothing known here"])
+    assert time.time() - began < 60 and max(words[:3_000]) < 1e-6 and words[3_000] == 0 and words[3_001] > 0.9

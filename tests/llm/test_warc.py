@@ -85,3 +85,29 @@ def test_reader_takes_any_pieces():
 def test_sql_digest_is_base32(spark):
     row = spark.range(1).select(warc.digest(F.lit("hello").cast("binary")).alias("d")).first()
     assert row["d"] == warc.sha1_base32(b"hello")
+
+
+def test_an_archive_is_a_task(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", "text") for i in range(60)]
+    raw = f"{tmp_path}/raw"
+    files = warc.write_monolithic(warc.deduplicated(frame(spark, rows)).repartition(30), raw).collect()
+    index = warc.normalise(spark.createDataFrame(files), raw, f"{tmp_path}/norm")
+    assert index.rdd.getNumPartitions() == len(files) > 20
+    assert index.select("file").distinct().count() == len(files)
+
+
+def test_folders_on_any_file_system(spark, monkeypatch):
+    assert warc.shared_folder(spark, "/a/b") == "file:/a/b" and warc.shared_folder(spark, "file:///a/b") == "file:/a/b"
+    assert warc._open_folder("file:/a/b")[1] == warc._open_folder("/a/b")[1] == "/a/b"
+    asked = []
+    monkeypatch.setattr(warc.pyarrow.fs, "HadoopFileSystem", lambda host: asked.append(host) or host)
+    assert warc._open_folder("wasbs://box@host/a/b") == ("wasbs://box@host", "/a/b")
+    assert warc._open_folder("dbfs:/a") == ("dbfs://", "/a") and len(asked) == 2
+
+    class Known:
+        @staticmethod
+        def from_uri(uri):
+            return uri, "x"
+
+    monkeypatch.setattr(warc.pyarrow.fs, "FileSystem", Known)
+    assert warc._open_folder("s3a://bucket/a")[0] == "s3://bucket/a"
