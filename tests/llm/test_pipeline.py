@@ -114,5 +114,16 @@ def test_odd_rows_in_every_stage(spark, table, texts):
         if name in ("mix", "tokens"):
             assert len(ids) == docs.count()
         if name == "near_duplicates":
-            assert ids.count(7) == 1 and ids.count(None) == 2 and {1, 2, 3} <= set(ids)
+            assert ids.count(7) == 1 and ids.count(None) == 1 and {1, 2, 3} <= set(ids)
         assert stage(spark, docs.where("false"), SF).count() == 0
+
+
+def test_rows_of_one_id_are_decided_on_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    data = [(1, a), (2, a + " tail"), (2, b), (None, b), (None, c), (None, c + " end"), (3, None), (3, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1, "x") for k, t in data], ", ".join(COLUMNS_TYPED) + ", _row string")
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert got.columns == docs.columns
+    rows = Counter((r["doc_id"], r["text"]) for r in got.collect())
+    lone = [k for k in rows if k in ((None, c), (None, c + " end"))]
+    assert len(lone) == 1 and rows == Counter([(1, a), (2, b), *lone, (3, None), (3, None), (None, "")])
