@@ -428,6 +428,7 @@ ORACLES = {
         "select event_id, 'feed_' || feed || '_' || day || '.psv.gz' as name, feed from keys where day = '20240115'",
     "stream_arrivals": "select key, size, brand, schedule, place, feed, dt from keys where relevant",
     "stream_ready_dates": "select brand, schedule, dt from complete where missing = '' and has_settlement",
+    "stream_overdue_dates": "select brand, schedule, dt, missing, has_settlement from complete where missing <> '' or not has_settlement",
     "stream_ready_late_settlement": "select brand, schedule, dt from complete where missing = '' and has_settlement",
     "stream_gold_rejects_date": """select dt, count(*) as "rows", false as rejected from g_full_item
         where dt // 100 % 100 <> 7 and dt <> 19960301 group by dt

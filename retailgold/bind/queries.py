@@ -26,7 +26,7 @@ from retailgold.sinks import (
 from retailgold.snapshots import new_run
 from retailgold.sources import create_external_table, list_files, read_feed, read_gold, read_settlement, run_sql, sync_partitions
 from retailgold.streaming import (
-    read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_gold,
+    read_date_states, read_notifications, read_ready, read_rejected, stream_arrivals, stream_completeness, stream_date_states, stream_gold,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1023,6 +1023,21 @@ def stream_ready_late_settlement(spark, sf):
     return read_ready(spark, f"{base}/ready").select("brand", "schedule", "dt").distinct()
 
 
+@query
+def stream_overdue_dates(spark, sf):
+    """Dates that stayed incomplete, from keyed state and timers: a notification of a later time ends their patience."""
+    base = scratch_dir(spark, "stream")
+    every = star.notifications(spark, sf).union(_settled(spark, star.settlement_dates(spark, sf)))
+    later = star.settlement_notifications(spark.range(1).select(F.lit(21000101).alias("dt")), "2100-01-01 00:00:00")
+    for notices in (every, later):
+        notices.write.mode("append").text(f"{base}/in")
+        # the notifications' times are in no order, so event time has to run far behind
+        source = read_notifications(spark, f"{base}/in")
+        stream_date_states(source, f"{base}/out", f"{base}/checkpoint", delay="3650 days").awaitTermination()
+    found = read_date_states(spark, f"{base}/out")
+    return found.filter(F.col("state") == "overdue").select("brand", "schedule", "dt", "missing", "has_settlement")
+
+
 def _stream_months(
     spark: SparkSession, sf: str, base: str, feeds: dict[str, DataFrame], tables: tuple[str, ...] = ("transaction_item",),
 ) -> None:

@@ -270,10 +270,10 @@ def settlement_dates(spark: SparkSession, sf: str) -> DataFrame:
     return day.select(F.date_format("ts", "yyyyMMdd").cast("int").alias("dt")).distinct()
 
 
-def settlement_notifications(dates: DataFrame) -> DataFrame:
+def settlement_notifications(dates: DataFrame, time: str = "2024-01-01 00:00:00") -> DataFrame:
     """One announced settlement file per day."""
     return _as_json(dates.select(
-        F.lit("2024-01-01 00:00:00").alias("event_time"), F.concat(F.lit("settlement/SETTLE_"), "dt", F.lit(".csv")).alias("key"),
+        F.lit(time).alias("event_time"), F.concat(F.lit("settlement/SETTLE_"), "dt", F.lit(".csv")).alias("key"),
         F.lit(1).cast("long").alias("size"),
     ))
 

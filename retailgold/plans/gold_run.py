@@ -90,18 +90,24 @@ def stage_feeds(
 def _prune_settlement(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Keep the settlement of the tenders' days; no other day can match.
 
-    The days are calendar days; their months pick partitions of the archive before any file is opened.
+    The days are calendar days, so they are few and broadcast; their months pick the archive's partitions while the query
+    runs, before any file is opened, the first and last of them its row groups, and nothing of them comes to the driver.
     """
-    days = [r["day"] for r in feeds["tenders"].select(F.col("transactiondate").alias("day")).distinct().collect() if r["day"]]
+    days = feeds["tenders"].select(F.col("transactiondate").alias("_day")).distinct()
+    # the comparison says to the optimizer that the months are worth pruning partitions by
+    days = days.select("_day", (F.year("_day") * 100 + F.month("_day")).alias("_month")).filter("_month >= 101")
+    # two subqueries that are not merged into one of two fields: only a whole value is pushed into the scan
+    first, last = (days.select("_day").orderBy(order("_day")).limit(1).scalar() for order in (F.asc, F.desc))
     out = dict(feeds)
     for name in ("settlement", "settlement_summary"):
         if name not in feeds:
             continue
         rows = feeds[name]
         day = F.col("settlement_day") if "settlement_day" in rows.columns else settlement_date(F.col("store_transaction_date_time"))
-        out[name] = rows.filter(day.isin(days) if days else F.lit(False))
-        if days and "settlement_month" in rows.columns:
-            out[name] = out[name].filter(F.col("settlement_month").isin(sorted({d.year * 100 + d.month for d in days})))
+        same = F.col("_day") == day
+        if "settlement_month" in rows.columns:
+            same = same & (F.col("settlement_month") == F.col("_month"))
+        out[name] = rows.filter((day >= first) & (day <= last)).join(F.broadcast(days), same, "left_semi")
     return out
 
 

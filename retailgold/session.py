@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +40,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_keyed_state(spark: SparkSession) -> None:
+    """The state store that keyed state with timers needs; it keeps the state of large streams outside the heap."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+
+
+def share_package(spark: SparkSession) -> None:
+    """Python workers on the driver's machine find this package where the driver has it; a cluster gets it with ``--py-files``."""
+    root, paths = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), root]))
+
+
 def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
     """A new folder below ``root``, or else below the shared one the cluster names in ``spark.checkpoint.dir``.
 

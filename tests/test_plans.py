@@ -7,7 +7,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-from shop import D1, good_feeds
+from shop import D1, good_feeds, paid
 
 from retailgold.bind import star
 from retailgold.operators import arrivals, gold, quality
@@ -80,9 +80,9 @@ def test_dates_prune_partitions_through_the_joins(spark, staged):
 
 def test_settlement_days_pick_partitions(spark, staged):
     text = explain(gold.settlement_summary(_prune_settlement(staged)["settlement"]))
-    assert "settlement_month" in re.search(r"PartitionFilters: \[(.*)\]", text)[1] and "202001" in text
-    pushed = re.search(r"PushedFilters: \[(.*)\]", text)[1]
-    assert "settlement_day" in pushed and "2020-01-02" in pushed and "2020-01-03" in pushed
+    found = re.search(r"PartitionFilters: \[(.*)\]", text)[1]
+    assert "settlement_month" in found and "dynamicpruning" in found
+    assert re.search(r"DataFilters: .*settlement_day#\d+ >= .*[Ss]ubquery", plan(_prune_settlement(staged)["settlement"]))
 
 
 def test_settlement_is_combined_before_its_shuffle(spark, staged):
@@ -113,3 +113,40 @@ def test_arrivals_are_flags_in_generated_code(spark):
 def test_binding_reads_its_tables_whole(spark):
     text = plan(gold.line_item(star.feeds(spark, SF, "transactions", "transaction_item")))
     assert "GlobalLimit" not in text and "LocalLimit" not in text
+
+
+def test_settlement_of_other_days_is_not_read(spark, feed, tmp_path):
+    """The days of the tenders are found while the query runs: no job before it, other months' files and other days' row groups stay unread."""
+    raw = good_feeds(feed)
+    other = [("06/03/2021 11:00:00", 20210603), ("01/20/2020 11:00:00", 20200120)]
+    raw["settlement"] = raw["settlement"].withColumn("file_dt", F.lit(D1))
+    for when, file_dt in other:
+        raw["settlement"] = raw["settlement"].unionByName(feed("settlement", [paid(when=when)]).withColumn("file_dt", F.lit(file_dt)))
+    staged = type_feeds(stage_feeds(raw, f"{tmp_path}/archive"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pruning", "")
+    try:
+        kept = _prune_settlement(staged)["settlement"]
+        assert not tracker.getJobIdsForGroup("pruning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "dynamicpruning" in explain(kept)
+    # what came out of the scan of the archive, by its metrics
+    run = kept._jdf.queryExecution()
+    assert len(run.executedPlan().executeCollect()) == 2
+    scans = [leaf for leaf in _leaves(run.executedPlan()) if "settlement_day" in leaf.toString() and "FileScan" in leaf.toString()]
+    assert [scan.metrics().apply("numOutputRows").value() for scan in scans] == [2]
+    assert [scan.metrics().apply("numPartitions").value() for scan in scans] == [2]
+    text = plan(gold.tenders({**staged, "settlement": kept}))
+    for bad in ("Cartesian", "NestedLoop", "SinglePartition"):
+        assert bad not in text
+
+
+def _leaves(node):
+    """The leaves of a plan that has run, those of its adaptive stages too."""
+    if hasattr(node, "executedPlan") and "AdaptiveSparkPlan" in node.nodeName():
+        return _leaves(node.executedPlan())
+    if "QueryStage" in node.nodeName():
+        return _leaves(node.plan())
+    children = node.children()
+    return [x for i in range(children.size()) for x in _leaves(children.apply(i))] or [node]
