@@ -188,6 +188,7 @@ COUNTED = ("prefix", "suffix", "seed")
 def scan(shard: DataFrame, words_too: bool, now: np.ndarray | None, ago: np.ndarray | None, pairs: np.ndarray) -> DataFrame:
     """(phrase, n, prefix, suffix, seed): how often a shard has each phrase that is being counted: those that ``now`` admits and ``ago`` did not.
 
+    A phrase was admitted only if its parts were, all the way down: a bit of ``ago`` that another phrase set is not enough.
     ``prefix`` and ``suffix`` are the phrases of one word less that it begins and ends with (0: it is a word).
     """
     small_batches(shard.sparkSession)
@@ -207,17 +208,18 @@ def scan(shard: DataFrame, words_too: bool, now: np.ndarray | None, ago: np.ndar
             if words_too:
                 found.append((codes[word], np.zeros(int(word.sum()), np.uint64), np.zeros(int(word.sum()), np.uint64), seeds[word]))
             if now is not None:
-                phrases, ok = codes, word
+                phrases, ok, was_ok = codes, word, word
                 for length in range(2, LONGEST + 1):
-                    inside, before = has(now, phrases) & ok, has(ago, phrases)
+                    inside, before = has(now, phrases) & ok, has(ago, phrases) & was_ok
                     n = max(0, len(codes) - length + 1)
-                    admitted = inside[:n] & inside[1 : n + 1]
+                    admitted, was = inside[:n] & inside[1 : n + 1], before[:n] & before[1 : n + 1]
                     shorter, phrases = phrases, longer(phrases, codes, length)
                     if length == 2:
-                        admitted &= has(pairs, phrases)
-                    at = np.flatnonzero(admitted & ~(before[:n] & before[1 : n + 1]))
+                        paired = has(pairs, phrases)
+                        admitted, was = admitted & paired, was & paired
+                    at = np.flatnonzero(admitted & ~was)
                     found.append((phrases[at], shorter[at], shorter[at + 1], seeds[at]))
-                    ok = admitted
+                    ok, was_ok = admitted, was
             held += len(codes)
             if held >= FLUSH:
                 yield _counted(found, schema)

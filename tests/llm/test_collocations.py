@@ -69,6 +69,15 @@ def test_full_bitmaps_change_nothing(spark, table, monkeypatch):
     assert mined(docs, least=4) == want
 
 
+def test_bits_of_other_phrases_lose_no_shard(spark, table, monkeypatch):
+    """A bit that another phrase set earlier than the phrase's parts were admitted does not end its cycle early."""
+    docs = table("documents").select("text", "lang").limit(60)
+    want = phrases([tuple(r) for r in docs.collect()], 4)
+    real, noise = collocations.marked, np.random.default_rng(3).integers(0, 256, collocations.BITS // 8).astype(np.uint8)
+    monkeypatch.setattr(collocations, "marked", lambda counts, least: real(counts, least) | noise)
+    assert mined(docs, least=4) == want
+
+
 def test_pieces_and_letters(spark):
     rows = [("One TWO\tthree; Ärger Ä\x0bone two\rone  two:one two", "de"), ("one two three", "de")]
     docs = spark.createDataFrame(rows, "text string, lang string")
