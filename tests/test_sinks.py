@@ -15,6 +15,7 @@ from retailgold.sinks import (
     archive_feed, carry_over_dimensions, gold_manifest, publish, published_files, read_audit, store, write_audit,
     write_gold,
 )
+from retailgold.sinks.gold_files import date_sizes, in_parts
 from retailgold.sources import read_gold
 
 
@@ -69,6 +70,18 @@ def test_large_date_is_split_and_whole(spark, built, tmp_path):
     assert names[D1] == [f"transactions_20200101_20200102_daily_p{i:04d}.psv.gz" for i in range(1, 10)]
 
 
+def test_small_files_share_a_task(spark, built, tmp_path):
+    """As many tasks as the rows need, however many files they become, also when these are read."""
+    copies = built.select("*", F.explode(F.array_repeat(F.lit(1), 40)).alias("n")).drop("n")
+    stored = store(copies, str(tmp_path / "built"))
+    sizes = date_sizes(stored)
+    assert in_parts(stored, 10, sizes, 1_000).rdd.getNumPartitions() == len(sizes) == 2
+    write_gold(stored, str(tmp_path), "transactions", rows_per_file=10)
+    names = [f.rsplit("/", 1)[-1] for f in files(tmp_path, D1)]
+    assert len(names) == sizes[D1] // 10 and len({n.split("-")[2] for n in names}) == 1
+    assert rows(read_gold(spark, str(tmp_path), "transactions"), *stored.columns) == rows(stored)
+
+
 def test_emptied_dates_go(spark, built, tmp_path):
     publish(built, str(tmp_path), "transactions")
     only = store(built.filter(F.col("dt") == D1), str(tmp_path / "again"))
