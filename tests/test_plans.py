@@ -115,6 +115,13 @@ def test_binding_reads_its_tables_whole(spark):
     assert "GlobalLimit" not in text and "LocalLimit" not in text
 
 
+@needs_tables
+def test_lines_are_shuffled_once(spark, conf):
+    """The window that numbers copies and the join to the orders share the lines' shuffle; the orders have the other one."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert plan(star.transaction_item(spark, SF)).count("Exchange hashpartitioning") == 2
+
+
 def test_settlement_of_other_days_is_not_read(spark, feed, tmp_path):
     """The days of the tenders are found while the query runs: no job before it, other months' files and other days' row groups stay unread."""
     raw = good_feeds(feed)
