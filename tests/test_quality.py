@@ -115,6 +115,17 @@ def test_contents_by_date(spark):
     assert rows(quality.contents_by_date(other, staging), "dt", "same") == [(1, True), (2, True), (3, False)]
 
 
+def test_differing_rows_shuffles_few_rows(spark):
+    """Of a date that differs only the groups of rows that do are compared, NULL dates and repeated rows too."""
+    staging = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 1).alias("dt"), (F.col("id") % 5_000).alias("id"), F.lit("x").alias("v"))
+    made = staging.where("id <> 77").unionByName(staging.where("id = 8"))
+    found = quality.differing_rows(made, staging, ["id"])
+    assert rows(found) == [(None, 77, 0, 4), (1, 8, 8, 4)]
+    groups = quality._differing_groups(made, staging, ["dt", "id", "v"]).collect()
+    assert sorted(len(r["_groups"]) for r in groups) == [1, 1]
+    assert "array_contains" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_failing_dates(spark):
     measured = spark.createDataFrame([
         ("transactions", 1, 3, 3, 0, 0, 0), ("transactions", 2, 3, 2, 0, 0, 0), ("transactions", 3, 2, 2, 1, 0, 0), ("tenders", 1, 3, 4, 0, 0, 0),
