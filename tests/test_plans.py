@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from shop import D1, good_feeds, paid
 
-from retailgold.bind import star
+from retailgold.bind import queries, star
 from retailgold.operators import arrivals, gold, quality
 from retailgold.operators.typed import type_feeds
 from retailgold.plans import stage_feeds
@@ -122,6 +122,33 @@ def test_lines_are_shuffled_once(spark, conf):
     assert plan(star.transaction_item(spark, SF)).count("Exchange hashpartitioning") == 2
 
 
+@needs_tables
+def test_feeds_of_lines_share_stored_lines(spark, conf):
+    """Feeds that are made of the order lines, or read again, deal, number and join these once."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    made = star.raw_feeds(spark, SF, "transaction_item", "trans_disc_xref")
+    assert all("Exchange" not in plan(df) and "Window" not in plan(df) for df in made.values())
+    again = star.raw_feeds(spark, SF, "transaction_item", again=True)["transaction_item"]
+    assert "Exchange" not in plan(again)
+    assert again.exceptAll(star.transaction_item(spark, SF)).isEmpty() and star.transaction_item(spark, SF).exceptAll(again).isEmpty()
+
+
+@needs_tables
+def test_joins_sort_by_the_key_that_tells_rows_apart(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    feeds = star.feeds(spark, SF, "transactions", "transaction_item")
+    assert re.search(r"SortMergeJoin \[sourcetransactionnumber", plan(gold.line_item(feeds)))
+    feeds = star.feeds(spark, SF, "transaction_item", "trans_disc_xref")
+    assert re.search(r"SortMergeJoin \[SourceTransactionItemNumber", plan(gold.xref_items(feeds)))
+
+
+@needs_tables
+def test_metrics_build_tenders_once(spark):
+    """Rows and names of the tenders are counted from stored rows; neither reads the settlement again."""
+    text = explain(queries._all_metrics(spark, SF))
+    assert "c_name" not in text and "customer_name" in text
+
+
 def test_settlement_of_other_days_is_not_read(spark, feed, tmp_path):
     """The days of the tenders are found while the query runs: no job before it, other months' files and other days' row groups stay unread."""
     raw = good_feeds(feed)
