@@ -8,6 +8,7 @@ that it does not hold is merged exactly, so the lexicon's size never changes a r
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -17,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -32,6 +34,8 @@ MEMO_CHUNKS = 300_000
 COUNT_CHUNKS = 500_000
 SHORT = 40
 NEVER = 1 << 62
+NO_RANK = 1 << 40
+TOGETHER = 16
 
 
 def byte_letters() -> dict[int, str]:
@@ -64,6 +68,11 @@ class WordBpe:
         letters = byte_letters()
         self.inner = [self.vocab[letters[b]] for b in range(256)]
         self.outer = [self.vocab[letters[b] + self.suffix] for b in range(256)]
+        self.digits = {i: str(i) for i in self.tokens}
+        # the same for many words at once; pairs in order, and one that is none
+        self.pairs = np.array(sorted(self.ranks) + [NEVER], np.int64)
+        self.pair_ranks = np.array([self.ranks.get(p, NO_RANK) for p in self.pairs.tolist()], np.int64)
+        self.inner_of, self.outer_of, self.made_of = (np.array(x, np.int64) for x in (self.inner, self.outer, self.made))
 
     def chunks(self, text: str) -> list[str]:
         """A text cut at white space, which no word, merge or composed letter reaches over."""
@@ -71,8 +80,11 @@ class WordBpe:
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk in order; a special token is a piece of its own."""
-        if self.letters_whole and chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
+        if chunk.isascii():
+            if self.letters_whole and chunk.isalpha():
+                return [chunk.lower()]
+            if "<|" not in chunk and chunk not in self.special:
+                return self.words.findall(chunk.lower())
         out: list[str] = []
         for part in self.cut.split(chunk) if self.cut and "<|" in chunk else (chunk,):
             if part in self.special:
@@ -122,6 +134,57 @@ class WordBpe:
                 ways[i] = rank_of(new << 32 | ids[i + 1], NEVER)
         return ids
 
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of each word; short words of one length take a step together, each row its own merge of lowest rank."""
+        out: list[list[int]] = [[]] * len(words)
+        by: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by.setdefault(len(w), []).append(i)
+        for size, which in by.items():
+            if size < 2 or size > SHORT or len(which) < TOGETHER:
+                for i in which:
+                    out[i] = self.merge(words[i])
+                continue
+            flat = np.frombuffer(b"".join([words[i] for i in which]), np.uint8).reshape(len(which), size)
+            ids = self.inner_of[flat]
+            ids[:, -1] = self.outer_of[flat[:, -1]]
+            for i, row in zip(which, self._merge_rows(ids)):
+                out[i] = row
+        return out
+
+    def _merge_rows(self, ids: np.ndarray) -> Iterator[list[int]]:
+        """Rows of ids, each of one word, merged to its end."""
+        rows, size = ids.shape
+        left, width = np.full(rows, size), np.arange(size)
+        ranks = self._ranks_of(ids[:, :-1], ids[:, 1:])
+        live = np.arange(rows)
+        while len(live):
+            at = ranks[live].argmin(1)  # the leftmost of the lowest
+            best = ranks[live, at]
+            more = best < NO_RANK
+            live, at, best = live[more], at[more], best[more]
+            if not len(live):
+                break
+            # what lies behind the pair moves up
+            moved = np.minimum(width[None, :] + (width[None, :] > at[:, None]), size - 1)
+            ids[live] = np.take_along_axis(ids[live], moved, 1)
+            ids[live, at] = self.made_of[best]
+            left[live] -= 1
+            shifted = np.take_along_axis(ranks[live], np.minimum(moved[:, :-1], size - 2), 1)
+            shifted[width[None, :-1] >= (left[live] - 1)[:, None]] = NO_RANK
+            n = np.arange(len(live))
+            for side in (at - 1, at):
+                ok = (side >= 0) & (side + 1 < left[live])
+                shifted[n[ok], side[ok]] = self._ranks_of(ids[live[ok], side[ok]], ids[live[ok], side[ok] + 1])
+            ranks[live] = shifted
+        return (row[:n] for row, n in zip(ids.tolist(), left.tolist()))
+
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids, ``NO_RANK`` where they do not merge."""
+        pairs = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], NO_RANK)
+
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder: tokens joined by one space."""
         return " ".join([self.tokens[i] for i in ids])
@@ -132,46 +195,61 @@ class Encoder:
 
     def __init__(self, bpe: WordBpe, block: bytes):
         self.bpe, self.lexicon = bpe, Lexicon(block)
-        self.known: dict[str, tuple[str, str]] = {}  # ids and tokens of a chunk, each joined by spaces
-
-    def learn(self, chunks: set[str]) -> dict[str, tuple[str, str]]:
-        """Put ids and tokens of each chunk into ``known``; gives those that are to be taken out again.  A chunk holds a word at least."""
-        known, bpe = self.known, self.bpe
-        new = {c: bpe.pieces(c) for c in chunks if c not in known}
-        words = list({w for cut in new.values() for w in cut})
+        # ids and tokens of each chunk, joined by spaces
+        self.known: dict[str, str] = {}
+        self.tokens: dict[str, str] = {}
+
+    def learn(self, chunks: set[str]) -> set[str]:
+        """Put ids and tokens of each chunk into memory; gives those that are to be taken out again.  A chunk holds a word at least."""
+        bpe, pieces = self.bpe, self.bpe.pieces
+        new = chunks - self.known.keys()
+        cuts = {c: pieces(c) for c in new}
+        words = list(set(chain.from_iterable(cuts.values())))
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        word = {}
-        for w, r, ids in zip(words, raw, self.lexicon.find(raw)):
-            ids = [bpe.special[w]] if w in bpe.special else bpe.merge(r) if ids is None else ids
-            word[w] = " ".join(map(str, ids)), bpe.decode(ids)
-        fresh = {
-            c: word[cut[0]] if len(cut) == 1 else (" ".join([word[w][0] for w in cut]), " ".join([word[w][1] for w in cut]))
-            for c, cut in new.items()
-        }
-        full = len(known) >= MEMO_CHUNKS
-        known.update(fresh)
-        return fresh if full else {}
-
-    def _read(self, texts: list[str | None]) -> list[list[tuple[str, str]]]:
-        """Ids and tokens of each text's chunks."""
-        cut = [self.bpe.chunks(t) if t else [] for t in texts]
-        passing = self.learn(set(chain.from_iterable(cut)))
-        read = [list(map(self.known.__getitem__, chunks)) for chunks in cut]
+        found = self.lexicon.find(raw)
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(unknown, bpe.merge_all([raw[i] for i in unknown])):
+            found[i] = [bpe.special[words[i]]] if words[i] in bpe.special else ids
+        digit, token = bpe.digits.__getitem__, bpe.tokens.__getitem__
+        said = {w: " ".join(map(digit, ids)) for w, ids in zip(words, found)}
+        back = {w: " ".join(map(token, ids)) for w, ids in zip(words, found)}
+        full = len(self.known) >= MEMO_CHUNKS
+        known, tokens = self.known, self.tokens
+        for c, cut in cuts.items():
+            if len(cut) == 1:
+                known[c], tokens[c] = said[cut[0]], back[cut[0]]
+            else:
+                known[c], tokens[c] = " ".join([said[w] for w in cut]), " ".join([back[w] for w in cut])
+        return new if full else set()
+
+    def _read(self, texts: list[str | None]) -> Iterator[list[str]]:
+        """Each text's chunks, while what they stand for is in memory."""
+        collecting = gc.isenabled()
+        gc.disable()  # hundreds of thousands of small lists, none of them in a cycle
+        try:
+            cut = [self.bpe.chunks(t) if t else [] for t in texts]
+            passing = self.learn(set(chain.from_iterable(cut)))
+        finally:
+            if collecting:
+                gc.enable()
+        yield from cut
         for chunk in passing:
-            del self.known[chunk]
-        return read
+            del self.known[chunk], self.tokens[chunk]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text; null counts as empty."""
-        return [[int(i) for ids, _ in chunks for i in ids.split(" ")] for chunks in self._read(texts)]
+        return [[int(i) for c in chunks for i in self.known[c].split(" ")] for chunks in self._read(texts)]
 
     def digests(self, texts: list[str | None]) -> tuple[list[int], list[str], list[str]]:
         """Per text: tokens, SHA-256 of its ids joined by spaces, SHA-256 of the decoded text."""
-        read = self._read(texts)
-        said = [" ".join([ids for ids, _ in chunks]) for chunks in read]
-        back = [" ".join([tokens for _, tokens in chunks]) for chunks in read]
-        sha = lambda t: hashlib.sha256(t.encode("utf-8")).hexdigest()
-        return [s.count(" ") + 1 if s else 0 for s in said], list(map(sha, said)), list(map(sha, back))
+        ids, tokens, sha = self.known.__getitem__, self.tokens.__getitem__, lambda t: hashlib.sha256(t.encode("utf-8")).hexdigest()
+        n, said, back = [], [], []
+        for chunks in self._read(texts):
+            text = " ".join(map(ids, chunks))
+            n.append(text.count(" ") + 1 if text else 0)
+            said.append(sha(text))
+            back.append(sha(" ".join(map(tokens, chunks))))
+        return n, said, back
 
 
 def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:

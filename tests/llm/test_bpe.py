@@ -43,6 +43,13 @@ def test_memory_of_chunks_is_bounded(library, monkeypatch):
     assert len(encoder.known) <= 3 + 4
 
 
+def test_words_merged_together_are_merged_alike():
+    rules, draw = bpe.WordBpe(PATH), random.Random(9)
+    words = ["".join(draw.choices("abcdehinorstu\xe9\u0111!0", k=draw.randint(1, 60))).encode() for _ in range(5_000)] + [b"a" * 40, b"aaaa"] * 20
+    assert rules.merge_all(words) == [rules.merge(w) for w in words]
+    assert rules.merge_all([]) == [] and rules.merge_all([b"x"]) == [rules.merge(b"x")]
+
+
 def test_query_rows(texts, table, library):
     docs = texts(ODD).unionByName(table("documents").limit(40).selectExpr("doc_id + 1000 as doc_id", "text"), allowMissingColumns=True)
     rows = bpe.encode_digests(docs, PATH, most=500).collect()
