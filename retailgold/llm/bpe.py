@@ -13,9 +13,11 @@ import hashlib
 import heapq
 import json
 import math
+import os
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -69,6 +71,7 @@ class WordBpe:
         self.inner = [self.vocab[letters[b]] for b in range(256)]
         self.outer = [self.vocab[letters[b] + self.suffix] for b in range(256)]
         self.digits = {i: str(i) for i in self.tokens}
+        self.token_of = {self.digits[i]: t for i, t in self.tokens.items()}
         # the same for many words at once; pairs in order, and one that is none
         self.pairs = np.array(sorted(self.ranks) + [NEVER], np.int64)
         self.pair_ranks = np.array([self.ranks.get(p, NO_RANK) for p in self.pairs.tolist()], np.int64)
@@ -190,17 +193,30 @@ class WordBpe:
         return " ".join([self.tokens[i] for i in ids])
 
 
+@lru_cache(maxsize=1)
+def _rules(path: str, size: int, changed: int) -> WordBpe:
+    return WordBpe(path)
+
+
+def rules_of(path: str) -> WordBpe:
+    """The rules of a file; a worker reads them once for all its tasks, and again when the file has changed."""
+    file = os.stat(path)
+    return _rules(path, file.st_size, file.st_mtime_ns)
+
+
 class Encoder:
-    """Texts to ids and back, with the transducer and a bounded memory of the first chunks seen by this task."""
+    """Texts to ids and back, with the transducer and a bounded memory of the first chunks seen by this task.
+
+    The memory holds a chunk's ids only: they name its tokens, so these need no memory of their own.
+    """
 
     def __init__(self, bpe: WordBpe, block: bytes):
         self.bpe, self.lexicon = bpe, Lexicon(block)
-        # ids and tokens of each chunk, joined by spaces
+        # ids of each chunk, joined by spaces
         self.known: dict[str, str] = {}
-        self.tokens: dict[str, str] = {}
 
     def learn(self, chunks: set[str]) -> set[str]:
-        """Put ids and tokens of each chunk into memory; gives those that are to be taken out again.  A chunk holds a word at least."""
+        """Put the ids of each chunk into memory; gives those that are to be taken out again.  A chunk holds a word at least."""
         bpe, pieces = self.bpe, self.bpe.pieces
         new = chunks - self.known.keys()
         cuts = {c: pieces(c) for c in new}
@@ -210,16 +226,11 @@ class Encoder:
         unknown = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(unknown, bpe.merge_all([raw[i] for i in unknown])):
             found[i] = [bpe.special[words[i]]] if words[i] in bpe.special else ids
-        digit, token = bpe.digits.__getitem__, bpe.tokens.__getitem__
+        digit, known = bpe.digits.__getitem__, self.known
         said = {w: " ".join(map(digit, ids)) for w, ids in zip(words, found)}
-        back = {w: " ".join(map(token, ids)) for w, ids in zip(words, found)}
-        full = len(self.known) >= MEMO_CHUNKS
-        known, tokens = self.known, self.tokens
+        full = len(known) >= MEMO_CHUNKS
         for c, cut in cuts.items():
-            if len(cut) == 1:
-                known[c], tokens[c] = said[cut[0]], back[cut[0]]
-            else:
-                known[c], tokens[c] = " ".join([said[w] for w in cut]), " ".join([back[w] for w in cut])
+            known[c] = said[cut[0]] if len(cut) == 1 else " ".join([said[w] for w in cut])
         return new if full else set()
 
     def _read(self, texts: list[str | None]) -> Iterator[list[str]]:
@@ -234,7 +245,7 @@ class Encoder:
                 gc.enable()
         yield from cut
         for chunk in passing:
-            del self.known[chunk], self.tokens[chunk]
+            del self.known[chunk]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text; null counts as empty."""
@@ -242,13 +253,14 @@ class Encoder:
 
     def digests(self, texts: list[str | None]) -> tuple[list[int], list[str], list[str]]:
         """Per text: tokens, SHA-256 of its ids joined by spaces, SHA-256 of the decoded text."""
-        ids, tokens, sha = self.known.__getitem__, self.tokens.__getitem__, lambda t: hashlib.sha256(t.encode("utf-8")).hexdigest()
+        ids, token, sha = self.known.__getitem__, self.bpe.token_of.__getitem__, lambda t: hashlib.sha256(t.encode("utf-8")).hexdigest()
         n, said, back = [], [], []
         for chunks in self._read(texts):
             text = " ".join(map(ids, chunks))
-            n.append(text.count(" ") + 1 if text else 0)
+            each = text.split(" ") if text else []
+            n.append(len(each))
             said.append(sha(text))
-            back.append(sha(" ".join(map(tokens, chunks))))
+            back.append(sha(" ".join(map(token, each))))
         return n, said, back
 
 
@@ -261,7 +273,7 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     schema = arrow_schema("word string, n bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, chunks = WordBpe(path), Counter()
+        bpe, chunks = rules_of(path), Counter()
 
         def words() -> pa.RecordBatch:
             seen: dict[str, int] = {}
@@ -303,7 +315,7 @@ def lexicon_of(docs: DataFrame, path: str, text: str = "text", most: int = 200_0
 
 def _encoders(docs: DataFrame, path: str, text: str, most: int):
     block = docs.sparkSession.sparkContext.broadcast(lexicon_of(docs, path, text, most))
-    return lambda: Encoder(WordBpe(path), block.value)
+    return lambda: Encoder(rules_of(path), block.value)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", most: int = 200_000) -> DataFrame:
@@ -322,7 +334,7 @@ def decode(coded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """(key, text): the texts of id lists; null ids give null."""
 
     def make():
-        bpe = WordBpe(path)
+        bpe = rules_of(path)
         return lambda keys, ids: (keys, [None if i is None else bpe.decode(i) for i in ids])
 
     kind = coded.schema[key].dataType.simpleString()

@@ -16,14 +16,22 @@ from retailgold.session import scratch_dir
 ROOT = str(Path(__file__).resolve().parents[2])
 BATCH_CHARS = 1_000_000
 BATCH_ROWS = 2_000
+# Workers live on from stage to stage, so they give back what a stage freed: Arrow's buffers go through malloc, and malloc keeps
+# no more than these bytes.  What the session's user has set stays.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read back: a cut lineage that outlives its executors."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stored``, and its folder for ``drop_scratch`` once nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -34,6 +42,8 @@ def small_batches(spark: SparkSession) -> None:
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     paths = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        paths.setdefault(name, value)
     if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
         paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), ROOT]))
 

@@ -86,3 +86,19 @@ def test_lexicon_is_exact_and_shares_suffixes():
     assert lexicon.find(known) == [words[w] for w in known]
     assert lexicon.find([b"", b"au", b"auingx", b"zzz", b"\xff"]) == [None] * 5
     assert len(lexicon.final) < 12  # a trie would have over 150 states
+
+
+def test_a_chunk_in_memory_is_held_once():
+    rules, draw = bpe.rules_of(PATH), random.Random(4)
+    assert bpe.rules_of(PATH) is rules  # a worker's tasks share the file's tables
+    encoder = bpe.Encoder(rules, compile_lexicon({}))
+    words = ["".join(draw.choices("abcdefghij", k=8)) for _ in range(5_000)]
+    encoder.digests([" ".join(words)])
+    assert len(encoder.known) == len(set(words))
+    assert sum(len(v) for k, v in vars(encoder).items() if isinstance(v, dict)) == len(set(words))
+
+
+def test_workers_give_freed_memory_back(texts):
+    bpe.encode_digests(texts([(1, "a b")]), PATH).collect()
+    held = texts([(1, "a")]).sparkSession.sparkContext.environment
+    assert held["ARROW_DEFAULT_MEMORY_POOL"] == "system" and int(held["MALLOC_TRIM_THRESHOLD_"]) <= 16 << 20
