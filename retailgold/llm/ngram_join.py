@@ -10,6 +10,10 @@ first each run of equal prefix shingles verifies its members against one leader,
 pairs of different classes in a run are joined, all of them.  So no link between classes is lost, and a group of
 near copies costs a few comparisons per member and not one per pair.
 
+A pair is first held against the sets' sketches: the parities of their tokens by low bits.  Each parity that differs stands for a
+token that only one of them has, so sketches refuse no similar pair, and only the sets of pairs that pass are cut again and
+sent to each other.  Stored tables go as soon as nothing reads them any more.
+
 Null and empty texts, and texts without words, have an empty set and are linked with nothing.  Rows that repeat a text, also
 under the same key, are copies of each other.  Null keys take part; a class's id is its smallest key that is not null.
 """
@@ -22,12 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailgold.llm.components import components
-from retailgold.llm.frames import arrow_schema, by_batch, pieces, small_batches, stored
+from retailgold.llm.frames import arrow_schema, by_batch, pieces, small_batches, stored, stored_at
 from retailgold.llm.words import shingle_sets
+from retailgold.session import drop_scratch
 
 WIDTH = 5
 PERCENT = 75
@@ -45,15 +50,35 @@ def set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """A bit for each value of the tokens' low bits, set where an odd number of them has it: two to four bits a token, 64 at least."""
+    size = 64
+    while size < 2 * len(tokens):
+        size *= 2
+    odd = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketches_allow(x: bytes, y: bytes, nx: int, ny: int, percent: int) -> bool:
+    """False only for sets that are less similar; the larger sketch is folded until both look at the same low bits."""
+    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(u) > len(v):
+        u = u[: len(u) // 2] ^ u[len(u) // 2 :]
+    while len(v) > len(u):
+        v = v[: len(v) // 2] ^ v[len(v) // 2 :]
+    need = -(-percent * (nx + ny) // (100 + percent))
+    return nx + ny - int(np.bitwise_count(u ^ v).sum()) >= 2 * need
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Sets of size n that reach the similarity with another share one of so many first tokens."""
     return n - -(-percent * n // 100) + 1
 
 
 def described(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Rows of documents (key, n, sid) and, with ``chunk`` not null, each task's part of the frequency table."""
+    """Rows of documents (key, n, sid, sketch) and, with ``chunk`` not null, each task's part of the frequency table."""
     small_batches(docs.sparkSession)
-    schema_text = f"key {docs.schema[key].dataType.simpleString()}, n bigint, sid bigint, chunk int, counts binary"
+    schema_text = f"key {docs.schema[key].dataType.simpleString()}, n bigint, sid bigint, sketch binary, chunk int, counts binary"
     schema = arrow_schema(schema_text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,13 +89,14 @@ def described(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
             none = [None] * len(keys)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, f.type) for v, f in zip(
-                    (keys, [len(s) for s in sets], [set_id(s) if len(s) else None for s in sets], none, none), schema)],
+                    (keys, [len(s) for s in sets], [set_id(s) if len(s) else None for s in sets], [sketch(s) if len(s) else None for s in sets], none, none),
+                    schema)],
                 schema=schema,
             )
         parts = [(i // _CHUNK, zlib.compress(part.tobytes(), 1)) for i in range(0, SLOTS, _CHUNK) if (part := table[i : i + _CHUNK]).any()]
         none = [None] * len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(v, f.type) for v, f in zip((none, none, none, [p[0] for p in parts], [p[1] for p in parts]), schema)], schema=schema
+            [pa.array(v, f.type) for v, f in zip((none, none, none, none, [p[0] for p in parts], [p[1] for p in parts]), schema)], schema=schema
         )
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema_text)
@@ -207,13 +233,34 @@ def marked(rows: DataFrame, slots: DataFrame) -> DataFrame:
     return rows.withColumn("_word", word).join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
 
 
-def sets_of(docs: DataFrame, rows: DataFrame, pairs: DataFrame, text: str, key: str, width: int) -> DataFrame:
-    """(sid, tokens) of the sets in the pairs, cut again from one document each.
+def _involved(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+
+
+def possible(rows: DataFrame, pairs: DataFrame, involved: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sketches allow.  A bitmap of fixed size keeps most sketches that no pair needs out of the shuffle."""
+    slot = F.pmod(F.xxhash64("sid"), F.lit(MARKS)).cast("int").alias("slot")
+    near = marked(rows.where("sid is not null").select(slot, "sid", "n", "sketch"), involved.select(slot)).select("sid", "n", "sketch")
+    near = near.join(involved, "sid", "left_semi").dropDuplicates(["sid"])
+    x = near.select(F.col("sid").alias("a"), F.col("n").alias("nx"), F.col("sketch").alias("x")).hint("merge")
+    y = near.select(F.col("sid").alias("b"), F.col("n").alias("ny"), F.col("sketch").alias("y")).hint("merge")
+
+    def make():
+        def work(*columns):
+            kept = [(a, b) for a, b, x, y, nx, ny in zip(*columns) if sketches_allow(x, y, nx, ny, percent)]
+            return [list(v) for v in zip(*kept)] if kept else [[], []]
+
+        return work
+
+    return by_batch(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny"), make, "a bigint, b bigint")
+
+
+def sets_of(docs: DataFrame, rows: DataFrame, involved: DataFrame, text: str, key: str, width: int) -> DataFrame:
+    """(sid, tokens) of the sets involved, cut again from one document each.
 
     A bitmap of fixed size tells which documents may be needed, so that the others' texts are not cut; what it lets through
     in error is dropped by the join.
     """
-    involved = stored(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "ngram-involved")
     slot = F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int").alias("slot")
     first = rows.join(involved, "sid", "left_semi").groupBy("sid").agg(F.min("key").alias("key"))
 
@@ -246,32 +293,52 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return by_batch(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y"), make, "a bigint, b bigint, linked boolean")
 
 
+def checked(docs: DataFrame, rows: DataFrame, pairs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """(a, b, linked) of the distinct pairs that their sketches allow."""
+    spent: list[str] = []
+    near = _kept(possible(rows, pairs, _kept(_involved(pairs), "ngram-involved", spent), percent), "ngram-near", spent)
+    sets = _kept(sets_of(docs, rows, _kept(_involved(near), "ngram-involved", spent), text, key, width), "ngram-sets", spent)
+    out = stored(verified(near, sets, percent), "ngram-checked")
+    _drop(docs.sparkSession, spent)
+    return out
+
+
+def _kept(df: DataFrame, name: str, spent: list[str]) -> DataFrame:
+    out, path = stored_at(df, name)
+    spent.append(path)
+    return out
+
+
+def _drop(spark: SparkSession, spent: list[str]) -> None:
+    for path in spent:
+        drop_scratch(spark, path)
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def linked_sets(docs: DataFrame, rows: DataFrame, key: str, text: str, frequency: np.ndarray, width: int, percent: int) -> DataFrame:
     """(node, component) over set ids."""
+    spark = docs.sparkSession
     runs = stored(shared_runs(prefixes(docs, text, frequency, width, percent)), "ngram-runs")
-    checked, classes, turn, last = None, None, 0, False
+    tried, links, classes, turn, last = None, None, None, 0, False
     while True:
-        at = runs
-        if classes is not None:
-            at = runs.join(classes.withColumnRenamed("node", "sid"), "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
-            open_ = at.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("token")
-            at = at.join(open_, "token", "left_semi")
-        else:
-            at = at.withColumn("class", F.col("sid"))
+        spent: list[str] = []
+        at = runs.withColumn("class", F.col("sid")) if classes is None else _open_runs(runs, classes, spent)
+        if last:
+            at = _with_heads(at, spent)
         pairs = _all_pairs(at, percent) if last else _leader_pairs(at, turn, percent)
-        if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "ngram-pairs")
-        sets = stored(sets_of(docs, rows, pairs, text, key, width), "ngram-sets")
-        new = stored(verified(pairs, sets, percent), "ngram-checked")
-        found = not new.where("linked").isEmpty()
-        checked = new if checked is None else checked.union(new)
+        _drop(spark, spent)
+        new = checked(docs, rows, pairs, key, text, width, percent)
+        linked = new.where("linked").select("a", "b")
+        found = not linked.isEmpty()
+        tried, links = (pairs, linked) if tried is None else (tried.union(pairs), links.union(linked))
         if found or classes is None:
-            classes = stored(components(checked.where("linked").select("a", "b")), "ngram-classes")
+            classes = stored(components(links), "ngram-classes")
         if last:
             return classes
         turn += 1
@@ -291,10 +358,23 @@ def _leader_pairs(at: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.where(passes(percent)).select(*_pair("x.sid", "y.sid")).distinct()
 
 
+def _open_runs(runs: DataFrame, classes: DataFrame, spent: list[str]) -> DataFrame:
+    """Rows of the runs that hold more than one class, with their class."""
+    at = runs.join(classes.withColumnRenamed("node", "sid"), "sid", "left").withColumn("class", F.coalesce("component", "sid")).drop("component")
+    at = _kept(at, "ngram-classed", spent)  # it is read for both sides of the join
+    several = at.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("token")
+    return at.join(several, "token", "left_semi")
+
+
+def _with_heads(at: DataFrame, spent: list[str]) -> DataFrame:
+    """The rows with the first tokens of their set among them."""
+    at = _kept(at, "ngram-open", spent)
+    heads = at.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
+    return _kept(at.join(heads.select("sid", F.col("h.token").alias("head")), "sid"), "ngram-headed", spent)
+
+
 def _all_pairs(at: DataFrame, percent: int) -> DataFrame:
     """All pairs of different classes in a run; a pair comes through at its first common token where both heads show it."""
-    heads = at.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
-    at = stored(at.join(heads.select("sid", F.col("h.token").alias("head")), "sid"), "ngram-open")
     common = F.try_element_at(F.array_intersect("x.head", "y.head"), F.lit(1))
     pairs = at.alias("x").join(at.alias("y"), "token").where(
         (F.col("x.sid") < F.col("y.sid")) & (F.col("x.class") != F.col("y.class")) & passes(percent)
@@ -306,7 +386,7 @@ def _all_pairs(at: DataFrame, percent: int) -> DataFrame:
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) of every row."""
     both = stored(described(docs, key, text, width), "ngram-sizes")
-    rows = both.where("chunk is null").select("key", "n", "sid")
+    rows = both.where("chunk is null").select("key", "n", "sid", "sketch")
     frequency = frequencies(both.where("chunk is not null").select("chunk", "counts"))
     nodes = linked_sets(docs, rows, key, text, frequency, width, percent)
     # copies are one node; the smallest key of a node, then of its component

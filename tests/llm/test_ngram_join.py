@@ -99,3 +99,29 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(51)} | {i: 100 for i in (100, 200, 300)} | {i: 1000 for i in range(1000, 1100)}
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_sketches_never_refuse_a_similar_pair():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 2**63, draw.integers(1, 200)).astype(np.uint64)) for _ in range(60)]
+    sets += [np.unique(np.concatenate([s[draw.random(len(s)) < 0.9], draw.integers(0, 2**63, 1 + len(s) // 20).astype(np.uint64)])) for s in sets]
+    refused = 0
+    for i, x in enumerate(sets):
+        for y in sets[:i]:
+            both = len(np.intersect1d(x, y))
+            allowed = ngram_join.sketches_allow(ngram_join.sketch(x), ngram_join.sketch(y), len(x), len(y), 75)
+            assert allowed or 100 * both < 75 * (len(x) + len(y) - both)
+            refused += not allowed
+    assert refused > 1_000
+
+
+def test_sets_of_pairs_far_from_the_limit_are_not_sent(texts, monkeypatch):
+    draw, seen, folders = random.Random(2), [], []
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"o{draw.randrange(10**9)}" for _ in range(60))) for i in range(20)]
+    sets_of, drop = ngram_join.sets_of, ngram_join.drop_scratch
+    monkeypatch.setattr(ngram_join, "sets_of", lambda docs, rows, involved, *more: seen.append(involved.count()) or sets_of(docs, rows, involved, *more))
+    monkeypatch.setattr(ngram_join, "drop_scratch", lambda spark, path: folders.append(path) or drop(spark, path))
+    assert run(texts(rows)) == brute.near_duplicates(rows)
+    assert seen and not any(seen)
+    assert any("ngram-sets" in f for f in folders) and any("ngram-headed" in f for f in folders)
