@@ -1,8 +1,8 @@
 """Byte-pair encoding and decoding with a lexicon of the corpus's frequent words.
 
 The vocabulary file of a public tokenizer (a parameter) gives tokens and merges.  A first pass counts the pre-tokenized
-words of all documents; frequent ones are merged once, on the driver, and compiled into a minimal acyclic transducer with
-their ids as outputs, which executors memory-map.  A second pass looks the distinct words of each batch up in it; a word
+words of all documents; frequent ones are merged once, where they lie, and compiled on the driver into a minimal acyclic
+transducer with their ids as outputs, which executors memory-map.  A second pass looks the distinct words of each batch up in it; a word
 that it does not hold is merged exactly, so the lexicon's size never changes a result.
 """
 
@@ -22,12 +22,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailgold.llm.frames import arrow_schema, by_batch, pieces, small_batches, stored
-from retailgold.llm.lexicon import Lexicon, compile_lexicon
+from retailgold.llm.frames import BATCH_ROWS, arrow_schema, by_batch, pieces, small_batches, stored
+from retailgold.llm.lexicon import Lexicon, compile_sorted
 
 # Characters that str.split() takes for white space and Unicode does not.
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
@@ -293,8 +294,8 @@ def word_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int) -> list[str]:
-    """Words above the lowest frequency class (an eighth of a doubling) that leaves at most ``most`` of them."""
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """(word) above the lowest frequency class (an eighth of a doubling) that leaves at most ``most`` of them."""
     level = F.floor(F.log2("n") * 8).cast("int")
     sizes = {r["level"]: r["words"] for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()}
     least, total = math.inf, 0
@@ -303,14 +304,39 @@ def frequent_words(counts: DataFrame, most: int) -> list[str]:
         if total > most:
             break
         least = at
-    return [] if least == math.inf else [r["word"] for r in counts.where(level >= least).select("word").collect()]
+    return counts.where("false" if least == math.inf else level >= least).select("word")
+
+
+def frequent_words(counts: DataFrame, most: int) -> list[str]:
+    return frequent(counts, most).toArrow()["word"].to_pylist()
+
+
+def merged(words: DataFrame, path: str) -> DataFrame:
+    """(word, ids): the bytes of each word and what they merge to; a special token is left out."""
+
+    def make():
+        bpe = rules_of(path)
+
+        def work(texts):
+            raw = [w.encode("utf-8", "surrogatepass") for w in texts if w not in bpe.special]
+            return raw, bpe.merge_all(raw)
+
+        return work
+
+    return by_batch(words, make, "word binary, ids array<int>")
 
 
 def lexicon_of(docs: DataFrame, path: str, text: str = "text", most: int = 200_000) -> bytes:
-    """The compiled transducer of the most frequent words of all documents, at most ``most``."""
-    bpe = WordBpe(path)
-    words = frequent_words(stored(word_counts(docs, path, text), "bpe-words"), most)
-    return compile_lexicon({(raw := w.encode("utf-8", "surrogatepass")): bpe.merge(raw) for w in words if w not in bpe.special})
+    """The compiled transducer of the most frequent words of all documents, at most ``most``.
+
+    The driver gets words and ids as Arrow columns: neither it nor the JVM beside it holds an object for each.
+    """
+    counts = stored(word_counts(docs, path, text), "bpe-words")
+    table = merged(frequent(counts, most), path).toArrow()
+    table = table.take(pc.sort_indices(table, [("word", "ascending")]))
+    words = chain.from_iterable(b.column(0).to_pylist() for b in table.to_batches(max_chunksize=BATCH_ROWS))
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(table["ids"]).to_numpy(), dtype=np.int64)])
+    return compile_sorted(words, bounds, pc.list_flatten(table["ids"]).to_numpy())
 
 
 def _encoders(docs: DataFrame, path: str, text: str, most: int):

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,8 +147,8 @@ def document_frequencies(docs: DataFrame, text: str) -> np.ndarray:
 
     out = np.zeros(SIZE, np.int64)
     counted = docs.select(text).mapInArrow(count, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
-    for r in counted.collect():  # at most SIZE rows
-        out[r["feature"]] = r["n"]
+    rows = counted.toArrow()  # at most SIZE
+    out[rows["feature"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -183,12 +184,13 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         return work
 
     found = by_batch(drawn, make, "place double, lang string, found binary, counts binary", text=2)
-    rows = found.orderBy("place", "lang", "found", "counts").limit(sample).collect()
-    read = lambda b: np.frombuffer(b, np.int32).astype(np.int64)
+    # Arrow columns that are looked into, not copied: the driver holds the sample once
+    rows = found.orderBy("place", "lang", "found", "counts").limit(sample).select("lang", "found", "counts").toArrow()
     # in an order of their own, so that the fit does not depend on the order of the tasks
-    rows = sorted(((r["lang"], bytes(r["found"]), bytes(r["counts"])) for r in rows))
-    order = np.random.default_rng(1).permutation(len(rows))
-    return fit([(read(rows[i][1]), read(rows[i][2]), rows[i][0]) for i in order], idf)
+    rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in rows.column_names])).combine_chunks()
+    read = lambda b: np.frombuffer(b.as_buffer(), np.int32)
+    order = np.random.default_rng(1).permutation(len(rows)).tolist()
+    return fit([(read(rows["found"][i]), read(rows["counts"][i]), rows["lang"][i].as_py()) for i in order], idf)
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

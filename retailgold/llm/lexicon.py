@@ -9,6 +9,8 @@ from __future__ import annotations
 import io
 import mmap
 import tempfile
+from array import array
+from collections.abc import Iterable
 from itertools import accumulate
 
 import numpy as np
@@ -16,61 +18,53 @@ import numpy as np
 PARTS = ("keys", "targets", "before", "final", "bounds", "ids")
 
 
-class _Builder:
-    """Incremental construction from words in byte order; a state is (final, edges)."""
-
-    def __init__(self) -> None:
-        self.known: dict[tuple, int] = {}
-        self.states: list[tuple[bool, tuple[tuple[int, int], ...]]] = []
+def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
+    """The transducer of the entries as one block of bytes."""
+    words = sorted(entries)
+    bounds = np.fromiter(accumulate((len(entries[w]) for w in words), initial=0), np.int64)
+    return compile_sorted(words, bounds, np.fromiter((i for w in words for i in entries[w]), np.int64))
 
-    def freeze(self, node: list) -> int:
-        state = (node[0], tuple(node[1]))
-        at = self.known.get(state)
-        if at is None:
-            at = self.known[state] = len(self.states)
-            self.states.append(state)
-        return at
 
+def compile_sorted(words: Iterable[bytes], bounds: np.ndarray, ids: np.ndarray) -> bytes:
+    """The same from different words in byte order; those of word i have ``ids[bounds[i] : bounds[i + 1]]``.
 
-def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
-    """The transducer of the entries as one block of bytes."""
-    build, words = _Builder(), sorted(entries)
-    path: list[list] = [[False, []]]  # the states of the last word that may still get edges
+    Incremental construction: a state is written out as soon as it gets no more edges, and known again by its packed edges.
+    """
+    known: dict[bytes, int] = {}
+    keys, targets, before, final, below = (array("q") for _ in range(5))
+    path: list[array] = [array("q", [0])]  # the states of the last word that may still get edges: final, then target and label of each
     last = b""
 
+    def freeze(node: array) -> int:
+        at = known.setdefault(node.tobytes(), len(final))
+        if at == len(final):  # a new one
+            n = node[0]
+            for edge in node[1:]:
+                keys.append(at << 8 | edge & 255), targets.append(edge >> 8), before.append(n)
+                n += below[edge >> 8]  # children were frozen before their parents
+            final.append(node[0]), below.append(n)
+        return at
+
     def close(depth: int) -> None:
         while len(path) - 1 > depth:
-            node = path.pop()
-            path[-1][1].append((last[len(path) - 1], build.freeze(node)))
+            at = freeze(path.pop())
+            path[-1].append(at << 8 | last[len(path) - 1])
 
     for word in words:
         same = 0
         while same < min(len(word), len(last)) and word[same] == last[same]:
             same += 1
         close(same)
-        path.extend([False, []] for _ in word[same:])
-        path[-1][0] = True
+        path.extend(array("q", [0]) for _ in word[same:])
+        path[-1][0] = 1
         last = word
     close(0)
-    root = build.freeze(path[0])
-    below: list[int] = []
-    for final, edges in build.states:  # children were frozen before their parents
-        below.append(final + sum(below[t] for _, t in edges))
-    keys, targets, before = [], [], []
-    for state, (final, edges) in enumerate(build.states):
-        smaller = accumulate((below[t] for _, t in edges), initial=int(final))
-        for (label, target), n in zip(edges, smaller):
-            keys.append(state << 8 | label), targets.append(target), before.append(n)
-    bounds = list(accumulate((len(entries[w]) for w in words), initial=0))
-    arrays = {
-        "keys": np.array(keys, np.int64), "targets": np.array(targets, np.int64), "before": np.array(before, np.int64),
-        "final": np.array([f for f, _ in build.states], np.int64), "bounds": np.array(bounds, np.int64),
-        "ids": np.array([i for w in words for i in entries[w]], np.int64),
-    }
+    root = freeze(path[0])
+    arrays = {"keys": keys, "targets": targets, "before": before, "final": final, "bounds": bounds, "ids": ids}
     head = np.array([root, *(len(arrays[p]) for p in PARTS)], np.int64)
     out = io.BytesIO()
     for part in (head, *(arrays[p] for p in PARTS)):
-        out.write(part.tobytes())
+        out.write(np.asarray(part, np.int64).tobytes())
     return out.getvalue()
 
 

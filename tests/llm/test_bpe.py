@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -102,3 +103,18 @@ def test_workers_give_freed_memory_back(texts):
     bpe.encode_digests(texts([(1, "a b")]), PATH).collect()
     held = texts([(1, "a")]).sparkSession.sparkContext.environment
     assert held["ARROW_DEFAULT_MEMORY_POOL"] == "system" and int(held["MALLOC_TRIM_THRESHOLD_"]) <= 16 << 20
+
+
+def test_the_driver_holds_no_vocabulary_and_no_object_per_word(texts):
+    draw = random.Random(3)
+    words = sorted({"".join(draw.choices("abcdefgh\xe9", k=7)) for _ in range(3_000)})
+    docs = texts([(i, " ".join(words[i::40]) + " <|endoftext|>") for i in range(40)])
+    tracemalloc.start()
+    try:
+        block = bpe.lexicon_of(docs, PATH)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    rules = bpe.WordBpe(PATH)
+    assert block == compile_lexicon({w.encode(): rules.merge(w.encode()) for w in words})
+    assert peak < 8e6  # the file's tables alone take more

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -86,3 +87,18 @@ def test_the_sample_is_no_larger_than_its_parameter(table, monkeypatch):
     monkeypatch.setattr(langid, "fit", lambda rows, idf: taken.append(len(rows)))
     langid.train(table("documents"), sample=40)
     assert 20 <= taken[0] <= 40
+
+
+def test_the_driver_holds_the_sample_once(texts):
+    draw = random.Random(1)
+    long = [("".join(chr(0x4E00 + draw.randrange(20_000)) for _ in range(5_000))) for _ in range(100)]
+    docs = texts([(i, t) for i, t in enumerate(long)])
+    tracemalloc.start()
+    try:
+        model = langid.train(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    held = sum(len(f) for f, _ in langid.features(long))
+    assert model.languages == ["en"] and held > 500_000
+    assert peak < 2 * 8 * held  # a weight for each feature of a text, and not its rows and copies beside them
