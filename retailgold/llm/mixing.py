@@ -28,6 +28,7 @@ PERIOD = 1_000
 SLOTS_PER_SOURCE = 10
 BLOCK = 8
 BIN_ROWS = 2_000
+PLACE = ("share", "block", "release", "deadline", "slot", "position")
 
 
 def shares(weights: Mapping, period: int = PERIOD) -> dict:
@@ -79,15 +80,15 @@ def tempered(counts: Mapping, power: float = 0.5) -> dict:
 
 
 def mixed(
-    docs: DataFrame, weights: Mapping | None = None, key: str = "doc_id", source: str = "source", period: int = PERIOD, block: int = BLOCK
+    docs: DataFrame, weights: Mapping | None = None, key: str = "doc_id", source: str = "source", period: int = PERIOD, block: int = BLOCK,
+    tie: str | None = None,
 ) -> DataFrame:
     """``docs`` with all its columns and share, block, release, deadline, slot and position; sorting by position gives the mix.
 
     Without ``weights`` they are the square roots of the sources' sizes.  A source that the weights do not name is an error.
-    Of clashing names the operator's own win.
+    Of clashing names the operator's own win.  Rows that repeat a key follow one another by the column ``tie``, without it in any order.
     """
-    own = ("share", "block", "release", "deadline", "slot", "position")
-    docs = docs.select(*(c for c in docs.columns if c not in own))
+    docs = docs.select(*(c for c in docs.columns if c not in PLACE))
     counts = {r["s"]: r["n"] for r in docs.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n")).collect()}
     fits = len(counts) <= period
     period = period_of(len(counts), period)
@@ -109,7 +110,7 @@ def mixed(
     bins = rows.groupBy("_source", "_bin").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n").join(sizes, "_source")
-    inside = Window.partitionBy("_source", "_bin").orderBy("_mark", key)
+    inside = Window.partitionBy("_source", "_bin").orderBy("_mark", key, *filter(None, [tie]))
     rows = rows.withColumn("_rank", F.row_number().over(inside).cast("bigint") - 1).join(bins, ["_source", "_bin"])
     rows = rows.withColumn("_rank", F.col("_rank") + F.col("_before")).withColumn("block", F.expr(f"_rank div {block}"))
     rows = rows.withColumn("_period", F.expr("block div share")).withColumn("_turn", F.expr("block % share"))
@@ -117,4 +118,4 @@ def mixed(
     for name in ("release", "deadline", "slot"):
         out = out.withColumn(name, F.col("_period") * period + F.col(f"_{name}"))
     out = out.withColumn("position", F.col("slot") * block + F.col("_rank") % block)
-    return out.select(*docs.columns, *own)
+    return out.select(*docs.columns, *PLACE)

@@ -75,6 +75,23 @@ def test_the_mix_survives_the_reread(spark, steps):
     assert [r["doc_id"] for r in rows] != [r["doc_id"] for r in before]
 
 
+def test_the_result_has_the_place_that_mix_decided(spark, tmp_path):
+    """Also of rows that repeat a doc_id or have none: their order in the mix is that of their positions."""
+    data = [(k, f"{k} text {i}", "en", s, 9) for s in "ab" for k in (1, 2, None) for i in range(150)]
+    docs = spark.createDataFrame(data, ", ".join(COLUMNS_TYPED)).repartition(7)
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = stages["mix"](spark, docs, SF).collect()
+    assert sorted(map(str, mixed)) == sorted(map(str, docs.collect()))
+    again = spark.createDataFrame(mixed, ", ".join(COLUMNS_TYPED)).repartition(5, "text")
+    got = stages["tokens"](spark, again, SF)
+    assert set(mixing.PLACE) <= set(got.columns) and "source" not in got.columns
+    rows = got.orderBy("position").collect()
+    assert all(r["release"] <= r["slot"] < r["deadline"] and r["position"] // mixing.BLOCK == r["slot"] for r in rows)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = lambda t: " ".join(map(str, library.encode(t, add_special_tokens=False).ids))
+    assert [(r["doc_id"], r["ids_sha256"]) for r in rows] == [(r["doc_id"], hashlib.sha256(ids(r["text"]).encode()).hexdigest()) for r in mixed]
+
+
 def test_the_result_is_in_the_proportions_of_the_weights(spark, tmp_path):
     left = Counter({"a": 400, "b": 100, "c": 25})
     data = [(i, f"text {i}", "en", s, 6) for i, s in enumerate(left.elements())]
