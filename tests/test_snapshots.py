@@ -11,7 +11,7 @@ from shop import D1, D2, transaction
 from retailgold import snapshots
 from retailgold.operators import gold
 from retailgold.operators.typed import type_feeds
-from retailgold.sinks import commit_gold, publish, read_manifest, stage_gold, store
+from retailgold.sinks import commit_gold, publish, read_manifest, stage_gold, store, write_gold
 from retailgold.sources import read_gold
 
 
@@ -124,3 +124,38 @@ def test_unknown_columns_keep_their_dates(spark, built, tmp_path):
     for day, name in ((D1, "colour"), (D2, "promo")):
         publish(store(built.filter(F.col("dt") == day).withColumn(name, F.lit(name[0])), f"{tmp_path}/{name}"), path, "transactions")
     assert rows(read_gold(spark, path, "transactions").select("dt", "colour", "promo").distinct()) == [(D1, "c", None), (D2, None, "p")]
+
+
+def test_more_files_than_the_driver_holds(spark, built, euros, tmp_path, monkeypatch):
+    """They are listed beside the entry, which stays one line, and read part by part; runs of few and of many files follow each other."""
+    path, log = str(tmp_path / "gold"), snapshots.LOG
+
+    def entry(n):
+        with open(f"{path}/{log}/{n:012d}.json") as f:
+            return f.read().splitlines()
+
+    write_gold(built, path, "transactions", rows_per_file=1)
+    few = rows(read_manifest(spark, path), "dt", "part", "file_name")
+    assert len(entry(0)) == 6
+    monkeypatch.setattr(snapshots, "MOST_FILES", 3)
+    write_gold(euros, path, "transactions", rows_per_file=1)  # one date has 4 files, more than are listed at once
+    assert len(entry(1)) == 1 and money(spark, path) == NEW and rows(read_manifest(spark, path), "dt", "part", "file_name") == few
+    assert len(glob.glob(f"{path}/transactions/*/*.csv.gz")) == 6  # replaced files went
+    parts = list(snapshots.current_parts(spark, path, "transactions"))
+    assert [len(p) for p in parts] == [3, 3] and sorted(sum(parts, [])) == snapshots.current_files(spark, path, "transactions")
+    assert sum(read_gold(spark, path, "transactions", p).count() for p in parts) == 6
+    one = store(built.filter(F.col("dt") == D2), str(tmp_path / "one"))
+    publish(one, path, "transactions", emptied=lambda dt: dt == D1)
+    assert money(spark, path) == OLD[1:] and len(glob.glob(f"{path}/transactions/*/*.csv.gz")) == 1
+    assert list(snapshots.current_parts(spark, path, "tenders")) == [[]]
+
+
+def test_many_files_in_a_whole_state_and_after_a_crash(spark, built, euros, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "MOST_FILES", 5)
+    monkeypatch.setattr(snapshots, "WHOLE_EVERY", 1)
+    path = str(tmp_path / "gold")
+    write_gold(built, path, "transactions", rows_per_file=1)
+    assert glob.glob(f"{path}/_manifest/files-*") and money(spark, path) == OLD
+    stage_gold(euros, path, "transactions", 1, run="lost")
+    snapshots.discard(spark, path, ["transactions"], "lost")
+    assert money(spark, path) == OLD and len(glob.glob(f"{path}/transactions/*/*.csv.gz")) == 6
