@@ -68,7 +68,7 @@ def archive_feed(df: DataFrame, path: str, feed: str, emptied: Callable[[int], b
 def _land(df: DataFrame, path: str, feed: str, by: list[str], gone: Callable[[str, set[str | None]], bool]) -> None:
     """Make rows the archive's; ``gone(partition, file dates that come again)`` names partitions that go."""
     spark, run = df.sparkSession, snapshots.new_run()
-    snapshots.add_files(df, path, feed, by, run)
+    snapshots.add_files(df, path, feed, by, run, compression="zstd")
     files = snapshots.files_of(spark, path, [feed], run, len(by))
     # every day of a file that comes again is replaced, also days that it no longer has
     again = {value_of(r["partition"], "file_dt") for r in files.select("partition").distinct().collect()} if "file_dt" in by else set()
