@@ -10,8 +10,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 from shop import D1, D2, good_feeds, item, paid, tender, transaction
 
-from retailgold.bind.queries import write_feed_files
-from retailgold.plans import GateFailure, run, run_paths, stage_feeds, stage_settlement
+from retailgold.bind.queries import _landed, write_feed_files
+from retailgold.plans import GateFailure, gold_run, run, run_paths, stage_feeds, stage_settlement
 from retailgold.schemas import DIMENSIONS, GOLD_COLUMNS, GOLD_TABLES, POS_FEEDS
 from retailgold.sinks import read_audit, read_manifest, read_rejects
 from retailgold.sources import read_gold
@@ -343,3 +343,23 @@ def test_summaries_of_settlement_files_give_the_same_tenders(spark, feed, tmp_pa
     parts = {p: os.path.getmtime(p) for p in glob.glob(f"{tmp_path}/archivesummed/settlement_summary/*/*/*.parquet")}
     assert go_files("summed", summarise=True) == go_files("plain") == [("1~55~07", "Ann"), ("2~55~07", None), ("3~55~07", "Bob")]
     assert parts and {p: os.path.getmtime(p) for p in parts} == parts  # the first file was not summarised again
+
+
+def test_a_table_goes_when_its_files_are_written(spark, feed, tmp_path, monkeypatch):
+    """Tables' files are written one after the other, each from a table that goes before the next."""
+    real, seen = gold_run.stage_gold, []
+
+    def stage(built, out, table, *more):
+        seen.append((table, sorted(os.path.basename(p) for p in glob.glob(f"{tmp_path}/scratch/*/*"))))
+        return real(built, out, table, *more)
+
+    monkeypatch.setattr(gold_run, "stage_gold", stage)
+    go(spark, good_feeds(feed), tmp_path, scratch=f"{tmp_path}/scratch")
+    assert seen == [(t, sorted(GOLD_TABLES[i:])) for i, t in enumerate(GOLD_TABLES)]
+    assert read_gold(spark, f"{tmp_path}/gold", "discounts").count() == 2
+
+
+def test_archive_and_stored_feeds_are_zstd(spark, feed, tmp_path):
+    staged = stage_feeds({"transactions": good_feeds(feed)["transactions"]}, f"{tmp_path}/archive")
+    for df in (staged["transactions"], _landed(spark, staged["transactions"])):
+        assert df.count() == 3 and all(".zstd.parquet" in f for f in df.inputFiles())
